@@ -6,19 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docloom.llm.bpe import encode_documents
+from docloom.llm.fm_index import find_contamination
 from docloom.llm.ngram_join import jaccard_groups
+from docloom.llm.token_counts import count_tokens
+from docloom.llm.workspace import Workspace
+
+try:
+    import public_tokenizers
+except ImportError:  # the vocabulary files are a parameter of the operators
+    public_tokenizers = None
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = encode_documents(_table(spark, sf_dir, "documents"), ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN, keep_ids=False)
+    return rows.drop("ids")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cache = Workspace(spark, "token-counts").path("cache")
+    return count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path=public_tokenizers.path("byte_bpe_50k.json"), cache_path=cache)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), k=4, threshold=0.85)
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans", "item_ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": op3_byte_bpe,
+    "op5_token_counts": op5_token_counts,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
