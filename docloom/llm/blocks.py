@@ -26,7 +26,7 @@ from docloom._ship import ensure_importable
 from docloom.llm import arrays as A
 from docloom.llm.workspace import Workspace
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 SHARD_BYTES = 6 << 20
 BLOCK_SCHEMA = "block bigint, ids array<bigint>, lengths binary, body binary, n_bytes bigint"
 MESSAGE_SCHEMA = "shard int, block bigint, keys binary, extra binary"

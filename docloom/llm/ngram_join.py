@@ -17,8 +17,9 @@ from docloom.llm import blocks as B
 from docloom.llm.components import components
 from docloom.llm.workspace import Workspace
 
-BINS = 8
-PREFIX_SCHEMA = "doc_id bigint, digest binary, n int, token bigint, pos int, bins array<int>, body binary"
+#: Text bytes whose sets are in memory together while pairs are verified.
+VERIFY_BYTES = 2 << 20
+PREFIX_SCHEMA = "doc_id bigint, digest binary, n int, shared int, token bigint, pos int, met int, body binary"
 
 
 def shingle_sets(block: B.Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -33,8 +34,11 @@ def shingle_sets(block: B.Block, k: int) -> tuple[np.ndarray, np.ndarray, np.nda
         if len(at):
             hashes = np.concatenate([hashes, A.grams(words, short)[first[:-1][at]]])
             docs = np.concatenate([docs, at])
-    order = np.lexsort((hashes, docs))
-    docs, hashes = docs[order], hashes[order]
+        order = np.argsort(docs, kind="stable")
+        docs, hashes = docs[order], hashes[order]
+    bounds = np.searchsorted(docs, np.arange(len(block.ids) + 1))
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+        hashes[a:b].sort()
     if len(docs):
         keep = np.r_[True, (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1])]
         docs, hashes = docs[keep], hashes[keep]
@@ -60,39 +64,45 @@ def _df_shard(table: pa.Table) -> pa.Table:
 
 
 def _prefixes(bits: int, k: int, threshold: Fraction):
+    p, q = threshold.numerator, threshold.denominator
+
     def make(block: B.Block, replies: list) -> pa.RecordBatch:
         docs, hashes, first = shingle_sets(block, k)
         short = hashes >> A.U(64 - bits)
         keys = np.unique(short)
         df = np.concatenate([A.unpack(x) for x in replies[0]]) if replies[0] else np.zeros(0, dtype=A.U)
-        df = df[np.searchsorted(keys, short)]
+        df = df[np.searchsorted(keys, short)].astype(np.int32)
         n = np.diff(first)
-        order = np.lexsort((hashes, df, docs))
-        pos = np.arange(len(docs)) - first[docs]
-        prefix = n - (threshold.numerator * n + threshold.denominator - 1) // threshold.denominator + 1
-        use = (pos < prefix[docs]) & (df[order] >= 2)
-        bins = np.zeros((len(n), BINS), dtype=np.int32)
-        np.add.at(bins, (docs, (hashes & A.U(BINS - 1)).astype(np.int64)), 1)
-        digests = [xxhash.xxh3_128_digest(hashes[a:b].tobytes()) if b > a else None for a, b in zip(first, first[1:])]
-        live = np.zeros(len(n), dtype=bool)
-        live[docs[use]] = True
-        zip_text = zstandard.ZstdCompressor(level=3).compress
-        bodies = [zip_text(block.buf[block.offsets[d] : block.offsets[d + 1]].tobytes()) if live[d] else None for d in range(len(n))]
-        at = np.flatnonzero(use)
-        owner = np.concatenate([np.arange(len(n)), docs[at]])
-        ids, extra = block.id_array(), len(n)
-        tokens = pa.array(np.concatenate([np.zeros(extra, dtype=np.int64), hashes[order][at].view(np.int64)]), mask=np.arange(len(owner)) < extra)
+        shared = np.add.reduceat(np.r_[df >= 2, False].astype(np.int32), first[:-1]) if len(n) else n
+        shared = np.where(n > 0, shared, 0).astype(np.int32)
+        prefix = n - (p * n + q - 1) // q + 1
+        zip_text = zstandard.ZstdCompressor(level=1).compress
+        digests, bodies, owner, tokens, places, met = [], [], [], [], [], []
+        for d, (a, b) in enumerate(zip(first.tolist(), first[1:].tolist())):
+            digests.append(xxhash.xxh3_128_digest(hashes[a:b].tobytes()) if b > a else None)
+            own = np.zeros(0, dtype=np.int64)
+            if b > a and (n[d] - shared[d] < prefix[d]):
+                own = np.argsort(df[a:b], kind="stable")[n[d] - shared[d] : prefix[d]]
+            bodies.append(zip_text(block.buf[block.offsets[d] : block.offsets[d + 1]].tobytes()) if len(own) else None)
+            owner.append(np.full(len(own), d))
+            tokens.append(hashes[a:b][own])
+            places.append(np.arange(n[d] - shared[d], n[d] - shared[d] + len(own)))
+            met.append(np.arange(len(own)))
+        extra = len(n)
+        owner = np.concatenate([np.arange(extra), *owner]).astype(np.int64)
+        flat = lambda x, kind: np.concatenate([np.zeros(extra, dtype=kind), *x]).astype(kind)
         return pa.RecordBatch.from_arrays(
             [
-                ids.take(pa.array(owner)),
+                block.id_array().take(pa.array(owner)),
                 pa.array(digests, type=pa.binary()).take(pa.array(owner)),
                 pa.array(n[owner].astype(np.int32)),
-                tokens,
-                pa.array(np.concatenate([np.zeros(extra, dtype=np.int32), pos[at].astype(np.int32)])),
-                pa.array(list(bins[owner]), type=pa.list_(pa.int32())),
-                pa.array(bodies + [None] * len(at), type=pa.binary()),
+                pa.array(shared[owner]),
+                pa.array(flat(tokens, A.U).view(np.int64), mask=np.arange(len(owner)) < extra),
+                pa.array(flat(places, np.int32)),
+                pa.array(flat(met, np.int32)),
+                pa.array(bodies + [None] * (len(owner) - extra), type=pa.binary()),
             ],
-            ["doc_id", "digest", "n", "token", "pos", "bins", "body"],
+            ["doc_id", "digest", "n", "shared", "token", "pos", "met", "body"],
         )
 
     return make
@@ -116,40 +126,73 @@ def suffix_bound(x: np.ndarray, y: np.ndarray, most: int, depth: int = 4) -> int
     return left + right if left + right > most else left + suffix_bound(x[cut:], y[mid:], most - left, depth - 1)
 
 
-def _set_of(body: bytes, k: int) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), dtype=np.uint8)
-    return shingle_sets(B.Block(0, np.zeros(1, dtype=np.int64), np.array([0, len(raw)]), raw), k)[1]
+def _need(nx, ny, threshold: Fraction):
+    """The least overlap of sets of these sizes that reaches the threshold."""
+    p, q = threshold.numerator, threshold.denominator
+    return (p * (nx + ny) + p + q - 1) // (p + q)
+
+
+def _sets_of(bodies: list[bytes], k: int) -> list[np.ndarray]:
+    unzip = zstandard.ZstdDecompressor().decompress
+    raw = [unzip(x) for x in bodies]
+    offsets = np.r_[0, np.cumsum([len(x) for x in raw])].astype(np.int64)
+    block = B.Block(0, np.zeros(len(raw), dtype=np.int64), offsets, np.frombuffer(b"".join(raw), dtype=np.uint8))
+    _, hashes, first = shingle_sets(block, k)
+    return [hashes[a:b] for a, b in zip(first, first[1:])]
+
+
+def _linked(x: np.ndarray, y: np.ndarray, threshold: Fraction) -> bool:
+    need = _need(len(x), len(y), threshold)
+    most = len(x) + len(y) - 2 * need
+    if suffix_bound(x, y, most) > most:
+        return False
+    both = np.concatenate([x, y])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum()) >= need
 
 
 def _verify(k: int, threshold: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, last, x = [], None, None
-            for a, b in zip(batch["body_a"].to_pylist(), batch["body_b"].to_pylist()):
-                if a != last:
-                    last, x = a, _set_of(a, k)
-                y = _set_of(b, k)
-                most = len(x) + len(y) - 2 * int(-(-threshold * (len(x) + len(y)) // (1 + threshold)))
-                same = -1
-                if suffix_bound(x, y, most) <= most:
-                    same = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(same >= 0 and same >= threshold * (len(x) + len(y) - same))
+            left, right = batch["body_a"].to_pylist(), batch["body_b"].to_pylist()
+            linked, start = [], 0
+            while start < len(left):
+                index: dict[bytes, int] = {}
+                size, stop = 0, start
+                while stop < len(left) and (size < VERIFY_BYTES or stop == start):
+                    for body in (left[stop], right[stop]):
+                        if body not in index:
+                            index[body] = len(index)
+                            size += 3 * len(body)
+                    stop += 1
+                sets = _sets_of(list(index), k)
+                linked += [_linked(sets[index[a]], sets[index[b]], threshold) for a, b in zip(left[start:stop], right[start:stop])]
+                start = stop
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(linked, type=pa.bool_())], ["a", "b", "linked"])
 
     return run
 
 
 def _may_link(threshold: Fraction, x: str, y: str):
-    """Length, positional and binned suffix filters for two postings of one token."""
-    p, q = threshold.numerator, threshold.denominator
-    nx, ny, ix, iy = (F.col(f"{s}.{c}").cast("bigint") for s, c in ((x, "n"), (y, "n"), (x, "pos"), (y, "pos")))
-    need = F.ceil(F.lit(p) * (nx + ny) / F.lit(p + q) - F.lit(1e-9))
-    most = F.least(ix, iy) + 1 + F.least(nx - ix - 1, ny - iy - 1)
-    apart = F.aggregate(F.zip_with(F.col(f"{x}.bins"), F.col(f"{y}.bins"), lambda a, b: F.abs(a - b)), F.lit(0), lambda s, d: s + d)
-    return (F.least(nx, ny) * q >= F.greatest(nx, ny) * p) & (most >= need) & (apart <= nx + ny - 2 * need)
-
+    """Length, index-prefix and positional filters for two postings of one token.
 
-def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8, rounds: int = 6) -> DataFrame:
+    The smaller set needs the token within its first n - need(n, n) + 1 places only. Tokens
+    of frequency 1 (all places before the first posting) can't be shared: at most met
+    earlier tokens are, and at most shared ones altogether.
+    """
+    p, q = threshold.numerator, threshold.denominator
+    col = lambda s, c: F.col(f"{s}.{c}").cast("bigint")
+    nx, ny = col(x, "n"), col(y, "n")
+    floor = lambda a, b: F.floor(a.cast("decimal(20,0)") / F.lit(b)).cast("bigint")
+    need = floor(p * (nx + ny) + (p + q - 1), p + q)
+    alone = lambda n: n - floor(p * n * 2 + (p + q - 1), p + q) + 1
+    smaller = (nx < ny) | ((nx == ny) & (F.col(f"{x}.digest") < F.col(f"{y}.digest")))
+    first = F.when(smaller, col(x, "pos") < alone(nx)).otherwise(col(y, "pos") < alone(ny))
+    most = F.least(F.least(col(x, "met"), col(y, "met")) + 1 + F.least(nx - col(x, "pos") - 1, ny - col(y, "pos") - 1), col(x, "shared"), col(y, "shared"))
+    return (F.least(nx, ny) * q >= F.greatest(nx, ny) * p) & first & (most >= need)
+
+
+def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8, rounds: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs, by Jaccard links of k-word shingles.
 
     Two rows link where |x & y| >= threshold * |x | y|; component_id is the smallest id
@@ -179,36 +222,34 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     rows = ws.write(B.each_block(B.with_replies(blocks, replies, "replies0"), _prefixes(bits, k, exact), PREFIX_SCHEMA), "prefixes")
     ws.drop("blocks")
     members = rows.filter("token is null").select("doc_id", "digest", "n")
-    postings = ws.write(rows.filter("token is not null").groupBy("token", "digest").agg(F.first("n").alias("n"), F.first("pos").alias("pos"), F.first("bins").alias("bins")), "postings")
+    postings = ws.write(rows.filter("token is not null").groupBy("token", "digest").agg(*(F.first(c).alias(c) for c in ("n", "shared", "pos", "met"))), "postings")
     texts = ws.write(rows.filter("body is not null").groupBy("digest").agg(F.first("body").alias("body")), "texts")
     links, tested, roots = None, None, None
     for r in range(rounds + 1):
         own = postings if roots is None else postings.join(roots, postings.digest == roots.node, "left")
-        own = own.select("token", "digest", "n", "pos", "bins", (F.col("digest") if roots is None else F.coalesce("root", "digest")).alias("root"))
+        own = own.select("token", "digest", "n", "shared", "pos", "met", (F.col("digest") if roots is None else F.coalesce("root", "digest")).alias("root"))
         by_root = own.groupBy("token", "root").agg(F.count("*").alias("m"))
         open_tokens = by_root.groupBy("token").agg(F.sum("m").alias("all"), F.sum(F.col("m").cast("double") * F.col("m")).alias("within")).filter("all * all > within")
         left = open_tokens.agg(F.count("*").alias("tokens"), F.sum(F.col("all").cast("double") * F.col("all") - F.col("within")).alias("pairs"), F.sum("all").alias("rows")).first()
         if not left.tokens:
             break
         still = ws.write(own.join(open_tokens.select("token"), "token", "left_semi"), f"open-{r}")
-        if r < rounds and left.pairs > 6 * left.rows:
+        if r < rounds and left.pairs > 2 * left.rows:
             order = F.xxhash64("digest", F.lit(r))
-            hubs = still.groupBy("token").agg(F.min(F.struct(order.alias("o"), "digest", "n", "pos", "bins", "root")).alias("h")).select("token", "h.*")
+            hubs = still.groupBy("token").agg(F.min(F.struct(order.alias("o"), "digest", "n", "shared", "pos", "met", "root")).alias("h")).select("token", "h.*")
             met = still.alias("x").join(hubs.alias("y"), "token").filter(F.col("x.root") != F.col("y.root")).filter(_may_link(exact, "x", "y"))
-            met = met.select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b"), F.col("x.digest").alias("asks"))
-            if tested is not None:
-                met = met.join(tested, ["a", "b"], "left_anti")
-            pairs = met.groupBy("asks", "a", "b").agg(F.count("*").alias("c")).groupBy("asks").agg(F.max_by(F.struct("a", "b"), F.struct("c", "a", "b")).alias("p")).select("p.*").distinct()
+            met = met.select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b"))
             last = False
         else:
             sides = by_root.join(open_tokens.select("token"), "token", "left_semi").select("token", "root")
             cross = sides.withColumnRenamed("root", "rx").join(sides.withColumnRenamed("root", "ry"), "token").filter("rx < ry")
             met = still.alias("x").join(cross, (F.col("x.token") == cross.token) & (F.col("x.root") == cross.rx)).drop(cross.token)
             met = met.select(F.struct("x.*").alias("x"), "ry").alias("m").join(still.alias("y"), (F.col("m.x.token") == F.col("y.token")) & (F.col("m.ry") == F.col("y.root"))).select("x", F.struct("y.*").alias("y"))
-            pairs = met.filter(_may_link(exact, "x", "y")).select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b")).distinct()
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            met = met.filter(_may_link(exact, "x", "y")).select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b"))
             last = True
+        pairs = met.distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         with_a = pairs.join(texts.select(F.col("digest").alias("a"), F.col("body").alias("body_a")), "a")
         with_b = with_a.join(texts.select(F.col("digest").alias("b"), F.col("body").alias("body_b")), "b")
         told = ws.write(with_b.select("a", "b", "body_a", "body_b").mapInArrow(_verify(k, exact), "a binary, b binary, linked boolean"), f"tested-{r}")
