@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docloom.llm.bpe import encode_documents
+from docloom.llm.fingerprints import fingerprint_documents
 from docloom.llm.fm_index import find_contamination
 from docloom.llm.ngram_join import jaccard_groups
 from docloom.llm.token_counts import count_tokens
+from docloom.llm.url_lists import filter_captures, host_of
 from docloom.llm.workspace import Workspace
 
 try:
@@ -40,11 +43,84 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans", "item_ids")
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def _digest_number(text: str, start: int, digits: int) -> str:
+    return f"cast(conv(substr(md5({text}), {start}, {digits}), 16, 10) as bigint)"
+
+
+def captures_of(pages: DataFrame) -> DataFrame:
+    """The tables hold no fetch dates: each URL's is drawn from its MD5, within four years from 2020-01-01."""
+    return pages.select("page_id", "url", F.expr(f"date_add(date'2020-01-01', cast({_digest_number('url', 1, 6)} % 1461 as int))").alias("fetch_date"))
+
+
+def entries_of(pages: DataFrame) -> DataFrame:
+    """The tables hold no lists: hosts enter and leave a block and an allow list at dates drawn from their MD5.
+
+    About six of sixteen hosts are listed, a quarter of these by their parent domain.
+    """
+    hosts = pages.select(host_of(F.col("url")).alias("host")).dropna().distinct()
+    drawn = hosts.selectExpr(
+        "case when substr(md5(host), 2, 1) < '4' and size(split(host, '[.]')) > 3 then regexp_extract(host, '^[^.]+[.](.+)$', 1) else host end as pattern",
+        "case when substr(md5(host), 3, 1) < '3' then 'allow' else 'block' end as list_name",
+        f"{_digest_number('host', 4, 5)} % 1200 as first_day",
+        f"1 + {_digest_number('host', 9, 5)} % 500 as days",
+        "substr(md5(host), 14, 1) < '8' as comes_back",
+        "substr(md5(host), 1, 1) < '6' as listed",
+    ).filter("listed")
+    day = lambda n: F.expr(f"date_add(date'2020-01-01', cast({n} as int))")
+    added = drawn.select("list_name", "pattern", F.lit("add").alias("action"), day("first_day").alias("entry_date"))
+    removed = drawn.select("list_name", "pattern", F.lit("remove").alias("action"), day("first_day + days").alias("entry_date"))
+    again = drawn.filter("comes_back").select("list_name", "pattern", F.lit("add").alias("action"), day("first_day + 2 * days").alias("entry_date"))
+    return added.unionByName(removed).unionByName(again)
+
+
+def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_captures(captures_of(pages), entries_of(pages))
+
+
+_OP10_SQL = """
+with seen as (
+  select page_id, nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '[.]+$', ''), '') as host,
+         cast(date '2020-01-01' + cast(cast('0x' || substr(md5(url), 1, 6) as bigint) % 1461 as integer) as date) as fetch_date
+  from pages),
+hosts as (select distinct host from seen where host is not null),
+drawn as (
+  select case when substr(md5(host), 2, 1) < '4' and len(string_split(host, '.')) > 3 then regexp_extract(host, '^[^.]+[.](.+)$', 1) else host end as pattern,
+         case when substr(md5(host), 3, 1) < '3' then 'allow' else 'block' end as list_name,
+         cast('0x' || substr(md5(host), 4, 5) as bigint) % 1200 as first_day,
+         1 + cast('0x' || substr(md5(host), 9, 5) as bigint) % 500 as days,
+         substr(md5(host), 14, 1) < '8' as comes_back
+  from hosts where substr(md5(host), 1, 1) < '6'),
+entries as (
+  select list_name, pattern, 0 as ends, first_day as day from drawn
+  union all select list_name, pattern, 1, first_day + days from drawn
+  union all select list_name, pattern, 0, first_day + 2 * days from drawn where comes_back),
+daily as (select list_name, pattern, cast(date '2020-01-01' + cast(day as integer) as date) as valid_from, max(ends) as ends from entries group by all),
+valid as (
+  select list_name, pattern, valid_from, valid_to from (
+    select *, lead(valid_from) over (partition by list_name, pattern order by valid_from) as valid_to from daily) where ends = 0),
+met as (
+  select s.host, s.fetch_date, v.pattern, v.list_name, row_number() over (partition by s.host, s.fetch_date order by length(v.pattern) desc, v.list_name = 'allow' desc) as r,
+         count(*) over (partition by s.host, s.fetch_date) as n_active
+  from (select distinct host, fetch_date from seen) s join valid v
+    on (s.host = v.pattern or ends_with(s.host, '.' || v.pattern)) and s.fetch_date >= v.valid_from and (v.valid_to is null or s.fetch_date < v.valid_to))
+select page_id, seen.host, seen.fetch_date, coalesce(n_active, 0) as n_active, pattern, list_name, coalesce(list_name <> 'allow', false) as blocked
+from seen left join met on seen.host = met.host and seen.fetch_date = met.fetch_date and r = 1
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_url_lists": op10_url_lists,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_url_lists": _OP10_SQL,
+}
