@@ -11,6 +11,7 @@ from docloom.llm.bpe import encode_documents
 from docloom.llm.fingerprints import fingerprint_documents
 from docloom.llm.fm_index import find_contamination
 from docloom.llm.ngram_join import jaccard_groups
+from docloom.llm.pii import replace_entities
 from docloom.llm.token_counts import count_tokens
 from docloom.llm.url_lists import filter_captures, host_of
 from docloom.llm.workspace import Workspace
@@ -25,6 +26,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The key of the registered queries; a production run passes its own secret.
+DEMO_KEY = "docloom-demonstration-key"
+
+
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(_table(spark, sf_dir, "documents").select("doc_id", "text"), key=DEMO_KEY)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = encode_documents(_table(spark, sf_dir, "documents"), ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN, keep_ids=False)
     return rows.drop("ids")
@@ -113,6 +122,7 @@ from seen left join met on seen.host = met.host and seen.fetch_date = met.fetch_
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
