@@ -13,6 +13,7 @@ from docloom.llm.fm_index import find_contamination
 from docloom.llm.ngram_join import jaccard_groups
 from docloom.llm.pii import replace_entities
 from docloom.llm.token_counts import count_tokens
+from docloom.llm.toxicity import score_documents
 from docloom.llm.url_lists import filter_captures, host_of
 from docloom.llm.workspace import Workspace
 
@@ -39,6 +40,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("ids")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = Workspace(spark, "token-counts").path("cache")
     return count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path=public_tokenizers.path("byte_bpe_50k.json"), cache_path=cache)
@@ -124,6 +129,7 @@ from seen left join met on seen.host = met.host and seen.fetch_date = met.fetch_
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_toxicity": op4_toxicity,
     "op5_token_counts": op5_token_counts,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
