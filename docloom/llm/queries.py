@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docloom.llm.bpe import encode_documents
 from docloom.llm.fingerprints import fingerprint_documents
 from docloom.llm.fm_index import find_contamination
+from docloom.llm import kneser_ney
 from docloom.llm.ngram_join import jaccard_groups
 from docloom.llm.pii import replace_entities
 from docloom.llm.token_counts import count_tokens
@@ -49,6 +50,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path=public_tokenizers.path("byte_bpe_50k.json"), cache_path=cache)
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), k=4, threshold=0.85)
 
@@ -131,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_toxicity": op4_toxicity,
     "op5_token_counts": op5_token_counts,
+    "op6_kneser_ney": op6_kneser_ney,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_fingerprints": op9_fingerprints,
