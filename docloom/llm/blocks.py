@@ -65,13 +65,13 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _pack_rows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+def _pack_rows(batches: Iterator[pa.RecordBatch], limit: int, group: int) -> Iterator[pa.RecordBatch]:
     part, seq = TaskContext.get().partitionId(), 0
     ids, lengths, bodies, size = [], [], [], 0
 
     def flush() -> pa.RecordBatch:
         body = zstandard.ZstdCompressor(level=1).compress(b"".join(bodies))
-        row = [[(part << 32) + seq], pa.array([pa.concat_arrays(ids)], type=pa.list_(pa.int64())), [A.pack(np.concatenate(lengths))], [body], [size]]
+        row = [[(group << 48) + (part << 24) + seq], pa.array([pa.concat_arrays(ids)], type=pa.list_(pa.int64())), [A.pack(np.concatenate(lengths))], [body], [size]]
         return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in row], ["block", "ids", "lengths", "body", "n_bytes"])
 
     for batch in batches:
@@ -94,15 +94,15 @@ def _pack_rows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Rec
         yield flush()
 
 
-def write_blocks(docs: DataFrame, ws: Workspace, table: str, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def write_blocks(docs: DataFrame, ws: Workspace, table: str, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, group: int = 0) -> DataFrame:
     """Pack (id, text) in blocks of about block_bytes; a longer text is a block of its own.
 
     The table is written, so that the numbers of the blocks and their contents are fixed
-    for all later passes, whatever tasks are run again.
+    for all later passes, whatever tasks are run again. group is part of the numbers.
     """
     ensure_importable(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
-    return ws.write(rows.mapInArrow(lambda b: _pack_rows(b, block_bytes), BLOCK_SCHEMA), table)
+    return ws.write(rows.mapInArrow(lambda b: _pack_rows(b, block_bytes, group), BLOCK_SCHEMA), table)
 
 
 def corpus_bytes(blocks: DataFrame) -> int:

@@ -13,6 +13,7 @@ from docloom.llm.fm_index import find_contamination
 from docloom.llm import kneser_ney
 from docloom.llm.ngram_join import jaccard_groups
 from docloom.llm.pii import replace_entities
+from docloom.llm.substring_dedup import remove_repeats
 from docloom.llm.token_counts import count_tokens
 from docloom.llm.toxicity import score_documents
 from docloom.llm.url_lists import filter_captures, host_of
@@ -36,6 +37,10 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_entities(_table(spark, sf_dir, "documents").select("doc_id", "text"), key=DEMO_KEY)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = encode_documents(_table(spark, sf_dir, "documents"), ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN, keep_ids=False)
     return rows.drop("ids")
@@ -133,6 +138,7 @@ from seen left join met on seen.host = met.host and seen.fetch_date = met.fetch_
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": op1_pii_surrogates,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_toxicity": op4_toxicity,
     "op5_token_counts": op5_token_counts,

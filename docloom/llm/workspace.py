@@ -24,10 +24,17 @@ def shared_folder(spark: SparkSession) -> str:
 class Workspace:
     """One operator call's own folder of intermediate tables."""
 
-    def __init__(self, spark: SparkSession, name: str) -> None:
+    def __init__(self, spark: SparkSession, name: str, root: str | None = None) -> None:
         self.spark = spark
-        self.root = f"{shared_folder(spark)}/docloom-{name}-{uuid.uuid4().hex}"
-        atexit.register(self._remove)
+        self.root = root or f"{shared_folder(spark)}/docloom-{name}-{uuid.uuid4().hex}"
+        if root is None:
+            atexit.register(self._remove)
+
+    def tables(self, folder: str) -> list[str]:
+        """Names in a folder of the workspace, sorted; none if there is no such folder."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(folder))
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return sorted(x.getPath().getName() for x in files.listStatus(path)) if files.exists(path) else []
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -44,6 +51,15 @@ class Workspace:
         path = jvm.org.apache.hadoop.fs.Path(self.path(table) if table else self.root)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def move(self, source: str, target: str) -> None:
+        """Rename a finished table: it appears whole or not at all."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = lambda x: jvm.org.apache.hadoop.fs.Path(self.path(x))
+        files = path(target).getFileSystem(conf)
+        files.mkdirs(path(target).getParent())
+        if not files.rename(path(source), path(target)):
+            raise OSError(f"cannot move {source} to {target}")
+
     def _remove(self) -> None:
         try:
             if self.spark.sparkContext._jsc is not None:
