@@ -51,20 +51,33 @@ def tokens_of(block: B.Block, order: int) -> Tokens:
     return Tokens(out, doc, real)
 
 
-def gram_keys(t: Tokens, n: int, bits: int) -> np.ndarray:
-    """Key of the n-gram that ends at each real token, cut to so many bits; n = 0 gives one key for all."""
-    at = np.flatnonzero(t.real)
-    if n == 0:
-        return np.zeros(len(at), dtype=A.U)
-    return A.grams(t.hashes, n, salt=n)[at - n + 1] >> A.U(64 - bits)
-
-
-def context_keys(t: Tokens, n: int, bits: int) -> np.ndarray:
-    """Key of the n words before each real token, as the n-gram that they are."""
-    at = np.flatnonzero(t.real)
-    if n == 0:
-        return np.zeros(len(at), dtype=A.U)
-    return A.grams(t.hashes, n, salt=n)[at - n] >> A.U(64 - bits)
+@dataclass
+class Round:
+    """The distinct n-grams of a block, and for each real token the place of the n-gram that
+    ends at it and of that before it (its context of n words)."""
+
+    keys: np.ndarray
+    gram: np.ndarray
+    context: np.ndarray
+
+    def first_token(self) -> np.ndarray:
+        """A token that ends each n-gram (0 for those that are contexts only)."""
+        out = np.zeros(len(self.keys), dtype=np.int64)
+        out[self.gram] = np.arange(len(self.gram))
+        return out
+
+
+def round_of(t: Tokens, n: int, order: int, bits: int) -> Round:
+    """Below the highest order, n-grams that end at the last START are contexts too."""
+    ends = t.real.copy()
+    if n < order:
+        ends[:-1] |= t.real[1:]
+    at = np.flatnonzero(ends)
+    keys, place = np.unique(A.grams(t.hashes, n, salt=n)[at - n + 1] >> A.U(64 - bits), return_inverse=True)
+    where = np.zeros(len(t.hashes), dtype=np.int64)
+    where[at] = place
+    real = np.flatnonzero(t.real)
+    return Round(keys, where[real], where[real - 1] if n < order else where[:0])
 
 
 def _pack_columns(values: np.ndarray) -> bytes:
@@ -166,62 +179,48 @@ def _message(order: int, n: int, bits: int, folds: int, fold: int):
     def make(block: B.Block, replies: list):
         t = tokens_of(block, order)
         train = ~_held(block.ids, folds, fold)[t.doc[t.real]]
-        keys = gram_keys(t, n, bits)
+        now = round_of(t, n, order, bits)
+        count_of = lambda places: np.bincount(places, minlength=len(now.keys))
         if n == order:
-            found, raw = A.sum_by_key(keys, train.astype(np.int64))
-            columns = [raw]
+            columns = [count_of(now.gram[train])]
         else:
-            above, at = np.unique(gram_keys(t, n + 1, bits), return_index=True)
+            above = round_of(t, n + 1, order, bits)
             got = _joined(replies[order - n - 1])
-            spot = np.searchsorted(_round_keys(t, n + 1, order, bits), above)
-            count = got[0][spot]
-            own = got[-1][spot].astype(bool) & (count > 0)
+            own = got[-1].astype(bool) & (got[0] > 0)
             # each owned (n + 1)-gram continues its last n words and follows its first n
-            before = context_keys(t, n, bits)
-            cont, ctx, c = keys[at][own], before[at][own], count[own]
-            all_keys = np.concatenate([keys, before, cont, ctx])
-            a, b = len(keys) + len(before), len(cont)
-            column = lambda cont_value, ctx_value: np.concatenate([np.zeros(a, dtype=np.int64), np.full(b, cont_value, dtype=np.int64), ctx_value.astype(np.int64)])
-            columns = [column(1, np.zeros(b)), column(0, c == 1), column(0, c == 2), column(0, c >= 3), column(0, c)]
-            if n == 1:
-                columns.append(np.concatenate([train.astype(np.int64), np.zeros(len(before) + 2 * b, dtype=np.int64)]))
-            found, *columns = A.sum_by_key(all_keys, *columns)
+            token, c = above.first_token()[own], got[0][own]
+            before = now.context[token]
+            columns = [count_of(now.gram[token]), count_of(before[c == 1]), count_of(before[c == 2]), count_of(before[c >= 3])]
+            columns.append(np.rint(np.bincount(before, c, len(now.keys))).astype(np.int64))
+        if n == 1 and order > 1:
+            columns.append(count_of(now.gram[train]))
         values = np.stack(columns, axis=1)
-        return found, lambda x, y: _pack_columns(values[x:y])
+        return now.keys, lambda x, y: _pack_columns(values[x:y])
 
     return make
 
 
-def _round_keys(t: Tokens, n: int, order: int, bits: int) -> np.ndarray:
-    """The distinct keys of a round in a block, as _message() has them."""
-    keys = gram_keys(t, n, bits)
-    if n == order:
-        return np.unique(keys)
-    return np.unique(np.concatenate([keys, context_keys(t, n, bits)]))
-
-
 def _score(order: int, bits: int, folds: int, fold: int, known: dict):
     def make(block: B.Block, replies: list) -> pa.RecordBatch:
         t = tokens_of(block, order)
         doc = t.doc[t.real]
         p = np.full(len(doc), 1.0 / (known["vocabulary"] + 1))
-        raw = None
+        raw = below = low = None
         for n in range(1, order + 1):
-            got = _joined(replies[order - n])
-            at = np.searchsorted(_round_keys(t, n, order, bits), gram_keys(t, n, bits))
-            counts = got[0][at]
+            now, got = round_of(t, n, order, bits), _joined(replies[order - n])
+            counts = got[0][now.gram]
+            d = known["discounts"][n].values
             if n == 1:
-                raw = got[5][at]
-                total, n1, n2, n3 = (np.full(len(doc), x) for x in known["unigrams"])
+                raw = got[-2][now.gram]
+                total, n1, n2, n3 = known["unigrams"]
+                seen = np.full(len(doc), total > 0)
+                safe, spare = max(total, 1), (d[0] * n1 + d[1] * n2 + d[2] * n3) / max(total, 1)
             else:
-                low = _joined(replies[order - n + 1])
-                up = np.searchsorted(_round_keys(t, n - 1, order, bits), context_keys(t, n - 1, bits))
-                n1, n2, n3, total = (low[c][up] for c in (1, 2, 3, 4))
-            d = known["discounts"][n]
-            seen = total > 0
-            safe = np.where(seen, total, 1)
-            spare = (d.values[0] * n1 + d.values[1] * n2 + d.values[2] * n3) / safe
-            p = np.where(seen, np.maximum(counts - d.of(counts), 0) / safe + spare * p, p)
+                total = low[4]
+                shares = (d[0] * low[1] + d[1] * low[2] + d[2] * low[3]) / np.maximum(total, 1)
+                seen, safe, spare = (total > 0)[below.context], np.maximum(total, 1)[below.context], shares[below.context]
+            p = np.where(seen, np.maximum(counts - known["discounts"][n].of(counts), 0) / safe + spare * p, p)
+            below, low = now, got
         size = len(block.ids)
         by_doc = lambda x: np.bincount(doc, x, size)
         base = np.log10((raw + 1.0) / (known["tokens"] + (known["vocabulary"] + 1)))
