@@ -19,7 +19,12 @@ from docloom.llm.workspace import Workspace
 
 #: Text bytes whose sets are in memory together while pairs are verified.
 VERIFY_BYTES = 2 << 20
-PREFIX_SCHEMA = "doc_id bigint, digest binary, n int, shared int, token bigint, pos int, met int, body binary"
+#: Postings of a token that are compared with as many others at a time.
+UNIT_ROWS = 512
+#: Bits of a class's parity bitmap: each shingle flips one, so that two bitmaps differ in no more bits than the sets in shingles.
+MAP_BITS = 1024
+UNIT_COLUMNS = ("token", "i", "j", "digest", "own", "n", "shared", "pos", "met", "root", "bitmap")
+PREFIX_SCHEMA = "doc_id bigint, digest binary, n int, shared int, token bigint, pos int, met int, body binary, bitmap binary"
 
 
 def shingle_sets(block: B.Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,13 +82,14 @@ def _prefixes(bits: int, k: int, threshold: Fraction):
         shared = np.where(n > 0, shared, 0).astype(np.int32)
         prefix = n - (p * n + q - 1) // q + 1
         zip_text = zstandard.ZstdCompressor(level=1).compress
-        digests, bodies, owner, tokens, places, met = [], [], [], [], [], []
+        digests, bodies, maps, owner, tokens, places, met = [], [], [], [], [], [], []
         for d, (a, b) in enumerate(zip(first.tolist(), first[1:].tolist())):
             digests.append(xxhash.xxh3_128_digest(hashes[a:b].tobytes()) if b > a else None)
             own = np.zeros(0, dtype=np.int64)
             if b > a and (n[d] - shared[d] < prefix[d]):
                 own = np.argsort(df[a:b], kind="stable")[n[d] - shared[d] : prefix[d]]
             bodies.append(zip_text(block.buf[block.offsets[d] : block.offsets[d + 1]].tobytes()) if len(own) else None)
+            maps.append(np.packbits(np.bincount((hashes[a:b] & A.U(MAP_BITS - 1)).astype(np.int64), minlength=MAP_BITS) & 1).tobytes() if len(own) else None)
             owner.append(np.full(len(own), d))
             tokens.append(hashes[a:b][own])
             places.append(np.arange(n[d] - shared[d], n[d] - shared[d] + len(own)))
@@ -101,8 +107,9 @@ def _prefixes(bits: int, k: int, threshold: Fraction):
                 pa.array(flat(places, np.int32)),
                 pa.array(flat(met, np.int32)),
                 pa.array(bodies + [None] * (len(owner) - extra), type=pa.binary()),
+                pa.array(maps + [None] * (len(owner) - extra), type=pa.binary()),
             ],
-            ["doc_id", "digest", "n", "shared", "token", "pos", "met", "body"],
+            ["doc_id", "digest", "n", "shared", "token", "pos", "met", "body", "bitmap"],
         )
 
     return make
@@ -192,7 +199,75 @@ def _may_link(threshold: Fraction, x: str, y: str):
     return (F.least(nx, ny) * q >= F.greatest(nx, ny) * p) & first & (most >= need)
 
 
-def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8, rounds: int = 4) -> DataFrame:
+def _unit_pairs(rows: dict[str, np.ndarray], threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of one unit that differ in their roots and pass all filters of _may_link() and the bitmap filter."""
+    own, same = rows["own"], rows["i"][0] == rows["j"][0]
+    left = np.flatnonzero(own == rows["i"][0])
+    right = left if same else np.flatnonzero(own == rows["j"][0])
+    p, q = threshold.numerator, threshold.denominator
+    get = lambda c: (rows[c][left][:, None], rows[c][right][None, :])
+    (nx, ny), (px, py), (mx, my), (sx, sy), (rx, ry) = get("n"), get("pos"), get("met"), get("shared"), get("root")
+    need = _need(nx, ny, threshold)
+    alone = lambda n: n - (2 * p * n + p + q - 1) // (p + q) + 1
+    dx, dy = get("digest")
+    smaller = (nx < ny) | ((nx == ny) & (dx < dy))
+    most = np.minimum(np.minimum(mx, my) + 1 + np.minimum(nx - px - 1, ny - py - 1), np.minimum(sx, sy))
+    ok = (rx != ry) & (np.minimum(nx, ny) * q >= np.maximum(nx, ny) * p) & (most >= need) & np.where(smaller, px < alone(nx), py < alone(ny))
+    if same:
+        ok &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
+    a, b = np.nonzero(ok)
+    limit = (nx + ny - 2 * need)[a, b]
+    a, b = left[a], right[b]
+    keep = np.zeros(len(a), dtype=bool)
+    for at in range(0, len(a), 1 << 15):
+        part = slice(at, at + (1 << 15))
+        keep[part] = np.bitwise_count(rows["bitmap"][a[part]] ^ rows["bitmap"][b[part]]).sum(axis=1) <= limit[part]
+    return a[keep], b[keep]
+
+
+def _compare_units(threshold: Fraction):
+    """Over rows sorted by unit: the pairs of each unit that need a test."""
+
+    def arrays(table: pa.Table) -> dict[str, np.ndarray]:
+        out = {c: table[c].to_numpy() for c in ("token", "i", "j", "own", "n", "shared", "pos", "met")}
+        names: dict[bytes, int] = {}
+        out["root"] = np.array([names.setdefault(x, len(names)) for x in table["root"].to_pylist()], dtype=np.int64)
+        out["names"] = table["digest"].to_pylist()
+        rank = {d: i for i, d in enumerate(sorted(set(out["names"])))}
+        out["digest"] = np.array([rank[d] for d in out["names"]], dtype=np.int64)
+        out["bitmap"] = np.frombuffer(b"".join(table["bitmap"].to_pylist()), dtype=np.uint64).reshape(-1, MAP_BITS // 64)
+        return out | {c: out[c].astype(np.int64) for c in ("n", "shared", "pos", "met")}
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        x = arrays(table)
+        new = np.r_[True, (x["token"][1:] != x["token"][:-1]) | (x["i"][1:] != x["i"][:-1]) | (x["j"][1:] != x["j"][:-1])]
+        cuts = np.r_[np.flatnonzero(new), len(new)]
+        found = set()
+        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+            if b - a > 1:
+                l, r = _unit_pairs({c: v[a:b] for c, v in x.items() if c != "names"}, threshold)
+                found.update((min(u, v), max(u, v)) for u, v in zip((x["names"][a + i] for i in l.tolist()), (x["names"][a + i] for i in r.tolist())))
+        return pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], type=pa.binary()), pa.array([v for _, v in found], type=pa.binary())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            last = [table[c][-1].as_py() for c in ("token", "i", "j")]
+            at = table.num_rows  # the last unit may go on in the next batch
+            unit = np.logical_and.reduce([table[c].to_numpy() == v for c, v in zip(("token", "i", "j"), last)])
+            at = int(np.flatnonzero(~unit)[-1]) + 1 if not unit.all() else 0
+            if at:
+                yield pairs(table.slice(0, at))
+            rest = table.slice(at)
+        if rest is not None and rest.num_rows:
+            yield pairs(rest)
+
+    return run
+
+
+def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8, rounds: int = 2) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs, by Jaccard links of k-word shingles.
 
     Two rows link where |x & y| >= threshold * |x | y|; component_id is the smallest id
@@ -202,10 +277,11 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
        They set the order of the tokens, rarest first. A frequency of 1 rules a token out.
     2. Rows of equal sets are one class (128-bit digest of the sorted set).
     3. Each class posts its prefix tokens. Within a token, classes are first compared with
-       one class only, and then again under another order, until few pairs of different
-       groups are left; all of these are then compared. Pairs within a group need no test.
-    4. A pair that passes the length, positional and suffix filters is verified once,
-       with both whole texts.
+       one class only, and then again under another order; pairs within a group that has
+       formed need no test. All other pairs are then compared in units of UNIT_ROWS by as
+       many postings, inside which they are arrays and not rows: lengths, index prefixes,
+       positions and a parity bitmap that bounds the difference of the sets.
+    4. A pair that passes is verified once, with both whole texts, after a suffix filter.
 
     Null or empty texts have no shingle, link with nothing and are their own component.
     Rows of one id are separate documents, but equal ids make one node of the result only
@@ -223,7 +299,7 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     ws.drop("blocks")
     members = rows.filter("token is null").select("doc_id", "digest", "n")
     postings = ws.write(rows.filter("token is not null").groupBy("token", "digest").agg(*(F.first(c).alias(c) for c in ("n", "shared", "pos", "met"))), "postings")
-    texts = ws.write(rows.filter("body is not null").groupBy("digest").agg(F.first("body").alias("body")), "texts")
+    texts = ws.write(rows.filter("body is not null").groupBy("digest").agg(F.first("body").alias("body"), F.first("bitmap").alias("bitmap")), "texts")
     links, tested, roots = None, None, None
     for r in range(rounds + 1):
         own = postings if roots is None else postings.join(roots, postings.digest == roots.node, "left")
@@ -233,19 +309,19 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         left = open_tokens.agg(F.count("*").alias("tokens"), F.sum(F.col("all").cast("double") * F.col("all") - F.col("within")).alias("pairs"), F.sum("all").alias("rows")).first()
         if not left.tokens:
             break
-        still = ws.write(own.join(open_tokens.select("token"), "token", "left_semi"), f"open-{r}")
-        if r < rounds and left.pairs > 2 * left.rows:
+        if r < rounds and left.pairs > left.rows:
+            still = ws.write(own.join(open_tokens.select("token"), "token", "left_semi"), f"open-{r}")
             order = F.xxhash64("digest", F.lit(r))
             hubs = still.groupBy("token").agg(F.min(F.struct(order.alias("o"), "digest", "n", "shared", "pos", "met", "root")).alias("h")).select("token", "h.*")
             met = still.alias("x").join(hubs.alias("y"), "token").filter(F.col("x.root") != F.col("y.root")).filter(_may_link(exact, "x", "y"))
             met = met.select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b"))
             last = False
         else:
-            sides = by_root.join(open_tokens.select("token"), "token", "left_semi").select("token", "root")
-            cross = sides.withColumnRenamed("root", "rx").join(sides.withColumnRenamed("root", "ry"), "token").filter("rx < ry")
-            met = still.alias("x").join(cross, (F.col("x.token") == cross.token) & (F.col("x.root") == cross.rx)).drop(cross.token)
-            met = met.select(F.struct("x.*").alias("x"), "ry").alias("m").join(still.alias("y"), (F.col("m.x.token") == F.col("y.token")) & (F.col("m.ry") == F.col("y.root"))).select("x", F.struct("y.*").alias("y"))
-            met = met.filter(_may_link(exact, "x", "y")).select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b"))
+            units = F.ceil(F.col("all") / UNIT_ROWS).cast("int")
+            placed = own.join(open_tokens.select("token", units.alias("units")), "token").join(texts.select("digest", "bitmap"), "digest")
+            placed = placed.withColumn("own", F.pmod(F.xxhash64("digest"), F.col("units")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("units") - 1)))
+            placed = placed.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).select(*UNIT_COLUMNS)
+            met = placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_compare_units(exact), "a binary, b binary")
             last = True
         pairs = met.distinct()
         if tested is not None:
