@@ -9,7 +9,7 @@ U = np.uint64
 #: Multipliers of the two byte polynomials and of the gram combiner; any odd 64-bit numbers do.
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _R = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
-_SPAN = 1 << 20
+_SPAN = 1 << 18
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 #: [\x20\x09-\x0D] parts words in the white-space sense.

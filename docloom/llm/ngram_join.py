@@ -23,8 +23,8 @@ VERIFY_BYTES = 2 << 20
 UNIT_ROWS = 512
 #: Bits of a class's parity bitmap: each shingle flips one, so that two bitmaps differ in no more bits than the sets in shingles.
 MAP_BITS = 1024
-UNIT_COLUMNS = ("token", "i", "j", "digest", "own", "n", "shared", "pos", "met", "root", "bitmap")
-PREFIX_SCHEMA = "doc_id bigint, digest binary, n int, shared int, token bigint, pos int, met int, body binary, bitmap binary"
+UNIT_COLUMNS = ("token", "i", "j", "digest", "own", "n", "shared", "pos", "met", "prev", "root", "bitmap")
+PREFIX_SCHEMA = "doc_id bigint, digest binary, n int, shared int, token bigint, prev bigint, pos int, met int, body binary, bitmap binary"
 
 
 def shingle_sets(block: B.Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,7 +82,7 @@ def _prefixes(bits: int, k: int, threshold: Fraction):
         shared = np.where(n > 0, shared, 0).astype(np.int32)
         prefix = n - (p * n + q - 1) // q + 1
         zip_text = zstandard.ZstdCompressor(level=1).compress
-        digests, bodies, maps, owner, tokens, places, met = [], [], [], [], [], [], []
+        digests, bodies, maps, owner, tokens, before, places, met = [], [], [], [], [], [], [], []
         for d, (a, b) in enumerate(zip(first.tolist(), first[1:].tolist())):
             digests.append(xxhash.xxh3_128_digest(hashes[a:b].tobytes()) if b > a else None)
             own = np.zeros(0, dtype=np.int64)
@@ -92,6 +92,7 @@ def _prefixes(bits: int, k: int, threshold: Fraction):
             maps.append(np.packbits(np.bincount((hashes[a:b] & A.U(MAP_BITS - 1)).astype(np.int64), minlength=MAP_BITS) & 1).tobytes() if len(own) else None)
             owner.append(np.full(len(own), d))
             tokens.append(hashes[a:b][own])
+            before.append(np.r_[A.U(0), hashes[a:b][own][:-1]][: len(own)])
             places.append(np.arange(n[d] - shared[d], n[d] - shared[d] + len(own)))
             met.append(np.arange(len(own)))
         extra = len(n)
@@ -104,12 +105,13 @@ def _prefixes(bits: int, k: int, threshold: Fraction):
                 pa.array(n[owner].astype(np.int32)),
                 pa.array(shared[owner]),
                 pa.array(flat(tokens, A.U).view(np.int64), mask=np.arange(len(owner)) < extra),
+                pa.array(flat(before, A.U).view(np.int64)),
                 pa.array(flat(places, np.int32)),
                 pa.array(flat(met, np.int32)),
                 pa.array(bodies + [None] * (len(owner) - extra), type=pa.binary()),
                 pa.array(maps + [None] * (len(owner) - extra), type=pa.binary()),
             ],
-            ["doc_id", "digest", "n", "shared", "token", "pos", "met", "body", "bitmap"],
+            ["doc_id", "digest", "n", "shared", "token", "prev", "pos", "met", "body", "bitmap"],
         )
 
     return make
@@ -213,6 +215,8 @@ def _unit_pairs(rows: dict[str, np.ndarray], threshold: Fraction) -> tuple[np.nd
     smaller = (nx < ny) | ((nx == ny) & (dx < dy))
     most = np.minimum(np.minimum(mx, my) + 1 + np.minimum(nx - px - 1, ny - py - 1), np.minimum(sx, sy))
     ok = (rx != ry) & (np.minimum(nx, ny) * q >= np.maximum(nx, ny) * p) & (most >= need) & np.where(smaller, px < alone(nx), py < alone(ny))
+    vx, vy = get("prev")
+    ok &= (vx != vy) | (vx == 0)  # else the token before, which both post too, has the pair
     if same:
         ok &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
     a, b = np.nonzero(ok)
@@ -229,7 +233,7 @@ def _compare_units(threshold: Fraction):
     """Over rows sorted by unit: the pairs of each unit that need a test."""
 
     def arrays(table: pa.Table) -> dict[str, np.ndarray]:
-        out = {c: table[c].to_numpy() for c in ("token", "i", "j", "own", "n", "shared", "pos", "met")}
+        out = {c: table[c].to_numpy() for c in ("token", "i", "j", "own", "n", "shared", "pos", "met", "prev")}
         names: dict[bytes, int] = {}
         out["root"] = np.array([names.setdefault(x, len(names)) for x in table["root"].to_pylist()], dtype=np.int64)
         out["names"] = table["digest"].to_pylist()
@@ -298,12 +302,12 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     rows = ws.write(B.each_block(B.with_replies(blocks, replies, "replies0"), _prefixes(bits, k, exact), PREFIX_SCHEMA), "prefixes")
     ws.drop("blocks")
     members = rows.filter("token is null").select("doc_id", "digest", "n")
-    postings = ws.write(rows.filter("token is not null").groupBy("token", "digest").agg(*(F.first(c).alias(c) for c in ("n", "shared", "pos", "met"))), "postings")
+    postings = ws.write(rows.filter("token is not null").groupBy("token", "digest").agg(*(F.first(c).alias(c) for c in ("n", "shared", "pos", "met", "prev"))), "postings")
     texts = ws.write(rows.filter("body is not null").groupBy("digest").agg(F.first("body").alias("body"), F.first("bitmap").alias("bitmap")), "texts")
     links, tested, roots = None, None, None
     for r in range(rounds + 1):
         own = postings if roots is None else postings.join(roots, postings.digest == roots.node, "left")
-        own = own.select("token", "digest", "n", "shared", "pos", "met", (F.col("digest") if roots is None else F.coalesce("root", "digest")).alias("root"))
+        own = own.select("token", "digest", "n", "shared", "pos", "met", "prev", (F.col("digest") if roots is None else F.coalesce("root", "digest")).alias("root"))
         by_root = own.groupBy("token", "root").agg(F.count("*").alias("m"))
         open_tokens = by_root.groupBy("token").agg(F.sum("m").alias("all"), F.sum(F.col("m").cast("double") * F.col("m")).alias("within")).filter("all * all > within")
         left = open_tokens.agg(F.count("*").alias("tokens"), F.sum(F.col("all").cast("double") * F.col("all") - F.col("within")).alias("pairs"), F.sum("all").alias("rows")).first()
