@@ -187,10 +187,10 @@ def replace_entities(docs: DataFrame, *, key: str, id_col: str = "doc_id", text_
     written = names.join(plain, ["kind", "ident"]).select("mention", _written_like(F.col("kind"), F.col("mention"), F.col("plain")).alias("as"))
     lists = ws.write(mentions.join(written, "mention").groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("mention", "as"))).alias("swaps")), "lists")
     hinted = text.isNotNull() & text.rlike(_HINT) & (F.size(F.regexp_extract_all(text, F.lit(f"({_ANY})"), F.lit(1))) > 0)
-    touched = rows.filter(hinted).withColumn("__digest", F.sha2(text, 256)).join(lists, F.col("__digest") == F.col("digest"), "left")
+    touched = rows.filter(hinted).withColumn("__pii_digest", F.sha2(text, 256)).join(lists.select(F.col("digest").alias("__pii_key"), F.col("swaps").alias("__pii_swaps")), F.col("__pii_digest") == F.col("__pii_key"), "left")
     matches = F.regexp_extract_all(text, F.lit(f"({_ANY})"), F.lit(1))
     gaps = F.split(text, _ANY, -1)
-    put = F.transform(matches, lambda m: F.coalesce(F.get(F.map_values(F.map_filter("swaps", lambda k, v: k == m)), F.lit(0)), m))
+    put = F.transform(matches, lambda m: F.coalesce(F.get(F.map_values(F.map_filter("__pii_swaps", lambda k, v: k == m)), F.lit(0)), m))
     joined = F.array_join(F.flatten(F.zip_with(gaps, put, lambda g, s: F.array(g, F.coalesce(s, F.lit(""))))), "")
     done = touched.withColumn("n_entities", F.size(matches).cast("bigint")).withColumn(text_col, joined)
     keep = [*rows.columns, "n_entities"]

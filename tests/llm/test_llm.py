@@ -1,0 +1,242 @@
+"""The operators against plain Python on small tables with nulls, empties, ties, copies and clashing columns."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from docloom.llm import arrays, fingerprints, fm_index, kneser_ney, ngram_join, pii, substring_dedup, token_counts, toxicity, url_lists
+from docloom.llm.bpe import ByteBpe, encode_documents, encode_piece, load_ranks
+
+P = pytest.importorskip("public_tokenizers")
+SCHEMA = "doc_id long, text string, digest string, token string, score double"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, "x", "y", 0.5) for i, t in rows], SCHEMA)
+
+
+def corpus(seed=3):
+    r = random.Random(seed)
+    base = [f"w{r.randint(0, 900)}" for _ in range(120)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(r.randint(0, 7)):
+            w[r.randrange(len(w))] = f"x{r.randint(0, 9999)}"
+        rows.append((500 - i, " ".join(w)))
+    rows += [(900 + i, " ".join(f"q{r.randint(0, 9)}" for _ in range(r.randint(0, 9)))) for i in range(40)]
+    return [*rows, (7, None), (8, ""), (9, "a b"), (10, "A  b\n"), (10, "A  b\n"), (None, "null id"), (11, "long " * 30000)]
+
+
+def test_ngram_join(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "UNIT_ROWS", 8)
+    rows = [(i, t) for i, t in corpus() if i is not None]
+    sets = {}
+    for i, t in rows:
+        w = WORDS.findall((t or "").lower())
+        sets[i] = {tuple(w[j : j + 4]) for j in range(len(w) - 3)} if len(w) >= 4 else ({tuple(w)} if w else set())
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            n = len(sets[a] & sets[b])
+            if a < b and n and 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    got = ngram_join.jaccard_groups(docs_of(spark, corpus()), k=4, threshold=0.85).collect()
+    assert len(got) == len(corpus())
+    assert all((r.n_shingles, r.component_id) == (len(sets[r.doc_id]), find(r.doc_id)) for r in got if r.doc_id is not None)
+
+
+def test_empty_tables(spark):
+    none = docs_of(spark, [])
+    assert ngram_join.jaccard_groups(none).count() == 0
+    assert substring_dedup.remove_repeats(none).count() == 0
+    assert kneser_ney.score_documents(none).count() == 0
+    assert fingerprints.fingerprint_documents(none).count() == 0
+    assert pii.replace_entities(none, key="k").count() == 0
+
+
+@pytest.mark.parametrize("batches", [1, 3])
+def test_substring_dedup(spark, batches):
+    rows = [(i, t) for i, t in corpus() if i is not None]
+    first = {}
+    for i, t in sorted(rows, key=lambda x: x[0]):
+        w = WORDS.findall(t or "")
+        for j in range(len(w) - 19):
+            first.setdefault(tuple(w[j : j + 20]), i)
+    for r in substring_dedup.remove_repeats(docs_of(spark, corpus()), width=20, batches=batches, keep_text=True).collect():
+        if r.doc_id is None:
+            continue
+        w = WORDS.findall(next(t for i, t in rows if i == r.doc_id) or "")
+        gone = {k for j in range(len(w) - 19) if first[tuple(w[j : j + 20])] < r.doc_id for k in range(j, j + 20)}
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        assert (r.n_words, r.n_removed, r.kept, r.kept_sha256) == (len(w), len(gone), kept, hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_bpe(spark):
+    tiktoken = pytest.importorskip("tiktoken")
+    path = P.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = load_ranks(f.read())
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    own, r = ByteBpe(ranks, P.PATTERN), random.Random(1)
+    parts = ["a", "the", " ", "  ", "\n", "é", "日本", "'s", "12", "!", "\x1c", " ", "<|endoftext|>", "x" * 90]
+    for _ in range(500):
+        t = "".join(r.choice(parts) for _ in range(r.randint(0, 25)))
+        ids = own.encode(t)
+        assert list(memoryview(ids).cast("I")) == library.encode_ordinary(t) and own.decode(ids) == t.encode()
+    assert encode_piece(b"ab" * 900, ranks) == library._encode_single_piece(b"ab" * 900)
+    got = {x.doc_id: x for x in encode_documents(docs_of(spark, corpus()), ranks_path=path, pattern=P.PATTERN).collect()}
+    assert got[7].n_tokens == 0 and got[11].n_tokens == len(library.encode_ordinary("long " * 30000))
+
+
+def test_token_cache(spark, tmp_path):
+    path, cache = P.path("byte_bpe_50k.json"), str(tmp_path / "cache")
+    first = token_counts.count_tokens(docs_of(spark, [(1, "a b"), (2, None), (3, "<|endoftext|>")]), tokenizer_path=path, cache_path=cache)
+    assert sorted((r.doc_id, r.n_bytes, r.n_tokens) for r in first.collect()) == [(1, 3, 2), (2, 0, 0), (3, 13, 1)]
+    again = token_counts.count_tokens(docs_of(spark, [(4, "a b"), (5, "new")]), tokenizer_path=path, cache_path=cache)
+    assert again.count() == 2 and spark.read.parquet(f"{cache}/append-*").count() == 4
+    pieces = token_counts.count_tokens(docs_of(spark, [(4, "a b")]), tokenizer_path=P.path("piece_bpe_32k.model"), cache_path=cache)
+    assert pieces.first().n_tokens == 2
+
+
+def test_decontamination(spark):
+    item = " ".join(f"b{i}" for i in range(14))
+    bench = spark.createDataFrame([(1, item), (2, "short one"), (3, None), (4, item)], "item_id long, text string")
+    rows = [(1, "x " + item.upper() + " y"), (2, "a Short, ONE b"), (3, None), (4, "clean"), (5, item + " " + item)]
+    for limit in (1 << 20, 40):  # one block of patterns, and several
+        got = {r.doc_id: r for r in fm_index.find_contamination(docs_of(spark, rows), bench, pattern_bytes=limit).collect()}
+        assert {i: (r.n_words, r.n_hit, r.item_ids) for i, r in got.items()} == {1: (16, 14, [1, 4]), 2: (4, 2, [2]), 3: (0, 0, []), 4: (1, 0, []), 5: (28, 28, [1, 4])}
+        assert got[1].items_sha256 == hashlib.sha256(b"1,4").hexdigest()
+
+
+def test_fingerprints(spark):
+    rows = [(3, "Straße  x"), (1, "STRASSE x"), (2, "ﬁne"), (5, None), (4, "fine "), (None, "last")]
+    got = {r.doc_id: r for r in fingerprints.fingerprint_documents(docs_of(spark, rows)).collect()}
+    assert got[1].fingerprint == got[3].fingerprint and got[2].fingerprint == got[4].fingerprint != got[1].fingerprint
+    assert (got[1].group_doc_id, got[3].group_doc_id, got[4].group_doc_id) == (1, 1, 2)
+    assert got[1].edited_sha256 == hashlib.sha256("STRASﬁne".encode()).hexdigest() and got[5].near_edited == 1.0
+    assert got[None].edited_sha256 == hashlib.sha256(b"laST").hexdigest()
+
+
+def test_pii(spark):
+    rows = [(1, "Mail A.b@x.com, a.b@X.com. Call (858) 555-7260! Mrs Jane Doe 10.0.0.1"), (2, "a.b@x.com 4449105278268429 c.d@x.com"), (3, None), (4, "clean 2001, 12:30")]
+    got = {r.doc_id: r for r in pii.replace_entities(docs_of(spark, rows), key="k").collect()}
+    assert [got[i].n_entities for i in (1, 2, 3, 4)] == [5, 3, 0, 0] and got[3].text is None and got[4].text == rows[3][1]
+    mails = re.findall(r"\S+@\S+\.example", got[1].text + " " + got[2].text)
+    assert len(mails) == 4 and len({m.lower().strip(",.") for m in mails}) == 2
+    assert re.search(r"Mrs [A-Z]\w+a [A-Z]\w+a ", got[1].text) and re.search(r"\(\d{3}\) \d{3}-\d{4}!", got[1].text)
+    card = [int(c) for c in re.search(r"\b\d{16}\b", got[2].text)[0]]
+    assert sum(d if i % 2 else d * 2 - 9 * (d > 4) for i, d in enumerate(card)) % 10 == 0
+    assert not re.search("x.com|7260|Jane|10.0.0.1|8429", got[1].text + got[2].text)
+
+
+def test_surrogates_stay_distinct(spark):
+    rows = [(i, f"{c}{d}@x.com") for i, (c, d) in enumerate((c, d) for c in "abcdefgh" for d in range(10))]
+    texts = [r.text for r in pii.replace_entities(docs_of(spark, rows), key="k").collect()]
+    assert len(set(texts)) == len(rows)
+
+
+def test_toxicity(spark):
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("aeioust") for _ in range(5))
+    rows, labels = [], []
+    for i in range(300):
+        bad = i % 4 == 0
+        w = [word() for _ in range(40)]
+        if bad:
+            w[5] = w[20] = r.choice(["idiot", "zzkwor" + word()])
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(bad)))
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {x.doc_id: x for x in toxicity.score_documents(docs_of(spark, [*rows, (1000, None), (None, "")]), table).collect()}
+    held = [(i, y) for i, y in labels if got[i].held_out]
+    assert sum(got[i].predicted == y for i, y in held) >= 0.95 * len(held) and got[1000].predicted == 0 and not got[None].held_out
+
+
+def brute_scores(rows, order):
+    """Interpolated modified Kneser-Ney from its definition."""
+    texts = {i: [*WORDS.findall((t or "").lower()), "\0end"] for i, t in rows}
+    train = [w for i, w in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts, raw = {n: Counter() for n in range(1, order + 1)}, Counter(x for w in train for x in w)
+    for w in train:
+        padded = ["\0start"] * (order - 1) + w
+        counts[order].update(tuple(padded[i - order + 1 : i + 1]) for i in range(order - 1, len(padded)))
+    for n in range(order - 1, 0, -1):
+        counts[n].update(g[1:] for g in counts[n + 1])
+    cut, ctx = {}, {n: defaultdict(lambda: [0, 0, 0, 0]) for n in counts}
+    for n, own in counts.items():
+        of = Counter(own.values())
+        cut[n] = kneser_ney.discounts(of[1], of[2], of[3], of[4]).values
+        for g, c in own.items():
+            ctx[n][g[:-1]][3] += c
+            ctx[n][g[:-1]][min(c, 3) - 1] += 1
+    kinds, total, out = len(raw), sum(raw.values()), {}
+    for i, w in texts.items():
+        padded, score = ["\0start"] * (order - 1) + w, 0.0
+        for j in range(order - 1, len(padded)):
+            p = 1 / (kinds + 1)
+            for n in range(1, order + 1):
+                g = tuple(padded[j - n + 1 : j + 1])
+                if g[:-1] in ctx[n]:
+                    z, c = ctx[n][g[:-1]], counts[n][g]
+                    p = (max(c - (cut[n][min(c, 3) - 1] if c else 0), 0) + sum(d * k for d, k in zip(cut[n], z)) * p) / z[3]
+            score += math.log10(p)
+        out[i] = (len(w), sum(raw[x] > 0 for x in w), total, sum(math.log10((raw[x] + 1) / (total + kinds + 1)) for x in w), score)
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_kneser_ney(spark, order):
+    rows = [(i, t) for i, t in dict(corpus()).items() if i is not None]
+    got = kneser_ney.score_documents(docs_of(spark, rows), order=order).collect()
+    want = brute_scores(rows, order)
+    assert len(got) == len(want)
+    for r in got:
+        n, known, total, base, score = want[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
+        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
+
+
+def test_url_lists(spark):
+    pages = spark.createDataFrame([(1, "http://m.a.com/x", "2020-01-05"), (2, "http://a.com", "2020-02-05"), (3, "https://b.org:80/", "2020-01-05"), (4, None, "2020-01-05"), (5, "http://ok.a.com", "2020-01-05"), (6, "http://nota.com", "2020-01-05")], "page_id long, url string, fetch_date string")
+    entries = spark.createDataFrame([("block", "a.com", "add", "2020-01-01"), ("block", "a.com", "remove", "2020-02-01"), ("block", "b.org", "add", "2020-01-06"), ("allow", "ok.a.com", "add", "2019-01-01"), ("block", None, "add", "2020-01-01")], "list_name string, pattern string, action string, entry_date string")
+    got = {r.page_id: (r.blocked, r.n_active) for r in url_lists.filter_captures(pages, entries).collect()}
+    assert got == {1: (True, 1), 2: (False, 0), 3: (False, 0), 4: (False, 0), 5: (False, 2), 6: (False, 0)}
+
+
+def test_packing():
+    import numpy as np
+
+    x = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64))
+    assert (arrays.unpack_sorted(arrays.pack_sorted(x)) == x).all() and len(arrays.unpack(arrays.pack(x[:0]))) == 0
+    index = fm_index.FmIndex(np.array([1, 2, 1, 2, 0, 1, 2, 0]), 2)
+    low, high = index.find(np.array([[1, 2], [2, 1], [2, 2]]))
+    assert (high - low).tolist() == [3, 1, 0] and sorted(index.places(np.arange(low[0], high[0])).tolist()) == [0, 2, 5]
+
+
+def test_pipeline_stages(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rows = [(i, f"{t} end {i}" if i and i > 900 else t, "en", "s", len(t or "")) for i, t in corpus()]
+    rows += [(2001, "b0 b1 b2 b3 b4 b5 b6 b7 b8 b9 b10", "en", "s", 1), (2002, "write to a.b@x.com now", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, " ".join(f"b{i}" for i in range(12)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    stage = dict(pipeline.STAGES)
+    assert stage["decontamination"](spark, docs, str(tmp_path)).filter("doc_id = 2001").count() == 0
+    out = stage["personal_data"](spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and out.filter(F.col("text").contains("x.com")).count() == 0
+    assert stage["near_duplicates"](spark, docs, str(tmp_path)).filter("doc_id < 600 and doc_id > 400").count() < 60
+    assert stage["toxicity"](spark, docs, str(tmp_path)).columns == docs.columns
