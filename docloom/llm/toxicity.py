@@ -31,7 +31,7 @@ MINED_GROUPS = len(PURITY) + 1
 HASH_BITS = 16
 VOTERS = [*LEXICON, *(f"words{i}" for i in range(MINED_GROUPS)), *(f"stems{i}" for i in range(MINED_GROUPS)), "repeated", "masked", "shouting", "threat"]
 #: Rows of labelled documents that the classifier and the mined lexicon may use.
-MOST_ROWS = 20_000
+MOST_ROWS = 6_000
 STEM = 5
 SAMPLE_SCHEMA = "doc_id bigint, votes binary, words binary, stems binary, label int"
 
