@@ -25,9 +25,7 @@ LEXICON = {
     "french": "imbécile connard salaud ordure minable débile crétin abruti",
     "spanish": "estúpido imbécil basura escoria patético asqueroso inútil cabrón",
 }
-#: Shares of toxic rows that part the mined words and stems in groups, one voter each.
-PURITY = (0.92, 0.95, 0.98)
-MINED_GROUPS = len(PURITY) + 1
+MINED_GROUPS = 4
 HASH_BITS = 16
 VOTERS = [*LEXICON, *(f"words{i}" for i in range(MINED_GROUPS)), *(f"stems{i}" for i in range(MINED_GROUPS)), "repeated", "masked", "shouting", "threat"]
 #: Rows of labelled documents that the classifier and the mined lexicon may use.
@@ -140,7 +138,7 @@ def mine(samples: list[tuple[np.ndarray, int]], purity: float = 0.9, chance: flo
     least = max(3, int(np.ceil(np.log(max(len(found), 2) / chance) / -np.log(prior))))
     share = (bad + 0.02) / (n + 1.0)
     keep = np.flatnonzero((bad >= least) & (bad >= purity * n))
-    groups = np.searchsorted(PURITY, share[keep])
+    groups = np.clip(((share[keep] - 0.5) * 2 * MINED_GROUPS).astype(int), 0, MINED_GROUPS - 1)
     return dict(zip(found[keep].tolist(), groups.tolist()))
 
 
