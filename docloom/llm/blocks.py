@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from docloom._ship import ensure_importable
 from docloom.llm import arrays as A
+from docloom.llm.memory import lean
 from docloom.llm.workspace import Workspace
 
 BLOCK_BYTES = 3 << 20
@@ -102,7 +103,7 @@ def write_blocks(docs: DataFrame, ws: Workspace, table: str, id_col: str, text_c
     """
     ensure_importable(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
-    return ws.write(rows.mapInArrow(lambda b: _pack_rows(b, block_bytes, group), BLOCK_SCHEMA), table)
+    return ws.write(rows.mapInArrow(lean(lambda b: _pack_rows(b, block_bytes, group)), BLOCK_SCHEMA), table)
 
 
 def corpus_bytes(blocks: DataFrame) -> int:
@@ -166,7 +167,7 @@ def messages(blocks: DataFrame, make: Callable[[Block, list], tuple[np.ndarray,
                 ["shard", "block", "keys", "extra"],
             )
 
-    return blocks.mapInArrow(run, MESSAGE_SCHEMA)
+    return blocks.mapInArrow(lean(run), MESSAGE_SCHEMA)
 
 
 def replies_at(batch: pa.RecordBatch, i: int) -> list[list[bytes]]:
@@ -192,4 +193,4 @@ def each_block(blocks: DataFrame, make: Callable[[Block, list], pa.RecordBatch |
             if out is not None and out.num_rows:
                 yield out
 
-    return blocks.mapInArrow(run, schema)
+    return blocks.mapInArrow(lean(run), schema)

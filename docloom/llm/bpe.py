@@ -16,9 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom._ship import ensure_importable
+from docloom.llm.memory import trim
 
 #: Entries of a worker's memo of fragments; it is emptied when full, which changes no result.
-MEMO = 400_000
+MEMO = 300_000
+#: Leaves of the trees that are in memory at once.
+TREE_LEAVES = 1 << 16
+#: Rows, and UTF-8 bytes unless a single text has more, that are encoded together.
+STEP_ROWS, STEP_BYTES = 1000, 2 << 20
 #: A single space with no white space on either side: matches of the patterns used here never span its left edge.
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids binary"
@@ -126,52 +131,59 @@ def encode_pieces(pieces: list[bytes], table: PairTable) -> list[np.ndarray]:
     lengths = np.array([len(p) for p in pieces], dtype=np.int64)
     for bits in range(0, 7):
         size = 1 << bits
-        rows = np.flatnonzero((lengths <= size) & (lengths > size // 2))
-        if not len(rows):
-            continue
-        k, n = len(rows), lengths[rows]
-        raw = np.frombuffer(b"".join(pieces[r].ljust(size, b"\0") for r in rows), dtype=np.uint8).reshape(k, size)
-        token = table.single[raw]
-        after = np.tile(np.arange(1, size + 1), (k, 1))
-        before = np.tile(np.arange(-1, size - 1), (k, 1))
-        node = np.full((k, 2 * size), PairTree.NONE, dtype=np.int64)
-        if size > 1:
-            rank = table.of(token[:, :-1], token[:, 1:])
-            rank[np.arange(1, size)[None, :] >= n[:, None]] = -1
-            node[:, size : 2 * size - 1] = np.where(rank >= 0, (rank << bits) | np.arange(size - 1), PairTree.NONE)
-            for i in range(size - 1, 0, -1):
-                node[:, i] = np.minimum(node[:, 2 * i], node[:, 2 * i + 1])
-        alive = np.arange(size)[None, :] < n[:, None]
-        live = np.flatnonzero(node[:, 1] != PairTree.NONE) if size > 1 else np.zeros(0, dtype=np.int64)
-        while len(live):
-            low = node[live, 1]
-            i = low & (size - 1)
-            gone = after[live, i]
-            stop = after[live, gone]
-            token[live, i] = low >> bits
-            alive[live, gone] = False
-            after[live, i] = stop
-            node[live, size + gone] = PairTree.NONE
-            more = stop < n[live]
-            before[live[more], stop[more]] = i[more]
-            rank = np.full(len(live), -1, dtype=np.int64)
-            rank[more] = table.of(token[live[more], i[more]], token[live[more], stop[more]])
-            node[live, size + i] = np.where(rank >= 0, (rank << bits) | i, PairTree.NONE)
-            prev = before[live, i]
-            has = np.flatnonzero(prev >= 0)
-            rank = table.of(token[live[has], prev[has]], token[live[has], i[has]])
-            node[live[has], size + prev[has]] = np.where(rank >= 0, (rank << bits) | prev[has], PairTree.NONE)
-            prev[prev < 0] = i[prev < 0]
-            path = np.stack([gone, i, prev]) + size
-            for _ in range(bits):
-                path >>= 1
-                node[live, path] = np.minimum(node[live, 2 * path], node[live, 2 * path + 1])
-            live = live[node[live, 1] != PairTree.NONE]
-        for x, r in enumerate(rows):
-            out[r] = token[x][alive[x]].astype("<u4")
+        for rows in _parts(np.flatnonzero((lengths <= size) & (lengths > size // 2)), TREE_LEAVES >> bits):
+            _encode_rows(pieces, rows, lengths[rows], bits, table, out)
     return out
 
 
+def _parts(rows: np.ndarray, most: int) -> list[np.ndarray]:
+    return [rows[i : i + most] for i in range(0, len(rows), most)]
+
+
+def _encode_rows(pieces: list[bytes], rows: np.ndarray, n: np.ndarray, bits: int, table: PairTable, out: list) -> None:
+    """encode_pieces() for the pieces at rows, whose lengths n all need trees of 2 ** bits leaves."""
+    size, k = 1 << bits, len(rows)
+    raw = np.frombuffer(b"".join(pieces[r].ljust(size, b"\0") for r in rows), dtype=np.uint8).reshape(k, size)
+    token = table.single[raw]
+    after = np.tile(np.arange(1, size + 1), (k, 1))
+    before = np.tile(np.arange(-1, size - 1), (k, 1))
+    node = np.full((k, 2 * size), PairTree.NONE, dtype=np.int64)
+    if size > 1:
+        rank = table.of(token[:, :-1], token[:, 1:])
+        rank[np.arange(1, size)[None, :] >= n[:, None]] = -1
+        node[:, size : 2 * size - 1] = np.where(rank >= 0, (rank << bits) | np.arange(size - 1), PairTree.NONE)
+        for i in range(size - 1, 0, -1):
+            node[:, i] = np.minimum(node[:, 2 * i], node[:, 2 * i + 1])
+    alive = np.arange(size)[None, :] < n[:, None]
+    live = np.flatnonzero(node[:, 1] != PairTree.NONE) if size > 1 else np.zeros(0, dtype=np.int64)
+    while len(live):
+        low = node[live, 1]
+        i = low & (size - 1)
+        gone = after[live, i]
+        stop = after[live, gone]
+        token[live, i] = low >> bits
+        alive[live, gone] = False
+        after[live, i] = stop
+        node[live, size + gone] = PairTree.NONE
+        more = stop < n[live]
+        before[live[more], stop[more]] = i[more]
+        rank = np.full(len(live), -1, dtype=np.int64)
+        rank[more] = table.of(token[live[more], i[more]], token[live[more], stop[more]])
+        node[live, size + i] = np.where(rank >= 0, (rank << bits) | i, PairTree.NONE)
+        prev = before[live, i]
+        has = np.flatnonzero(prev >= 0)
+        rank = table.of(token[live[has], prev[has]], token[live[has], i[has]])
+        node[live[has], size + prev[has]] = np.where(rank >= 0, (rank << bits) | prev[has], PairTree.NONE)
+        prev[prev < 0] = i[prev < 0]
+        path = np.stack([gone, i, prev]) + size
+        for _ in range(bits):
+            path >>= 1
+            node[live, path] = np.minimum(node[live, 2 * path], node[live, 2 * path + 1])
+        live = live[node[live, 1] != PairTree.NONE]
+    for x, r in enumerate(rows):
+        out[r] = token[x][alive[x]].astype("<u4")
+
+
 class ByteBpe:
     """Encode and decode whole texts; memos keep the ids of pieces and fragments that came before."""
 
@@ -246,6 +258,16 @@ def ship_file(spark: SparkSession, path: str) -> str:
     return name
 
 
+def _steps(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most STEP_ROWS and STEP_BYTES; a longer text has a range of its own."""
+    ends, start = np.cumsum(sizes, dtype=np.int64), 0
+    while start < len(ends):
+        within = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + STEP_BYTES, side="right"))
+        stop = min(max(within, start + 1), start + STEP_ROWS, len(ends))
+        yield start, stop
+        start = stop
+
+
 def encode_documents(docs: DataFrame, *, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each row; ids: little-endian uint32.
 
@@ -261,8 +283,8 @@ def encode_documents(docs: DataFrame, *, ranks_path: str, pattern: str, id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = opened(name, pattern)
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
+            for start, stop in _steps(pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy(zero_copy_only=False)):
+                batch = whole.slice(start, stop - start)
                 n, ids_hash, back_hash, kept = [], [], [], []
                 for ids in bpe.encode_many(pc.fill_null(batch.column(1), "").to_pylist()):
                     n.append(len(ids) // 4)
@@ -270,5 +292,6 @@ def encode_documents(docs: DataFrame, *, ranks_path: str, pattern: str, id_col:
                     back_hash.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
                     kept.append(ids if keep_ids else None)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, type=pa.int64()), pa.array(ids_hash), pa.array(back_hash), pa.array(kept, type=pa.binary())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+            trim()
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)

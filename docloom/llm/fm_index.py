@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom._ship import ensure_importable
+from docloom.llm.memory import lean
 
 SHARD_BYTES = 8 << 20
 PATTERN_BYTES = 32 << 20
@@ -243,4 +244,4 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "
         own = items if n == 1 else items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b)
         blocks.append(spark.sparkContext.broadcast(phrases_of([(r.i, r.t) for r in own.collect()], width)))
     rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string").cast("binary"))
-    return rows.mapInArrow(_scan(blocks, shard_bytes), SCHEMA)
+    return rows.mapInArrow(lean(_scan(blocks, shard_bytes)), SCHEMA)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from docloom.llm import arrays as A
 from docloom.llm import blocks as B
 from docloom.llm.components import components
+from docloom.llm.memory import lean
 from docloom.llm.workspace import Workspace
 
 #: Text bytes whose sets are in memory together while pairs are verified.
@@ -325,14 +326,14 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             placed = own.join(open_tokens.select("token", units.alias("units")), "token").join(texts.select("digest", "bitmap"), "digest")
             placed = placed.withColumn("own", F.pmod(F.xxhash64("digest"), F.col("units")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("units") - 1)))
             placed = placed.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).select(*UNIT_COLUMNS)
-            met = placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_compare_units(exact), "a binary, b binary")
+            met = placed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(lean(_compare_units(exact)), "a binary, b binary")
             last = True
         pairs = met.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         with_a = pairs.join(texts.select(F.col("digest").alias("a"), F.col("body").alias("body_a")), "a")
         with_b = with_a.join(texts.select(F.col("digest").alias("b"), F.col("body").alias("body_b")), "b")
-        told = ws.write(with_b.select("a", "b", "body_a", "body_b").mapInArrow(_verify(k, exact), "a binary, b binary, linked boolean"), f"tested-{r}")
+        told = ws.write(with_b.select("a", "b", "body_a", "body_b").mapInArrow(lean(_verify(k, exact)), "a binary, b binary, linked boolean"), f"tested-{r}")
         tested = told.select("a", "b") if tested is None else tested.unionByName(told.select("a", "b"))
         found = told.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         if found.isEmpty():

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from docloom._ship import ensure_importable
 from docloom.llm import arrays as A
 from docloom.llm import blocks as B
+from docloom.llm.memory import lean
 
 #: Insults, by the voter that looks for them. Fixed starting words; further ones are mined from labelled rows.
 LEXICON = {
@@ -315,13 +316,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label
     known = labels.select(F.col(label_id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
     own = known.join(docs.select(F.col(id_col).cast("bigint").alias("doc_id")).distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(own, "doc_id").select("doc_id", "text", "label")
-    rows = texts.mapInArrow(_sample(base_lexicon()), SAMPLE_SCHEMA).collect()
+    rows = texts.mapInArrow(lean(_sample(base_lexicon())), SAMPLE_SCHEMA).collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
     label = np.array([int(r.label > 0) for r in rows], dtype=np.int64)
     sets = {c: [np.frombuffer(r[c], dtype=A.U) for r in rows] for c in ("words", "stems")}
     found = {c: mine(list(zip(s, label))) for c, s in sets.items()}
     lexicon = base_lexicon(found["words"], found["stems"])
-    patterns = docs.select(F.col(text_col).cast("string")).mapInArrow(_patterns(lexicon), "votes binary, n bigint").groupBy("votes").agg(F.sum("n").alias("n")).collect()
+    patterns = docs.select(F.col(text_col).cast("string")).mapInArrow(lean(_patterns(lexicon)), "votes binary, n bigint").groupBy("votes").agg(F.sum("n").alias("n")).collect()
     votes = np.array([np.frombuffer(r.votes, dtype=np.int8) for r in patterns], dtype=np.int64).reshape(-1, len(VOTERS))
     weight = np.array([r.n for r in patterns], dtype=float)
     order = np.lexsort(votes.T)
@@ -368,4 +369,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     held = F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)) == held_fold, F.lit(False))
     model = spark.sparkContext.broadcast(fit(docs.filter(~held), labels, id_col=id_col, text_col=text_col, label_col=label_col, label_id_col=label_id_col, most_rows=most_rows))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), held.alias("held_out"))
-    return rows.mapInArrow(_score(model, threshold), "doc_id bigint, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(lean(_score(model, threshold)), "doc_id bigint, held_out boolean, score double, predicted int")
