@@ -26,8 +26,9 @@ PATTERNS = {
     "person": rf"(?<![\p{{L}}])(?:{_TITLE})\.?[ ]\p{{Lu}}[\p{{L}}'’-]{{1,30}}(?:[ ]\p{{Lu}}[\p{{L}}'’-]{{1,30}}){{0,2}}",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these has no entity; it isn't searched further.
-_HINT = rf"[0-9]{{2}}|@|(?:{_TITLE})\.?[ ]\p{{Lu}}|[0-9a-f]{{32}}"
+#: A text without any of these has no entity; it isn't searched further. Every match of every pattern holds one of
+#: these: two digits with at most a space, dot or hyphen between them (ip, ssn, phone, card), @, AKIA, 32 hex digits or a title.
+_HINT = rf"[0-9][ .-]?[0-9]|@|AKIA|(?:{_TITLE})\.?[ ]\p{{Lu}}|[0-9a-f]{{32}}"
 ATTEMPTS = 12
 #: Syllables that surrogate names are built from: script, then consonants and vowels.
 _SYLLABLES = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрст", "аеиоу"), "greek": ("βγδζκλμνπρστ", "αεηιο")}
