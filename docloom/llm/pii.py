@@ -148,11 +148,11 @@ def resolve(entities: DataFrame, key: str, ws: Workspace) -> DataFrame:
     """
     tried = lambda df, a: df.withColumn("plain", surrogate(key, F.col("kind"), F.col("ident"), F.col("gender"), a))
     now = ws.write(tried(entities, 0), "surrogates-0")
-    real = entities.select("kind", F.col("ident").alias("plain"))
+    real = entities.select("kind", F.lower("ident").alias("plain"))  # case doesn't tell entities apart
     for attempt in range(1, ATTEMPTS + 1):
         winners = now.groupBy("kind", F.lower("plain").alias("plain")).agg(F.count("*").alias("n"), F.min("ident").alias("first"))
         doubles = now.alias("e").join(winners.filter("n > 1").alias("w"), (F.col("e.kind") == F.col("w.kind")) & (F.lower("e.plain") == F.col("w.plain"))).filter("e.ident <> w.first").select("e.kind", "e.ident")
-        met = now.alias("e").join(real.alias("r"), (F.col("e.kind") == F.col("r.kind")) & (F.col("e.plain") == F.col("r.plain")), "left_semi").select("kind", "ident")
+        met = now.alias("e").join(real.alias("r"), (F.col("e.kind") == F.col("r.kind")) & (F.lower("e.plain") == F.col("r.plain")), "left_semi").select("kind", "ident")
         again = ws.write(doubles.unionByName(met).distinct(), f"again-{attempt}")
         if again.isEmpty():
             return now

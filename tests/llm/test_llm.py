@@ -160,6 +160,13 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(texts)) == len(rows)
 
 
+def test_surrogate_names_meet_no_real_one(spark):
+    told = lambda rows: {r.doc_id: r.text[3:] for r in pii.replace_entities(docs_of(spark, rows), key="k").collect()}
+    planted = told([(1, "Dr Weber")])[1]
+    got = told([(1, "Dr Weber"), (2, f"Dr {planted}")])
+    assert len({x.lower() for x in (*got.values(), "Weber", planted)}) == 4
+
+
 def test_toxicity(spark):
     r = random.Random(2)
     word = lambda: "".join(r.choice("aeioust") for _ in range(5))
