@@ -240,7 +240,7 @@ def _score(order: int, bits: int, folds: int, fold: int, known: dict):
     return make
 
 
-def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 2, folds: int = 7, held_fold: int = 2, ws: Workspace | None = None) -> DataFrame:
+def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 3, folds: int = 7, held_fold: int = 2, ws: Workspace | None = None) -> DataFrame:
     """Log10 probabilities of all rows' texts under a model of the rows that aren't held out.
 
     A row is held out if crc32 of its id as text leaves held_fold on division by folds.

@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.llm import arrays, fingerprints, fm_index, kneser_ney, ngram_join, pii, substring_dedup, token_counts, toxicity, url_lists
+from docloom.llm import arrays, fingerprints, fm_index, kneser_ney, ngram_join, pii, queries, substring_dedup, token_counts, toxicity, url_lists
 from docloom.llm.bpe import ByteBpe, encode_documents, encode_piece, load_ranks
 
 P = pytest.importorskip("public_tokenizers")
@@ -228,6 +228,15 @@ def test_kneser_ney(spark, order):
         assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
 
 
+def test_kneser_ney_query(spark, tmp_path):
+    """The registered query's model has contexts of two words."""
+    rows = [(i, t) for i, t in dict(corpus()).items() if i is not None]
+    docs_of(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute_scores(rows, 3)
+    got = queries.QUERIES["op6_kneser_ney"](spark, str(tmp_path)).collect()
+    assert len(got) == len(want) and all(r.score == pytest.approx(want[r.doc_id][4]) for r in got)
+
+
 def test_url_lists(spark):
     pages = spark.createDataFrame([(1, "http://m.a.com/x", "2020-01-05"), (2, "http://a.com", "2020-02-05"), (3, "https://b.org:80/", "2020-01-05"), (4, None, "2020-01-05"), (5, "http://ok.a.com", "2020-01-05"), (6, "http://nota.com", "2020-01-05")], "page_id long, url string, fetch_date string")
     entries = spark.createDataFrame([("block", "a.com", "add", "2020-01-01"), ("block", "a.com", "remove", "2020-02-01"), ("block", "b.org", "add", "2020-01-06"), ("allow", "ok.a.com", "add", "2019-01-01"), ("block", None, "add", "2020-01-01")], "list_name string, pattern string, action string, entry_date string")
