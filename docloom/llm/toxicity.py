@@ -15,6 +15,7 @@ from docloom._ship import ensure_importable
 from docloom.llm import arrays as A
 from docloom.llm import blocks as B
 from docloom.llm.memory import lean
+from docloom.llm.workspace import Workspace
 
 #: Insults, by the voter that looks for them. Fixed starting words; further ones are mined from labelled rows.
 LEXICON = {
@@ -29,7 +30,7 @@ LEXICON = {
 MINED_GROUPS = 4
 HASH_BITS = 16
 VOTERS = [*LEXICON, *(f"words{i}" for i in range(MINED_GROUPS)), *(f"stems{i}" for i in range(MINED_GROUPS)), "repeated", "masked", "shouting", "threat"]
-#: Rows of labelled documents that the classifier and the mined lexicon may use.
+#: Rows of labelled documents that the classifier is trained on; the lexicon is mined from all.
 MOST_ROWS = 6_000
 STEM = 5
 SAMPLE_SCHEMA = "doc_id bigint, votes binary, words binary, stems binary, label int"
@@ -124,23 +125,20 @@ def _distinct(f: Features, d: int, hashes: np.ndarray) -> np.ndarray:
     return own[own != 0]
 
 
-def mine(samples: list[tuple[np.ndarray, int]], purity: float = 0.9, chance: float = 0.01) -> dict[int, int]:
+def mine(counts: DataFrame, prior: float, purity: float = 0.9, chance: float = 0.01) -> dict[int, int]:
     """Hashes that toxic rows and hardly any other rows have: hash -> group by how sure they are.
 
+    counts has a row (hash, toxic, n) of each distinct hash: toxic rows and all rows that have it.
     A hash needs so many toxic rows that, over all hashes tried, one would have as many by
-    chance alone with no more than the given probability.
+    chance alone with no more than the given probability. Only hashes kept come to the driver.
     """
-    if not samples or not any(y for _, y in samples):
-        return {}
-    prior = float(np.clip(np.mean([y for _, y in samples]), 0.001, 0.5))
-    keys = np.concatenate([k for k, _ in samples])
-    toxic = np.concatenate([np.full(len(k), y) for k, y in samples])
-    found, bad, n = A.sum_by_key(keys, toxic.astype(np.int64), np.ones(len(keys), dtype=np.int64))
-    least = max(3, int(np.ceil(np.log(max(len(found), 2) / chance) / -np.log(prior))))
+    prior = float(np.clip(prior, 0.001, 0.5))
+    least = max(3, int(np.ceil(np.log(max(counts.count(), 2) / chance) / -np.log(prior))))
+    kept = counts.filter((F.col("toxic") >= least) & (F.col("toxic") >= purity * F.col("n"))).toPandas()
+    found, bad, n = (kept[c].to_numpy(dtype=np.int64) for c in ("hash", "toxic", "n"))
     share = (bad + 0.02) / (n + 1.0)
-    keep = np.flatnonzero((bad >= least) & (bad >= purity * n))
-    groups = np.clip(((share[keep] - 0.5) * 2 * MINED_GROUPS).astype(int), 0, MINED_GROUPS - 1)
-    return dict(zip(found[keep].tolist(), groups.tolist()))
+    groups = np.clip(((share - 0.5) * 2 * MINED_GROUPS).astype(int), 0, MINED_GROUPS - 1)
+    return dict(zip(found.view(A.U).tolist(), groups.tolist()))
 
 
 class LabelModel:
@@ -285,6 +283,33 @@ def _sample(lexicon: Lexicon):
     return run
 
 
+#: Kinds of what _tally counts: words and stems by hash, and rows.
+WORD, STEM_KIND, ROW = 0, 1, 2
+
+
+def _tally(lexicon: Lexicon):
+    """(kind, hash, toxic, n): rows with each distinct word and stem, and all rows, toxic ones and both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop, buf, offsets in _texts(batch, 0):
+                f = read(buf, offsets, lexicon)
+                toxic = (batch.column(1).slice(start, stop - start).to_numpy(zero_copy_only=False) > 0).astype(np.int64)
+                for kind, hashes in ((WORD, f.words), (STEM_KIND, f.stems)):
+                    own = [_distinct(f, d, hashes) for d in range(stop - start)]
+                    keys, label = np.concatenate(own), np.repeat(toxic, [len(x) for x in own])
+                    if len(keys):
+                        yield _counted(kind, *A.sum_by_key(keys, label, np.ones(len(keys), dtype=np.int64)))
+                yield _counted(ROW, np.zeros(1, dtype=A.U), toxic.sum(keepdims=True), np.array([stop - start]))
+
+    return run
+
+
+def _counted(kind: int, keys: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    columns = [np.full(len(keys), kind, dtype=np.int32), keys.view(np.int64), toxic.astype(np.int64), n.astype(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["kind", "hash", "toxic", "n"])
+
+
 def _patterns(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,18 +334,26 @@ def _score(model, threshold: float):
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, label_id_col: str, most_rows: int = MOST_ROWS) -> Classifier:
     """Fit on docs (those that may be learnt from) and the labels of some of them.
 
-    At most most_rows labelled documents, the first by a hash of their ids, give the mined
-    lexicon and the classifier's rows; the label model is fitted on the votes of all docs.
+    The lexicon is mined from the counts of all labelled documents. At most most_rows of
+    them, the first by a hash of their ids, are the classifier's rows; the label model is
+    fitted on the votes of all docs.
     """
     ensure_importable(docs.sparkSession)
     known = labels.select(F.col(label_id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
     own = known.join(docs.select(F.col(id_col).cast("bigint").alias("doc_id")).distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(own, "doc_id").select("doc_id", "text", "label")
+    all_texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    ws = Workspace(docs.sparkSession, "toxicity")
+    # one plan at every size: labels grow with the documents, and few of them would be broadcast
+    tally = all_texts.join(known.hint("merge"), "doc_id").select("text", "label").mapInArrow(lean(_tally(base_lexicon())), "kind int, hash bigint, toxic bigint, n bigint")
+    tally = ws.write(tally.groupBy("kind", "hash").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")), "tally")
+    texts = all_texts.join(own, "doc_id").select("doc_id", "text", "label")
     rows = texts.mapInArrow(lean(_sample(base_lexicon())), SAMPLE_SCHEMA).collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
     label = np.array([int(r.label > 0) for r in rows], dtype=np.int64)
     sets = {c: [np.frombuffer(r[c], dtype=A.U) for r in rows] for c in ("words", "stems")}
-    found = {c: mine(list(zip(s, label))) for c, s in sets.items()}
+    all_rows = tally.filter(F.col("kind") == ROW).first()
+    found = {c: mine(tally.filter(F.col("kind") == k), all_rows.toxic / all_rows.n) if all_rows and all_rows.toxic else {} for c, k in (("words", WORD), ("stems", STEM_KIND))}
+    ws.drop()
     lexicon = base_lexicon(found["words"], found["stems"])
     patterns = docs.select(F.col(text_col).cast("string")).mapInArrow(lean(_patterns(lexicon)), "votes binary, n bigint").groupBy("votes").agg(F.sum("n").alias("n")).collect()
     votes = np.array([np.frombuffer(r.votes, dtype=np.int8) for r in patterns], dtype=np.int64).reshape(-1, len(VOTERS))

@@ -184,6 +184,19 @@ def test_toxicity(spark):
     assert sum(got[i].predicted == y for i, y in held) >= 0.95 * len(held) and got[1000].predicted == 0 and not got[None].held_out
 
 
+def test_toxicity_mines_all_labelled_rows(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("aeioust") for _ in range(5))
+    rows = [(i, " ".join([*(word() for _ in range(20)), *(["zzkworra"] if i % 20 == 0 else ["idiot"] if i % 10 == 0 else [])])) for i in range(400)]
+    table = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    fit = lambda n: toxicity.fit(docs_of(spark, rows), table, id_col="doc_id", text_col="text", label_col="toxic", label_id_col="doc_id", most_rows=n)
+    few, all_rows = fit(30), fit(400)
+    rare = arrays.hash_spans(*(lambda b: (b, arrays.np.array([0]), arrays.np.array([8])))(arrays.np.frombuffer(b"zzkworra", dtype=arrays.np.uint8)))
+    for c in ("word_keys", "word_voter", "stem_keys", "stem_voter"):
+        assert getattr(few.lexicon, c).tolist() == getattr(all_rows.lexicon, c).tolist()
+    assert rare[0] in few.lexicon.word_keys
+
+
 def brute_scores(rows, order):
     """Interpolated modified Kneser-Ney from its definition."""
     texts = {i: [*WORDS.findall((t or "").lower()), "\0end"] for i, t in rows}
