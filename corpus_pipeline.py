@@ -1,8 +1,8 @@
 """Documents to token ids in five stages, each an operator of docloom.llm.
 
 Every stage is written as Parquet and read again by the next, so that a lost executor
-costs at most the stage at work. Rows that share an id share their fate; null ids are
-handled as one more id.
+costs at most the stage at work. The stages that drop documents give each row a key of
+its own first, so that rows with null or repeated ids are judged one by one.
 """
 
 from __future__ import annotations
@@ -20,28 +20,41 @@ from docloom.llm.toxicity import score_documents
 from docloom.llm.workspace import Workspace
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the rows of these ids; a null id matches a null id."""
-    gone = ids.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone.gone_id), "left_anti")
+#: The row key within a stage.
+ROW = "__pipeline_row"
+
+
+def _keyed(spark: SparkSession, docs: DataFrame, stage: str) -> DataFrame:
+    """docs with a unique key in ROW, written so that all readers see the same keys."""
+    return Workspace(spark, f"pipeline-{stage}").write(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """rows without those whose key is in the column ROW of gone; the key itself goes too."""
+    return rows.join(gone.select(ROW), ROW, "left_anti").drop(ROW)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _without(docs, score_documents(docs, labels).filter("predicted = 1"))
+    rows = _keyed(spark, docs, "toxicity")
+    return _without(rows, score_documents(rows, labels, row_col=ROW).filter("predicted = 1"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by five-word shingles at 0.8, the smallest id stays."""
-    groups = jaccard_groups(docs, k=5, threshold=0.8)
-    return _without(docs, groups.filter("component_id <> doc_id or doc_id is null and component_id is not null"))
+    """Of each group of documents linked by five-word shingles at 0.8, one row with the smallest id stays."""
+    rows = _keyed(spark, docs, "near-duplicates")
+    groups = jaccard_groups(rows, id_col=ROW, k=5, threshold=0.8).select(F.col("doc_id").alias(ROW), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW)
+    kept = groups.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min(order).getField(ROW).alias(ROW))
+    return rows.join(kept.select(ROW), ROW, "left_semi").drop(ROW)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, find_contamination(docs, benchmark).filter("contaminated"))
+    rows = _keyed(spark, docs, "decontamination")
+    return _without(rows, find_contamination(rows, benchmark, id_col=ROW).filter("contaminated").select(F.col("doc_id").alias(ROW)))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -326,7 +326,7 @@ def _score(model, threshold: float):
         for batch in batches:
             out = [classifier.scores(read(buf, offsets, classifier.lexicon)) for _, _, buf, offsets in _texts(batch, 1)]
             score = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(score), pa.array((score >= threshold).astype(np.int32)), *batch.columns[3:]], ["doc_id", "held_out", "score", "predicted", *batch.schema.names[3:]])
 
     return run
 
@@ -384,8 +384,8 @@ def _recount(rows: list, sets: dict[str, list[np.ndarray]], lexicon: Lexicon) ->
     return counts
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id_col: str = "doc_id", folds: int = 3, held_fold: int = 1, threshold: float = 0.7, most_rows: int = MOST_ROWS) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of each row of docs; 1 is toxic.
+def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id_col: str = "doc_id", folds: int = 3, held_fold: int = 1, threshold: float = 0.7, most_rows: int = MOST_ROWS, row_col: str | None = None) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of each row of docs; 1 is toxic. row_col, a bigint, is kept where given.
 
     Rows whose crc32 of the id as text leaves held_fold on division by folds are held out:
     neither their labels nor their votes are used. Voters look for words of fixed and mined
@@ -401,5 +401,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     ensure_importable(spark)
     held = F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)) == held_fold, F.lit(False))
     model = spark.sparkContext.broadcast(fit(docs.filter(~held), labels, id_col=id_col, text_col=text_col, label_col=label_col, label_id_col=label_id_col, most_rows=most_rows))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), held.alias("held_out"))
-    return rows.mapInArrow(lean(_score(model, threshold)), "doc_id bigint, held_out boolean, score double, predicted int")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), held.alias("held_out"), *([row_col] if row_col else []))
+    return rows.mapInArrow(lean(_score(model, threshold)), "doc_id bigint, held_out boolean, score double, predicted int" + (f", `{row_col}` bigint" if row_col else ""))

@@ -280,3 +280,23 @@ def test_pipeline_stages(spark, tmp_path):
     assert out.columns == docs.columns and out.filter(F.col("text").contains("x.com")).count() == 0
     assert stage["near_duplicates"](spark, docs, str(tmp_path)).filter("doc_id < 600 and doc_id > 400").count() < 60
     assert stage["toxicity"](spark, docs, str(tmp_path)).columns == docs.columns
+
+
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    table = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    left = lambda name, rows: sorted(((r.doc_id, r.text) for r in dict(pipeline.STAGES)[name](spark, table(rows), str(tmp_path)).collect()), key=str)
+    item = " ".join(f"b{i}" for i in range(12))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    r = random.Random(2)
+    words = lambda n: " ".join("".join(r.choice("aeioust") for _ in range(5)) for _ in range(n))
+    known = [(i, words(20) + (" you idiot idiot" if i % 4 == 0 else "")) for i in range(300)]
+    spark.createDataFrame([(i, 0, int(i % 4 == 0)) for i, _ in known], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    clean = [(None, words(20)), (None, words(20)), (900, words(20))]
+    toxic = [(None, words(20) + " you idiot idiot"), (900, words(20) + " you idiot idiot")]
+    got = left("toxicity", known + clean + toxic)
+    assert all(x in got for x in clean) and not any(x in got for x in toxic)
+    assert left("decontamination", [*clean, (None, item), (900, item)]) == sorted(clean, key=str)
+    copy, nulls = words(20), words(20)
+    assert left("near_duplicates", [*clean, (7, copy), (None, copy), (7, copy), (8, copy), (None, nulls), (None, nulls)]) == sorted([*clean, (7, copy), (None, nulls)], key=str)
