@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import xxhash
 import zstandard
 
 U = np.uint64
-#: Multipliers of the two byte polynomials and of the gram combiner; any odd 64-bit numbers do.
-_B1, _B2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+#: Multipliers of the word and gram hashes; any odd 64-bit numbers do.
 _R = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
-_SPAN = 1 << 18
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Keep the first n bytes of eight.
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=U)
+#: Words of more bytes are hashed one by one.
+LONG = 256
 
 #: [\x20\x09-\x0D] parts words in the white-space sense.
 SPACES = np.zeros(256, dtype=bool)
@@ -35,20 +39,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _POWERS.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, _SPAN + 4096)
-        up = np.full(size, base, dtype=U)
-        up[0] = 1
-        down = np.full(size, pow(base, -1, 1 << 64), dtype=U)
-        down[0] = 1
-        have = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        if size <= 4 * _SPAN:
-            _POWERS[base] = have
-    return have
-
-
 def word_spans(buf: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends (bytes) of the words of all documents, and the first word of each document.
 
@@ -75,28 +65,75 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray, separators: np.ndarray) ->
     return starts, ends, np.searchsorted(starts, offsets, side="left")
 
 
-def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of buf[starts[i]:ends[i]], equal for equal bytes wherever they stand."""
-    out = np.empty(len(starts), dtype=U)
-    i = 0
-    while i < len(starts):
-        base = int(starts[i])
-        j = max(i + 1, int(np.searchsorted(starts, base + _SPAN, side="left")))
-        top = int(ends[j - 1])
-        part = buf[base:top].astype(U) + U(1)
-        s, e = starts[i:j] - base, ends[i:j] - base
-        total = (ends[i:j] - starts[i:j]).astype(U)
-        for b in (_B2, _B1):
-            up, down = _powers(b, len(part) + 1)
-            sums = np.empty(len(part) + 1, dtype=U)
-            sums[0] = 0
-            np.cumsum(part * up[: len(part)], out=sums[1:])
-            total = mix(total + (sums[e] - sums[s]) * down[s])
-        out[i:j] = total
-        i = j
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of buf[starts[i]:ends[i]], equal for equal bytes wherever they stand.
+
+    Words are read eight bytes at a time; the state is mixed after each, so that no sum
+    over positions cancels. Words of more than LONG bytes go through xxh3. Different seeds
+    give independent hashes.
+    """
+    state, lanes = _lanes(buf, starts, ends, LONG)
+    out = mix(state + U((_R[3] * (2 * seed + 1)) & 0xFFFFFFFFFFFFFFFF))
+    for live, x in lanes:
+        if live is None:
+            out = mix(out ^ (x * U(_R[0])))
+        else:
+            out[live] = mix(out[live] ^ (x * U(_R[0])))
+    for i in np.flatnonzero(ends - starts > LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(buf[starts[i] : ends[i]].tobytes(), seed=seed)
     return out
 
 
+def _lanes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, Iterator[tuple[np.ndarray | None, np.ndarray]]]:
+    """Lengths, and the words' bytes by eight: which words still go on (None: all) and the next eight bytes of each.
+
+    Bytes beyond a word's end are 0. Words of more than most bytes stop after the first eight.
+    """
+    left = ends - starts
+
+    def run(at: np.ndarray, left: np.ndarray) -> Iterator[tuple[np.ndarray | None, np.ndarray]]:
+        padded = np.zeros(len(buf) + 8, dtype=np.uint8)
+        padded[: len(buf)] = buf
+        view = np.ndarray((len(buf) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        live = None
+        while len(at):
+            yield live, view[at] & _MASKS[np.minimum(left, 8)]
+            go = np.flatnonzero((left > 8) & (left <= most)) if live is None else np.flatnonzero(left > 8)
+            live, at, left = (go if live is None else live[go]), at[go] + 8, left[go] - 8
+
+    return left.astype(U), run(starts, left)
+
+
+def dense_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Numbers that are equal for words of equal bytes, and for no others: hashes that were compared by their bytes."""
+    hashes, first, number = np.unique(hash_spans(buf, starts, ends), return_index=True, return_inverse=True)
+    size, lanes = _lanes(buf, starts, ends, 1 << 62)
+    same = size == size[first][number]
+    if same.all():
+        other = first[number]
+        for (live, x), (_, y) in zip(lanes, _lanes(buf, starts[other], ends[other], 1 << 62)[1]):
+            if not np.array_equal(x, y):
+                same[0] = False
+                break
+    if same.all():
+        return number
+    seen: dict[bytes, int] = {}
+    return np.array([seen.setdefault(buf[a:b].tobytes(), len(seen)) for a, b in zip(starts, ends)], dtype=np.int64)
+
+
+def dense_grams(words: np.ndarray, k: int) -> np.ndarray:
+    """Numbers of the runs of k numbered words: equal for equal runs, and for no others."""
+    n = len(words) - k + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64)
+    keys = grams(words.astype(U), k)
+    _, first, number = np.unique(keys, return_index=True, return_inverse=True)
+    other = first[number]
+    if all(np.array_equal(words[j : j + n], words[other + j]) for j in range(k)):
+        return number
+    return np.unique(np.lib.stride_tricks.sliding_window_view(words, k), axis=0, return_inverse=True)[1].reshape(-1)
+
+
 def join2(a: np.ndarray, b: np.ndarray, salt: int = 0) -> np.ndarray:
     """Hash of the ordered pair."""
     return mix(a * U(_R[0]) + mix(b * U(_R[1]) + U((_R[2] * (salt + 1)) & 0xFFFFFFFFFFFFFFFF)))
