@@ -5,22 +5,40 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
 
 
+#: Spark then deletes a query's shuffle files when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary folder only where that is unset."""
+    """spark.checkpoint.dir of the session; where that is unset, a temporary folder in local mode and an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         base = _OWN.setdefault(app, "") or tempfile.mkdtemp(prefix="docloom-shared-")
         _OWN[app] = base
     return base.rstrip("/")
 
 
+@contextmanager
+def shuffles_end_with_query(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 class Workspace:
     """One operator call's own folder of intermediate tables."""
 
@@ -40,9 +58,10 @@ class Workspace:
         return f"{self.root}/{table}"
 
     def write(self, df: DataFrame, table: str) -> DataFrame:
-        """Write and read again: later stages restart from the files, not from the lineage."""
+        """Write and read again: later stages restart from the files, not from the lineage, and shuffles behind them go."""
         schema = df.schema
-        df.write.mode("overwrite").parquet(self.path(table))
+        with shuffles_end_with_query(self.spark):
+            df.write.mode("overwrite").parquet(self.path(table))
         return self.spark.read.schema(schema).parquet(self.path(table))
 
     def drop(self, table: str = "") -> None:
