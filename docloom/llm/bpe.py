@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,16 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom._ship import ensure_importable
+from docloom.llm.fragments import LONG, PATTERN, fragments_of, spread
 from docloom.llm.memory import trim
 
-#: Entries of a worker's memo of fragments; it is emptied when full, which changes no result.
-MEMO = 300_000
+#: Entries of a worker's memos of parts and of pieces; they are emptied when full, which changes no result.
+MEMO, MEMO_PIECES = 300_000, 150_000
 #: Leaves of the trees that are in memory at once.
 TREE_LEAVES = 1 << 16
 #: Rows, and UTF-8 bytes unless a single text has more, that are encoded together.
 STEP_ROWS, STEP_BYTES = 1000, 2 << 20
-#: A single space with no white space on either side: matches of the patterns used here never span its left edge.
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids binary"
 
 
@@ -185,57 +183,65 @@ def _encode_rows(pieces: list[bytes], rows: np.ndarray, n: np.ndarray, bits: int
 
 
 class ByteBpe:
-    """Encode and decode whole texts; memos keep the ids of pieces and fragments that came before."""
+    """Encode and decode whole texts; memos keep the ids of pieces and parts that came before."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
+        self.cut = pattern == PATTERN
         self.table = PairTable(ranks)
-        self.bytes_of = {i: b for b, i in ranks.items()}
-        self.memo: dict[str, bytes] = {}
+        self.token_size = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+        for token, i in ranks.items():
+            self.token_size[i] = len(token)
+        self.token_start = np.cumsum(self.token_size) - self.token_size
+        self.token_bytes = np.zeros(int(self.token_size.sum()), dtype=np.uint8)
+        for token, i in ranks.items():
+            self.token_bytes[self.token_start[i] : self.token_start[i] + len(token)] = np.frombuffer(token, dtype=np.uint8)
+        self.memo: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _learn(self, fragments: set[str]) -> dict[str, bytes]:
-        split = {s: self.find(s) for s in fragments}
+    def _learn(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        split = {s: self.find(s.decode("utf-8")) for s in parts}
         new = list({p for pieces in split.values() for p in pieces} - self.pieces.keys())
         raw = [p.encode("utf-8") for p in new]
         short = [i for i, p in enumerate(raw) if len(p) <= 64]
         found = {new[i]: ids.tobytes() for i, ids in zip(short, encode_pieces([raw[i] for i in short], self.table))}
         found |= {new[i]: np.array(encode_piece(p, self.ranks), dtype="<u4").tobytes() for i, p in enumerate(raw) if len(p) > 64}
-        if len(self.pieces) + len(found) > MEMO:
-            found |= {p: self.pieces[p] for pieces in split.values() for p in pieces if p in self.pieces}
-            self.pieces.clear()
-        self.pieces |= found
-        return {s: b"".join([self.pieces[p] for p in pieces]) for s, pieces in split.items()}
-
-    def encode_many(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers.
-
-        A text is cut before single spaces between two characters that aren't white space;
-        the pattern never matches across such a place, so that the parts may be looked up
-        one by one.
-        """
-        cut = []
-        for text in texts:
-            first, *rest = _SAFE.split(text)
-            cut.append([first, *map(" ".__add__, rest)])
-        missing = {s for parts in cut for s in parts} - self.memo.keys()
-        learnt = self._learn(missing)
-        if len(self.memo) + len(learnt) > MEMO:
-            learnt |= {s: self.memo[s] for parts in cut for s in parts if s in self.memo}
-            self.memo.clear()
+        use = self.pieces | found if len(self.pieces) + len(found) <= MEMO_PIECES else found | {p: self.pieces[p] for pieces in split.values() for p in pieces if p in self.pieces}
+        self.pieces = use if len(raw) == len(short) else {p: x for p, x in use.items() if len(p) <= LONG}
+        return {s: b"".join([use[p] for p in pieces]) for s, pieces in split.items()}
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and the bounds of each text's."""
+        found = fragments_of(texts, self.cut)
+        new = [x for x in found.distinct if x not in self.memo]
+        learnt = self._learn(new) if new else {}
+        if len(self.memo) + len(new) > MEMO:
+            self.memo = {x: self.memo[x] for x in found.distinct if x in self.memo}
         self.memo |= learnt
-        for parts in cut:
-            yield b"".join(map(self.memo.__getitem__, parts))
-        if any(len(s) > 4096 for s in missing):  # the memo is for words
-            self.memo = {s: x for s, x in self.memo.items() if len(s) <= 256}
-            self.pieces = {s: x for s, x in self.pieces.items() if len(s) <= 256}
+        own = [self.memo[x] for x in found.distinct]
+        for x in new:
+            if len(x) > LONG:
+                del self.memo[x]
+        flat = np.frombuffer(b"".join(own), dtype="<u4")
+        sizes = np.array([len(x) // 4 for x in own], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        per_part = sizes[found.part]
+        bounds = np.r_[0, np.cumsum(per_part)][found.first]
+        return (spread(flat, starts[found.part], per_part) if len(per_part) else flat), bounds
+
+    def decode_many(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the ids, and the bounds of each text's."""
+        sizes = self.token_size[ids]
+        out = spread(self.token_bytes, self.token_start[ids], sizes) if len(ids) else self.token_bytes[:0]
+        return out, np.r_[0, np.cumsum(sizes)][bounds]
 
     def encode(self, text: str) -> bytes:
-        return next(iter(self.encode_many([text])))
+        return self.encode_column(pa.array([text]))[0].tobytes()
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I")))
+        own = np.frombuffer(ids, dtype="<u4")
+        return self.decode_many(own, np.array([0, len(own)]))[0].tobytes()
 
 
 _OPEN: dict[tuple[str, str], ByteBpe] = {}
@@ -258,7 +264,7 @@ def ship_file(spark: SparkSession, path: str) -> str:
     return name
 
 
-def _steps(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+def steps(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most STEP_ROWS and STEP_BYTES; a longer text has a range of its own."""
     ends, start = np.cumsum(sizes, dtype=np.int64), 0
     while start < len(ends):
@@ -272,9 +278,11 @@ def encode_documents(docs: DataFrame, *, ranks_path: str, pattern: str, id_col:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each row; ids: little-endian uint32.
 
     A map over the rows without a shuffle; the vocabulary goes to each executor once. Null
-    texts count as empty: no tokens. Null ids stay null, repeated rows stay repeated, other
-    columns are not read. The decoded hash is of the bytes that the ids give back. With
-    keep_ids=False the ids column is null.
+    texts count as empty: no tokens. Null ids stay null, repeated rows stay repeated; texts
+    of any length are encoded whole; an empty table gives no rows; other columns are not
+    read, whatever their names. The decoded hash is of the bytes that the ids give back.
+    With keep_ids=False the ids column is null. Texts are cut in parts (fragments.py) for
+    fragments.PATTERN only; under any other pattern they are split whole.
     """
     spark = docs.sparkSession
     ensure_importable(spark)
@@ -283,15 +291,19 @@ def encode_documents(docs: DataFrame, *, ranks_path: str, pattern: str, id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = opened(name, pattern)
         for whole in batches:
-            for start, stop in _steps(pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy(zero_copy_only=False)):
+            for start, stop in steps(pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy(zero_copy_only=False)):
                 batch = whole.slice(start, stop - start)
-                n, ids_hash, back_hash, kept = [], [], [], []
-                for ids in bpe.encode_many(pc.fill_null(batch.column(1), "").to_pylist()):
-                    n.append(len(ids) // 4)
-                    ids_hash.append(hashlib.sha256(ids).hexdigest())
-                    back_hash.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-                    kept.append(ids if keep_ids else None)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, type=pa.int64()), pa.array(ids_hash), pa.array(back_hash), pa.array(kept, type=pa.binary())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+                ids, at = bpe.encode_column(batch.column(1))
+                back, back_at = bpe.decode_many(ids, at)
+                raw, back = [ids[a:b].tobytes() for a, b in zip(at, at[1:])], memoryview(back)
+                columns = [
+                    batch.column(0),
+                    pa.array(np.diff(at), type=pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in raw]),
+                    pa.array([hashlib.sha256(back[a:b]).hexdigest() for a, b in zip(back_at, back_at[1:])]),
+                    pa.array(raw if keep_ids else [None] * len(raw), type=pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
             trim()
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
