@@ -179,21 +179,37 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Compress integers of at most 8 bytes by byte planes; unpack() gives them back as uint64."""
-    a = np.ascontiguousarray(a, dtype=U)
+    """Compress integers of at most 8 bytes by byte planes over the least; unpack() gives them back as uint64."""
+    a = np.ascontiguousarray(a).astype(U, copy=False)
+    low = a.min() if len(a) else U(0)
+    a = a - low
     width = (int(a.max()).bit_length() + 7) // 8 if len(a) else 0
     planes = np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :width].T)
-    return len(a).to_bytes(8, "little") + bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return len(a).to_bytes(8, "little") + int(low).to_bytes(8, "little") + bytes([width]) + (zstandard.ZstdCompressor(level=1).compress(planes.tobytes()) if width else b"")
 
 
 def unpack(b: bytes) -> np.ndarray:
     b = memoryview(b)
-    n, width = int.from_bytes(b[:8], "little"), b[8]
+    n, low, width = int.from_bytes(b[:8], "little"), int.from_bytes(b[8:16], "little"), b[16]
     out = np.zeros((n, 8), dtype=np.uint8)
     if n and width:
-        raw = zstandard.ZstdDecompressor().decompress(b[9:], max_output_size=n * width)
+        raw = zstandard.ZstdDecompressor().decompress(b[17:], max_output_size=n * width)
         out[:, :width] = np.frombuffer(raw, dtype=np.uint8).reshape(width, n).T
-    return out.reshape(-1).view(U)
+    return out.reshape(-1).view(U) + U(low)
+
+
+def pack_columns(columns: list[np.ndarray]) -> bytes:
+    parts = [pack(c) for c in columns]
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+
+
+def unpack_columns(b: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(b):
+        n = int.from_bytes(b[at : at + 4], "little")
+        out.append(unpack(b[at + 4 : at + 4 + n]))
+        at += 4 + n
+    return out
 
 
 def pack_sorted(a: np.ndarray) -> bytes:
@@ -205,17 +221,6 @@ def unpack_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(unpack(b), dtype=U)
 
 
-def pack_bits(a: np.ndarray) -> bytes:
-    return len(a).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(np.packbits(a).tobytes())
-
-
-def unpack_bits(b: bytes) -> np.ndarray:
-    b = memoryview(b)
-    n = int.from_bytes(b[:8], "little")
-    raw = zstandard.ZstdDecompressor().decompress(b[8:], max_output_size=n // 8 + 8)
-    return np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=n).astype(bool)
-
-
 def sum_by_key(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys, ascending, and the sums of each column of values."""
     order = np.argsort(keys, kind="stable")

@@ -2,10 +2,17 @@
 
 Corpus statistics of n-grams have as many keys as the corpus has words. Rows of one key
 each would cost some 40 bytes a word in a shuffle. Here documents are packed in blocks of
-bounded size; a block sends each shard of the key range one compressed sorted array, the
+bounded size; a block sends the shards of the key range compressed sorted arrays, the
 shard merges the arrays of all blocks and answers each in the order of its own keys. A
 frequent key is one entry a block, so no key, source or group of copies makes a hot task;
 blocks and shards are both bounded, and their number grows with the corpus.
+
+Blocks times shards would grow with the square of the corpus. So a block deals its keys to
+2 ** FAN_BITS ranges only, whatever the number of shards, and sends nothing to a range
+without keys; relays, each of which gathers the messages of 2 ** FAN_BITS times as many
+blocks for one range, deal them on by the next bits until the ranges are shards. Every
+level holds as much in a task as a block's message, and sends as many arrays as blocks
+times 2 ** FAN_BITS at most. Answers go the same way back.
 """
 
 from __future__ import annotations
@@ -30,8 +37,14 @@ from docloom.llm.workspace import Workspace
 BLOCK_BYTES = 3 << 20
 SHARD_BYTES = 6 << 20
 BLOCK_SCHEMA = "block bigint, ids array<bigint>, lengths binary, body binary, n_bytes bigint"
-MESSAGE_SCHEMA = "shard int, block bigint, keys binary, extra binary"
-REPLY_SCHEMA = "block bigint, shard int, reply binary"
+#: Bits of the key by which one level deals.
+FAN_BITS = 8
+#: Blocks of a task whose messages for one range travel in one row.
+ROW_BLOCKS = 4
+MESSAGE_SCHEMA = "shard bigint, slot bigint, blocks array<bigint>, keys array<binary>, extra array<binary>"
+SERVED_SCHEMA = "shard bigint, slot bigint, blocks array<bigint>, replies array<binary>, keys binary, extra binary, stats array<bigint>"
+#: In place of a block's number: a row that the operator adds for a shard.
+EXTRA = -1
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -106,17 +119,38 @@ def write_blocks(docs: DataFrame, ws: Workspace, table: str, id_col: str, text_c
     return ws.write(rows.mapInArrow(lean(lambda b: _pack_rows(b, block_bytes, group)), BLOCK_SCHEMA), table)
 
 
-def corpus_bytes(blocks: DataFrame) -> int:
-    return blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n")).first().n
+@dataclass
+class Size:
+    """Of a table of blocks."""
+
+    n_blocks: int
+    n_bytes: int
+
+    @property
+    def shard_bits(self) -> int:
+        """log2 of how many shards there are, so that one holds about the keys of SHARD_BYTES of text."""
+        return max(0, math.ceil(math.log2(max(1, self.n_bytes) / SHARD_BYTES))) if self.n_bytes > SHARD_BYTES else 0
+
+    @property
+    def levels(self) -> int:
+        return max(1, -(-self.shard_bits // FAN_BITS))
 
+    def depth(self, level: int) -> int:
+        """Bits of the key that are dealt by after so many levels."""
+        return min(self.shard_bits, FAN_BITS * level)
 
-def shard_bits(n_bytes: int, least: int = 5, shard_bytes: int = SHARD_BYTES) -> int:
-    """Bits of the shard's number, so that shards stay of one size as the corpus grows."""
-    return max(least, math.ceil(math.log2(max(1, n_bytes / shard_bytes))))
+    def slot(self, block: int, level: int) -> int:
+        """Which blocks go through one relay of a level together."""
+        return int(A.mix(np.array([block], dtype=A.U))[0] % A.U(max(1, self.n_blocks))) >> (FAN_BITS * level)
+
+
+def size_of(blocks: DataFrame) -> Size:
+    r = blocks.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()
+    return Size(r.n, r.b)
 
 
 def key_bits(n_bytes: int, spare: int) -> int:
-    """Bits of a key, so that a foreign key is hit with chance 2**-spare at any corpus size."""
+    """Bits of a key so that a key is taken for another with chance 2 ** -spare, whatever the corpus's size."""
     return min(64, math.ceil(math.log2(max(2, n_bytes))) + spare)
 
 
@@ -138,50 +172,174 @@ def _block_at(batch: pa.RecordBatch, i: int) -> Block:
     return open_block(get("block").as_py(), get("ids").values, get("lengths").as_py(), get("body").as_py())
 
 
-def split_by_shard(keys: np.ndarray, bits: int, shard: int) -> np.ndarray:
-    """Bounds of the shards within ascending keys of so many bits."""
-    edges = (np.arange(1, 1 << shard, dtype=A.U)) << A.U(bits - shard)
-    return np.r_[0, np.searchsorted(keys, edges, side="left"), len(keys)]
+def cut(keys: np.ndarray, columns: list[np.ndarray], bits: int, depth: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(range, keys, columns) of each range of the first depth bits that has keys; keys ascend."""
+    numbers = keys >> A.U(bits - depth) if depth else np.zeros(len(keys), dtype=A.U)
+    starts = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+        n = int(numbers[a])
+        yield n, A.pack_sorted(keys[a:b] - A.U(n << (bits - depth) if depth else 0)), A.pack_columns([c[a:b] for c in columns])
+
+
+def opened_keys(packed: bytes, shard: int, bits: int, depth: int) -> np.ndarray:
+    return A.unpack_sorted(packed) + A.U(shard << (bits - depth) if depth else 0)
 
 
-def messages(blocks: DataFrame, make: Callable[[Block, list], tuple[np.ndarray, list[bytes] | Callable[[int, int], bytes]]], bits: int, shard: int) -> DataFrame:
-    """What each block tells each shard.
+class _Rows:
+    """Rows of MESSAGE_SCHEMA, gathered by slot and range."""
 
-    make(block, replies) gives ascending keys of so many bits and a function of a range
-    of them that packs what goes with these keys.
+    def __init__(self) -> None:
+        self.found: dict[tuple[int, int], list[tuple[int, bytes, bytes]]] = {}
+
+    def add(self, slot: int, shard: int, block: int, keys: bytes, extra: bytes) -> None:
+        self.found.setdefault((slot, shard), []).append((block, keys, extra))
+
+    def batch(self) -> pa.RecordBatch:
+        rows = list(self.found.items())
+        column = lambda i, kind: pa.array([[x[i] for x in own] for _, own in rows], type=pa.list_(kind))
+        self.found = {}
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[1] for k, _ in rows], type=pa.int64()), pa.array([k[0] for k, _ in rows], type=pa.int64()), column(0, pa.int64()), column(1, pa.binary()), column(2, pa.binary())],
+            ["shard", "slot", "blocks", "keys", "extra"],
+        )
+
+
+Make = Callable[[Block, list], tuple[np.ndarray, list[np.ndarray]]]
+Serve = Callable[[int, list, list, list], tuple[list, list, "tuple | None"]]
+
+
+def messages(blocks: DataFrame, make: Make, bits: int, size: Size) -> DataFrame:
+    """What the blocks tell the ranges of the first level.
+
+    make(block, replies) gives ascending keys of so many bits and columns of integers that
+    go with them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = _Rows(), 0
         for batch, i in _rows(batches):
             block = _block_at(batch, i)
-            keys, extra = make(block, replies_at(batch, i))
-            cuts = split_by_shard(keys, bits, shard)
-            base = [A.U(s) << A.U(bits - shard) for s in range(1 << shard)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(1 << shard), type=pa.int32()),
-                    pa.array([block.block] * (1 << shard), type=pa.int64()),
-                    pa.array([A.pack_sorted(keys[a:b] - x) for a, b, x in zip(cuts, cuts[1:], base)], type=pa.binary()),
-                    pa.array([extra(a, b) for a, b in zip(cuts, cuts[1:])], type=pa.binary()),
-                ],
-                ["shard", "block", "keys", "extra"],
-            )
+            slot = size.slot(block.block, 1) if size.levels > 1 else 0
+            for shard, keys, extra in cut(*make(block, replies_at(batch, i)), bits, size.depth(1)):
+                rows.add(slot, shard, block.block, keys, extra)
+            held += 1
+            if held == ROW_BLOCKS:
+                yield rows.batch()
+                held = 0
+        if held:
+            yield rows.batch()
 
     return blocks.mapInArrow(lean(run), MESSAGE_SCHEMA)
 
 
-def replies_at(batch: pa.RecordBatch, i: int) -> list[list[bytes]]:
-    """For each round answered so far, the replies in the order of the shards."""
+def _entries(table: pa.Table, *names: str) -> Iterator[tuple]:
+    for row in zip(*(table[n].to_pylist() for n in names)):
+        yield from zip(*([x] * len(row[1]) if not isinstance(x, list) else x for x in row))
+
+
+def _relay(level: int, bits: int, size: Size):
+    """Deal the messages for one range on by the next bits."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = _Rows()
+        slot = table["slot"][0].as_py()
+        for shard, block, keys, extra in _entries(table, "shard", "blocks", "keys", "extra"):
+            for n, k, e in cut(opened_keys(keys, shard, bits, size.depth(level)), A.unpack_columns(extra), bits, size.depth(level + 1)):
+                rows.add(slot >> FAN_BITS if level + 1 < size.levels else slot, n, block, k, e)
+        return pa.Table.from_batches([rows.batch()])
+
+    return run
+
+
+def _answer(serve: Serve, bits: int, size: Size):
+    def run(table: pa.Table) -> pa.Table:
+        shard = table["shard"][0].as_py()
+        found = sorted(_entries(table, "shard", "blocks", "keys", "extra"), key=lambda x: x[1])
+        blocks = [x[1] for x in found]
+        keys = [opened_keys(x[2], shard, bits, size.shard_bits) for x in found]
+        to, replies, own = serve(shard, blocks, keys, [A.unpack_columns(x[3]) for x in found])
+        by: dict[int, list] = {}
+        for block, columns in zip(to, replies):
+            by.setdefault(size.slot(block, size.levels - 1) if size.levels > 1 else 0, []).append((block, A.pack_columns(columns)))
+        rest = [None] * len(by)
+        keys, extra, stats = own or (None, None, None)
+        return pa.table(
+            {
+                "shard": pa.array([shard] * (len(by) + 1), type=pa.int64()),
+                "slot": pa.array([*by, None], type=pa.int64()),
+                "blocks": pa.array([*([b for b, _ in x] for x in by.values()), None], type=pa.list_(pa.int64())),
+                "replies": pa.array([*([r for _, r in x] for x in by.values()), None], type=pa.list_(pa.binary())),
+                "keys": pa.array([*rest, keys], type=pa.binary()),
+                "extra": pa.array([*rest, extra], type=pa.binary()),
+                "stats": pa.array([*rest, stats], type=pa.list_(pa.int64())),
+            }
+        )
+
+    return run
+
+
+def _back(level: int, size: Size):
+    """Join the answers of the ranges below one range, block by block."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts: dict[int, list[tuple[int, list[np.ndarray]]]] = {}
+        shard = 0
+        for at, block, reply in _entries(table, "shard", "blocks", "replies"):
+            shard = at >> (size.depth(level + 1) - size.depth(level))
+            parts.setdefault(block, []).append((at, A.unpack_columns(reply)))
+        by: dict[int, list] = {}
+        for block, own in parts.items():
+            own.sort(key=lambda x: x[0])
+            whole = A.pack_columns([np.concatenate(c) for c in zip(*(x[1] for x in own))])
+            by.setdefault(size.slot(block, level - 1) if level > 1 else 0, []).append((block, whole))
+        return pa.table(
+            {
+                "shard": pa.array([shard] * len(by), type=pa.int64()),
+                "slot": pa.array(list(by), type=pa.int64()),
+                "blocks": pa.array([[b for b, _ in x] for x in by.values()], type=pa.list_(pa.int64())),
+                "replies": pa.array([[r for _, r in x] for x in by.values()], type=pa.list_(pa.binary())),
+            }
+        )
+
+    return run
+
+
+def exchange(blocks: DataFrame, make: Make, serve: Serve, *, bits: int, size: Size, ws: Workspace, name: str, more: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Replies (block, shard, reply) to with_replies(), and what the shards keep (shard, keys, extra, stats).
+
+    serve(shard, blocks, keys, columns) sees all arrays of one shard, block by block, and
+    gives blocks, their replies (columns of integers in the order of the block's keys) and
+    what it keeps or None. more has rows of the operator's own for shards, as messages of
+    the block EXTRA. The answers are written, so that a lost executor repeats a task of a
+    shard and not the exchange.
+    """
+    told = messages(blocks, make, bits, size)
+    for level in range(1, size.levels):
+        told = told.groupBy("slot", "shard").applyInArrow(_relay(level, bits, size), MESSAGE_SCHEMA)
+    if more is not None:
+        told = told.unionByName(more)
+    served = ws.write(told.groupBy("shard").applyInArrow(_answer(serve, bits, size), SERVED_SCHEMA), name)
+    back = served.filter("blocks is not null").select("shard", "slot", "blocks", "replies")
+    for level in range(size.levels - 1, 0, -1):
+        above = F.shiftright("shard", size.depth(level + 1) - size.depth(level))
+        back = back.withColumn("above", above).groupBy("slot", "above").applyInArrow(_back(level, size), "shard bigint, slot bigint, blocks array<bigint>, replies array<binary>")
+    each = back.select("shard", F.explode(F.arrays_zip("blocks", "replies")).alias("x"))
+    return each.select(F.col("x.blocks").alias("block"), "shard", F.col("x.replies").alias("reply")), served.filter("blocks is null").select("shard", "keys", "extra", "stats")
+
+
+def replies_at(batch: pa.RecordBatch, i: int) -> list[list[np.ndarray]]:
+    """For each round asked for, the replies as columns over the block's keys; none for a block without keys."""
     out = []
     for name in batch.schema.names:
         if name.startswith("replies"):
             found = batch.column(batch.schema.get_field_index(name))[i].as_py() or []
-            out.append([x["reply"] for x in sorted(found, key=lambda x: x["shard"])])
+            parts = [A.unpack_columns(x["reply"]) for x in sorted(found, key=lambda x: x["shard"])]
+            out.append([np.concatenate(c) for c in zip(*parts)])
     return out
 
 
 def with_replies(blocks: DataFrame, replies: DataFrame, name: str) -> DataFrame:
-    """Give each block its replies, one a shard."""
+    """Give each block its replies, at most 2 ** FAN_BITS arrays."""
     own = replies.groupBy("block").agg(F.collect_list(F.struct("shard", "reply")).alias(name))
     return blocks.join(own, "block", "left")
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +16,6 @@ from docloom.llm.workspace import Workspace
 
 #: Hashes of the marks before and after a text; words have at least one byte, so that no word has them.
 START, END = A.U(0x53A7B1C2D3E4F501), A.U(0x9C8B7A6958473625)
-REPLY_SCHEMA = "block bigint, shard int, reply binary, keys binary, totals binary, stats array<bigint>"
 RESULT_SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 #: Vectors that go with the keys of a round: the count (raw or continuation), and for contexts their followers by 1, 2, 3 and more, and the followers' counts.
 WIDTH = 5
@@ -80,72 +77,31 @@ def round_of(t: Tokens, n: int, order: int, bits: int) -> Round:
     return Round(keys, where[real], where[real - 1] if n < order else where[:0])
 
 
-def _pack_columns(values: np.ndarray) -> bytes:
-    parts = [A.pack(values[:, c]) for c in range(values.shape[1])]
-    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
-
-
-def _unpack_columns(b: bytes) -> list[np.ndarray]:
-    out, at = [], 0
-    while at < len(b):
-        n = int.from_bytes(b[at : at + 4], "little")
-        out.append(A.unpack(b[at + 4 : at + 4 + n]).astype(np.int64))
-        at += 4 + n
-    return out
-
-
-def _serve():
-    """Merge the blocks' arrays into the shard's sorted arrays, memory-map them and answer each block.
+def _serve(shard: int, blocks: list, keys: list, columns: list) -> tuple:
+    """Merge the blocks' arrays into the shard's sorted arrays and answer each block.
 
     A reply gives, in the order of the block's keys, the sums of all vectors and whether
-    this block is the first to have the key (its owner). stats: how many keys have the
-    count 1, 2, 3, 4, how many have any, and the sum of counts.
+    this block is the first to have the key (its owner). The shard keeps its sorted keys
+    and their sums; stats: how many keys have the count 1, 2, 3, 4, how many have any, the
+    sum of counts, and the same two of the last column.
     """
-
-    def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["block"].to_numpy(), kind="stable")
-        table = table.take(pa.array(order))
-        blocks = table["block"].to_pylist()
-        keys = [A.unpack_sorted(x) for x in table["keys"].to_pylist()]
-        extra = [_unpack_columns(x) for x in table["extra"].to_pylist()]
-        width = max((len(x) for x in extra), default=1)
-        sums = A.sum_by_key(np.concatenate(keys), *(np.concatenate([x[c] for x in extra]) for c in range(width)))
-        with tempfile.TemporaryFile() as f:  # deleted with its last handle: nothing stays in the executor's folder
-            for a in sums:
-                f.write(np.ascontiguousarray(a).tobytes())
-            f.flush()
-            n = len(sums[0])
-            table_keys = np.memmap(f, dtype=A.U, mode="r", shape=(n,)) if n else sums[0]
-            columns = [np.memmap(f, dtype=np.int64, mode="r", offset=8 * n * (c + 1), shape=(n,)) if n else sums[c + 1] for c in range(width)]
-            taken = np.zeros(n, dtype=bool)
-            replies = []
-            for own in keys:
-                at = np.searchsorted(table_keys, own)
-                first = ~taken[at]
-                taken[at] = True
-                replies.append(_pack_columns(np.stack([*(c[at] for c in columns), first], axis=1).astype(np.int64)) if len(own) else b"")
-            counts = np.asarray(columns[0])
-            stats = [int((counts == c).sum()) for c in (1, 2, 3, 4)] + [int((counts > 0).sum()), int(counts.sum())]
-            body = [A.pack_sorted(sums[0]), _pack_columns(np.stack(sums[1:], axis=1))] if n else [None, None]
-        rest = len(blocks)
-        return pa.table(
-            {
-                "block": pa.array([*blocks, None], type=pa.int64()),
-                "shard": pa.array([table["shard"][0].as_py()] * (rest + 1), type=pa.int32()),
-                "reply": pa.array([*replies, None], type=pa.binary()),
-                "keys": pa.array([None] * rest + body[:1], type=pa.binary()),
-                "totals": pa.array([None] * rest + body[1:], type=pa.binary()),
-                "stats": pa.array([None] * rest + [stats], type=pa.list_(pa.int64())),
-            }
-        )
-
-    return run
+    width = max(len(x) for x in columns)
+    table, *sums = A.sum_by_key(np.concatenate(keys), *(np.concatenate([x[c] for x in columns]) for c in range(width)))
+    taken = np.zeros(len(table), dtype=bool)
+    replies = []
+    for own in keys:
+        at = np.searchsorted(table, own)
+        first = ~taken[at]
+        taken[at] = True
+        replies.append([*(c[at] for c in sums), first])
+    counts, raw = sums[0], sums[-1]
+    stats = [*(int((counts == c).sum()) for c in (1, 2, 3, 4)), int((counts > 0).sum()), int(counts.sum()), int((raw > 0).sum()), int(raw.sum())]
+    return blocks, replies, (A.pack_sorted(table), A.pack_columns(sums), stats)
 
 
-def _joined(replies: list[bytes]) -> list[np.ndarray]:
-    """One round's replies, shard after shard, as columns over the block's distinct keys."""
-    parts = [_unpack_columns(x) for x in replies if x]
-    return [np.concatenate([p[c] for p in parts]) for c in range(len(parts[0]))] if parts else [np.zeros(0, dtype=np.int64)] * (WIDTH + 1)
+def _counts(reply: list[np.ndarray]) -> list[np.ndarray]:
+    """One round's reply as columns over the block's distinct keys."""
+    return [c.astype(np.int64) for c in reply] if reply else [np.zeros(0, dtype=np.int64)] * (WIDTH + 1)
 
 
 @dataclass
@@ -172,6 +128,11 @@ def _held(ids: np.ndarray, folds: int, fold: int) -> np.ndarray:
     return np.array([i != B.NO_ID and zlib.crc32(str(i).encode()) % folds == fold for i in ids.tolist()], dtype=bool)
 
 
+def _bits(n: int, bits: int) -> int:
+    """Words have whole hashes as keys: n_known and the vocabulary are counts of words, not estimates."""
+    return 64 if n == 1 else bits
+
+
 def _message(order: int, n: int, bits: int, folds: int, fold: int):
     """What a block tells of its n-grams: raw counts for the highest order (and for n = 1 in one more
     column), continuation counts below, and the followers that it owns for contexts of n words."""
@@ -179,13 +140,13 @@ def _message(order: int, n: int, bits: int, folds: int, fold: int):
     def make(block: B.Block, replies: list):
         t = tokens_of(block, order)
         train = ~_held(block.ids, folds, fold)[t.doc[t.real]]
-        now = round_of(t, n, order, bits)
+        now = round_of(t, n, order, _bits(n, bits))
         count_of = lambda places: np.bincount(places, minlength=len(now.keys))
         if n == order:
             columns = [count_of(now.gram[train])]
         else:
             above = round_of(t, n + 1, order, bits)
-            got = _joined(replies[order - n - 1])
+            got = _counts(replies[0])
             own = got[-1].astype(bool) & (got[0] > 0)
             # each owned (n + 1)-gram continues its last n words and follows its first n
             token, c = above.first_token()[own], got[0][own]
@@ -194,8 +155,7 @@ def _message(order: int, n: int, bits: int, folds: int, fold: int):
             columns.append(np.rint(np.bincount(before, c, len(now.keys))).astype(np.int64))
         if n == 1 and order > 1:
             columns.append(count_of(now.gram[train]))
-        values = np.stack(columns, axis=1)
-        return now.keys, lambda x, y: _pack_columns(values[x:y])
+        return now.keys, columns
 
     return make
 
@@ -207,7 +167,7 @@ def _score(order: int, bits: int, folds: int, fold: int, known: dict):
         p = np.full(len(doc), 1.0 / (known["vocabulary"] + 1))
         raw = below = low = None
         for n in range(1, order + 1):
-            now, got = round_of(t, n, order, bits), _joined(replies[order - n])
+            now, got = round_of(t, n, order, _bits(n, bits)), _counts(replies[order - n])
             counts = got[0][now.gram]
             d = known["discounts"][n].values
             if n == 1:
@@ -250,43 +210,31 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     From the highest order down, each block of documents sends the shards of the key range
     its distinct n-grams with their counts as compressed sorted arrays; the shard merges
-    them, maps the sorted arrays from disk and answers. A key belongs to the first block
+    them into sorted arrays and answers. A key belongs to the first block
     that has it, which tells the next lower order that one more n-gram continues its last
     words and follows its first. Sums of counts of counts give each order's discounts. The
-    shards' arrays are the model; they are kept in the workspace's rounds as binary
-    columns. Keys have 20 bits more than the count of the corpus's bytes, so that an unseen
-    n-gram is taken for another with chance below 2**-20 at any size.
-
-    Null texts count as empty: the end is their only token. Null ids are never held out;
-    repeated rows count and are scored each. Without training tokens the unseen word's
+    shards' sorted arrays are the model; they are kept in the workspace's rounds as binary
+    columns. Keys of words have 64 bits. Those of longer n-grams have 20 bits more than the
+    count of the corpus's bytes: the score, and nothing else, takes an unseen n-gram for
+    another with chance below 2**-20 at any size.
+
+    Null texts count as empty: the end is their only token. Texts of any length are read
+    whole. Null ids are never held out; repeated rows count and are scored each; an empty
+    table gives no rows. Without training tokens the unseen word's
     share is the whole distribution. Other columns are not read.
     """
     ws = ws or Workspace(docs.sparkSession, "kneser-ney")
-    now = B.write_blocks(docs, ws, "blocks", id_col, text_col)
-    size = B.corpus_bytes(now)
-    shard, bits = B.shard_bits(size), B.key_bits(size, 20)
+    blocks = B.write_blocks(docs, ws, "blocks", id_col, text_col)
+    size = B.size_of(blocks)
+    bits = B.key_bits(size.n_bytes, 20)
     known: dict = {"discounts": {}}
+    asked = everything = blocks
     for n in range(order, 0, -1):
-        told = B.messages(now, _message(order, n, bits, folds, held_fold), bits, shard)
-        out = ws.write(told.groupBy("shard").applyInArrow(_serve(), REPLY_SCHEMA), f"round-{n}")
-        s = out.filter("stats is not null").select(*(F.sum(F.col("stats")[i]).alias(f"n{i}") for i in range(6))).first()
-        n1, n2, n3, n4, kinds, total = ((x or 0) for x in s)
+        replies, model = B.exchange(asked, _message(order, n, bits, folds, held_fold), _serve, bits=_bits(n, bits), size=size, ws=ws, name=f"round-{n}")
+        n1, n2, n3, n4, kinds, total, words, tokens = ((x or 0) for x in model.select(*(F.sum(F.col("stats")[i]).alias(f"n{i}") for i in range(8))).first())
         known["discounts"][n] = discounts(n1, n2, n3, n4)
         if n == 1:
-            known["unigrams"] = (total, n1, n2, max(0, kinds - n1 - n2))
-            known |= _vocabulary(out)
-        now = B.with_replies(now, out.filter("block is not null").select("block", "shard", "reply"), f"replies{order - n}")
-    return B.each_block(now, _score(order, bits, folds, held_fold, known), RESULT_SCHEMA)
-
-
-def _vocabulary(round_one: DataFrame) -> dict:
-    """Distinct training tokens and how many there are, from the unigrams' raw counts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for totals in batch.column(0).to_pylist():
-                raw = _unpack_columns(totals)[-1]
-                yield pa.RecordBatch.from_arrays([pa.array([int((raw > 0).sum())]), pa.array([int(raw.sum())])], ["kinds", "tokens"])
-
-    r = round_one.filter("totals is not null").select("totals").mapInArrow(run, "kinds bigint, tokens bigint").agg(F.sum("kinds").alias("k"), F.sum("tokens").alias("t")).first()
-    return {"vocabulary": r.k or 0, "tokens": r.t or 0}
+            known |= {"unigrams": (total, n1, n2, max(0, kinds - n1 - n2)), "vocabulary": words, "tokens": tokens}
+        asked = B.with_replies(blocks, replies, "replies0")  # a round asks for the one above it only
+        everything = B.with_replies(everything, replies, f"replies{order - n}")
+    return B.each_block(everything, _score(order, bits, folds, held_fold, known), RESULT_SCHEMA)

@@ -25,13 +25,15 @@ UNIT_ROWS = 512
 #: Bits of a class's parity bitmap: each shingle flips one, so that two bitmaps differ in no more bits than the sets in shingles.
 MAP_BITS = 1024
 UNIT_COLUMNS = ("token", "i", "j", "digest", "own", "n", "shared", "pos", "met", "prev", "root", "bitmap")
+#: Frequencies above this one are equal; they set the order of tokens only, and any order gives the same pairs.
+MOST_DF = (1 << 31) - 1
 PREFIX_SCHEMA = "doc_id bigint, digest binary, n int, shared int, token bigint, prev bigint, pos int, met int, body binary, bitmap binary"
 
 
-def shingle_sets(block: B.Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingle_sets(block: B.Block, k: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes ascending by (document, hash): documents, hashes, first entry of each document."""
     buf, starts, ends, first = block.words(A.SPACES, lower=True)
-    words = A.hash_spans(buf, starts, ends)
+    words = A.hash_spans(buf, starts, ends, seed)
     n_words = np.diff(first)
     where, docs = A.gram_docs(first, k)
     hashes = A.grams(words, k)[where] if len(where) else np.zeros(0, dtype=A.U)
@@ -55,18 +57,16 @@ def _df_message(bits: int, k: int):
     def make(block: B.Block, _: list) -> tuple:
         hashes = np.sort(shingle_sets(block, k)[1] >> A.U(64 - bits))
         keys, counts = A.sum_by_key(hashes, np.ones(len(hashes), dtype=np.int64))
-        return keys, lambda a, b: A.pack(counts[a:b])
+        return keys, [counts]
 
     return make
 
 
-def _df_shard(table: pa.Table) -> pa.Table:
+def _df_shard(shard: int, blocks: list, keys: list, columns: list) -> tuple:
     """Sum the blocks' counts; answer each block in the order of its keys."""
-    keys = [A.unpack_sorted(x) for x in table["keys"].to_pylist()]
-    total_keys, totals = A.sum_by_key(np.concatenate(keys), np.concatenate([A.unpack(x) for x in table["extra"].to_pylist()]))
-    totals = np.minimum(totals, A.U(0xFFFFFF))
-    replies = [A.pack(totals[np.searchsorted(total_keys, x)]) for x in keys]
-    return pa.table({"block": table["block"], "shard": table["shard"], "reply": pa.array(replies, type=pa.binary())})
+    total_keys, totals = A.sum_by_key(np.concatenate(keys), np.concatenate([c[0] for c in columns]))
+    totals = np.minimum(totals, A.U(MOST_DF))
+    return blocks, [[totals[np.searchsorted(total_keys, x)]] for x in keys], None
 
 
 def _prefixes(bits: int, k: int, threshold: Fraction):
@@ -76,7 +76,7 @@ def _prefixes(bits: int, k: int, threshold: Fraction):
         docs, hashes, first = shingle_sets(block, k)
         short = hashes >> A.U(64 - bits)
         keys = np.unique(short)
-        df = np.concatenate([A.unpack(x) for x in replies[0]]) if replies[0] else np.zeros(0, dtype=A.U)
+        df = replies[0][0] if replies[0] else np.zeros(0, dtype=A.U)
         df = df[np.searchsorted(keys, short)].astype(np.int32)
         n = np.diff(first)
         shared = np.add.reduceat(np.r_[df >= 2, False].astype(np.int32), first[:-1]) if len(n) else n
@@ -84,8 +84,9 @@ def _prefixes(bits: int, k: int, threshold: Fraction):
         prefix = n - (p * n + q - 1) // q + 1
         zip_text = zstandard.ZstdCompressor(level=1).compress
         digests, bodies, maps, owner, tokens, before, places, met = [], [], [], [], [], [], [], []
+        _, other, at = shingle_sets(block, k, seed=1)
         for d, (a, b) in enumerate(zip(first.tolist(), first[1:].tolist())):
-            digests.append(xxhash.xxh3_128_digest(hashes[a:b].tobytes()) if b > a else None)
+            digests.append(xxhash.xxh3_64_digest(hashes[a:b].tobytes()) + xxhash.xxh3_64_digest(other[at[d] : at[d + 1]].tobytes()) if b > a else None)
             own = np.zeros(0, dtype=np.int64)
             if b > a and (n[d] - shared[d] < prefix[d]):
                 own = np.argsort(df[a:b], kind="stable")[n[d] - shared[d] : prefix[d]]
@@ -143,12 +144,22 @@ def _need(nx, ny, threshold: Fraction):
 
 
 def _sets_of(bodies: list[bytes], k: int) -> list[np.ndarray]:
+    """The shingle sets of some texts as ascending numbers: equal for shingles of equal bytes, and for no others."""
     unzip = zstandard.ZstdDecompressor().decompress
     raw = [unzip(x) for x in bodies]
     offsets = np.r_[0, np.cumsum([len(x) for x in raw])].astype(np.int64)
     block = B.Block(0, np.zeros(len(raw), dtype=np.int64), offsets, np.frombuffer(b"".join(raw), dtype=np.uint8))
-    _, hashes, first = shingle_sets(block, k)
-    return [hashes[a:b] for a, b in zip(first, first[1:])]
+    buf, starts, ends, first = block.words(A.SPACES, lower=True)
+    words = A.dense_words(buf, starts, ends)
+    sets: list = [None] * len(raw)
+    n_words = np.diff(first)
+    for size in range(1, k + 1):
+        own = np.flatnonzero(n_words == size) if size < k else np.flatnonzero(n_words >= k)
+        if len(own):
+            numbers = A.dense_grams(words, size) + size * len(words)  # shorter texts are one shingle of their own length
+            for d in own.tolist():
+                sets[d] = np.unique(numbers[first[d] : first[d + 1] - size + 1])
+    return [np.zeros(0, dtype=np.int64) if x is None else x for x in sets]
 
 
 def _linked(x: np.ndarray, y: np.ndarray, threshold: Fraction) -> bool:
@@ -280,13 +291,15 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     1. Document frequencies of all shingles are summed in hash-range shards and sent back.
        They set the order of the tokens, rarest first. A frequency of 1 rules a token out.
-    2. Rows of equal sets are one class (128-bit digest of the sorted set).
+    2. Rows of equal sets are one class (128 bits: digests of the sorted set under two
+       independent hashes of words).
     3. Each class posts its prefix tokens. Within a token, classes are first compared with
        one class only, and then again under another order; pairs within a group that has
        formed need no test. All other pairs are then compared in units of UNIT_ROWS by as
        many postings, inside which they are arrays and not rows: lengths, index prefixes,
        positions and a parity bitmap that bounds the difference of the sets.
-    4. A pair that passes is verified once, with both whole texts, after a suffix filter.
+    4. A pair that passes is verified once, with both whole texts, after a suffix filter:
+       words and shingles count as equal only if their bytes are.
 
     Null or empty texts have no shingle, link with nothing and are their own component.
     Rows of one id are separate documents, but equal ids make one node of the result only
@@ -296,12 +309,12 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     exact = Fraction(str(threshold))
     ws = Workspace(docs.sparkSession, "jaccard")
     blocks = B.write_blocks(docs, ws, "blocks", id_col, text_col)
-    size = B.corpus_bytes(blocks)
-    shard, bits = B.shard_bits(size), B.key_bits(size, 8)
-    told = B.messages(blocks, _df_message(bits, k), bits, shard)
-    replies = told.groupBy("shard").applyInArrow(_df_shard, B.REPLY_SCHEMA)
+    size = B.size_of(blocks)
+    bits = B.key_bits(size.n_bytes, 8)
+    replies, _ = B.exchange(blocks, _df_message(bits, k), _df_shard, bits=bits, size=size, ws=ws, name="frequencies")
     rows = ws.write(B.each_block(B.with_replies(blocks, replies, "replies0"), _prefixes(bits, k, exact), PREFIX_SCHEMA), "prefixes")
     ws.drop("blocks")
+    ws.drop("frequencies")
     members = rows.filter("token is null").select("doc_id", "digest", "n")
     postings = ws.write(rows.filter("token is not null").groupBy("token", "digest").agg(*(F.first(c).alias(c) for c in ("n", "shared", "pos", "met", "prev"))), "postings")
     texts = ws.write(rows.filter("body is not null").groupBy("digest").agg(F.first("body").alias("body"), F.first("bitmap").alias("bitmap")), "texts")

@@ -16,8 +16,7 @@ from docloom.llm.workspace import Workspace
 
 #: Words of the runs whose least hash is a window's fingerprint.
 ANCHOR = 16
-RUN_SCHEMA = "shard int, keys binary, owners binary"
-MERGE_SCHEMA = "block bigint, shard int, reply binary, keys binary, owners binary"
+RUN_SCHEMA = "shard bigint, keys binary, owners binary"
 RESULT_SCHEMA = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
 
 
@@ -34,14 +33,14 @@ class Words:
         self.anchor = least[self.at] if len(self.at) else np.zeros(0, dtype=A.U)
 
     def candidates(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Places, 64-bit keys, 32-bit checks and ids of the windows whose fingerprint is among shared (ascending)."""
+        """Places, keys, checks (of independent word hashes) and ids of the windows whose fingerprint is among shared (ascending)."""
         if not len(shared) or not len(self.at):
             none = np.zeros(0, dtype=np.int64)
             return none, none.astype(A.U), none.astype(A.U), none
         hit = shared[np.minimum(np.searchsorted(shared, self.anchor), len(shared) - 1)] == self.anchor
         at = self.at[hit]
         keys = A.grams(self.hashes, self.width)[at]
-        checks = A.grams(self.hashes, self.width, salt=1)[at] >> A.U(32)
+        checks = A.grams(A.hash_spans(self.buf, self.starts, self.ends, seed=1), self.width, salt=1)[at]
         return at, keys, checks, self.block.ids[self.doc[hit]]
 
 
@@ -62,71 +61,45 @@ def _anchor_message(width: int):
         order = np.lexsort((ids, w.anchor))
         a, d = w.anchor[order], ids[order]
         if not len(a):
-            return a, lambda x, y: A.pack_bits(np.zeros(0, dtype=bool))
+            return a, [d]
         cut = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
-        several = np.maximum.reduceat(d, cut) != np.minimum.reduceat(d, cut)
-        return a[cut], lambda x, y: A.pack_bits(several[x:y])
+        return a[cut], [np.maximum.reduceat(d, cut) != np.minimum.reduceat(d, cut)]
 
     return make
 
 
-def _merge(shard_bits: int):
+def _merge(shard: int, blocks: list, keys: list, columns: list) -> tuple:
     """One shard: merge-join the batch's sorted arrays with the sorted runs of the past, and make the batch's run."""
-
-    def run(table: pa.Table) -> pa.Table:
-        shard = table["shard"][0].as_py()
-        base = A.U(shard) << A.U(64 - shard_bits)
-        now, past = [], []
-        for block, keys, extra, owners in zip(*(table[c].to_pylist() for c in ("block", "keys", "extra", "owners"))):
-            if block is None:
-                past.append((A.unpack_sorted(keys), A.unpack(owners)))
-            else:
-                now.append((block, A.unpack_sorted(keys) + base, A.unpack_bits(extra)))
-        none = np.zeros(0, dtype=A.U)
-        keys = np.concatenate([none, *(k for _, k, _ in now)])
-        several = np.concatenate([np.zeros(0, dtype=np.int64), *(s.astype(np.int64) for _, _, s in now)])
-        owner = np.concatenate([none, *(np.full(len(k), b, dtype=A.U) for b, k, _ in now)])
-        order = np.argsort(keys, kind="stable")
-        keys, owner, several = keys[order], owner[order], several[order]
-        fresh, n, more = A.sum_by_key(keys, np.ones(len(keys), dtype=np.int64), several)
-        shared = (n > 1) | (more > 0)
-        rows = []
-        old_hits: dict[int, list[np.ndarray]] = {}
-        for old, owners in past:  # both sides ascend: a merge join
-            if not len(fresh) or not len(old):
-                continue
-            at = np.minimum(np.searchsorted(fresh, old), len(fresh) - 1)
-            met = fresh[at] == old
-            shared[at[met]] = True
-            by = np.argsort(owners[met], kind="stable")
-            blocks, cut = np.unique(owners[met][by], return_index=True)
-            for b, part in zip(blocks.tolist(), np.split(old[met][by], cut[1:])):
-                old_hits.setdefault(b, []).append(np.unique(part))
-        for block, own, _ in now:
-            rows.append((block, A.pack_bits(shared[np.searchsorted(fresh, own)]), None, None))
-        for block, parts in old_hits.items():
-            rows.append((block, A.pack_sorted(np.unique(np.concatenate(parts))), None, None))
-        rows.append((None, None, A.pack_sorted(keys), A.pack(owner)))
-        block, reply, run_keys, owners = zip(*rows)
-        return pa.table(
-            {
-                "block": pa.array(block, type=pa.int64()),
-                "shard": pa.array([shard] * len(rows), type=pa.int32()),
-                "reply": pa.array(reply, type=pa.binary()),
-                "keys": pa.array(run_keys, type=pa.binary()),
-                "owners": pa.array(owners, type=pa.binary()),
-            }
-        )
-
-    return run
-
-
-def _shared_keys(w: Words, replies: list[bytes], new: bool) -> np.ndarray:
-    if not replies:
+    none = np.zeros(0, dtype=A.U)
+    now = [(b, k, c[0]) for b, k, c in zip(blocks, keys, columns) if b != B.EXTRA]
+    past = [(k, c[0]) for b, k, c in zip(blocks, keys, columns) if b == B.EXTRA]
+    all_keys = np.concatenate([none, *(k for _, k, _ in now)])
+    several = np.concatenate([none, *(s for _, _, s in now)]).astype(np.int64)
+    owner = np.concatenate([none, *(np.full(len(k), b, dtype=A.U) for b, k, _ in now)])
+    order = np.argsort(all_keys, kind="stable")
+    all_keys, owner, several = all_keys[order], owner[order], several[order]
+    fresh, n, more = A.sum_by_key(all_keys, np.ones(len(all_keys), dtype=np.int64), several)
+    shared = (n > 1) | (more > 0)
+    old_hits: dict[int, list[np.ndarray]] = {}
+    for old, owners in past:  # both sides ascend: a merge join
+        if not len(fresh) or not len(old):
+            continue
+        at = np.minimum(np.searchsorted(fresh, old), len(fresh) - 1)
+        met = fresh[at] == old
+        shared[at[met]] = True
+        by = np.argsort(owners[met], kind="stable")
+        found, cut = np.unique(owners[met][by], return_index=True)
+        for b, part in zip(found.tolist(), np.split(old[met][by], cut[1:])):
+            old_hits.setdefault(b, []).append(np.unique(part))
+    to = [b for b, _, _ in now] + list(old_hits)
+    replies = [[shared[np.searchsorted(fresh, own)]] for _, own, _ in now] + [[np.unique(np.concatenate(x))] for x in old_hits.values()]
+    return to, replies, (A.pack_sorted(all_keys), A.pack(owner), None) if now else None
+
+
+def _shared_keys(w: Words, reply: list[np.ndarray], new: bool) -> np.ndarray:
+    if not reply:
         return np.zeros(0, dtype=A.U)
-    if not new:
-        return np.concatenate([A.unpack_sorted(x) for x in replies])
-    return np.unique(w.anchor)[np.concatenate([A.unpack_bits(x) for x in replies])]
+    return np.unique(w.anchor)[reply[0].astype(bool)] if new else reply[0]
 
 
 def _window_message(width: int, group: int):
@@ -134,39 +107,22 @@ def _window_message(width: int, group: int):
         w = Words(block, width)
         _, keys, checks, ids = w.candidates(_shared_keys(w, replies[0], block.block >> 48 == group))
         use, _ = _entries(keys, checks, ids)
-        keys, checks, ids = keys[use], checks[use], ids[use].astype(A.U) ^ A.U(1 << 63)
-
-        def extra(x: int, y: int) -> bytes:
-            if x == y:
-                return b""
-            low = ids[x:y].min()
-            parts = A.pack(checks[x:y]), A.pack(ids[x:y] - low)
-            return int(low).to_bytes(8, "little") + len(parts[0]).to_bytes(8, "little") + parts[0] + parts[1]
-
-        return keys, extra
+        return keys[use], [checks[use], ids[use].astype(A.U) ^ A.U(1 << 63)]
 
     return make
 
 
-def _verify(table: pa.Table) -> pa.Table:
+def _verify(shard: int, blocks: list, keys: list, columns: list) -> tuple:
     """One shard of exact windows: those that a smaller id has too."""
-    blocks = table["block"].to_pylist()
-    keys, checks, ids = [], [], []
-    for k, x in zip(table["keys"].to_pylist(), table["extra"].to_pylist()):
-        keys.append(A.unpack_sorted(k))
-        n = int.from_bytes(x[8:16], "little")
-        checks.append(A.unpack(x[16 : 16 + n]) if x else np.zeros(0, dtype=A.U))
-        ids.append(A.unpack(x[16 + n :]) + A.U(int.from_bytes(x[:8], "little")) if x else np.zeros(0, dtype=A.U))
     sizes = np.cumsum([len(k) for k in keys])
-    k, c, d = np.concatenate(keys), np.concatenate(checks), np.concatenate(ids)
+    k, c, d = (np.concatenate(x) for x in (keys, [x[0] for x in columns], [x[1] for x in columns]))
     order = np.lexsort((d, c, k))
     k, c, d = k[order], c[order], d[order]
+    new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
+    least = d[np.flatnonzero(new)][np.cumsum(new) - 1]
     dup = np.zeros(len(k), dtype=bool)
-    if len(k):
-        new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
-        least = d[np.flatnonzero(new)][np.cumsum(new) - 1]
-        dup[order] = d > least
-    return pa.table({"block": table["block"], "shard": table["shard"], "reply": pa.array([A.pack_bits(x) for x in np.split(dup, sizes[:-1])][: len(blocks)], type=pa.binary())})
+    dup[order] = d > least
+    return blocks, [[x] for x in np.split(dup, sizes[:-1])], None
 
 
 def _remove(width: int, group: int, keep_text: bool):
@@ -174,7 +130,7 @@ def _remove(width: int, group: int, keep_text: bool):
         w = Words(block, width)
         at, keys, checks, ids = w.candidates(_shared_keys(w, replies[0], True))
         _, place = _entries(keys, checks, ids)
-        dup = np.concatenate([A.unpack_bits(x) for x in replies[1]]) if replies[1] else np.zeros(0, dtype=bool)
+        dup = replies[1][0].astype(bool) if replies[1] else np.zeros(0, dtype=bool)
         edge = np.zeros(len(w.starts) + width + 1, dtype=np.int32)
         hit = at[dup[place]] if len(at) else at
         np.add.at(edge, hit, 1)
@@ -204,34 +160,31 @@ def _remove(width: int, group: int, keep_text: bool):
     return make
 
 
-def _split_runs(shard_bits: int):
-    """Deal the runs' arrays to the shards of this call; their number grows with the index."""
+def _split_runs(bits: int):
+    """Deal the runs' arrays to the shards of this call, as messages of no block; the shards' number grows with the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for keys, owners in zip(batch["keys"].to_pylist(), batch["owners"].to_pylist()):
-                keys, owners = A.unpack_sorted(keys), A.unpack(owners)
-                cuts = B.split_by_shard(keys, 64, shard_bits)
-                use = [i for i in range(1 << shard_bits) if cuts[i + 1] > cuts[i]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(use, type=pa.int32()),
-                        pa.array([None] * len(use), type=pa.int64()),
-                        pa.array([A.pack_sorted(keys[cuts[i] : cuts[i + 1]]) for i in use], type=pa.binary()),
-                        pa.array([None] * len(use), type=pa.binary()),
-                        pa.array([A.pack(owners[cuts[i] : cuts[i + 1]]) for i in use], type=pa.binary()),
-                    ],
-                    ["shard", "block", "keys", "extra", "owners"],
-                )
+                parts = list(B.cut(A.unpack_sorted(keys), [A.unpack(owners)], 64, bits))
+                column = lambda i: pa.array([[x[i]] for x in parts], type=pa.list_(pa.binary()))  # noqa: B023, E731
+                none = pa.array([0] * len(parts), type=pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in parts], type=pa.int64()), none, pa.array([[B.EXTRA]] * len(parts), type=pa.list_(pa.int64())), column(1), column(2)], ["shard", "slot", "blocks", "keys", "extra"])
 
     return run
 
 
-def _compacted(table: pa.Table) -> pa.Table:
-    keys = np.concatenate([A.unpack_sorted(x) for x in table["keys"].to_pylist()])
-    owners = np.concatenate([A.unpack(x) for x in table["owners"].to_pylist()])
-    order = np.argsort(keys, kind="stable")
-    return pa.table({"shard": table["shard"][:1], "keys": pa.array([A.pack_sorted(keys[order])], type=pa.binary()), "owners": pa.array([A.pack(owners[order])], type=pa.binary())})
+def _compacted(bits: int):
+    """One shard's part of several runs as one sorted run."""
+
+    def run(table: pa.Table) -> pa.Table:
+        shard = table["shard"][0].as_py()
+        keys = np.concatenate([B.opened_keys(x[0], shard, 64, bits) for x in table["keys"].to_pylist()])
+        owners = np.concatenate([A.unpack_columns(x[0])[0] for x in table["extra"].to_pylist()])
+        order = np.argsort(keys, kind="stable")
+        return pa.table({"shard": table["shard"][:1], "keys": pa.array([A.pack_sorted(keys[order])], type=pa.binary()), "owners": pa.array([A.pack(owners[order])], type=pa.binary())})
+
+    return run
 
 
 class FingerprintIndex:
@@ -254,8 +207,8 @@ class FingerprintIndex:
 
         A word goes if a window of width words over it also starts in a document with a
         smaller id, in this batch or any before it. Matching fingerprints only nominate
-        windows: these are then compared by 96 bits of their own words, with those of all
-        blocks that own the fingerprint, old and new. Batches are to come in ascending
+        windows: these are then verified by 128 bits of their own words (of two independent
+        word hashes), with those of all blocks that own the fingerprint, old and new. Batches are to come in ascending
         order of ids; results given for earlier batches stay as they were.
 
         Null texts have no words. A null id is larger than all others, and equal ids don't
@@ -267,23 +220,21 @@ class FingerprintIndex:
         ws = Workspace(spark, "dedup")
         new = B.write_blocks(docs, Workspace(spark, "", store.path("texts")), f"{group:06d}", id_col, text_col, group=group)
         texts = spark.read.schema(B.BLOCK_SCHEMA).parquet(*(store.path(f"texts/{t}") for t in [*old, f"{group:06d}"]))
-        size = B.corpus_bytes(texts)
-        shard = B.shard_bits(size)
-        told = B.messages(new, _anchor_message(width), 64, shard).withColumn("owners", F.lit(None).cast("binary"))
+        size = B.size_of(texts)
         runs = self.runs()
+        more = None
         if runs:
             past = spark.read.schema(RUN_SCHEMA).parquet(*(store.path(f"runs/{r}") for r in runs))
-            told = told.unionByName(past.select("keys", "owners").mapInArrow(_split_runs(shard), told.schema))
-        merged = ws.write(told.groupBy("shard").applyInArrow(_merge(shard), MERGE_SCHEMA), "merged")
-        merged.filter("block is null").select("shard", "keys", "owners").write.mode("overwrite").parquet(store.path(f"runs/l0-{group:06d}"))
-        told = merged.filter("block is not null").select("block", "shard", "reply")
+            more = past.select("keys", "owners").mapInArrow(_split_runs(size.shard_bits), B.MESSAGE_SCHEMA)
+        told, kept = B.exchange(new, _anchor_message(width), _merge, bits=64, size=size, ws=ws, name="merged", more=more)
+        kept.filter("keys is not null").select("shard", "keys", F.col("extra").alias("owners")).write.mode("overwrite").parquet(store.path(f"runs/l0-{group:06d}"))
         asked = B.with_replies(new, told, "replies0")
         if old:
             past_texts = spark.read.schema(B.BLOCK_SCHEMA).parquet(*(store.path(f"texts/{t}") for t in old))
             hits = told.filter((F.shiftright("block", 48)) != group)
             asked = asked.unionByName(B.with_replies(past_texts, hits, "replies0").filter("replies0 is not null"))
-        exact = B.messages(asked, _window_message(width, group), 64, shard).groupBy("shard").applyInArrow(_verify, B.REPLY_SCHEMA)
-        exact = ws.write(exact.filter(F.shiftright("block", 48) == group), "exact")
+        exact, _ = B.exchange(asked, _window_message(width, group), _verify, bits=64, size=size, ws=ws, name="exact")
+        exact = exact.filter(F.shiftright("block", 48) == group)
         rows = B.each_block(B.with_replies(B.with_replies(new, told, "replies0"), exact, "replies1"), _remove(width, group, keep_text), RESULT_SCHEMA)
         self.compact()
         return rows
@@ -296,9 +247,9 @@ class FingerprintIndex:
             own = [r for r in self.runs() if r.startswith(f"l{level}-")]
             if len(own) >= self.fanout:
                 rows = spark.read.schema(RUN_SCHEMA).parquet(*(store.path(f"runs/{r}") for r in own))
-                shard = B.shard_bits(B.corpus_bytes(spark.read.schema(B.BLOCK_SCHEMA).parquet(store.path("texts/*"))))
-                split = rows.select("keys", "owners").mapInArrow(_split_runs(shard), "shard int, block bigint, keys binary, extra binary, owners binary").select("shard", "keys", "owners")
-                split.groupBy("shard").applyInArrow(_compacted, RUN_SCHEMA).write.mode("overwrite").parquet(store.path(f"merging/l{level + 1}-{own[-1].split('-')[1]}"))
+                bits = B.size_of(spark.read.schema(B.BLOCK_SCHEMA).parquet(store.path("texts/*"))).shard_bits
+                split = rows.select("keys", "owners").mapInArrow(_split_runs(bits), B.MESSAGE_SCHEMA)
+                split.groupBy("shard").applyInArrow(_compacted(bits), RUN_SCHEMA).write.mode("overwrite").parquet(store.path(f"merging/l{level + 1}-{own[-1].split('-')[1]}"))
                 store.move(f"merging/l{level + 1}-{own[-1].split('-')[1]}", f"runs/l{level + 1}-{own[-1].split('-')[1]}")
                 for r in own:
                     store.drop(f"runs/{r}")
