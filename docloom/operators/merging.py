@@ -19,9 +19,27 @@ def _sides(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return a.join(b, list(keys), "full_outer")
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], combine: dict[str, Callable[[Column, Column], Column]] | None = None) -> DataFrame:
-    """Rows of both; a key on both sides takes the new values, or combine[column](old, new)."""
+def latest(new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row for each key: the last by order, as if rows were written one after another.
+
+    The row with the greatest order columns wins; a maximum of structs combines copies
+    before the shuffle, so that a key with many rows is one row a task. Columns that can't
+    be compared (maps) may not be part of the table.
+    """
+    rest = [c for c in new.columns if c not in keys and c not in order]
+    best = new.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("__best"))
+    return best.select(*(F.col(c) if c in keys else F.col(f"__best.{c}") for c in new.columns))
+
+
+def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], combine: dict[str, Callable[[Column, Column], Column]] | None = None, order: Sequence[str] | None = None) -> DataFrame:
+    """Rows of both; a key on both sides takes the new values, or combine[column](old, new).
+
+    Keys must be unique in new, unless order is given: then the last row of each key by
+    these columns of new counts (see latest). order may name columns that old lacks.
+    """
     combine = combine or {}
+    if order:
+        new = latest(new, keys, order).select(*old.columns)
 
     def value(c: str) -> Column:
         both = combine[c](F.col(f"old.{c}"), F.col(f"new.{c}")) if c in combine else F.col(f"new.{c}")
@@ -87,6 +105,20 @@ def scd2_merge(old: DataFrame, new: DataFrame, keys: Sequence[str], value: str,
     )
 
 
+def run_key(*parts: Column) -> Column:
+    """A run's id from what it is a run of: the same on every attempt, so that facts can point to a row not yet written."""
+    return F.sha2(F.concat_ws("\n", *parts), 256)
+
+
+def upsert_runs(old: DataFrame, new: DataFrame, facts: DataFrame, keys: Sequence[str] = ("analysis_hash", "model")) -> tuple[DataFrame, DataFrame]:
+    """Runs merged by keys with their run_id, and facts (which have the keys) with the run_id of their run.
+
+    Facts of a run that new replaces are to be deleted by the same ids (scoped_delete).
+    """
+    named = new.withColumn("run_id", run_key(*(F.col(k) for k in keys)))
+    return upsert(old, named.select(*old.columns), keys), facts.join(named.select(*keys, "run_id"), list(keys))
+
+
 def add_missing_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """ADD COLUMN IF NOT EXISTS."""
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
@@ -130,6 +162,16 @@ class SnapshotTable:
         files.delete(path, True)
 
 
+def dump(tables: dict[str, SnapshotTable], target: str, stamp: str) -> list[str]:
+    """Copy the current snapshot of each table that exists to target/name_stamp, compressed; the folders written."""
+    out = []
+    for name, table in tables.items():
+        if table.exists():
+            table.read().write.option("compression", "zstd").parquet(f"{target.rstrip('/')}/{name}_{stamp}")
+            out.append(f"{name}_{stamp}")
+    return out
+
+
 def reset(tables: dict[str, SnapshotTable], published: Sequence[str] = (), *, include_published: bool = False, execute: bool = False) -> list[tuple[str, int]]:
     """Names and row counts of the tables that are (or, without execute, would be) emptied; missing ones are skipped."""
     chosen = [n for n in tables if (include_published or n not in published) and tables[n].exists()]

@@ -39,8 +39,9 @@ def quality_dedup(df: DataFrame, keys: Sequence[str], ranks: Sequence[str], tie:
 
 def argmax_by_priority(groups: DataFrame, items: DataFrame, key: str, code: str, priorities: dict[str, int], absent: Column) -> DataFrame:
     """The code of highest priority for each row of groups; absent for groups without a known code. Equal priorities: the smallest code."""
-    table = F.create_map(*(F.lit(x) for kv in priorities.items() for x in kv))
-    best = items.withColumn("__p", table[F.col(code)]).filter("__p is not null").groupBy(key).agg(F.max("__p").alias("__p"), F.count("*").alias("n_items"))
-    named = items.withColumn("__p", table[F.col(code)]).groupBy(key, "__p").agg(F.min(code).alias("best_code"))
-    won = best.join(named, [key, "__p"]).select(key, "best_code", "n_items")
+    rank = {c: i for i, c in enumerate(sorted(sorted(priorities, reverse=True), key=priorities.__getitem__))}  # the best code has the greatest rank
+    names = F.array(*(F.lit(c) for c in rank))
+    table = F.create_map(*(F.lit(x) for kv in rank.items() for x in kv))
+    won = items.select(key, table[F.col(code)].alias("__r")).filter("__r is not null").groupBy(key).agg(F.max("__r").alias("__r"), F.count("*").alias("n_items"))
+    won = won.select(key, F.get(names, F.col("__r")).alias("best_code"), "n_items")
     return groups.join(won, key, "left").withColumn("best_code", F.coalesce("best_code", absent)).withColumn("n_items", F.coalesce("n_items", F.lit(0)))

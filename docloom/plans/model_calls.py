@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from docloom._ship import ensure_importable
 
-RUN_SCHEMA = "analysis_hash string, model string, status string, response string, errors array<string>, attempts int"
+RUN_SCHEMA = "analysis_hash string, model string, status string, response string, facts string, errors array<string>, attempts int"
 
 
 class Client(Protocol):
@@ -80,24 +80,30 @@ def parse_answer(text: str) -> dict:
 
 
 def ask(client: Client, prompt: str, validate: Callable[[dict], tuple[list, list[str]]], retries: int = 2, wait: float = 0) -> dict:
-    """One case: success, review (some facts wrong) or error. Wrong answers are asked again with what was wrong."""
-    status, errors, response, now = "error", ["not asked"], None, prompt
-    for attempt in range(1, retries + 2):
+    """One case: success, review (some facts wrong) or error, with the valid facts. Wrong answers are asked again with what was wrong."""
+    out = {"status": "error", "response": None, "facts": [], "errors": ["not asked"], "attempts": 0}
+    now = prompt
+    while out["attempts"] <= retries and out["status"] != "success":
+        out["attempts"] += 1
         try:
-            response = client(now)
-            _, errors = validate(parse_answer(response))
-            status = "review" if errors else "success"
-            now = f"{prompt}\n\nYour last answer had errors: {'; '.join(errors)}"
-        except ValueError as e:
-            status, errors = "error", [str(e)]
-            now = f"{prompt}\n\nYour last answer was not valid JSON: {e}"
+            out["response"] = client(now)
+            out |= judged(out["response"], validate)
+            now = f"{prompt}\n\nYour last answer had errors: {'; '.join(out['errors'])}"
         except Exception as e:  # noqa: BLE001  network and server errors are retried as they are
-            status, errors, now = "error", [f"{type(e).__name__}: {e}"], prompt
+            out |= {"status": "error", "facts": [], "errors": [f"{type(e).__name__}: {e}"]}
+            now = prompt
         if wait:
             time.sleep(wait)
-        if status == "success":
-            break
-    return {"status": status, "response": response, "errors": errors, "attempts": attempt}
+    return out
+
+
+def judged(response: str | None, validate: Callable[[dict], tuple[list, list[str]]]) -> dict:
+    """status, facts and errors of an answer; one that can't be read is an error without facts."""
+    try:
+        facts, errors = validate(parse_answer(response or ""))
+    except ValueError as e:
+        return {"status": "error", "facts": [], "errors": [str(e)]}
+    return {"status": "review" if errors else "success", "facts": facts, "errors": errors}
 
 
 def wanted(status: Column, mode: str = "incomplete", force: bool = False) -> Column:
@@ -130,7 +136,40 @@ def run_cases(cases: DataFrame, make_client: Callable[[], Client], model: str, v
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
         for frame in frames:
-            rows = [{"analysis_hash": h, "model": model, **ask(client, p, lambda a, c=c: validate(a, json.loads(c)), retries, wait)} for h, p, c in zip(frame["analysis_hash"], frame["prompt"], frame["context"])]
-            yield pd.DataFrame(rows, columns=["analysis_hash", "model", "status", "response", "errors", "attempts"])
+            rows = [_row(h, model, ask(client, p, lambda a, c=c: validate(a, json.loads(c)), retries, wait)) for h, p, c in zip(frame["analysis_hash"], frame["prompt"], frame["context"])]
+            yield pd.DataFrame(rows, columns=_COLUMNS)
 
     return cases.select("analysis_hash", "prompt", "context").repartition(partitions).mapInPandas(run, RUN_SCHEMA)
+
+
+_COLUMNS = [x.split()[0] for x in RUN_SCHEMA.split(", ")]
+
+
+def _row(analysis_hash: str, model: str, answer: dict) -> dict:
+    return {"analysis_hash": analysis_hash, "model": model, **answer, "facts": json.dumps(answer["facts"], ensure_ascii=False)}
+
+
+def revalidated(runs: DataFrame, contexts: DataFrame, validate: Callable[[dict, dict], tuple[list, list[str]]], leave_unreadable: bool = False) -> DataFrame:
+    """Stored runs judged again by today's validator, without any call; contexts: (analysis_hash, context).
+
+    Runs of other cases stay as they are, as runs without an answer do. An answer that
+    can't be read becomes an error without facts, or is left as it was. changed tells
+    which runs differ; nothing is written here.
+    """
+    ensure_importable(runs.sparkSession)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                old = {c: row[c] for c in _COLUMNS} | {"errors": list(row["errors"]) if row["errors"] is not None else None}
+                new = dict(old)
+                if row["response"] is not None and row["context"] is not None:
+                    told = judged(row["response"], lambda a: validate(a, json.loads(row["context"])))  # noqa: B023
+                    if not (leave_unreadable and told["status"] == "error"):
+                        new |= told | {"facts": json.dumps(told["facts"], ensure_ascii=False)}
+                out.append(new | {"changed": new != old})
+            yield pd.DataFrame(out, columns=[*_COLUMNS, "changed"])
+
+    joined = runs.select(*_COLUMNS).join(contexts.select("analysis_hash", "context"), "analysis_hash", "left")
+    return joined.mapInPandas(run, RUN_SCHEMA + ", changed boolean")

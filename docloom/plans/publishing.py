@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docloom._ship import ensure_importable
 from docloom.operators.ranking import chosen_then_join, preference_rank, quality_dedup
 
 
@@ -39,14 +42,6 @@ def ranked_notes(facts: DataFrame, keys: Sequence[str], models: Sequence[str], s
     return quality_dedup(scored, keys, ["__m", "__s", "__k", "__l"], ["fact_hash", "block_id"]).drop("__m", "__s", "__k", "__l")
 
 
-def merged_statements(candidates: DataFrame, llm: DataFrame) -> DataFrame:
-    """The model's classification where the rules asked for one, else the rules'."""
-    joined = candidates.join(llm.select("statement_hash", F.col("classification_code").alias("__code")), "statement_hash", "left")
-    code = F.when(F.col("requires_llm"), F.coalesce("__code", F.lit("UNCLASSIFIABLE"))).otherwise(F.col("rule_code"))
-    method = F.when(F.col("requires_llm") & F.col("__code").isNotNull(), "LLM").when(F.col("requires_llm"), "UNCLASSIFIED").when(F.col("rule_code").isNotNull(), "RULE").otherwise("SOURCE")
-    return joined.withColumn("code", code).withColumn("extraction_method", method).withColumn("review_status", F.when(code.eqNullSafe("UNCLASSIFIABLE"), "NEEDS_REVIEW").otherwise("AUTO")).drop("__code")
-
-
 def review_cases(runs: DataFrame, models: Sequence[str], human: str = "human-review") -> DataFrame:
     """The run to show a reviewer for each case without any success: the first model with review, else with error."""
     done = runs.filter((F.col("status") == "success") & F.col("model").isin(human, *models)).select("analysis_hash").distinct()
@@ -55,18 +50,57 @@ def review_cases(runs: DataFrame, models: Sequence[str], human: str = "human-rev
     return open_runs.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n").withColumn("decision", F.lit("PENDING"))
 
 
-def review_errors(decisions: DataFrame, current: DataFrame) -> DataFrame:
-    """(analysis_hash, error) of imported decisions that can't be taken over; nothing is written unless this is empty."""
-    known = current.select("analysis_hash", F.col("run_id").alias("__run")).distinct()
-    d = decisions.filter(~F.upper(F.trim(F.coalesce("decision", F.lit("")))).isin("", "PENDING")).join(known, "analysis_hash", "left")
-    up = F.upper(F.trim("decision"))
-    blank: Column = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
-    checks = {
-        "unknown decision": ~up.isin("APPROVE", "EXCLUDE"),
-        "no reviewer": blank("reviewer"),
-        "EXCLUDE without a comment": (up == "EXCLUDE") & blank("comment"),
-        "APPROVE without a fact": (up == "APPROVE") & (F.coalesce("n_included", F.lit(0)) < 1),
-        "not current": ~F.col("__run").eqNullSafe(F.col("run_id")),
+def proposed_facts(cases: DataFrame, runs: DataFrame, schema: str) -> DataFrame:
+    """The facts of the run shown for each review case, numbered, not included yet; one blank row for a case without any."""
+    facts = runs.select("analysis_hash", "model", F.from_json("facts", f"array<{schema}>").alias("__f"))
+    rows = cases.select("analysis_hash", "model").join(facts, ["analysis_hash", "model"], "left").select("analysis_hash", F.posexplode_outer("__f").alias("__i", "__fact"))
+    return rows.select("analysis_hash", (F.coalesce("__i", F.lit(0)) + 1).alias("fact_no"), "__fact.*", F.lit("FALSE").alias("include"))
+
+
+def review_import(decisions: DataFrame, facts: DataFrame, current: DataFrame, runs: DataFrame, validate: Callable[[list[dict], dict], tuple[list[dict], list[str]]], human: str = "human-review") -> tuple[DataFrame, DataFrame]:
+    """(errors, runs to write) of reviewed cases.
+
+    decisions: analysis_hash, decision, reviewer, comment, run_id, source_model. facts:
+    analysis_hash, include and fact (JSON). current: the case as it stands now:
+    analysis_hash and context (JSON, what validate needs). runs: analysis_hash, run_id and
+    model of stored runs. Undecided cases are left out. Runs are those of the model human,
+    with status success, the included and valid facts as JSON, reviewer, comment and
+    decision; they may be written only if there is no error at all.
+    """
+    ensure_importable(decisions.sparkSession)
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    decided = decisions.withColumn("decision", F.upper(text("decision"))).filter("decision not in ('', 'PENDING')")
+    chosen = facts.filter(F.upper(text("include")).isin("TRUE", "1", "YES", "Y")).groupBy("analysis_hash").agg(F.collect_list("fact").alias("chosen"))
+    source = runs.select("analysis_hash", "run_id", F.col("model").alias("source_model"), F.lit(True).alias("__source"))
+    now = current.select("analysis_hash", "context").dropDuplicates(["analysis_hash"])
+    cases = decided.join(chosen, "analysis_hash", "left").join(now, "analysis_hash", "left").join(source, ["analysis_hash", "run_id", "source_model"], "left")
+    tests = {
+        "unknown decision": ~F.col("decision").isin("APPROVE", "EXCLUDE"),
+        "no reviewer": text("reviewer") == "",
+        "EXCLUDE without a comment": (F.col("decision") == "EXCLUDE") & (text("comment") == ""),
+        "APPROVE without a fact": (F.col("decision") == "APPROVE") & F.col("chosen").isNull(),
+        "the case is no longer current": F.col("context").isNull(),
+        "the source run isn't stored": F.col("__source").isNull(),
     }
-    found = F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in checks.items())))
-    return d.select("analysis_hash", F.explode(found).alias("error"))
+    cases = cases.withColumn("errors", F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in tests.items()))))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                errors, valid = list(row["errors"]), []
+                if not errors and row["decision"] == "APPROVE":
+                    try:
+                        valid, errors = validate([json.loads(x) for x in row["chosen"]], json.loads(row["context"]))
+                    except ValueError as e:
+                        errors = [f"a fact isn't JSON: {e}"]
+                out.append((row["analysis_hash"], human, "success", json.dumps(valid, ensure_ascii=False), row["decision"], row["reviewer"], row["comment"], errors))
+            yield pd.DataFrame(out, columns=["analysis_hash", "model", "status", "facts", "decision", "reviewer", "comment", "errors"])
+
+    judged = cases.select("analysis_hash", "decision", "reviewer", "comment", "chosen", "context", "errors").mapInPandas(run, "analysis_hash string, model string, status string, facts string, decision string, reviewer string, comment string, errors array<string>")
+    return judged.select("analysis_hash", F.explode("errors").alias("error")), judged.drop("errors")
+
+
+def three_way(runs: DataFrame, candidates: DataFrame, blocks: DataFrame, keys: Sequence[str] = ("content_hash", "note_type", "definition_version")) -> DataFrame:
+    """Runs with every candidate of the same content and definition and the block it stands in."""
+    return runs.join(candidates, list(keys)).join(blocks, "block_id")

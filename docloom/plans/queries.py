@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docloom.functions import hashing, rules, text
-from docloom.operators import merging, ranking
-from docloom.plans import publishing
+from docloom.operators import filters, merging, ranking
+from docloom.plans import incremental, publishing, serving, statements
 from docloom.plans.model_calls import from_other_model, wanted
 from docloom.sources import files, xml_tree
 
@@ -28,16 +28,28 @@ def query(sql: str | None = None):
     return add
 
 
+def _word(words: str) -> str:
+    """One of the words, with no letter, digit or underscore of any script beside it: engines differ in what ends a word."""
+    return rf"(^|[^\p{{L}}\p{{N}}_])({words})([^\p{{L}}\p{{N}}_]|$)"
+
+
 #: The flagship query's rules for English text; the first that matches decides.
 RULES = [
-    rules.Rule("(?i)\\bnot\\b", {"kind": "NEGATION", "code": "AVOID"}),
-    rules.Rule("(?i)\\b(from|with)\\b", {"kind": "SOURCE", "code": "CAUTION"}),
-    rules.Rule("(?i)\\b(is|was|be)\\b", {"kind": "STATEMENT", "code": "ACCEPT"}),
+    rules.Rule(f"(?iu){_word('not')}", {"kind": "NEGATION", "code": "AVOID"}),
+    rules.Rule(f"(?iu){_word('from|with')}", {"kind": "SOURCE", "code": "CAUTION"}),
+    rules.Rule(f"(?iu){_word('is|was|be')}", {"kind": "STATEMENT", "code": "ACCEPT"}),
 ]
 NO_RULE = {"kind": "OTHER", "code": None}
 PRIORITY = {"AVOID": 90, "CAUTION": 60, "ACCEPT": 20}
-_RULE_SQL = """case when regexp_matches(s, '(?i)\\bnot\\b') then 'AVOID' when regexp_matches(s, '(?i)\\b(from|with)\\b') then 'CAUTION'
- when regexp_matches(s, '(?i)\\b(is|was|be)\\b') then 'ACCEPT' end"""
+
+
+def _rule_sql(text: str, answers: list[str], other: str) -> str:
+    tests = [f"when regexp_matches({text}, '(?i){_word(w)}') then {a}" for w, a in zip(("not", "from|with", "is|was|be"), answers)]
+    return f"case {' '.join(tests)} else {other} end"
+
+
+_RULE_SQL = _rule_sql("s", ["'AVOID'", "'CAUTION'", "'ACCEPT'"], "null")
+_KIND_SQL = _rule_sql("text", [str({"kind": r.values["kind"], "code": r.values["code"]}) for r in RULES], "{'kind': 'OTHER', 'code': null}")
 _SENTENCES = "select doc_id, unnest(list_filter(list_transform(string_split(regexp_replace(text, '\\.|\\n+', '\\0' || chr(1), 'g'), chr(1)), lambda x: trim(x, ' ' || chr(10))), lambda x: x <> '')) as s from documents"
 
 
@@ -60,7 +72,7 @@ def sentence_split(t):
     return _sentences(t("documents")).groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("s")).alias("chars"))
 
 
-@query("select s.kind, s.code, count(*) as n from (select case when regexp_matches(text, '(?i)\\bnot\\b') then {'kind': 'NEGATION', 'code': 'AVOID'} when regexp_matches(text, '(?i)\\b(from|with)\\b') then {'kind': 'SOURCE', 'code': 'CAUTION'} when regexp_matches(text, '(?i)\\b(is|was|be)\\b') then {'kind': 'STATEMENT', 'code': 'ACCEPT'} else {'kind': 'OTHER', 'code': null} end as s from conversations) group by all")
+@query(f"select s.kind, s.code, count(*) as n from (select {_KIND_SQL} as s from conversations) group by all")
 def rule_classify(t):
     return t("conversations").select(rules.classify(F.col("text"), RULES, NO_RULE).alias("s")).select("s.*").groupBy("kind", "code").agg(F.count("*").alias("n"))
 
@@ -271,11 +283,17 @@ def unnest_default_row(t):
     return xml_tree.explode_or_default(joined, "brands", {"code": "", "price": 0.0})
 
 
-@query("select * exclude (n) from (select user_id, event_type as model, event_id, row_number() over (partition by user_id order by case when value >= 50 then 0 else 1 end, list_position(['view', 'click'], event_type), event_id) as n from events where event_type in ('view', 'click') and user_id not in (select user_id from events where event_type = 'purchase')) where n = 1")
+_REVIEW_RUNS = "select l_orderkey as analysis_hash, l_linestatus as model, case when max(l_quantity) > 45 then 'success' when max(l_quantity) > 25 then 'review' else 'error' end as status from lineitem group by all"
+
+
+def _review_runs(t) -> DataFrame:
+    best = F.max("l_quantity")
+    return t("lineitem").groupBy(F.col("l_orderkey").alias("analysis_hash"), F.col("l_linestatus").alias("model")).agg(F.when(best > 45, "success").when(best > 25, "review").otherwise("error").alias("status"))
+
+
+@query(f"with runs as ({_REVIEW_RUNS}) select * exclude (n) from (select *, 'PENDING' as decision, row_number() over (partition by analysis_hash order by case status when 'review' then 0 else 1 end, list_position(['O', 'F'], model)) as n from runs where status in ('review', 'error') and analysis_hash not in (select analysis_hash from runs where status = 'success')) where n = 1")
 def review_case_select(t):
-    e = t("events").filter("event_type in ('view', 'click')").withColumn("status", F.when(F.col("value") >= 50, "review").otherwise("error"))
-    open_runs = e.join(t("events").filter("event_type = 'purchase'").select("user_id").distinct(), "user_id", "left_anti")
-    return ranking.distinct_on(open_runs, ["user_id"], [F.when(F.col("status") == "review", 0).otherwise(1), ranking.preference_rank("event_type", ["view", "click"]), "event_id"]).select("user_id", F.col("event_type").alias("model"), "event_id")
+    return publishing.review_cases(_review_runs(t), ["O", "F"])
 
 
 @query("select count(*) as n_bad from orders where trim(o_orderstatus) = '' or o_orderstatus not in ('F', 'O', 'P') or o_totalprice is null")
@@ -305,13 +323,289 @@ def nfkc_normalise(t):
     return t("documents").select("doc_id", F.sha2(text.normalise_nfkc("text"), 256).alias("digest"))
 
 
-@query()
+_CHARS = "select doc_id, regexp_extract_all(text, '(?s).') as c from documents where text <> ''"
+_BLANK = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+
+
+@query(f"""with recursive chars as ({_CHARS}),
+places as (select doc_id, c, len(c) as n, list_filter(range(1, len(c) + 1), lambda i: c[i] in ('.', ' ', chr(10))) as cuts, list_filter(range(len(c)), lambda i: not regexp_matches(c[i + 1], '^{_BLANK}$')) as ink from chars),
+walk(doc_id, step, a, b) as (
+  select doc_id, 0, 0, case when 400 >= n then n else coalesce(list_max(list_filter(cuts, lambda x: x > 266 and x <= 400)), 400) end from places
+  union all
+  select doc_id, step + 1, s, case when s + 400 >= n then n else coalesce(list_max(list_filter(cuts, lambda x: x > s + 266 and x <= s + 400)), s + 400) end
+  from (select w.doc_id, w.step, p.n, p.cuts, coalesce(list_min(list_filter(p.ink, lambda i: i >= greatest(w.a + 1, w.b - 40) and i < w.b)), w.b) as s from walk w join places p on p.doc_id = w.doc_id where w.b < p.n)),
+pieces as (select doc_id, step, a, b, regexp_replace(array_to_string(c[a + 1:b], ''), '^{_BLANK}+|{_BLANK}+$', '', 'g') as text from walk join places using (doc_id))
+select doc_id, cast(row_number() over (partition by doc_id order by step) - 1 as integer) as chunk_no, cast(a as integer) as "start", cast(b as integer) as "end", sha256(text) as digest from pieces where text <> ''""")
 def overlapping_chunks(t):
     return t("documents").select("doc_id", F.posexplode(text.chunk_udf(400, 40, ". \n")("text")).alias("chunk_no", "c")).select("doc_id", "chunk_no", "c.start", "c.end", F.sha2("c.text", 256).alias("digest"))
 
 
-@query()
+_QUOTES = "select doc_id, text, part, regexp_replace(case part when 'start' then substr(text, 1, 40) when 'middle' then substr(text, length(text) // 2 + 1, 60) when 'end' then substr(text, greatest(1, length(text) - 49), 50) else substr(text, 1, 10) || chr(1) end, '\\s', '', 'g') as quote from documents, (select unnest(['start', 'middle', 'end', 'absent']) as part)"
+
+
+@query(f"""select doc_id, part, sha256(case when quote = '' then null when contains(text, quote) then quote else nullif(regexp_extract(text, array_to_string(list_transform(regexp_extract_all(quote, '(?s).'), lambda c: regexp_escape(c)), '{_BLANK}*'), 0), '') end) as digest from ({_QUOTES})""")
 def span_match(t):
-    """The first forty characters, found again without their white space."""
-    quote = F.regexp_replace(F.substring("text", 1, 40), r"\s", "")
-    return t("documents").select("doc_id", text.find_span("text", quote).alias("span"))
+    """Quotations of the start, the middle and the end of each text, found again without their white space, and one that isn't there."""
+    n, x = F.length("text"), F.col("text")
+    quotes = {"start": F.substring(x, 1, 40), "middle": F.substr(x, F.floor(n / 2).cast("int") + 1, F.lit(60)), "end": F.substr(x, F.greatest(F.lit(1), n - 49), F.lit(50)), "absent": F.concat(F.substring(x, 1, 10), F.lit("\x01"))}
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("part"), F.regexp_replace(q, r"\s", "").alias("quote")) for k, q in quotes.items())))
+    return t("documents").select("doc_id", "text", each.alias("q")).select("doc_id", "q.part", F.sha2(text.find_span("text", "q.quote"), 256).alias("digest"))
+
+
+@query(f"with n as (select l_orderkey as k, arg_max(l_returnflag, (l_linenumber, l_returnflag)) as v from lineitem where l_orderkey % 4 <> 0 group by 1) select k, case when n.k is null then o.v else n.v end as v from ({_OLD}) o full join n using (k)")
+def last_wins_upsert(t):
+    """Several new rows of a key: the last by its line counts."""
+    old, _ = _snapshots(t)
+    new = t("lineitem").filter("l_orderkey % 4 <> 0").select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("v"), F.col("l_linenumber").alias("line"))
+    return merging.upsert(old, new, ["k"], order=["line"])
+
+
+@query(f"with runs as ({_REVIEW_RUNS}) select l_orderkey as analysis_hash, l_linestatus as model, l_linenumber as fact_no, sha256(concat_ws(chr(10), l_orderkey, l_linestatus)) as run_id from lineitem join runs on l_orderkey = analysis_hash and l_linestatus = model")
+def facts_with_run_id(t):
+    new = _review_runs(t)
+    old = new.limit(0).withColumn("run_id", F.lit(None).cast("string"))
+    facts = t("lineitem").select(F.col("l_orderkey").alias("analysis_hash"), F.col("l_linestatus").alias("model"), F.col("l_linenumber").alias("fact_no"))
+    return merging.upsert_runs(old, new, facts)[1]
+
+
+@query("select o_orderkey, o_orderstatus from orders where o_orderstatus = 'O' and o_orderpriority in ('1-URGENT', '2-HIGH')")
+def optional_filters(t):
+    wanted_rows = {"o_orderstatus": "O", "o_custkey": None, "o_orderpriority": ["1-URGENT", "2-HIGH"]}
+    return filters.where_given(t("orders"), wanted_rows).select("o_orderkey", "o_orderstatus")
+
+
+@query("select o_orderkey from orders where (o_orderstatus, o_orderpriority) in (('O', '1-URGENT'), ('F', '5-LOW'))")
+def tuple_members(t):
+    return filters.members(t("orders"), ["o_orderstatus", "o_orderpriority"], [("O", "1-URGENT"), ("F", "5-LOW")]).select("o_orderkey")
+
+
+@query("select p_partkey from part where coalesce(nullif(case when p_size < 20 then p_brand else '' end, ''), nullif(case when p_size > 40 then p_type end, '')) is not null")
+def rows_with_text(t):
+    p = t("part").select("p_partkey", F.when(F.col("p_size") < 20, F.col("p_brand")).otherwise("").alias("a"), F.when(F.col("p_size") > 40, F.col("p_type")).alias("b"))
+    return filters.any_text(p, ["a", "b"]).select("p_partkey")
+
+
+_NOTES = """select l_orderkey * 10 + l_linenumber as note_id, cast(l_partkey % 100 as varchar) as package_insert_no, 'drug' || (l_partkey % 100) as generic_name,
+ ['QT_EFFECT', 'ORGAN_IMPAIRMENT', 'METABOLISM_TRANSPORT', 'EXCRETION_ELIMINATION', 'OTHER'][l_suppkey % 5 + 1] as note_type, l_returnflag as relation_type,
+ [null, 'CYP3A4', 'CYP3A', 'UGT1A1'][l_partkey % 4 + 1] as target_code, case when l_quantity = 1 then ' ' else 'note ' || cast(l_quantity as integer) end as note_text,
+ 'm' || (l_linenumber % 2) as model_name, case l_linestatus when 'F' then 'AUTO_VALIDATED' else 'HUMAN_REVIEWED' end as review_status, l_linestatus as evidence_text, l_discount < 0.08 as is_current from lineitem"""
+
+
+def _notes(t) -> DataFrame:
+    pick = lambda names, c: F.get(F.array(*(F.lit(n) for n in names)), F.col(c) % len(names))
+    insert = (F.col("l_partkey") % 100).cast("string")
+    return t("lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("note_id"),
+        insert.alias("package_insert_no"),
+        F.concat(F.lit("drug"), insert).alias("generic_name"),
+        pick([*serving.NOTE_ORDER[:2], *serving.NOTE_ORDER[2:], "OTHER"], "l_suppkey").alias("note_type"),
+        F.col("l_returnflag").alias("relation_type"),
+        pick([None, "CYP3A4", "CYP3A", "UGT1A1"], "l_partkey").alias("target_code"),
+        F.when(F.col("l_quantity") == 1, " ").otherwise(F.concat(F.lit("note "), F.col("l_quantity").cast("int").cast("string"))).alias("note_text"),
+        F.concat(F.lit("m"), (F.col("l_linenumber") % 2).cast("string")).alias("model_name"),
+        F.when(F.col("l_linestatus") == "F", "AUTO_VALIDATED").otherwise("HUMAN_REVIEWED").alias("review_status"),
+        F.col("l_linestatus").alias("evidence_text"),
+        (F.col("l_discount") < 0.08).alias("is_current"),
+    )
+
+
+@query(f"select note_id, note_type, relation_type, target_code, note_text, review_status from ({_NOTES}) where is_current and package_insert_no = '7'")
+def notes_of_insert(t):
+    return serving.notes_of(_notes(t), "7").select("note_id", "note_type", "relation_type", "target_code", "note_text", "review_status")
+
+
+@query(f"select package_insert_no, note_type, relation_type, target_code, note_text from ({_NOTES}) where is_current and package_insert_no = any(['3', '14', '15'])")
+def notes_of_inserts(t):
+    return serving.notes_of_list(_notes(t), ["3", "14", "15"]).select("package_insert_no", "note_type", "relation_type", "target_code", "note_text")
+
+
+@query(f"select package_insert_no, generic_name, relation_type, target_code, note_text from ({_NOTES}) where is_current and note_type = 'METABOLISM_TRANSPORT' and target_code in ('CYP3A', 'CYP3A4', 'CYP3A5')")
+def notes_by_target(t):
+    return serving.notes_by_target(_notes(t), "METABOLISM_TRANSPORT", ["CYP3A", "CYP3A4", "CYP3A5"]).select("package_insert_no", "generic_name", "relation_type", "target_code", "note_text")
+
+
+@query(f"select package_insert_no, generic_name, bool_or(relation_type = 'R') as has_r, bool_or(relation_type = 'A') as has_a from ({_NOTES}) where is_current and note_type = 'QT_EFFECT' group by all")
+def relation_flags(t):
+    return serving.relation_flags(_notes(t), "QT_EFFECT", {"has_r": "R", "has_a": "A"})
+
+
+@query(f"select package_insert_no, '[' || string_agg('{{\"id\":' || note_id || ',\"target\":' || coalesce('\"' || target_code || '\"', 'null') || ',\"claim\":\"' || note_text || '\"}}', ',' order by note_type, relation_type, note_id, target_code nulls first, note_text) || ']' as notes from ({_NOTES}) where is_current group by package_insert_no")
+def notes_as_json(t):
+    return serving.notes_as_json(_notes(t), {"id": "note_id", "target": "target_code", "claim": "note_text"})
+
+
+@query(f"select note_type, model_name, review_status, count(*) as facts, count(distinct package_insert_no) as packages from ({_NOTES}) where is_current group by all")
+def note_counts(t):
+    return serving.note_counts(_notes(t), ["note_type", "model_name", "review_status"])
+
+
+@query(f"select count(*) as invalid_rows from ({_NOTES}) where is_current and (note_text is null or trim(note_text) = '' or evidence_text is null or trim(evidence_text) = '' or review_status not in ('AUTO_VALIDATED'))")
+def invalid_notes(t):
+    return serving.invalid_rows(_notes(t), ["AUTO_VALIDATED"])
+
+
+#: Statements that stand for those of documents: each document gets one, by its id.
+SAMPLES = [
+    "妊婦又は妊娠している可能性のある女性には投与しないこと。", "妊婦には禁忌である。", "妊婦には投与を避けることが望ましい。", "原則として使用しない。", "治療上の有益性が危険性を上回ると判断される場合にのみ投与すること。",
+    "妊婦に投与して差し支えない。", "本剤の投与は慎重に行う。", "ラットで胎児毒性が認められた。", "胎盤を通過することが報告されている。", "ヒトでの報告はない。", "特になし。",
+    "授乳婦には投与してはならない。", "授乳の継続又は中止を検討すること。", "授乳を中止させること。", "授乳婦には投与しないことが望ましい。", "授乳を避けることが望ましい。", "授乳中の女性には使用しないこと。", "授乳をさせないこと。",
+    "授乳を継続できる。", "乳汁中に移行する。", "乳児の状態を観察する。", "HMG-CoA還元酵素阻害剤は禁忌であり、本剤との併用投与は行わない。", "母乳栄養の有益性を考慮し、授乳の継続を考える。", "断乳する。", "投与せずに経過をみる。",
+]
+_POPULATION = "case when doc_id % 2 = 0 then 'PREGNANCY' else 'LACTATION' end"
+_STATEMENTS = f"select doc_id, source, {_POPULATION} as population_type, {SAMPLES!r}[doc_id % {len(SAMPLES)} + 1] as evidence_text from documents"
+
+
+def _statements_sql(field: str) -> str:
+    """The rule tables as SQL. The patterns' lookaheads name what an earlier rule of the same table has taken."""
+    plain = lambda p: "(?is)" + p.replace("(?!が望ましい)", "")
+    value = lambda kind, code=None, target=None, llm=False: {"expression_type": kind, "classification_code": code, "recommendation_target": target, "requires_llm": llm}[field]
+    lit = lambda x: "null" if x is None else f"'{x}'" if isinstance(x, str) else str(x).lower()
+
+    def case(table: list) -> str:
+        tests = [(statements.EXCLUDED, value("OTHER_INFORMATION")), *((p, value("RECOMMENDATION", c, g)) for c, g, p in table), (statements.CUE, value("RECOMMENDATION", "UNCLASSIFIABLE", None, True)), *((p, value(k)) for k, p in statements.EXPRESSIONS)]
+        return "case " + " ".join(f"when regexp_matches(evidence_text, '{plain(p)}') then {lit(v)}" for p, v in tests) + f" else {lit(value('OTHER_INFORMATION'))} end"
+
+    return f"case when population_type = 'PREGNANCY' then {case(statements.PREGNANCY)} else {case(statements.LACTATION)} end as {field}"
+
+
+_CLASSIFIED = f"select *, {', '.join(map(_statements_sql, ('expression_type', 'classification_code', 'recommendation_target', 'requires_llm')))} from ({_STATEMENTS})"
+
+
+def _statements(t) -> DataFrame:
+    sample = F.get(F.array(*(F.lit(s) for s in SAMPLES)), F.col("doc_id") % len(SAMPLES))
+    rows = t("documents").select("doc_id", "source", F.when(F.col("doc_id") % 2 == 0, "PREGNANCY").otherwise("LACTATION").alias("population_type"), sample.alias("evidence_text"))
+    return rows.withColumn("c", statements.classified(F.col("population_type"), F.col("evidence_text"))).select(*rows.columns, "c.*")
+
+
+@query(f"select doc_id, population_type, expression_type, classification_code, recommendation_target, requires_llm from ({_CLASSIFIED})")
+def statement_rules(t):
+    return _statements(t).drop("source", "evidence_text")
+
+
+_SUPPORTED = " or ".join(f"(code = '{c}' and regexp_matches(evidence_text, '(?is){p}'){' and population_type = ' + repr('LACTATION') if c in statements.LACTATION_ONLY else ''})" for c, p in statements.SUPPORT.items())
+
+
+@query(f"select doc_id, code, code = 'UNCLASSIFIABLE' or {_SUPPORTED} as supported from ({_STATEMENTS}), (select unnest({list(statements.CLASSES)!r}) as code)")
+def evidence_support(t):
+    rows = _statements(t).withColumn("code", F.explode(F.array(*(F.lit(c) for c in statements.CLASSES))))
+    return rows.select("doc_id", "code", statements.is_supported(F.col("population_type"), F.col("code"), F.col("evidence_text")).alias("supported"))
+
+
+#: Some statements have an answer of a model, some of two, and some of none.
+_ANSWERS = "select evidence_text as statement_hash, population_type, model, 'AVOID' as classification_code, 'DRUG' as recommendation_target, model || ' says so' as assessment_text from (select distinct evidence_text, population_type from ({0})), (select unnest(['a', 'b']) as model) where length(evidence_text) % 3 > case model when 'a' then 0 else 1 end"
+_LEVEL = "case {0} " + " ".join(f"when '{c}' then '{v[0]}'" for c, v in statements.CLASSES.items()) + " end"
+_TEXT = "case {0} " + " ".join(f"when '{c}' then '{v[1]}'" for c, v in statements.CLASSES.items()) + " end"
+_PUBLISHED = f"""with found as ({_CLASSIFIED}), answers as (select distinct on (statement_hash, population_type) * from ({_ANSWERS.format(_CLASSIFIED)}) order by statement_hash, population_type, model desc),
+pub as (select doc_id as statement_id, source as package_insert_no, f.population_type, f.evidence_text, case when requires_llm and a.model is not null then a.classification_code else f.classification_code end as classification_code,
+ case when requires_llm and a.model is not null then a.recommendation_target else f.recommendation_target end as recommendation_target, requires_llm and a.model is not null as used, a.assessment_text as told from found f left join answers a on a.statement_hash = f.evidence_text and a.population_type = f.population_type)"""
+
+
+def _published(t) -> DataFrame:
+    found = _statements(t).select(F.col("doc_id").alias("statement_id"), F.col("source").alias("package_insert_no"), "population_type", "evidence_text", F.col("evidence_text").alias("statement_hash"), "expression_type", F.col("classification_code").alias("rule_classification"), "recommendation_target", "requires_llm")
+    runs = found.select("statement_hash", "population_type").distinct().withColumn("model", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    runs = runs.withColumns({"status": F.when(F.length("statement_hash") % 3 > F.when(F.col("model") == "a", 0).otherwise(1), "success").otherwise("error"), "run_id": merging.run_key(F.col("statement_hash"), F.col("population_type"), F.col("model"))})
+    facts = runs.select("run_id", F.lit("AVOID").alias("classification_code"), F.lit("DRUG").alias("recommendation_target"), F.concat("model", F.lit(" says so")).alias("assessment_text"))
+    return statements.published(found, statements.model_facts(runs, facts, ["b", "a"]))
+
+
+@query(f"{_PUBLISHED} select statement_id, package_insert_no, population_type, classification_code, recommendation_target, {_LEVEL.format('classification_code')} as display_level, case when {_LEVEL.format('classification_code')} is null then null when used then told else {_TEXT.format('classification_code')} end as assessment_text, case when used then 'LLM' when classification_code is null then 'SOURCE' when classification_code = 'UNCLASSIFIABLE' then 'UNCLASSIFIED' else 'RULE' end as extraction_method, case when classification_code = 'UNCLASSIFIABLE' then 'NEEDS_REVIEW' else 'AUTO_VALIDATED' end as review_status from pub")
+def statement_publish(t):
+    return _published(t).select("statement_id", "package_insert_no", "population_type", "classification_code", "recommendation_target", "display_level", "assessment_text", "extraction_method", "review_status")
+
+
+_PRIORITY_SQL = "case classification_code " + " ".join(f"when '{c}' then {v[2]}" for c, v in statements.CLASSES.items()) + " end"
+_SUMMARIES = f"""{_PUBLISHED}, states as (select distinct s.source as package_insert_no, p.population_type, s.source <> 'src3' as has_section from documents s, (select unnest(['PREGNANCY', 'LACTATION', 'OTHER']) as population_type) p),
+best as (select package_insert_no, population_type, first(classification_code order by {_PRIORITY_SQL} desc nulls last, classification_code) as code, count(*) as statement_count, bool_or(coalesce(classification_code = 'UNCLASSIFIABLE', false)) as has_unclassified from pub group by all),
+sums as (select s.package_insert_no, s.population_type, coalesce(code, case when has_section then 'NO_EXPLICIT_RECOMMENDATION' else 'SECTION_ABSENT' end) as assessment_code, coalesce({_LEVEL.format('code')}, 'GRAY') as display_level, (select min(statement_id) from pub where pub.package_insert_no = s.package_insert_no and pub.population_type = s.population_type and pub.classification_code = code) as reason_statement_id, coalesce(has_unclassified, false) as has_unclassified, coalesce(statement_count, 0) as statement_count from states s left join best b on b.package_insert_no = s.package_insert_no and b.population_type = s.population_type)"""
+
+
+def _summaries(t) -> DataFrame:
+    kinds = F.explode(F.array(*(F.lit(p) for p in (*serving.POPULATIONS, "OTHER"))))
+    states = t("documents").select(F.col("source").alias("package_insert_no")).distinct().select("package_insert_no", kinds.alias("population_type"), (F.col("package_insert_no") != "src3").alias("has_section"))
+    return statements.summaries(states, _published(t))
+
+
+@query(f"{_SUMMARIES} select * from sums")
+def statement_summaries(t):
+    return _summaries(t).drop("has_section", "assessment_text")
+
+
+@query(f"{_SUMMARIES} select * exclude (reason_statement_id) from sums where package_insert_no = 'src1'")
+def summaries_of_insert(t):
+    return serving.summaries_of(_summaries(t), "src1").drop("has_section", "assessment_text", "reason_statement_id")
+
+
+@query(f"{_SUMMARIES} select package_insert_no, population_type, assessment_code, display_level from sums where package_insert_no in ('src1', 'src2', 'src4')")
+def summaries_of_inserts(t):
+    return serving.summaries_of_list(_summaries(t), ["src1", "src2", "src4"]).select("package_insert_no", "population_type", "assessment_code", "display_level")
+
+
+@query(f"{_SUMMARIES} select population_type, assessment_code, display_level, has_unclassified as needs_review, count(*) as summaries from sums group by all")
+def summary_counts(t):
+    return serving.summary_counts(_summaries(t).withColumnRenamed("has_unclassified", "needs_review"))
+
+
+@query(f"{_SUMMARIES} select s.package_insert_no, s.population_type, reason_statement_id, evidence_text as reason_evidence_text from sums s left join pub on statement_id = reason_statement_id and statement_id % 7 <> 0")
+def summary_reasons(t):
+    current = _published(t).withColumn("is_current", F.col("statement_id") % 7 != 0)
+    return serving.summary_reasons(_summaries(t), current).select("package_insert_no", "population_type", "reason_statement_id", "reason_evidence_text")
+
+
+@query(f"{_PUBLISHED} select statement_id, classification_code, evidence_text from pub where package_insert_no = 'src1' and population_type = 'LACTATION'")
+def statements_of_insert(t):
+    rows = _published(t).withColumns({"is_current": F.lit(True), "source_block_id": F.lit(1)})
+    return serving.statements_of(rows, "src1", "LACTATION").select("statement_id", "classification_code", "evidence_text")
+
+
+@query(f"{_PUBLISHED} select statement_id, package_insert_no, population_type, evidence_text from pub where classification_code = 'UNCLASSIFIABLE' and package_insert_no in ('src1', 'src2')")
+def unclassified_statements(t):
+    return serving.unclassified(_published(t).withColumn("is_current", F.lit(True)), ["src1", "src2"]).select("statement_id", "package_insert_no", "population_type", "evidence_text")
+
+
+@query("select l_orderkey * 10 + l_linenumber as candidate_id, o_orderkey as block_id, o_totalprice as price from lineitem join orders on o_orderkey = l_orderkey where l_returnflag = 'N' and o_orderstatus <> 'F'")
+def current_candidates(t):
+    found = t("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("candidate_id"), F.col("l_orderkey").alias("block_id"), (F.col("l_returnflag") == "N").alias("is_current"))
+    blocks = t("orders").select(F.col("o_orderkey").alias("block_id"), F.col("o_totalprice").alias("price"), (F.col("o_orderstatus") != "F").alias("is_current"))
+    return statements.current_candidates(found, blocks).select("candidate_id", "block_id", "price")
+
+
+@query("with first as (select l_partkey % 50 as h, l_returnflag as p, min(l_orderkey * 10 + l_linenumber) as candidate_id from lineitem where l_linestatus = 'F' and l_discount > 0.02 group by all) select e.event_id, candidate_id from events e join first f on e.user_id % 50 = f.h and f.p = case e.event_type when 'view' then 'A' when 'click' then 'R' else 'N' end")
+def first_candidate_of_run(t):
+    runs = t("events").select("event_id", (F.col("user_id") % 50).alias("statement_hash"), F.when(F.col("event_type") == "view", "A").when(F.col("event_type") == "click", "R").otherwise("N").alias("population_type"))
+    found = t("lineitem").select((F.col("l_partkey") % 50).alias("statement_hash"), F.col("l_returnflag").alias("population_type"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("candidate_id"), F.col("l_orderkey").alias("block_id"), F.lit("").alias("evidence_text"), (F.col("l_linestatus") == "F").alias("is_current"), (F.col("l_discount") > 0.02).alias("requires_llm"))
+    return statements.first_candidate(runs, found).select("event_id", "candidate_id")
+
+
+@query("select c_custkey as run_id, o_orderkey as candidate_id, n_name as block_name from customer join orders on o_custkey = c_custkey and o_orderstatus = case when c_acctbal < 0 then 'F' else 'O' end join nation on n_nationkey = o_orderkey % 25")
+def three_way_join(t):
+    runs = t("customer").select(F.col("c_custkey").alias("run_id"), F.col("c_custkey").alias("content_hash"), F.when(F.col("c_acctbal") < 0, "F").otherwise("O").alias("note_type"), F.lit("1").alias("definition_version"))
+    found = t("orders").select(F.col("o_orderkey").alias("candidate_id"), F.col("o_custkey").alias("content_hash"), F.col("o_orderstatus").alias("note_type"), F.lit("1").alias("definition_version"), (F.col("o_orderkey") % 25).cast("int").alias("block_id"))
+    blocks = t("nation").select(F.col("n_nationkey").alias("block_id"), F.col("n_name").alias("block_name"))
+    return publishing.three_way(runs, found, blocks).select("run_id", "candidate_id", "block_name")
+
+
+@query("with old as (select o_orderkey as k, md5(o_orderstatus) as raw_hash, case when o_orderkey % 7 = 0 then 'v0' else 'v1' end as version from orders where o_orderkey % 3 <> 0), now as (select o_orderkey as k, md5(case when o_orderkey % 5 = 0 then 'X' else o_orderstatus end) as raw_hash from orders) select k, (old.k is null or old.raw_hash <> now.raw_hash or version <> 'v1') as parse from now left join old using (k)")
+def raw_hash_skip(t):
+    o = t("orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus")
+    state = o.filter("k % 3 <> 0").select("k", F.md5("o_orderstatus").alias("raw_hash"), F.when(F.col("k") % 7 == 0, "v0").otherwise("v1").alias("version"))
+    docs = o.select("k", F.md5(F.when(F.col("k") % 5 == 0, "X").otherwise(F.col("o_orderstatus"))).alias("raw_hash"))
+    work, rest = incremental.to_parse(docs, state, "k", "v1")
+    return work.select("k", F.lit(True).alias("parse")).unionByName(rest.select("k", F.lit(False).alias("parse")))
+
+
+@query("with m as (select o_orderkey, coalesce(sha256(string_agg(cast(l_partkey as varchar), chr(10) order by cast(l_partkey as varchar)) filter (where l_returnflag = 'R')), sha256('')) as manifest, count(*) filter (where l_returnflag = 'R') as n_blocks from orders left join lineitem on l_orderkey = o_orderkey group by all) select o_orderkey, manifest, n_blocks, n_blocks > 0 as has_section from m where o_orderkey % 2 = 0 or n_blocks > 0")
+def changed_manifests(t):
+    """Orders as documents and returned lines as blocks; the state knows odd orders as having none."""
+    docs = t("orders").select("o_orderkey")
+    blocks = t("lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").cast("string").alias("block_uid"))
+    state = docs.filter("o_orderkey % 2 = 1").withColumns({"manifest": F.sha2(F.lit(""), 256), "version": F.lit("v1")})
+    return incremental.changed(incremental.manifests(docs, blocks, ["o_orderkey"]), state, ["o_orderkey"], "v1")
+
+
+@query("select o_orderkey as block_id, l_linestatus as model, cast(row_number() over (partition by o_orderkey, l_linestatus order by l_linenumber, l_partkey) - 1 as integer) as fact_no, l_partkey as part from (select *, o_orderkey from orders join lineitem on l_orderkey = o_orderkey where o_orderstatus <> 'P' and l_linestatus = 'F')")
+def rebuilt_facts(t):
+    """Facts of stored answers for every block with the answer's hash."""
+    answer = F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: F.struct(x["l_partkey"].alias("part"))))
+    runs = t("lineitem").groupBy(F.col("l_orderkey").alias("analysis_hash"), F.col("l_linestatus").alias("model")).agg(answer.alias("facts")).withColumn("status", F.when(F.col("model") == "F", "success").otherwise("error"))
+    blocks = t("orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("block_id"), F.col("o_orderkey").alias("analysis_hash"))
+    return incremental.rebuilt_facts(blocks, runs, "struct<part:bigint>").drop("analysis_hash")

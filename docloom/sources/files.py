@@ -11,7 +11,6 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docloom._ship import ensure_importable
 
@@ -39,7 +38,7 @@ def _members(pattern: str):
 def read_archives(spark: SparkSession, path: str, suffix: str = ".xml") -> DataFrame:
     """(path, content, error) of the members of all ZIP files below path; nothing is unpacked to disk."""
     ensure_importable(spark)
-    return read_files(spark, path, "*.{zip,ZIP}").mapInPandas(_members(suffix), "path string, content binary, error string")
+    return read_files(spark, path, "*.[zZ][iI][pP]").mapInPandas(_members(suffix), "path string, content binary, error string")
 
 
 def decoded(files: DataFrame) -> DataFrame:
@@ -48,11 +47,16 @@ def decoded(files: DataFrame) -> DataFrame:
 
 
 def split_duplicates(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Files of distinct content (the first path stays), and (sha256, kept, skipped) of the others."""
+    """Files of distinct content (the first path stays), and (sha256, kept, skipped) of the others.
+
+    Hashes and paths are grouped, not contents; a content with many copies is one row a
+    task. Files without content all stay.
+    """
     hashed = files.withColumn("sha256", F.sha2("content", 256))
-    w = Window.partitionBy("sha256").orderBy("path")
-    ranked = hashed.withColumn("kept", F.first("path").over(w)).withColumn("n", F.row_number().over(w))
-    return ranked.filter("n = 1 or content is null").drop("kept", "n"), ranked.filter("n > 1 and content is not null").select("sha256", "kept", F.col("path").alias("skipped"))
+    paths = hashed.select("sha256", "path")
+    least = paths.filter("sha256 is not null").groupBy("sha256").agg(F.min("path").alias("kept"), F.count("*").alias("n"))
+    first = hashed.join(least.select(F.col("kept").alias("path"), "sha256"), ["path", "sha256"], "left_semi").unionByName(hashed.filter("sha256 is null"))
+    return first, paths.join(least.filter("n > 1").drop("n"), "sha256").filter("path <> kept").select("sha256", "kept", F.col("path").alias("skipped"))
 
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
@@ -66,6 +70,26 @@ def write_csv_quoted(df: DataFrame, path: str, overwrite: bool = False) -> None:
     df.coalesce(1).write.mode("overwrite" if overwrite else "errorifexists").csv(path, header=True, quoteAll=True, escape='"')
 
 
+def load_config(path: str, **overrides: Any) -> dict[str, Any]:
+    """Settings of a JSON file, an object; overrides that aren't None replace them."""
+    with open(path, encoding="utf-8-sig") as f:
+        found = json.load(f)
+    if not isinstance(found, dict):
+        raise ValueError("settings must be an object")
+    return found | {k: v for k, v in overrides.items() if v is not None}
+
+
+def write_review_pair(cases: DataFrame, facts: DataFrame, folder: str, overwrite: bool = False) -> None:
+    """cases and facts as two CSV files with all values quoted, under one folder."""
+    write_csv_quoted(with_mark(cases), f"{folder.rstrip('/')}/cases", overwrite)
+    write_csv_quoted(with_mark(facts), f"{folder.rstrip('/')}/facts", overwrite)
+
+
+def with_mark(df: DataFrame) -> DataFrame:
+    """The first column's name after a byte order mark, which spreadsheets take as the sign of UTF-8; read_csv_strings drops it."""
+    return df.toDF(f"\ufeff{df.columns[0]}", *df.columns[1:])
+
+
 def load_definitions(source: str | list[dict[str, Any]]) -> dict[str, dict[str, Any]]:
     """Note definitions by type; a wrong one is an error."""
     items = source
