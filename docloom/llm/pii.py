@@ -190,7 +190,8 @@ def resolve(entities: DataFrame, key: str, ws: Workspace) -> DataFrame:
     tried = lambda df, a: df.withColumn("plain", surrogate(key, F.col("kind"), F.col("ident"), a))
     sort = lambda c: F.when(F.col(c).isin("given", "surname"), "name").otherwise(F.col(c))
     now = ws.write(tried(entities, 0), "surrogates-0")
-    real = ws.write(entities.select(sort("kind").alias("sort"), F.lower("ident").alias("form")).distinct(), "real")  # case doesn't tell entities apart
+    entities = now.select("kind", "ident")
+    real = entities.select(sort("kind").alias("sort"), F.lower("ident").alias("form"))  # case doesn't tell entities apart
     for attempt in range(1, ATTEMPTS + 1):
         winners = now.groupBy("kind", F.lower("plain").alias("form")).agg(F.count("*").alias("n"), F.min("ident").alias("first"))
         doubles = now.withColumn("form", F.lower("plain")).join(winners.filter("n > 1"), ["kind", "form"]).filter("ident <> first").select("kind", "ident")
@@ -244,11 +245,11 @@ def replace_entities(docs: DataFrame, *, key: str, id_col: str = "doc_id", text_
     cut = ws.write(cut.withColumn(text_col, F.when(F.col(parts).isNull(), F.col(text_col))), "cut")
 
     touched = cut.filter(F.col(parts).isNotNull())
-    mentions = ws.write(touched.select(F.col(digest).alias("digest"), F.posexplode(F.filter(parts, lambda x, i: i % 2 == 1)).alias("pos", "mention")).distinct(), "mentions")
+    mentions = touched.select(F.col(digest).alias("digest"), F.posexplode(F.filter(parts, lambda x, i: i % 2 == 1)).alias("pos", "mention")).distinct()
     names = mentions.select("mention").distinct().withColumn("kind", F.coalesce(kind_of(F.col("mention")), F.lit("secret")))
     pieces = names.select("mention", F.posexplode(pieces_of(F.col("kind"), F.col("mention"))).alias("i", "x")).select("mention", "i", "x.*")
-    pieces = ws.write(_gendered(ws.write(pieces, "cut-names")), "pieces")
-    plain = resolve(ws.write(pieces.select("kind", "ident").distinct(), "entities"), key, ws)
+    pieces = ws.write(_gendered(pieces), "pieces")
+    plain = resolve(pieces.select("kind", "ident").distinct(), key, ws)
     shown = F.concat(_written_like(F.col("kind"), F.col("shown"), F.col("plain"), F.col("gender")), F.col("rest"))
     written = pieces.join(plain, ["kind", "ident"]).groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("i", shown.alias("as")))).alias("all"))
     written = written.select("mention", F.concat(_title(F.col("mention")), F.array_join(F.col("all.as"), " ")).alias("as"))
