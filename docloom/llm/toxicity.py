@@ -33,7 +33,7 @@ VOTERS = [*LEXICON, *(f"words{i}" for i in range(MINED_GROUPS)), *(f"stems{i}" f
 #: Rows of labelled documents that the classifier is trained on; the lexicon is mined from all.
 MOST_ROWS = 6_000
 STEM = 5
-SAMPLE_SCHEMA = "doc_id bigint, votes binary, words binary, stems binary, label int"
+SAMPLE_SCHEMA = "doc_id bigint, votes binary, slots binary, times binary, label int"
 
 
 @dataclass
@@ -233,19 +233,36 @@ def voter_inputs(counts: np.ndarray) -> np.ndarray:
     return np.log1p(counts) + (counts > 0)
 
 
-def train(x: np.ndarray, slots: list[np.ndarray], y: np.ndarray, epochs: int = 12, rate: float = 0.1, l2: float = 2e-4, seed: int = 7) -> tuple[float, np.ndarray, np.ndarray]:
+@dataclass
+class Bag:
+    """Slots of a document's distinct words and stems, and how many fall in each: at most 2 ** HASH_BITS of either."""
+
+    slots: np.ndarray
+    times: np.ndarray
+
+    @property
+    def size(self) -> int:
+        return int(self.times.sum())
+
+
+def bag_of(words: np.ndarray, stems: np.ndarray) -> Bag:
+    slots, times = np.unique(np.concatenate([slot(words), slot(stems ^ A.U(1))]), return_counts=True)
+    return Bag(slots.astype("<u4"), times.astype("<u4"))
+
+
+def train(x: np.ndarray, bags: list[Bag], y: np.ndarray, epochs: int = 12, rate: float = 0.1, l2: float = 2e-4, seed: int = 7) -> tuple[float, np.ndarray, np.ndarray]:
     """Logistic regression on soft labels by AdaGrad over mini-batches; the hashed part is held small."""
     rng = np.random.default_rng(seed)
     bias, w, h = float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))), np.zeros(x.shape[1]), np.zeros(1 << HASH_BITS)
     gb, gw, gh = 1e-6, np.full(x.shape[1], 1e-6), np.full(1 << HASH_BITS, 1e-3)
-    scale = np.array([1 / np.sqrt(max(1, len(s) / 2)) for s in slots])
+    scale = np.array([1 / np.sqrt(max(1, b.size / 2)) for b in bags])
     epochs = max(epochs, min(400, 100_000 // max(1, len(y))))
     for _ in range(epochs):
         for part in np.array_split(rng.permutation(len(y)), max(1, len(y) // 64)):
-            at = np.concatenate([slots[i] for i in part]) if len(part) else np.zeros(0, dtype=np.int64)
-            sizes = np.array([len(slots[i]) for i in part])
-            own = np.repeat(np.arange(len(part)), sizes)
-            z = bias + x[part] @ w + np.bincount(own, h[at], len(part)) * scale[part]
+            at = np.concatenate([bags[i].slots for i in part]).astype(np.int64) if len(part) else np.zeros(0, dtype=np.int64)
+            times = np.concatenate([bags[i].times for i in part]).astype(float) if len(part) else np.zeros(0)
+            own = np.repeat(np.arange(len(part)), [len(bags[i].slots) for i in part])
+            z = bias + x[part] @ w + np.bincount(own, h[at] * times, len(part)) * scale[part]
             err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]
             g = x[part].T @ err / len(part) + l2 * w
             gw += g * g
@@ -253,7 +270,7 @@ def train(x: np.ndarray, slots: list[np.ndarray], y: np.ndarray, epochs: int = 1
             gb += err.mean() ** 2
             bias -= rate * err.mean() / np.sqrt(gb)
             if len(at):
-                touched, step = A.sum_by_key(at, (err * scale[part])[own] / len(part))
+                touched, step = A.sum_by_key(at, times * (err * scale[part])[own] / len(part))
                 step = step + 50 * l2 * h[touched]
                 gh[touched] += step * step
                 h[touched] -= 0.02 * rate * step / np.sqrt(gh[touched])
@@ -272,13 +289,16 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.nd
 
 
 def _sample(lexicon: Lexicon):
+    """Votes and bags of the classifier's rows, worked out by the executors with the whole lexicon."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop, buf, offsets in _texts(batch, 1):
                 f = read(buf, offsets, lexicon)
                 part = batch.slice(start, stop - start)
-                one = lambda h: pa.array([_distinct(f, d, h).tobytes() for d in range(stop - start)], type=pa.binary())  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in f.counts.astype("<i8")], type=pa.binary()), one(f.words), one(f.stems), part.column(2)], ["doc_id", "votes", "words", "stems", "label"])
+                bags = [bag_of(_distinct(f, d, f.words), _distinct(f, d, f.stems)) for d in range(stop - start)]
+                raw = lambda arrays: pa.array([x.tobytes() for x in arrays], type=pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), raw(f.counts.astype("<i8")), raw(b.slots for b in bags), raw(b.times for b in bags), part.column(2)], ["doc_id", "votes", "slots", "times", "label"])
 
     return run
 
@@ -335,8 +355,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label
     """Fit on docs (those that may be learnt from) and the labels of some of them.
 
     The lexicon is mined from the counts of all labelled documents. At most most_rows of
-    them, the first by a hash of their ids, are the classifier's rows; the label model is
-    fitted on the votes of all docs.
+    them, the first by a hash of their ids, are the classifier's rows: their votes and
+    bags, at most some 0.5 MB a row however long its text, come to the driver. The label
+    model is fitted on the votes of all docs, as distinct vote vectors.
     """
     ensure_importable(docs.sparkSession)
     known = labels.select(F.col(label_id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -346,15 +367,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label
     # one plan at every size: labels grow with the documents, and few of them would be broadcast
     tally = all_texts.join(known.hint("merge"), "doc_id").select("text", "label").mapInArrow(lean(_tally(base_lexicon())), "kind int, hash bigint, toxic bigint, n bigint")
     tally = ws.write(tally.groupBy("kind", "hash").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")), "tally")
-    texts = all_texts.join(own, "doc_id").select("doc_id", "text", "label")
-    rows = texts.mapInArrow(lean(_sample(base_lexicon())), SAMPLE_SCHEMA).collect()
-    rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
-    label = np.array([int(r.label > 0) for r in rows], dtype=np.int64)
-    sets = {c: [np.frombuffer(r[c], dtype=A.U) for r in rows] for c in ("words", "stems")}
     all_rows = tally.filter(F.col("kind") == ROW).first()
     found = {c: mine(tally.filter(F.col("kind") == k), all_rows.toxic / all_rows.n) if all_rows and all_rows.toxic else {} for c, k in (("words", WORD), ("stems", STEM_KIND))}
-    ws.drop()
     lexicon = base_lexicon(found["words"], found["stems"])
+    texts = all_texts.join(own, "doc_id").select("doc_id", "text", "label")
+    rows = texts.mapInArrow(lean(_sample(lexicon)), SAMPLE_SCHEMA).collect()
+    ws.drop()
+    rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.votes, r.slots))
+    label = np.array([int(r.label > 0) for r in rows], dtype=np.int64)
+    counts = np.array([np.frombuffer(r.votes, dtype="<i8") for r in rows], dtype=np.int64).reshape(-1, len(VOTERS))
+    bags = [Bag(np.frombuffer(r.slots, dtype="<u4"), np.frombuffer(r.times, dtype="<u4")) for r in rows]
     patterns = docs.select(F.col(text_col).cast("string")).mapInArrow(lean(_patterns(lexicon)), "votes binary, n bigint").groupBy("votes").agg(F.sum("n").alias("n")).collect()
     votes = np.array([np.frombuffer(r.votes, dtype=np.int8) for r in patterns], dtype=np.int64).reshape(-1, len(VOTERS))
     weight = np.array([r.n for r in patterns], dtype=float)
@@ -364,26 +386,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label
     model = LabelModel(prior)
     if len(votes):
         model.fit(votes, weight, np.clip(0.02 + 0.49 * votes[:, : len(VOTERS) - 3].sum(axis=1), 0.02, 0.98))
-    counts = _recount(rows, sets, lexicon)
     soft = model.posterior(votes_of(counts).astype(np.int64)) if len(votes) and len(rows) else np.zeros(len(rows))
-    x = voter_inputs(counts)
-    slots = [np.concatenate([slot(w), slot(s ^ A.U(1))]) for w, s in zip(sets["words"], sets["stems"])]
-    bias, w, h = train(x, slots, soft) if len(rows) else (-3.0, np.zeros(len(VOTERS)), np.zeros(1 << HASH_BITS))
+    bias, w, h = train(voter_inputs(counts), bags, soft) if len(rows) else (-3.0, np.zeros(len(VOTERS)), np.zeros(1 << HASH_BITS))
     return Classifier(lexicon, bias, w, h)
 
 
-def _recount(rows: list, sets: dict[str, list[np.ndarray]], lexicon: Lexicon) -> np.ndarray:
-    """The sampled rows' counts with the mined voters, from their distinct words and stems."""
-    counts = np.array([np.frombuffer(r.votes, dtype="<i8") for r in rows], dtype=np.int64).reshape(-1, len(VOTERS)).copy()
-    first = len(LEXICON)
-    for d, (w, s) in enumerate(zip(sets["words"], sets["stems"])):
-        for found in (_lookup(w, lexicon.word_keys, lexicon.word_voter), _lookup(s, lexicon.stem_keys, lexicon.stem_voter)):
-            hit = found[found >= first]
-            np.add.at(counts[d], hit, 1)
-        counts[d, len(VOTERS) - 4] = max(int(counts[d, : len(VOTERS) - 4].sum()) - 1, 0)
-    return counts
-
-
 def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id_col: str = "doc_id", folds: int = 3, held_fold: int = 1, threshold: float = 0.7, most_rows: int = MOST_ROWS, row_col: str | None = None) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row of docs; 1 is toxic. row_col, a bigint, is kept where given.
 
@@ -393,9 +400,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     their agreement how accurate and how correlated they are, and a linear classifier is
     trained on its posteriors. The score depends on the text alone.
 
-    Null and empty texts get the score of a text without any sign. Null ids are never held
-    out and never learnt from; a repeated id counts as toxic if any of its labels does.
-    Without labels or rows the fixed prior scores all. Other columns are not read.
+    Null and empty texts get the score of a text without any sign; texts of any length are
+    read whole. Null ids are never held out and never learnt from; a repeated id counts as
+    toxic if any of its labels does. Without labels or rows the fixed prior scores all; an
+    empty table gives no rows. Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     ensure_importable(spark)
