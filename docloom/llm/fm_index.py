@@ -17,7 +17,8 @@ from docloom._ship import ensure_importable
 from docloom.llm.memory import lean
 
 SHARD_BYTES = 8 << 20
-PATTERN_BYTES = 32 << 20
+PATTERN_BYTES = 8 << 20
+NO_ITEM = np.iinfo(np.int64).min
 #: [\x00-\x2F\x3A-\x60\x7B-\x7F] parts words, after A-Z have been lower-cased.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 SCHEMA = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, spans array<struct<start:int,stop:int>>, item_ids array<bigint>"
@@ -86,13 +87,19 @@ class FmIndex:
         self.samples = order[marked]
 
     def find(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows low:high of each phrase (one a row of the matrix), by backward search."""
-        low = np.zeros(len(phrases), dtype=np.int64)
-        high = np.full(len(phrases), self.n, dtype=np.int64)
-        for j in range(phrases.shape[1] - 1, -1, -1):
-            c = phrases[:, j] + 1
-            low = self.first[c] + self.tree.rank(c, low)
-            high = np.maximum(low, self.first[c] + self.tree.rank(c, high))
+        """Rows low:high of each phrase, one a row of the matrix."""
+        return self.find_at(phrases.reshape(-1), np.arange(len(phrases)) * phrases.shape[1], phrases.shape[1])
+
+    def find_at(self, words: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows low:high of each phrase words[at : at + length], by backward search; phrases that are lost already aren't searched on."""
+        low = np.zeros(len(at), dtype=np.int64)
+        high = np.full(len(at), self.n, dtype=np.int64)
+        live = np.arange(len(at))
+        for j in range(length - 1, -1, -1):
+            c = words[at[live] + j].astype(np.int64) + 1
+            low[live] = self.first[c] + self.tree.rank(c, low[live])
+            high[live] = np.maximum(low[live], self.first[c] + self.tree.rank(c, high[live]))
+            live = live[high[live] > low[live]]
         return low, high
 
     def places(self, rows: np.ndarray) -> np.ndarray:
@@ -111,29 +118,39 @@ class FmIndex:
 
 @dataclass
 class Phrases:
-    """Windows of some benchmark items: symbols of the words, windows by length, items of each window."""
+    """Windows of some benchmark items: symbols of the words; the items' symbols one after another; for each length the
+    places of its distinct windows; and the items of each window (owners[bounds[i] : bounds[i + 1]], NO_ITEM: a null id)."""
 
     symbols: dict[bytes, int]
-    windows: list[tuple[np.ndarray, list[list[int]]]]
+    words: np.ndarray
+    windows: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]
 
     @property
     def shortest(self) -> int:
-        return min(w.shape[1] for w, _ in self.windows)
+        return min(w[0] for w in self.windows)
 
 
-def phrases_of(items: list[tuple[int, str | None]], width: int) -> Phrases | None:
+def phrases_of(items: list[tuple[int | None, str | None]], width: int) -> Phrases | None:
     """None if no item has a word."""
     symbols: dict[bytes, int] = {}
-    owners: dict[tuple[int, ...], set[int]] = {}
-    for item, text in items:
-        ids = [symbols.setdefault(w, len(symbols) + 1) for w in words_of((text or "").encode("utf-8"))]
-        for i in range(max(1, len(ids) - width + 1) if ids else 0):
-            owners.setdefault(tuple(ids[i : i + width]), set()).add(item)
-    by_length: dict[int, list[tuple[int, ...]]] = {}
-    for w in owners:
-        by_length.setdefault(len(w), []).append(w)
-    windows = [(np.array(ws, dtype=np.int64), [sorted(owners[w], key=lambda x: (x is None, x)) for w in ws]) for _, ws in sorted(by_length.items())]
-    return Phrases(symbols, windows) if windows else None
+    parts = [np.fromiter((symbols.setdefault(w, len(symbols) + 1) for w in words_of((text or "").encode("utf-8"))), dtype=np.int32) for _, text in items]
+    sizes = np.array([len(x) for x in parts], dtype=np.int64)
+    words = np.concatenate([np.zeros(0, dtype=np.int32), *parts])
+    first = np.cumsum(sizes) - sizes
+    windows = []
+    for length in sorted({int(min(n, width)) for n in sizes if n}):
+        own = np.flatnonzero(sizes >= width if length == width else sizes == length)
+        n = sizes[own] - length + 1
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[own], n)
+        item = np.array([NO_ITEM if items[i][0] is None else items[i][0] for i in own.tolist()], dtype=np.int64)
+        order = np.lexsort((np.repeat(item, n), *(words[at + j] for j in range(length - 1, -1, -1))))
+        at, item = at[order], np.repeat(item, n)[order]
+        new = np.zeros(len(at), dtype=bool)
+        new[:1] = True
+        for j in range(length):
+            new[1:] |= words[at[1:] + j] != words[at[:-1] + j]
+        windows.append((length, at[new], item, np.append(np.flatnonzero(new), len(at))))
+    return Phrases(symbols, words, windows) if windows else None
 
 
 def hits_in_shard(texts: list[list[bytes]], phrases: Phrases) -> list[tuple[int, int, int, list[int]]]:
@@ -156,12 +173,13 @@ def hits_in_shard(texts: list[list[bytes]], phrases: Phrases) -> list[tuple[int,
     index = FmIndex(seq[where], len(phrases.symbols))
     first = np.r_[0, np.cumsum(counts + 1)]
     out = []
-    for matrix, owners in phrases.windows:
-        low, high = index.find(matrix)
-        for w in np.flatnonzero(high > low):
+    for length, places, items, bounds in phrases.windows:
+        low, high = index.find_at(phrases.words, places, length)
+        for w in np.flatnonzero(high > low).tolist():
             at = where[index.places(np.arange(low[w], high[w]))]
             docs = np.searchsorted(first, at, side="right") - 1
-            out += [(int(d), int(a - first[d]), int(a - first[d]) + matrix.shape[1], owners[w]) for d, a in zip(docs, at)]
+            owners = items[bounds[w] : bounds[w + 1]].tolist()
+            out += [(int(d), int(a - first[d]), int(a - first[d]) + length, owners) for d, a in zip(docs, at)]
     return out
 
 
@@ -183,7 +201,7 @@ def _scan(blocks: list, shard_bytes: int):
             phrases = block.value
             for d, a, b, owners in hits_in_shard(texts, phrases) if phrases else []:
                 spans[d].append((a, b))
-                items[d].update(owners)
+                items[d].update(o for o in owners if o != NO_ITEM)
             if len(blocks) > 1:  # one block of patterns in memory at a time; it is read again from disk
                 block.__dict__.pop("_value", None)
         merged = [merge_spans(x) for x in spans]
@@ -198,7 +216,7 @@ def _scan(blocks: list, shard_bytes: int):
                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in names]),
                 pa.array([x > 0 for x in hit]),
                 pa.array([[{"start": a, "stop": b} for a, b in x] for x in merged], type=pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
-                pa.array([sorted(x, key=lambda v: (v is None, v)) for x in items], type=pa.list_(pa.int64())),
+                pa.array([sorted(x) for x in items], type=pa.list_(pa.int64())),
             ],
             ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "item_ids"],
         )
@@ -231,8 +249,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "
     Columns: doc_id, n_words, n_hit (words in an occurrence), n_items, items_sha256 (of the
     item ids as sorted strings, comma-joined), contaminated, spans (merged word ranges to
     remove), item_ids. Null or empty texts have no words and are never hit; an item without
-    words has no window; a null item id is reported as None. Equal windows of several items
-    report all of them. Null ids and repeated rows stay. Other columns are not read.
+    words has no window; an item with a null id is searched for, but no id of it is
+    reported. Equal windows of several items report all of them. Null ids and repeated rows
+    stay; texts of any length are searched whole; an empty table gives no rows, and an
+    empty benchmark no hits. Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     ensure_importable(spark)
