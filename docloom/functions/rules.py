@@ -60,3 +60,18 @@ def keyword_candidates(text: Column, terms: Sequence[str], required: Sequence[Se
     for group in required:
         ok = ok & (F.size(has(group)) > 0)
     return F.when(ok, matched)
+
+
+def definition_candidates(definition: dict, text: Column, top_section: Column, section: Column, block_type: Column) -> Column:
+    """A struct (terms, reasons) if a block is a candidate for a note definition, else null.
+
+    Lists of sections and block types that are empty or missing allow all. text is
+    expected in normal form.
+    """
+    among = lambda c, key: c.isin(*definition[key]) if definition.get(key) else F.lit(True)
+    terms = keyword_candidates(text, definition.get("candidate_terms", []), definition.get("candidate_required_term_groups", []))
+    excluded = section.isin(*definition["excluded_sections"]) if definition.get("excluded_sections") else F.lit(False)
+    ok = among(top_section, "allowed_top_sections") & among(section, "allowed_sections") & among(block_type, "allowed_block_types") & ~F.coalesce(excluded, F.lit(False)) & terms.isNotNull()
+    preferred = section.isin(*definition["preferred_sections"]) if definition.get("preferred_sections") else F.lit(False)
+    reasons = F.when(F.coalesce(preferred, F.lit(False)), F.array(F.lit("keyword"), F.lit("preferred_section"))).otherwise(F.array(F.lit("keyword")))
+    return F.when(ok, F.struct(terms.alias("terms"), reasons.alias("reasons")))

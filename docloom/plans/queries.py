@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from docloom.functions import hashing, rules, text
 from docloom.operators import filters, merging, ranking
-from docloom.plans import incremental, publishing, serving, statements
+from docloom.plans import incremental, legacy_scores, publishing, serving, statements
 from docloom.plans.model_calls import from_other_model, wanted
 from docloom.sources import files, xml_tree
 
@@ -609,3 +609,32 @@ def rebuilt_facts(t):
     runs = t("lineitem").groupBy(F.col("l_orderkey").alias("analysis_hash"), F.col("l_linestatus").alias("model")).agg(answer.alias("facts")).withColumn("status", F.when(F.col("model") == "F", "success").otherwise("error"))
     blocks = t("orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("block_id"), F.col("o_orderkey").alias("analysis_hash"))
     return incremental.rebuilt_facts(blocks, runs, "struct<part:bigint>").drop("analysis_hash")
+
+
+_LEGACY_SQL = " ".join(f"when regexp_matches(line, '(?s){p.replace('(?!が望ましい)', '($|[^が]|が$|が[^望]|が望$|が望[^ま]|が望ま$|が望ま[^し]|が望まし$|が望まし[^い])')}') then {{n}}{i}{{n}}" for i, (_, p, _) in enumerate(legacy_scores.PREGNANCY_SCORES))
+
+
+def _legacy_case(values: list[str]) -> str:
+    out = _LEGACY_SQL
+    for i, v in enumerate(values):
+        out = out.replace(f"{{n}}{i}{{n}}", v)
+    return out
+
+
+_LINES = f"select doc_id, evidence_text, trim(replace(replace(regexp_replace(evidence_text, '\\s+', ' ', 'g'), '上まわる', '上回る'), '上廻る', '上回る')) as line from ({_STATEMENTS})"
+
+
+@query(f"select doc_id, case {_legacy_case([str(s) for s, _, _ in legacy_scores.PREGNANCY_SCORES])} else 0 end as score, case {_legacy_case([repr(t) for _, _, t in legacy_scores.PREGNANCY_SCORES])} else 'unclear' end as rule, case {_legacy_case([repr(legacy_scores.PREGNANCY_LABELS[s]) for s, _, _ in legacy_scores.PREGNANCY_SCORES])} else '不明' end as label, {', '.join(f"regexp_matches(evidence_text, '(?ms){p}') as {k}" for k, p in legacy_scores.PREGNANCY_FLAGS.items())} from ({_LINES})")
+def legacy_score_rules(t):
+    rows = _statements(t).select("doc_id", "evidence_text").withColumns({"s": legacy_scores.scored(F.col("evidence_text"), legacy_scores.PREGNANCY_SCORES), "f": legacy_scores.evidence_flags(F.col("evidence_text"), legacy_scores.PREGNANCY_FLAGS)})
+    return rows.select("doc_id", "s.score", "s.rule", legacy_scores.score_label(F.col("s.score"), legacy_scores.PREGNANCY_LABELS).alias("label"), *(F.col("f")[k].alias(k) for k in legacy_scores.PREGNANCY_FLAGS))
+
+
+_DEFINITION = {"candidate_terms": ["the", "und", "les"], "candidate_required_term_groups": [["tion", "keit"]], "allowed_top_sections": ["en", "de", "fr"], "excluded_sections": ["src1"], "preferred_sections": ["src2", "src3"]}
+
+
+@query("select doc_id, array_to_string(list_sort(list_filter(['the', 'und', 'les'], lambda w: contains(lower(text), w))), ',') as terms, case when source in ('src2', 'src3') then 'keyword,preferred_section' else 'keyword' end as reasons from documents where lang in ('en', 'de', 'fr') and source <> 'src1' and (contains(lower(text), 'the') or contains(lower(text), 'und') or contains(lower(text), 'les')) and (contains(lower(text), 'tion') or contains(lower(text), 'keit'))")
+def definition_candidates(t):
+    found = rules.definition_candidates(_DEFINITION, F.col("text"), F.col("lang"), F.col("source"), F.lit("Detail"))
+    rows = t("documents").withColumn("c", found).filter("c is not null")
+    return rows.select("doc_id", F.array_join("c.terms", ",").alias("terms"), F.array_join("c.reasons", ",").alias("reasons"))

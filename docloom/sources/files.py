@@ -96,6 +96,8 @@ def load_definitions(source: str | list[dict[str, Any]]) -> dict[str, dict[str,
     if isinstance(source, str):
         with open(source, encoding="utf-8") as f:
             items = json.load(f)
+    if isinstance(items, dict):
+        items = items.get("definitions")
     if not isinstance(items, list) or not items:
         raise ValueError("definitions must be a list that isn't empty")
     out: dict[str, dict[str, Any]] = {}
@@ -105,5 +107,13 @@ def load_definitions(source: str | list[dict[str, Any]]) -> dict[str, dict[str,
             raise ValueError(f"note_type must be unique text: {name!r}")
         if not isinstance(d.get("definition_version"), str) or not isinstance(d.get("allowed_relations"), list):
             raise ValueError(f"{name}: definition_version must be text and allowed_relations a list")
+        for key in ("candidate_required_term_groups", "required_evidence_term_groups"):
+            if not all(isinstance(g, list) and g for g in d.get(key, [])):
+                raise ValueError(f"{name}: {key} must be lists of terms")
+        if not all(isinstance(t, dict) and "target_code" in t for t in d.get("relation_targets", {}).values()):
+            raise ValueError(f"{name}: relation_targets must be objects with a target_code")
+        for key in ("max_facts_per_evidence", "max_note_percentages"):
+            if not isinstance(d.get(key, 0), int):
+                raise ValueError(f"{name}: {key} must be a number")
         out[name] = d
     return out

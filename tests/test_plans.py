@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.functions import text
+from docloom.functions import progress, text
 from docloom.operators import filters, merging
 from docloom.plans import incremental, model_calls, prompts, publishing, statements, validation
 from docloom.sources import files, sections, xml_tree
@@ -219,3 +219,18 @@ def test_review_status_keeps_valid_facts():
 
 def test_sentence_of_a_span():
     assert text.enclosing_sentence("甲。乙は\n丙。丁", "丙。") == "丙。" and text.enclosing_sentence("甲乙。丙", "甲") == "甲乙。"
+
+
+def test_progress():
+    assert [progress.eta(n, 100, 50) for n in (0, 1, 50, 100)] == ["?", "1h22m30s", "50s", "0s"]
+    assert progress.run_time().endswith("+00:00")
+
+
+def test_wrong_definitions():
+    good = {"note_type": "a", "definition_version": "1", "allowed_relations": []}
+    assert list(files.load_definitions([good])) == ["a"]
+    for change in ({"note_type": ""}, {"definition_version": 1}, {"allowed_relations": None}, {"required_evidence_term_groups": ["x"]}, {"relation_targets": {"R": "QT"}}, {"max_note_percentages": "1"}):
+        with pytest.raises(ValueError):
+            files.load_definitions([good | change])
+    with pytest.raises(ValueError):
+        files.load_definitions([good, good])
