@@ -147,7 +147,7 @@ def surrogate(key: str, kind: Column, ident: Column, attempt: int) -> Column:
     ip = F.concat_ws(".", *((number(i) % 254 + 1).cast("string") for i in range(4)))
     phone = F.concat(_pick("23456789", number(63)), F.substr(_shape(ident, stream, _DIGITS), F.lit(2)))
     card = F.concat(F.substr(ident, F.lit(1), F.lit(1)), _shape(F.substr(ident, F.lit(2), F.length(ident) - 2), stream, _DIGITS))
-    secret = F.when(ident.startswith("AKIA"), F.concat(F.lit("AKIA"), _shape(F.substr(ident, F.lit(5)), stream, [("^[0-9A-Z]$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")]))).otherwise(_shape(ident, stream, [("^[0-9a-f]$", "0123456789abcdef")]))
+    secret = F.when(ident.startswith("AKIA"), F.concat(F.lit("AKIA"), _shape(F.substr(ident, F.lit(5)), stream, [("^[0-9]$", "234567"), _LETTERS[2]]))).otherwise(_shape(ident, stream, [_LETTERS[0], ("^[a-f]$", "abcdef")]))
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", ip)
@@ -164,9 +164,9 @@ def _written_like(kind: Column, shown: Column, plain: Column, gender: Column) ->
     places = F.transform(F.sequence(F.lit(1), F.length(shown)), lambda i: F.length(F.regexp_replace(F.substr(shown, i), "[^0-9]", "")))  # digits from here on
     grouped = F.array_join(F.zip_with(F.split(shown, ""), places, lambda c, n: F.when(c.rlike("^[0-9]$") & (n <= F.length(plain)), F.substr(plain, F.length(plain) - n + 1, F.lit(1))).otherwise(c)), "")
     shouted = (shown == F.upper(shown)) & (shown != F.lower(shown))
-    local = F.substring_index(plain, "@", 1)
-    cased = F.array_join(F.transform(F.split(local, ""), lambda c, i: F.when(F.substr(shown, i + 1, F.lit(1)).rlike("^[A-Z]$"), F.upper(c)).otherwise(c)), "")
-    email = F.when(shouted, F.upper(plain)).otherwise(F.concat(cased, F.lit("@"), F.substring_index(plain, "@", -1)))
+    like = lambda c, x: F.array_join(F.transform(F.split(c, ""), lambda l, i: F.when(F.substr(x, i + 1, F.lit(1)).rlike("^[A-Z]$"), F.upper(l)).otherwise(l)), "")
+    half = lambda c, side: F.substring_index(F.regexp_replace(c, r"\.[^.]+$", ""), "@", side)
+    email = F.when(shouted, F.upper(plain)).otherwise(F.concat(like(half(plain, 1), half(shown, 1)), F.lit("@"), like(half(plain, -1), half(shown, -1)), F.lit(".example")))
     full = F.concat(plain, _ending(script_of(F.lower(shown)), gender))
     name = F.when(shouted & (F.length(shown) > 1), F.upper(full)).otherwise(F.concat(F.upper(F.substr(full, F.lit(1), F.lit(1))), F.substr(full, F.lit(2))))
     return F.when(kind.isin("phone", "card", "ssn"), grouped).when(kind.isin("given", "surname"), name).when(kind == "email", email).otherwise(plain)
