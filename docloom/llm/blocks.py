@@ -36,6 +36,8 @@ from docloom.llm.workspace import Workspace
 
 BLOCK_BYTES = 3 << 20
 SHARD_BYTES = 6 << 20
+#: Text bytes of a bucket of blocks, which one task reads block by block, and the most buckets that Spark allows by default.
+BUCKET_BYTES, MOST_BUCKETS = 12 << 20, 100_000
 BLOCK_SCHEMA = "block bigint, ids array<bigint>, lengths binary, body binary, n_bytes bigint"
 #: Bits of the key by which one level deals.
 FAN_BITS = 8
@@ -84,7 +86,7 @@ def _pack_rows(batches: Iterator[pa.RecordBatch], limit: int, group: int) -> Ite
     ids, lengths, bodies, size = [], [], [], 0
 
     def flush() -> pa.RecordBatch:
-        body = zstandard.ZstdCompressor(level=1).compress(b"".join(bodies))
+        body = zstandard.ZstdCompressor(level=3).compress(b"".join(bodies))
         row = [[(group << 48) + (part << 24) + seq], pa.array([pa.concat_arrays(ids)], type=pa.list_(pa.int64())), [A.pack(np.concatenate(lengths))], [body], [size]]
         return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in row], ["block", "ids", "lengths", "body", "n_bytes"])
 
@@ -108,45 +110,53 @@ def _pack_rows(batches: Iterator[pa.RecordBatch], limit: int, group: int) -> Ite
         yield flush()
 
 
-def write_blocks(docs: DataFrame, ws: Workspace, table: str, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, group: int = 0) -> DataFrame:
-    """Pack (id, text) in blocks of about block_bytes; a longer text is a block of its own.
+def write_blocks(docs: DataFrame, ws: Workspace, table: str, id_col: str, text_col: str, group: int = 0) -> DataFrame:
+    """Pack (id, text) in blocks of about BLOCK_BYTES; a longer text is a block of its own.
 
     The table is written, so that the numbers of the blocks and their contents are fixed
-    for all later passes, whatever tasks are run again. group is part of the numbers.
+    for all later passes, whatever tasks are run again; it is bucketed by number, so that
+    replies come to the blocks and the texts stay where they are. group is part of the
+    numbers.
     """
     ensure_importable(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
-    return ws.write(rows.mapInArrow(lean(lambda b: _pack_rows(b, block_bytes, group)), BLOCK_SCHEMA), table)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
+    limit = BLOCK_BYTES
+    packed = rows.mapInArrow(lean(lambda b: _pack_rows(b, limit, group)), BLOCK_SCHEMA)
+    return ws.write_bucketed(packed, table, "block", max(1, min(MOST_BUCKETS, -(-total // BUCKET_BYTES))))
 
 
 @dataclass
 class Size:
-    """Of a table of blocks."""
+    """Of a table of blocks, and how it is dealt."""
 
     n_blocks: int
     n_bytes: int
+    n_buckets: int
+    shard_bytes: int
+    fan_bits: int
 
     @property
     def shard_bits(self) -> int:
-        """log2 of how many shards there are, so that one holds about the keys of SHARD_BYTES of text."""
-        return max(0, math.ceil(math.log2(max(1, self.n_bytes) / SHARD_BYTES))) if self.n_bytes > SHARD_BYTES else 0
+        """log2 of how many shards there are, so that one holds about the keys of shard_bytes of text."""
+        return math.ceil(math.log2(self.n_bytes / self.shard_bytes)) if self.n_bytes > self.shard_bytes else 0
 
     @property
     def levels(self) -> int:
-        return max(1, -(-self.shard_bits // FAN_BITS))
+        return max(1, -(-self.shard_bits // self.fan_bits))
 
     def depth(self, level: int) -> int:
         """Bits of the key that are dealt by after so many levels."""
-        return min(self.shard_bits, FAN_BITS * level)
+        return min(self.shard_bits, self.fan_bits * level)
 
     def slot(self, block: int, level: int) -> int:
         """Which blocks go through one relay of a level together."""
-        return int(A.mix(np.array([block], dtype=A.U))[0] % A.U(max(1, self.n_blocks))) >> (FAN_BITS * level)
+        return int(A.mix(np.array([block], dtype=A.U))[0] % A.U(max(1, self.n_blocks))) >> (self.fan_bits * level)
 
 
 def size_of(blocks: DataFrame) -> Size:
     r = blocks.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()
-    return Size(r.n, r.b)
+    return Size(r.n, r.b, max(1, min(MOST_BUCKETS, -(-r.b // BUCKET_BYTES))), SHARD_BYTES, FAN_BITS)
 
 
 def key_bits(n_bytes: int, spare: int) -> int:
@@ -245,7 +255,7 @@ def _relay(level: int, bits: int, size: Size):
         slot = table["slot"][0].as_py()
         for shard, block, keys, extra in _entries(table, "shard", "blocks", "keys", "extra"):
             for n, k, e in cut(opened_keys(keys, shard, bits, size.depth(level)), A.unpack_columns(extra), bits, size.depth(level + 1)):
-                rows.add(slot >> FAN_BITS if level + 1 < size.levels else slot, n, block, k, e)
+                rows.add(slot >> size.fan_bits if level + 1 < size.levels else slot, n, block, k, e)
         return pa.Table.from_batches([rows.batch()])
 
     return run
@@ -304,44 +314,54 @@ def _back(level: int, size: Size):
     return run
 
 
-def exchange(blocks: DataFrame, make: Make, serve: Serve, *, bits: int, size: Size, ws: Workspace, name: str, more: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Replies (block, shard, reply) to with_replies(), and what the shards keep (shard, keys, extra, stats).
+def exchange(blocks: DataFrame, make: Make, serve: Serve, *, bits: int, size: Size, ws: Workspace, name: str, more: DataFrame | None = None, keep: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """The blocks' replies (block, name), and what the shards keep (shard, keys, extra, stats) if asked for.
 
     serve(shard, blocks, keys, columns) sees all arrays of one shard, block by block, and
     gives blocks, their replies (columns of integers in the order of the block's keys) and
     what it keeps or None. more has rows of the operator's own for shards, as messages of
-    the block EXTRA. The answers are written, so that a lost executor repeats a task of a
-    shard and not the exchange.
+    the block EXTRA. The answers are written before they are sorted out, so that a lost
+    executor repeats a task of a shard and not the exchange.
     """
     told = messages(blocks, make, bits, size)
     for level in range(1, size.levels):
         told = told.groupBy("slot", "shard").applyInArrow(_relay(level, bits, size), MESSAGE_SCHEMA)
     if more is not None:
         told = told.unionByName(more)
-    served = ws.write(told.groupBy("shard").applyInArrow(_answer(serve, bits, size), SERVED_SCHEMA), name)
+    served = ws.write(told.groupBy("shard").applyInArrow(_answer(serve, bits, size), SERVED_SCHEMA), f"{name}-served")
+    own = ws.write(served.filter("blocks is null").select("shard", "keys", "extra", "stats"), f"{name}-own") if keep else None
     back = served.filter("blocks is not null").select("shard", "slot", "blocks", "replies")
     for level in range(size.levels - 1, 0, -1):
         above = F.shiftright("shard", size.depth(level + 1) - size.depth(level))
         back = back.withColumn("above", above).groupBy("slot", "above").applyInArrow(_back(level, size), "shard bigint, slot bigint, blocks array<bigint>, replies array<binary>")
     each = back.select("shard", F.explode(F.arrays_zip("blocks", "replies")).alias("x"))
-    return each.select(F.col("x.blocks").alias("block"), "shard", F.col("x.replies").alias("reply")), served.filter("blocks is null").select("shard", "keys", "extra", "stats")
+    replies = kept_replies(each.select(F.col("x.blocks").alias("block"), "shard", F.col("x.replies").alias("reply")), name, ws, size)
+    ws.drop(f"{name}-served")
+    return replies, own
+
+
+_BLOCK_COLUMNS = {x.split()[0] for x in BLOCK_SCHEMA.split(", ")}
 
 
 def replies_at(batch: pa.RecordBatch, i: int) -> list[list[np.ndarray]]:
     """For each round asked for, the replies as columns over the block's keys; none for a block without keys."""
     out = []
     for name in batch.schema.names:
-        if name.startswith("replies"):
+        if name not in _BLOCK_COLUMNS:
             found = batch.column(batch.schema.get_field_index(name))[i].as_py() or []
             parts = [A.unpack_columns(x["reply"]) for x in sorted(found, key=lambda x: x["shard"])]
             out.append([np.concatenate(c) for c in zip(*parts)])
     return out
 
 
-def with_replies(blocks: DataFrame, replies: DataFrame, name: str) -> DataFrame:
-    """Give each block its replies, at most 2 ** FAN_BITS arrays."""
+def kept_replies(replies: DataFrame, name: str, ws: Workspace, size: Size) -> DataFrame:
+    """(block, name): each block's replies, at most 2 ** FAN_BITS arrays, in the buckets of the blocks."""
     own = replies.groupBy("block").agg(F.collect_list(F.struct("shard", "reply")).alias(name))
-    return blocks.join(own, "block", "left")
+    return ws.write_bucketed(own, name, "block", size.n_buckets)
+
+
+def with_replies(blocks: DataFrame, kept: DataFrame) -> DataFrame:
+    return blocks.join(kept, "block", "left")
 
 
 def each_block(blocks: DataFrame, make: Callable[[Block, list], pa.RecordBatch | None], schema: str) -> DataFrame:

@@ -230,11 +230,11 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     known: dict = {"discounts": {}}
     asked = everything = blocks
     for n in range(order, 0, -1):
-        replies, model = B.exchange(asked, _message(order, n, bits, folds, held_fold), _serve, bits=_bits(n, bits), size=size, ws=ws, name=f"round-{n}")
+        replies, model = B.exchange(asked, _message(order, n, bits, folds, held_fold), _serve, bits=_bits(n, bits), size=size, ws=ws, name=f"order_{n}", keep=True)
         n1, n2, n3, n4, kinds, total, words, tokens = ((x or 0) for x in model.select(*(F.sum(F.col("stats")[i]).alias(f"n{i}") for i in range(8))).first())
         known["discounts"][n] = discounts(n1, n2, n3, n4)
         if n == 1:
             known |= {"unigrams": (total, n1, n2, max(0, kinds - n1 - n2)), "vocabulary": words, "tokens": tokens}
-        asked = B.with_replies(blocks, replies, "replies0")  # a round asks for the one above it only
-        everything = B.with_replies(everything, replies, f"replies{order - n}")
+        asked = B.with_replies(blocks, replies)  # a round asks for the one above it only
+        everything = B.with_replies(everything, replies)
     return B.each_block(everything, _score(order, bits, folds, held_fold, known), RESULT_SCHEMA)

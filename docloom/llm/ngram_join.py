@@ -301,7 +301,8 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     4. A pair that passes is verified once, with both whole texts, after a suffix filter:
        words and shingles count as equal only if their bytes are.
 
-    Null or empty texts have no shingle, link with nothing and are their own component.
+    Null or empty texts have no shingle, link with nothing and are their own component;
+    texts of any length are read whole; an empty table gives no rows.
     Rows of one id are separate documents, but equal ids make one node of the result only
     where their texts link. A null id never is a component_id unless all ids of its group
     are null. Other columns are not read.
@@ -312,7 +313,7 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     size = B.size_of(blocks)
     bits = B.key_bits(size.n_bytes, 8)
     replies, _ = B.exchange(blocks, _df_message(bits, k), _df_shard, bits=bits, size=size, ws=ws, name="frequencies")
-    rows = ws.write(B.each_block(B.with_replies(blocks, replies, "replies0"), _prefixes(bits, k, exact), PREFIX_SCHEMA), "prefixes")
+    rows = ws.write(B.each_block(B.with_replies(blocks, replies), _prefixes(bits, k, exact), PREFIX_SCHEMA), "prefixes")
     ws.drop("blocks")
     ws.drop("frequencies")
     members = rows.filter("token is null").select("doc_id", "digest", "n")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -208,34 +209,34 @@ class FingerprintIndex:
         A word goes if a window of width words over it also starts in a document with a
         smaller id, in this batch or any before it. Matching fingerprints only nominate
         windows: these are then verified by 128 bits of their own words (of two independent
-        word hashes), with those of all blocks that own the fingerprint, old and new. Batches are to come in ascending
-        order of ids; results given for earlier batches stay as they were.
+        word hashes), with those of all blocks that own the fingerprint, old and new.
+        Batches are to come in ascending order of ids; results given for earlier batches
+        stay as they were.
 
-        Null texts have no words. A null id is larger than all others, and equal ids don't
-        remove each other's words. Other columns are not read.
+        Null texts have no words; texts of any length are read whole. A null id is larger
+        than all others, and equal ids don't remove each other's words. An empty batch
+        gives no rows. Other columns are not read, whatever their names.
         """
         spark, store, width = docs.sparkSession, self.store, self.width
-        group = len(store.tables("texts")) + 1
         old = store.tables("texts")
+        group = len(old) + 1
         ws = Workspace(spark, "dedup")
         new = B.write_blocks(docs, Workspace(spark, "", store.path("texts")), f"{group:06d}", id_col, text_col, group=group)
         texts = spark.read.schema(B.BLOCK_SCHEMA).parquet(*(store.path(f"texts/{t}") for t in [*old, f"{group:06d}"]))
-        size = B.size_of(texts)
+        size = replace(B.size_of(texts), n_buckets=B.size_of(new).n_buckets)
         runs = self.runs()
         more = None
         if runs:
             past = spark.read.schema(RUN_SCHEMA).parquet(*(store.path(f"runs/{r}") for r in runs))
             more = past.select("keys", "owners").mapInArrow(_split_runs(size.shard_bits), B.MESSAGE_SCHEMA)
-        told, kept = B.exchange(new, _anchor_message(width), _merge, bits=64, size=size, ws=ws, name="merged", more=more)
+        told, kept = B.exchange(new, _anchor_message(width), _merge, bits=64, size=size, ws=ws, name="shared", more=more, keep=True)
         kept.filter("keys is not null").select("shard", "keys", F.col("extra").alias("owners")).write.mode("overwrite").parquet(store.path(f"runs/l0-{group:06d}"))
-        asked = B.with_replies(new, told, "replies0")
+        asked = B.with_replies(new, told)
         if old:
             past_texts = spark.read.schema(B.BLOCK_SCHEMA).parquet(*(store.path(f"texts/{t}") for t in old))
-            hits = told.filter((F.shiftright("block", 48)) != group)
-            asked = asked.unionByName(B.with_replies(past_texts, hits, "replies0").filter("replies0 is not null"))
-        exact, _ = B.exchange(asked, _window_message(width, group), _verify, bits=64, size=size, ws=ws, name="exact")
-        exact = exact.filter(F.shiftright("block", 48) == group)
-        rows = B.each_block(B.with_replies(B.with_replies(new, told, "replies0"), exact, "replies1"), _remove(width, group, keep_text), RESULT_SCHEMA)
+            asked = asked.unionByName(past_texts.join(told, "block"))
+        exact, _ = B.exchange(asked, _window_message(width, group), _verify, bits=64, size=size, ws=ws, name="verified")
+        rows = B.each_block(B.with_replies(B.with_replies(new, told), exact), _remove(width, group, keep_text), RESULT_SCHEMA)
         self.compact()
         return rows
 

@@ -39,14 +39,31 @@ def shuffles_end_with_query(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
+_SCOPES: list[list[Workspace]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Folders of operators called within are deleted at its end: their results must have been written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for ws in _SCOPES.pop():
+            ws.drop()
+
+
 class Workspace:
     """One operator call's own folder of intermediate tables."""
 
     def __init__(self, spark: SparkSession, name: str, root: str | None = None) -> None:
         self.spark = spark
+        self.named: dict[str, list[str]] = {}
         self.root = root or f"{shared_folder(spark)}/docloom-{name}-{uuid.uuid4().hex}"
         if root is None:
             atexit.register(self._remove)
+            if _SCOPES:
+                _SCOPES[-1].append(self)
 
     def tables(self, folder: str) -> list[str]:
         """Names in a folder of the workspace, sorted; none if there is no such folder."""
@@ -64,8 +81,32 @@ class Workspace:
             df.write.mode("overwrite").parquet(self.path(table))
         return self.spark.read.schema(schema).parquet(self.path(table))
 
+    def write_bucketed(self, df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+        """write(), dealt in buckets by a key: tables of as many buckets are joined on it without moving either.
+
+        The table stands in the session's catalog under a name of its own until drop().
+        """
+        name = f"docloom_{uuid.uuid4().hex}"
+        with shuffles_end_with_query(self.spark):
+            df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", self.path(table)).saveAsTable(name)
+        if not self.named:
+            atexit.register(self._forget)
+        self.named.setdefault(table, []).append(name)
+        return self.spark.table(name)
+
+    def _forget(self) -> None:
+        try:
+            if self.spark.sparkContext._jsc is not None:
+                for name in (n for names in self.named.values() for n in names):
+                    self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        except Exception:  # noqa: BLE001  the session may have ended before the interpreter does
+            pass
+
     def drop(self, table: str = "") -> None:
         """Delete a table that nothing reads any more, or the whole folder."""
+        for t in [table] if table else list(self.named):
+            for name in self.named.pop(t, []):
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path(table) if table else self.root)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
