@@ -17,7 +17,7 @@ from docloom.llm.ngram_join import jaccard_groups
 from docloom.llm.pii import replace_entities
 from docloom.llm.queries import DEMO_KEY
 from docloom.llm.toxicity import score_documents
-from docloom.llm.workspace import Workspace
+from docloom.llm.workspace import Workspace, scratch
 
 
 #: The row key within a stage.
@@ -80,8 +80,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents. A stage's intermediate tables go when it is written, its result when the next one is."""
     ws = Workspace(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (name, stage) in enumerate(STAGES):
-        docs = ws.write(stage(spark, docs, sf_dir), f"{i}-{name}")
+        with scratch():
+            docs = ws.write(stage(spark, docs, sf_dir), f"{i}-{name}")
+        if before:
+            ws.drop(before)
+        before = f"{i}-{name}"
     return docs
