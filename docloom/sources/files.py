@@ -42,8 +42,11 @@ def read_archives(spark: SparkSession, path: str, suffix: str = ".xml") -> DataF
 
 
 def decoded(files: DataFrame) -> DataFrame:
-    """text: UTF-8 content without a byte order mark, otherwise unchanged."""
-    return files.withColumn("text", F.regexp_replace(F.decode("content", "UTF-8"), "^﻿", ""))
+    """text: UTF-8 content without a byte order mark, otherwise unchanged; null, and an error, where a byte isn't UTF-8."""
+    raw = F.col("content").cast("string")
+    bad = F.when(~F.is_valid_utf8(raw), F.lit("not UTF-8"))
+    error = F.coalesce(F.col("error"), bad) if "error" in files.columns else bad
+    return files.withColumn("text", F.when(F.is_valid_utf8(raw), F.regexp_replace(raw, "^\ufeff", ""))).withColumn("error", error)
 
 
 def split_duplicates(files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,6 +1,9 @@
 """The document pipeline's parts on small hand-made cases, and one run from XML to published notes and back."""
 
 import json
+import threading
+import zipfile
+from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from docloom.functions import progress, text
 from docloom.operators import filters, merging
 from docloom.plans import incremental, model_calls, prompts, publishing, statements, validation
 from docloom.sources import files, sections, xml_tree
+from docloom.streaming.ingest import ingest
 
 XML = """<r xmlns="u"><PackageInsertNo>1</PackageInsertNo><Warnings><Header>警告</Header><OrderedList><Item><Detail>一つ目の警告。</Detail></Item><Item><Detail>二</Detail></Item></OrderedList></Warnings>
 <UseInSpecificPopulations><UseInPregnant id="p1"><Header>妊婦</Header><Detail><Lang xml:lang="en">do not use</Lang><Lang xml:lang="ja">投与しないこと。</Lang></Detail></UseInPregnant></UseInSpecificPopulations>
@@ -234,3 +238,48 @@ def test_wrong_definitions():
             files.load_definitions([good | change])
     with pytest.raises(ValueError):
         files.load_definitions([good, good])
+
+
+def test_archives_and_bytes(spark, tmp_path):
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    with zipfile.ZipFile(tmp_path / "deep" / "er" / "one.Zip", "w") as z:
+        z.writestr("b.xml", "\ufeff<b/>".encode())
+        z.writestr("a.XML", b"<a>\xff</a>")
+        z.writestr("note.txt", b"no")
+    (tmp_path / "bad.zip").write_bytes(b"no archive")
+    rows = {r.path.rsplit("/", 1)[-1]: (r.text, r.error) for r in files.decoded(files.read_archives(spark, str(tmp_path))).collect()}
+    assert rows["one.Zip!b.xml"] == ("<b/>", None) and rows["one.Zip!a.XML"] == (None, "not UTF-8")
+    assert rows["bad.zip"][0] is None and rows["bad.zip"][1] and len(rows) == 3
+
+
+def test_files_that_keep_arriving(spark, tmp_path):
+    source, seen = tmp_path / "in", []
+    source.mkdir()
+    (source / "a.xml").write_text("<a/>")
+    handle = lambda batch, number: seen.extend(r.path.rsplit("/", 1)[-1] for r in files.decoded(batch).filter("error is null").collect())
+    run = lambda: ingest(spark, str(source), str(tmp_path / "checkpoint"), handle).awaitTermination()
+    run()
+    (source / "b.xml").write_text("<b/>")
+    run()
+    run()
+    assert seen == ["a.xml", "b.xml"]
+
+
+def test_http_client():
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            body = json.dumps({"response": " ", "message": {"content": f"{asked['model']} got {asked['prompt']}"}}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        assert model_calls.HttpClient(f"http://127.0.0.1:{server.server_port}/", "m", 5)("p") == "m got p"
+    finally:
+        server.shutdown()
