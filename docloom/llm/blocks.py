@@ -123,7 +123,8 @@ def write_blocks(docs: DataFrame, ws: Workspace, table: str, id_col: str, text_c
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
     limit = BLOCK_BYTES
     packed = rows.mapInArrow(lean(lambda b: _pack_rows(b, limit, group)), BLOCK_SCHEMA)
-    return ws.write_bucketed(packed, table, "block", max(1, min(MOST_BUCKETS, -(-total // BUCKET_BYTES))))
+    n = max(1, min(MOST_BUCKETS, -(-total // BUCKET_BYTES)))
+    return ws.write_bucketed(packed.repartition(n, "block"), table, "block", n)
 
 
 @dataclass
@@ -195,6 +196,20 @@ def opened_keys(packed: bytes, shard: int, bits: int, depth: int) -> np.ndarray:
     return A.unpack_sorted(packed) + A.U(shard << (bits - depth) if depth else 0)
 
 
+def dealt(kept: DataFrame, bits: int, size: Size) -> DataFrame:
+    """Stored arrays (keys, extra: ascending keys and packed columns) as messages of no block to the shards of an exchange."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, extra in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows = _Rows()
+                for shard, k, e in cut(A.unpack_sorted(keys), A.unpack_columns(extra), bits, size.shard_bits):
+                    rows.add(0, shard, EXTRA, k, e)
+                yield rows.batch()
+
+    return kept.select("keys", "extra").mapInArrow(lean(run), MESSAGE_SCHEMA)
+
+
 class _Rows:
     """Rows of MESSAGE_SCHEMA, gathered by slot and range."""
 
@@ -314,8 +329,8 @@ def _back(level: int, size: Size):
     return run
 
 
-def exchange(blocks: DataFrame, make: Make, serve: Serve, *, bits: int, size: Size, ws: Workspace, name: str, more: DataFrame | None = None, keep: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """The blocks' replies (block, name), and what the shards keep (shard, keys, extra, stats) if asked for.
+def exchange(blocks: DataFrame, make: Make, serve: Serve, *, bits: int, size: Size, ws: Workspace, name: str, more: DataFrame | None = None, keep: Workspace | None = None) -> tuple[DataFrame, DataFrame]:
+    """The blocks' replies (block, name), and what the shards keep (shard, keys, extra, stats), in the workspace keep or ws.
 
     serve(shard, blocks, keys, columns) sees all arrays of one shard, block by block, and
     gives blocks, their replies (columns of integers in the order of the block's keys) and
@@ -328,16 +343,18 @@ def exchange(blocks: DataFrame, make: Make, serve: Serve, *, bits: int, size: Si
         told = told.groupBy("slot", "shard").applyInArrow(_relay(level, bits, size), MESSAGE_SCHEMA)
     if more is not None:
         told = told.unionByName(more)
-    served = ws.write(told.groupBy("shard").applyInArrow(_answer(serve, bits, size), SERVED_SCHEMA), f"{name}-served")
-    own = ws.write(served.filter("blocks is null").select("shard", "keys", "extra", "stats"), f"{name}-own") if keep else None
-    back = served.filter("blocks is not null").select("shard", "slot", "blocks", "replies")
+    answers = told.groupBy("shard").applyInArrow(_answer(serve, bits, size), SERVED_SCHEMA)
+    replies, own = ws.write_halves(answers, F.col("blocks").isNotNull(), f"{name}-served")
+    back = replies.select("shard", "slot", "blocks", "replies")
     for level in range(size.levels - 1, 0, -1):
         above = F.shiftright("shard", size.depth(level + 1) - size.depth(level))
         back = back.withColumn("above", above).groupBy("slot", "above").applyInArrow(_back(level, size), "shard bigint, slot bigint, blocks array<bigint>, replies array<binary>")
     each = back.select("shard", F.explode(F.arrays_zip("blocks", "replies")).alias("x"))
-    replies = kept_replies(each.select(F.col("x.blocks").alias("block"), "shard", F.col("x.replies").alias("reply")), name, ws, size)
-    ws.drop(f"{name}-served")
-    return replies, own
+    kept = kept_replies(each.select(F.col("x.blocks").alias("block"), "shard", F.col("x.replies").alias("reply")), name, ws, size)
+    ws.drop(ws.half(f"{name}-served", True))
+    if keep is not None and keep is not ws:
+        own = keep.write(own, f"{name}-served/half=false")
+    return kept, own.select("shard", "keys", "extra", "stats")
 
 
 _BLOCK_COLUMNS = {x.split()[0] for x in BLOCK_SCHEMA.split(", ")}
@@ -356,7 +373,7 @@ def replies_at(batch: pa.RecordBatch, i: int) -> list[list[np.ndarray]]:
 
 def kept_replies(replies: DataFrame, name: str, ws: Workspace, size: Size) -> DataFrame:
     """(block, name): each block's replies, at most 2 ** FAN_BITS arrays, in the buckets of the blocks."""
-    own = replies.groupBy("block").agg(F.collect_list(F.struct("shard", "reply")).alias(name))
+    own = replies.repartition(size.n_buckets, "block").groupBy("block").agg(F.collect_list(F.struct("shard", "reply")).alias(name))
     return ws.write_bucketed(own, name, "block", size.n_buckets)
 
 

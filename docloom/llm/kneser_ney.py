@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from dataclasses import dataclass
 
@@ -160,7 +161,9 @@ def _message(order: int, n: int, bits: int, folds: int, fold: int):
     return make
 
 
-def _score(order: int, bits: int, folds: int, fold: int, known: dict):
+def _score(known: dict, folds: int, fold: int):
+    order, bits = known["order"], known["bits"]
+
     def make(block: B.Block, replies: list) -> pa.RecordBatch:
         t = tokens_of(block, order)
         doc = t.doc[t.real]
@@ -200,7 +203,7 @@ def _score(order: int, bits: int, folds: int, fold: int, known: dict):
     return make
 
 
-def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 3, folds: int = 7, held_fold: int = 2, ws: Workspace | None = None) -> DataFrame:
+def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 3, folds: int = 7, held_fold: int = 2, model_path: str | None = None) -> DataFrame:
     """Log10 probabilities of all rows' texts under a model of the rows that aren't held out.
 
     A row is held out if crc32 of its id as text leaves held_fold on division by folds.
@@ -210,31 +213,74 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     From the highest order down, each block of documents sends the shards of the key range
     its distinct n-grams with their counts as compressed sorted arrays; the shard merges
-    them into sorted arrays and answers. A key belongs to the first block
-    that has it, which tells the next lower order that one more n-gram continues its last
-    words and follows its first. Sums of counts of counts give each order's discounts. The
-    shards' sorted arrays are the model; they are kept in the workspace's rounds as binary
-    columns. Keys of words have 64 bits. Those of longer n-grams have 20 bits more than the
+    them into sorted arrays and answers. A key belongs to the first block that has it,
+    which tells the next lower order that one more n-gram continues its last words and
+    follows its first. Sums of counts of counts give each order's discounts. The shards'
+    sorted arrays are the model: they are stored, one row a shard, and with model_path they
+    stay there for score_texts(); the documents themselves are scored by the answers that
+    their blocks got while counting. Keys of words have 64 bits. Those of longer n-grams have 20 bits more than the
     count of the corpus's bytes: the score, and nothing else, takes an unseen n-gram for
     another with chance below 2**-20 at any size.
 
     Null texts count as empty: the end is their only token. Texts of any length are read
     whole. Null ids are never held out; repeated rows count and are scored each; an empty
-    table gives no rows. Without training tokens the unseen word's
-    share is the whole distribution. Other columns are not read.
+    table gives no rows. Without training tokens the unseen word's share is the whole
+    distribution. Other columns are not read, whatever their names.
     """
-    ws = ws or Workspace(docs.sparkSession, "kneser-ney")
+    spark = docs.sparkSession
+    ws = Workspace(spark, "kneser-ney")
+    models = Workspace(spark, "", model_path) if model_path else ws
     blocks = B.write_blocks(docs, ws, "blocks", id_col, text_col)
     size = B.size_of(blocks)
-    bits = B.key_bits(size.n_bytes, 20)
-    known: dict = {"discounts": {}}
+    known: dict = {"order": order, "bits": B.key_bits(size.n_bytes, 20), "discounts": {}}
     asked = everything = blocks
     for n in range(order, 0, -1):
-        replies, model = B.exchange(asked, _message(order, n, bits, folds, held_fold), _serve, bits=_bits(n, bits), size=size, ws=ws, name=f"order_{n}", keep=True)
+        replies, model = B.exchange(asked, _message(order, n, known["bits"], folds, held_fold), _serve, bits=_bits(n, known["bits"]), size=size, ws=ws, name=f"order_{n}", keep=models)
         n1, n2, n3, n4, kinds, total, words, tokens = ((x or 0) for x in model.select(*(F.sum(F.col("stats")[i]).alias(f"n{i}") for i in range(8))).first())
         known["discounts"][n] = discounts(n1, n2, n3, n4)
         if n == 1:
             known |= {"unigrams": (total, n1, n2, max(0, kinds - n1 - n2)), "vocabulary": words, "tokens": tokens}
         asked = B.with_replies(blocks, replies)  # a round asks for the one above it only
         everything = B.with_replies(everything, replies)
-    return B.each_block(everything, _score(order, bits, folds, held_fold, known), RESULT_SCHEMA)
+    if model_path:
+        told = known | {"discounts": {n: d.values for n, d in known["discounts"].items()}}
+        models.write(spark.createDataFrame([(json.dumps(told),)], "known string"), "known")
+    return B.each_block(everything, _score(known, folds, held_fold), RESULT_SCHEMA)
+
+
+def _lookup(shard: int, blocks: list, keys: list, columns: list) -> tuple:
+    """Answers of one shard of a stored model: its sorted arrays, searched for the keys of each block."""
+    own = [i for i, b in enumerate(blocks) if b == B.EXTRA]
+    width = len(columns[own[0]]) if own else WIDTH
+    table = np.concatenate([np.zeros(0, dtype=A.U), *(keys[i] for i in own)])
+    sums = [np.concatenate([np.zeros(1, dtype=A.U), *(columns[i][c] for i in own)]) for c in range(width)]  # place 0: not found
+    order = np.argsort(table, kind="stable")
+    ask = [i for i, b in enumerate(blocks) if b != B.EXTRA]
+    replies = []
+    for i in ask:
+        at = np.minimum(np.searchsorted(table, keys[i], sorter=order), max(0, len(table) - 1))
+        place = np.where(table[order[at]] == keys[i], order[at] + 1, 0) if len(table) else np.zeros(len(keys[i]), dtype=np.int64)
+        replies.append([*(c[place] for c in sums), np.zeros(len(place), dtype=A.U)])
+    return [blocks[i] for i in ask], replies, None
+
+
+def score_texts(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """score_documents() for other texts under a stored model: none of them is learnt from, and all are held out.
+
+    Blocks ask the shards for their distinct n-grams; each task of a shard opens its part of
+    the stored sorted arrays and searches them. Nothing of the model goes to the driver but
+    its discounts and totals.
+    """
+    spark = docs.sparkSession
+    ws, models = Workspace(spark, "kneser-ney-score"), Workspace(spark, "", model_path)
+    known = json.loads(spark.read.parquet(models.path("known")).first().known)
+    known["discounts"] = {int(n): Discounts(tuple(d)) for n, d in known["discounts"].items()}
+    order, bits = known["order"], known["bits"]
+    blocks = B.write_blocks(docs, ws, "blocks", id_col, text_col)
+    size, everything = B.size_of(blocks), blocks
+    for n in range(order, 0, -1):
+        ask = lambda block, _, n=n: (round_of(tokens_of(block, order), n, order, _bits(n, bits)).keys, [])
+        stored = B.dealt(spark.read.parquet(models.path(models.half(f"order_{n}-served", False))), _bits(n, bits), size)
+        replies, _ = B.exchange(blocks, ask, _lookup, bits=_bits(n, bits), size=size, ws=ws, name=f"order_{n}", more=stored)
+        everything = B.with_replies(everything, replies)
+    return B.each_block(everything, _score(known, 1, 0), RESULT_SCHEMA)

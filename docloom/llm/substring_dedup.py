@@ -17,7 +17,7 @@ from docloom.llm.workspace import Workspace
 
 #: Words of the runs whose least hash is a window's fingerprint.
 ANCHOR = 16
-RUN_SCHEMA = "shard bigint, keys binary, owners binary"
+RUN_SCHEMA = "shard bigint, keys binary, extra binary"
 RESULT_SCHEMA = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
 
 
@@ -94,7 +94,7 @@ def _merge(shard: int, blocks: list, keys: list, columns: list) -> tuple:
             old_hits.setdefault(b, []).append(np.unique(part))
     to = [b for b, _, _ in now] + list(old_hits)
     replies = [[shared[np.searchsorted(fresh, own)]] for _, own, _ in now] + [[np.unique(np.concatenate(x))] for x in old_hits.values()]
-    return to, replies, (A.pack_sorted(all_keys), A.pack(owner), None) if now else None
+    return to, replies, (A.pack_sorted(all_keys), A.pack_columns([owner]), None) if now else None
 
 
 def _shared_keys(w: Words, reply: list[np.ndarray], new: bool) -> np.ndarray:
@@ -161,20 +161,6 @@ def _remove(width: int, group: int, keep_text: bool):
     return make
 
 
-def _split_runs(bits: int):
-    """Deal the runs' arrays to the shards of this call, as messages of no block; the shards' number grows with the index."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, owners in zip(batch["keys"].to_pylist(), batch["owners"].to_pylist()):
-                parts = list(B.cut(A.unpack_sorted(keys), [A.unpack(owners)], 64, bits))
-                column = lambda i: pa.array([[x[i]] for x in parts], type=pa.list_(pa.binary()))  # noqa: B023, E731
-                none = pa.array([0] * len(parts), type=pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in parts], type=pa.int64()), none, pa.array([[B.EXTRA]] * len(parts), type=pa.list_(pa.int64())), column(1), column(2)], ["shard", "slot", "blocks", "keys", "extra"])
-
-    return run
-
-
 def _compacted(bits: int):
     """One shard's part of several runs as one sorted run."""
 
@@ -183,7 +169,7 @@ def _compacted(bits: int):
         keys = np.concatenate([B.opened_keys(x[0], shard, 64, bits) for x in table["keys"].to_pylist()])
         owners = np.concatenate([A.unpack_columns(x[0])[0] for x in table["extra"].to_pylist()])
         order = np.argsort(keys, kind="stable")
-        return pa.table({"shard": table["shard"][:1], "keys": pa.array([A.pack_sorted(keys[order])], type=pa.binary()), "owners": pa.array([A.pack(owners[order])], type=pa.binary())})
+        return pa.table({"shard": table["shard"][:1], "keys": pa.array([A.pack_sorted(keys[order])], type=pa.binary()), "extra": pa.array([A.pack_columns([owners[order]])], type=pa.binary())})
 
     return run
 
@@ -228,9 +214,9 @@ class FingerprintIndex:
         more = None
         if runs:
             past = spark.read.schema(RUN_SCHEMA).parquet(*(store.path(f"runs/{r}") for r in runs))
-            more = past.select("keys", "owners").mapInArrow(_split_runs(size.shard_bits), B.MESSAGE_SCHEMA)
-        told, kept = B.exchange(new, _anchor_message(width), _merge, bits=64, size=size, ws=ws, name="shared", more=more, keep=True)
-        kept.filter("keys is not null").select("shard", "keys", F.col("extra").alias("owners")).write.mode("overwrite").parquet(store.path(f"runs/l0-{group:06d}"))
+            more = B.dealt(past, 64, size)
+        told, kept = B.exchange(new, _anchor_message(width), _merge, bits=64, size=size, ws=ws, name="shared", more=more, keep=ws)
+        kept.filter("keys is not null").select("shard", "keys", "extra").write.mode("overwrite").parquet(store.path(f"runs/l0-{group:06d}"))
         asked = B.with_replies(new, told)
         if old:
             past_texts = spark.read.schema(B.BLOCK_SCHEMA).parquet(*(store.path(f"texts/{t}") for t in old))
@@ -248,9 +234,8 @@ class FingerprintIndex:
             own = [r for r in self.runs() if r.startswith(f"l{level}-")]
             if len(own) >= self.fanout:
                 rows = spark.read.schema(RUN_SCHEMA).parquet(*(store.path(f"runs/{r}") for r in own))
-                bits = B.size_of(spark.read.schema(B.BLOCK_SCHEMA).parquet(store.path("texts/*"))).shard_bits
-                split = rows.select("keys", "owners").mapInArrow(_split_runs(bits), B.MESSAGE_SCHEMA)
-                split.groupBy("shard").applyInArrow(_compacted(bits), RUN_SCHEMA).write.mode("overwrite").parquet(store.path(f"merging/l{level + 1}-{own[-1].split('-')[1]}"))
+                size = B.size_of(spark.read.schema(B.BLOCK_SCHEMA).parquet(store.path("texts/*")))
+                B.dealt(rows, 64, size).groupBy("shard").applyInArrow(_compacted(size.shard_bits), RUN_SCHEMA).write.mode("overwrite").parquet(store.path(f"merging/l{level + 1}-{own[-1].split('-')[1]}"))
                 store.move(f"merging/l{level + 1}-{own[-1].split('-')[1]}", f"runs/l{level + 1}-{own[-1].split('-')[1]}")
                 for r in own:
                     store.drop(f"runs/{r}")

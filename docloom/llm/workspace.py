@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
 
@@ -81,14 +81,23 @@ class Workspace:
             df.write.mode("overwrite").parquet(self.path(table))
         return self.spark.read.schema(schema).parquet(self.path(table))
 
+    def half(self, table: str, chosen: bool) -> str:
+        return f"{table}/half={str(chosen).lower()}"
+
+    def write_halves(self, df: DataFrame, test: Column, table: str) -> tuple[DataFrame, DataFrame]:
+        """write() in one pass, rows for which test holds and the others apart, so that either half can be dropped."""
+        with shuffles_end_with_query(self.spark):
+            df.withColumn("half", test).write.mode("overwrite").partitionBy("half").parquet(self.path(table))
+        return tuple(self.spark.read.schema(df.schema).parquet(self.path(self.half(table, x))) if self.tables(self.half(table, x)) else self.spark.createDataFrame([], df.schema) for x in (True, False))
+
     def write_bucketed(self, df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
-        """write(), dealt in buckets by a key: tables of as many buckets are joined on it without moving either.
+        """write() for rows that were dealt by repartition(buckets, key): tables of as many buckets are joined without moving either.
 
         The table stands in the session's catalog under a name of its own until drop().
         """
         name = f"docloom_{uuid.uuid4().hex}"
         with shuffles_end_with_query(self.spark):
-            df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", self.path(table)).saveAsTable(name)
+            df.write.bucketBy(buckets, key).sortBy(key).option("path", self.path(table)).saveAsTable(name)
         if not self.named:
             atexit.register(self._forget)
         self.named.setdefault(table, []).append(name)

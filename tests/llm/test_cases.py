@@ -98,6 +98,23 @@ def test_messages_grow_with_the_text(spark, monkeypatch):
     assert b.shard_bits > a.shard_bits and 6 < many / few < 10
 
 
+def test_a_stored_model_scores_other_texts(spark, monkeypatch, tmp_path):
+    """As the documents that it was fitted on, if they are the same; in shards of another size too."""
+    rows = small_corpus(80)
+    want = {r.doc_id: r for r in kneser_ney.score_documents(docs_of(spark, rows), id_col="id", model_path=str(tmp_path / "model")).collect()}
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 1500)
+    monkeypatch.setattr(blocks, "SHARD_BYTES", 3000)
+    got = kneser_ney.score_texts(docs_of(spark, [*rows, (None, "words that nobody has")]), str(tmp_path / "model"), id_col="id").collect()
+    assert len(got) == len(rows) + 1
+    for r in got:
+        if r.doc_id is not None:
+            w = want[r.doc_id]
+            assert (r.n_tokens, r.n_known, r.train_tokens) == (w.n_tokens, w.n_known, w.train_tokens)
+            assert r.score == pytest.approx(w.score) and r.base_score == pytest.approx(w.base_score)
+        else:
+            assert (r.n_tokens, r.n_known) == (5, 1)
+
+
 # --- op1
 
 
