@@ -198,17 +198,49 @@ def unpack(b: bytes) -> np.ndarray:
     return out.reshape(-1).view(U) + U(low)
 
 
-def pack_columns(columns: list[np.ndarray]) -> bytes:
-    parts = [pack(c) for c in columns]
-    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+class Texts:
+    """Byte strings one after another, as a column beside integers."""
 
+    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
+        self.data, self.offsets = data, offsets
 
-def unpack_columns(b: bytes) -> list[np.ndarray]:
+    def __len__(self) -> int:
+        return len(self.offsets) - 1
+
+    def __getitem__(self, part: slice) -> Texts:
+        cut = self.offsets[part.start : part.stop + 1]
+        return Texts(self.data[cut[0] : cut[-1]], cut - cut[0])
+
+
+def joined_texts(parts: list[Texts]) -> Texts:
+    sizes = np.concatenate([np.zeros(0, dtype=np.int64), *(np.diff(x.offsets) for x in parts)])
+    return Texts(np.concatenate([np.zeros(0, dtype=np.uint8), *(x.data for x in parts)]), np.r_[0, np.cumsum(sizes)].astype(np.int64))
+
+
+def pack_columns(columns: list[np.ndarray | Texts]) -> bytes:
+    out = []
+    for c in columns:
+        if isinstance(c, Texts):
+            sizes = pack(np.diff(c.offsets))
+            body = b"T" + len(sizes).to_bytes(4, "little") + sizes + zstandard.ZstdCompressor(level=1).compress(c.data.tobytes())
+        else:
+            body = b"I" + pack(c)
+        out.append(len(body).to_bytes(4, "little") + body)
+    return b"".join(out)
+
+
+def unpack_columns(b: bytes) -> list[np.ndarray | Texts]:
     out, at = [], 0
     while at < len(b):
-        n = int.from_bytes(b[at : at + 4], "little")
-        out.append(unpack(b[at + 4 : at + 4 + n]))
-        at += 4 + n
+        body = memoryview(b)[at + 4 : at + 4 + int.from_bytes(b[at : at + 4], "little")]
+        at += 4 + len(body)
+        if body[0] == ord("T"):
+            n = int.from_bytes(body[1:5], "little")
+            offsets = np.r_[0, np.cumsum(unpack(body[5 : 5 + n]).astype(np.int64))].astype(np.int64)
+            raw = zstandard.ZstdDecompressor().decompress(body[5 + n :], max_output_size=int(offsets[-1]) + 1)
+            out.append(Texts(np.frombuffer(raw, dtype=np.uint8), offsets))
+        else:
+            out.append(unpack(body[1:]))
     return out
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,26 +33,52 @@ class Words:
         least = A.sliding_min(A.grams(self.hashes, k), width - k + 1)
         self.anchor = least[self.at] if len(self.at) else np.zeros(0, dtype=A.U)
 
-    def candidates(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Places, keys, checks (of independent word hashes) and ids of the windows whose fingerprint is among shared (ascending)."""
+    def segments(self, shared: np.ndarray) -> Segments:
+        """The stretches of windows of one fingerprint that is among shared (ascending)."""
         if not len(shared) or not len(self.at):
             none = np.zeros(0, dtype=np.int64)
-            return none, none.astype(A.U), none.astype(A.U), none
-        hit = shared[np.minimum(np.searchsorted(shared, self.anchor), len(shared) - 1)] == self.anchor
-        at = self.at[hit]
-        keys = A.grams(self.hashes, self.width)[at]
-        checks = A.grams(A.hash_spans(self.buf, self.starts, self.ends, seed=1), self.width, salt=1)[at]
-        return at, keys, checks, self.block.ids[self.doc[hit]]
+            return Segments(none.astype(A.U), none, none, A.Texts(none.astype(np.uint8), np.zeros(1, dtype=np.int64)), none, none, none)
+        hit = np.flatnonzero(shared[np.minimum(np.searchsorted(shared, self.anchor), len(shared) - 1)] == self.anchor)
+        at, anchor, doc = self.at[hit], self.anchor[hit], self.doc[hit]
+        new = np.r_[True, (at[1:] != at[:-1] + 1) | (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])][: len(at)]
+        first = np.flatnonzero(new)
+        n = np.diff(np.append(first, len(at)))
+        start, ids = at[first], self.block.ids[doc[first]]
+        texts = self.text_of(start, n + self.width - 1)
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(texts.offsets), pa.py_buffer(np.ascontiguousarray(texts.data))]).dictionary_encode()
+        entry = found.indices.to_numpy().astype(np.int64)
+        order = np.lexsort((ids, entry))
+        pick = order[np.flatnonzero(np.r_[True, entry[order][1:] != entry[order][:-1]])[: len(found.dictionary)]]  # of each text the segment with the least id
+        by_key = np.argsort(anchor[first][pick], kind="stable")
+        rank = np.empty(len(pick), dtype=np.int64)
+        rank[by_key] = np.arange(len(pick))
+        pick = pick[by_key]
+        return Segments(anchor[first][pick], ids[pick], n[pick], self.text_of(start[pick], n[pick] + self.width - 1), rank[entry], start, ids)
+
+    def text_of(self, start: np.ndarray, n: np.ndarray) -> A.Texts:
+        """The words start : start + n of each stretch, each with a space after it."""
+        ends = np.cumsum(n)
+        word = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - n), n)
+        sizes = self.ends[word] - self.starts[word] + 1
+        stop = np.cumsum(sizes)
+        source = np.repeat(self.starts[word] - (stop - sizes), sizes) + np.arange(int(sizes.sum()))
+        data = self.buf[np.minimum(source, max(0, len(self.buf) - 1))] if len(source) else np.zeros(0, dtype=np.uint8)
+        data[stop - 1] = 0x20
+        return A.Texts(data, np.r_[0, stop][np.r_[0, ends]].astype(np.int64))
+
 
+@dataclass
+class Segments:
+    """Distinct stretches of a block by ascending fingerprint: least id, windows and words; and for each stretch that stands
+    in the block which of them it is, its first word and its document's id."""
 
-def _entries(keys: np.ndarray, checks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of distinct (key, check, id), and for each input the place of its entry."""
-    order = np.lexsort((ids, checks, keys))
-    k, c, d = keys[order], checks[order], ids[order]
-    new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1]) | (d[1:] != d[:-1])] if len(k) else np.zeros(0, dtype=bool)
-    place = np.empty(len(keys), dtype=np.int64)
-    place[order] = np.cumsum(new) - 1
-    return order[new], place
+    keys: np.ndarray
+    least: np.ndarray
+    windows: np.ndarray
+    texts: A.Texts
+    entry: np.ndarray
+    start: np.ndarray
+    ids: np.ndarray
 
 
 def _anchor_message(width: int):
@@ -104,47 +130,56 @@ def _shared_keys(w: Words, reply: list[np.ndarray], new: bool) -> np.ndarray:
 
 
 def _window_message(width: int, group: int):
+    """Of equal stretches in a block only the one with the least id is sent: the others go in any case."""
+
     def make(block: B.Block, replies: list):
         w = Words(block, width)
-        _, keys, checks, ids = w.candidates(_shared_keys(w, replies[0], block.block >> 48 == group))
-        use, _ = _entries(keys, checks, ids)
-        return keys[use], [checks[use], ids[use].astype(A.U) ^ A.U(1 << 63)]
+        found = w.segments(_shared_keys(w, replies[0], block.block >> 48 == group))
+        return found.keys, [found.least.astype(A.U) ^ A.U(1 << 63), found.texts]
 
     return make
 
 
-def _verify(shard: int, blocks: list, keys: list, columns: list) -> tuple:
-    """One shard of exact windows: those that a smaller id has too."""
-    sizes = np.cumsum([len(k) for k in keys])
-    k, c, d = (np.concatenate(x) for x in (keys, [x[0] for x in columns], [x[1] for x in columns]))
-    order = np.lexsort((d, c, k))
-    k, c, d = k[order], c[order], d[order]
-    new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
-    least = d[np.flatnonzero(new)][np.cumsum(new) - 1]
-    dup = np.zeros(len(k), dtype=bool)
-    dup[order] = d > least
-    return blocks, [[x] for x in np.split(dup, sizes[:-1])], None
+def _verify(width: int):
+    """One shard: windows of which a smaller id has the same words, compared by their bytes."""
+
+    def serve(shard: int, blocks: list, keys: list, columns: list) -> tuple:
+        ids = np.concatenate([c[0] for c in columns])
+        texts = A.joined_texts([c[1] for c in columns])
+        starts, ends, first = A.word_spans(texts.data, texts.offsets, A.SPACES)
+        at, segment = A.gram_docs(first, width)
+        number = A.dense_grams(A.dense_words(texts.data, starts, ends), width)[at]
+        own = ids[segment]
+        order = np.lexsort((own, number))
+        cut = np.flatnonzero(np.r_[True, number[order][1:] != number[order][:-1]])
+        least = np.empty(int(number.max()) + 1, dtype=A.U)
+        least[number[order][cut]] = own[order][cut]
+        per_segment = np.r_[0, np.cumsum(np.maximum(np.diff(first) - width + 1, 0))]
+        bounds = per_segment[np.cumsum([len(k) for k in keys])]
+        return blocks, [[x] for x in np.split(own > least[number], bounds[:-1])], None
+
+    return serve
 
 
 def _remove(width: int, group: int, keep_text: bool):
     def make(block: B.Block, replies: list) -> pa.RecordBatch:
         w = Words(block, width)
-        at, keys, checks, ids = w.candidates(_shared_keys(w, replies[0], True))
-        _, place = _entries(keys, checks, ids)
-        dup = replies[1][0].astype(bool) if replies[1] else np.zeros(0, dtype=bool)
+        found = w.segments(_shared_keys(w, replies[0], True))
+        earlier = replies[1][0].astype(bool) if replies[1] else np.zeros(0, dtype=bool)
         edge = np.zeros(len(w.starts) + width + 1, dtype=np.int32)
-        hit = at[dup[place]] if len(at) else at
+        n = found.windows[found.entry]
+        offset = (np.cumsum(found.windows) - found.windows)[found.entry]
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        again = found.ids > found.least[found.entry]  # this block has the stretch under a smaller id
+        dup = np.repeat(again, n) | earlier[np.repeat(offset, n) + step] if len(n) else np.zeros(0, dtype=bool)
+        hit = (np.repeat(found.start, n) + step)[dup]
         np.add.at(edge, hit, 1)
         np.add.at(edge, hit + width, -1)
         gone = np.cumsum(edge)[: len(w.starts)] > 0
         kept = np.flatnonzero(~gone)
-        sizes = w.ends[kept] - w.starts[kept] + 1
-        stop = np.cumsum(sizes)
-        source = np.repeat(w.starts[kept] - (stop - sizes), sizes) + np.arange(int(sizes.sum()))
-        text = w.buf[np.minimum(source, max(0, len(w.buf) - 1))] if len(source) else np.zeros(0, dtype=np.uint8)
-        text[stop - 1] = 0x20
-        bounds = np.r_[0, stop][np.searchsorted(kept, w.first)]
-        raw = text.tobytes()
+        text = w.text_of(kept, np.ones(len(kept), dtype=np.int64))
+        bounds = text.offsets[np.searchsorted(kept, w.first)]
+        raw = text.data.tobytes()
         texts = [raw[a : b - 1] if b > a else b"" for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
         lost = np.r_[0, np.cumsum(gone)]
         return pa.RecordBatch.from_arrays(
@@ -194,8 +229,9 @@ class FingerprintIndex:
 
         A word goes if a window of width words over it also starts in a document with a
         smaller id, in this batch or any before it. Matching fingerprints only nominate
-        windows: these are then verified by 128 bits of their own words (of two independent
-        word hashes), with those of all blocks that own the fingerprint, old and new.
+        windows: stretches of windows of one fingerprint go with their words to the shard
+        of the fingerprint, which compares the windows of all blocks that own it, old and
+        new, by their bytes.
         Batches are to come in ascending order of ids; results given for earlier batches
         stay as they were.
 
@@ -221,7 +257,7 @@ class FingerprintIndex:
         if old:
             past_texts = spark.read.schema(B.BLOCK_SCHEMA).parquet(*(store.path(f"texts/{t}") for t in old))
             asked = asked.unionByName(past_texts.join(told, "block"))
-        exact, _ = B.exchange(asked, _window_message(width, group), _verify, bits=64, size=size, ws=ws, name="verified")
+        exact, _ = B.exchange(asked, _window_message(width, group), _verify(width), bits=64, size=size, ws=ws, name="verified")
         rows = B.each_block(B.with_replies(B.with_replies(new, told), exact), _remove(width, group, keep_text), RESULT_SCHEMA)
         self.compact()
         return rows
