@@ -18,7 +18,8 @@ from docloom.llm.workspace import Workspace
 #: Hashes of the marks before and after a text; words have at least one byte, so that no word has them.
 START, END = A.U(0x53A7B1C2D3E4F501), A.U(0x9C8B7A6958473625)
 RESULT_SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-#: Vectors that go with the keys of a round: the count (raw or continuation), and for contexts their followers by 1, 2, 3 and more, and the followers' counts.
+#: Vectors that go with the keys of a round: the count (raw or continuation), and for contexts how many followers have the
+#: counts 1, 2, 3 and more, and the sum of what these last have above 3 (mostly 0: the followers' counts follow from all four).
 WIDTH = 5
 
 
@@ -153,7 +154,7 @@ def _message(order: int, n: int, bits: int, folds: int, fold: int):
             token, c = above.first_token()[own], got[0][own]
             before = now.context[token]
             columns = [count_of(now.gram[token]), count_of(before[c == 1]), count_of(before[c == 2]), count_of(before[c >= 3])]
-            columns.append(np.rint(np.bincount(before, c, len(now.keys))).astype(np.int64))
+            columns.append(np.rint(np.bincount(before, np.maximum(c - 3, 0), len(now.keys))).astype(np.int64))
         if n == 1 and order > 1:
             columns.append(count_of(now.gram[train]))
         return now.keys, columns
@@ -179,7 +180,7 @@ def _score(known: dict, folds: int, fold: int):
                 seen = np.full(len(doc), total > 0)
                 safe, spare = max(total, 1), (d[0] * n1 + d[1] * n2 + d[2] * n3) / max(total, 1)
             else:
-                total = low[4]
+                total = low[1] + 2 * low[2] + 3 * low[3] + low[4]
                 shares = (d[0] * low[1] + d[1] * low[2] + d[2] * low[3]) / np.maximum(total, 1)
                 seen, safe, spare = (total > 0)[below.context], np.maximum(total, 1)[below.context], shares[below.context]
             p = np.where(seen, np.maximum(counts - known["discounts"][n].of(counts), 0) / safe + spare * p, p)
