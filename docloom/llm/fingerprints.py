@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from docloom.llm.workspace import Workspace
 
 #: Rows of a range of neighbours, about; FAN ranges are cut in up to FAN each.
-ROWS_PER_RANGE = 8192
+ROWS_PER_RANGE = 1024
 FAN = 1024
 _LAST = (1 << 63) - 1
 
