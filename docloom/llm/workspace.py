@@ -43,14 +43,24 @@ _SCOPES: list[list[Workspace]] = []
 
 
 @contextmanager
-def scratch() -> Iterator[None]:
-    """Folders of operators called within are deleted at its end: their results must have been written by then."""
+def gathered() -> Iterator[list[Workspace]]:
+    """The workspaces that are opened within, but for those of an inner scratch()."""
     _SCOPES.append([])
     try:
-        yield
+        yield _SCOPES[-1]
     finally:
-        for ws in _SCOPES.pop():
-            ws.drop()
+        _SCOPES.pop()
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Folders of operators called within are deleted at its end: their results must have been written by then."""
+    with gathered() as own:
+        try:
+            yield
+        finally:
+            for ws in own:
+                ws.drop()
 
 
 class Workspace:
@@ -78,7 +88,7 @@ class Workspace:
         """Write and read again: later stages restart from the files, not from the lineage, and shuffles behind them go."""
         schema = df.schema
         with shuffles_end_with_query(self.spark):
-            df.write.mode("overwrite").parquet(self.path(table))
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(table))
         return self.spark.read.schema(schema).parquet(self.path(table))
 
     def half(self, table: str, chosen: bool) -> str:
@@ -87,7 +97,7 @@ class Workspace:
     def write_halves(self, df: DataFrame, test: Column, table: str) -> tuple[DataFrame, DataFrame]:
         """write() in one pass, rows for which test holds and the others apart, so that either half can be dropped."""
         with shuffles_end_with_query(self.spark):
-            df.withColumn("half", test).write.mode("overwrite").partitionBy("half").parquet(self.path(table))
+            df.withColumn("half", test).write.mode("overwrite").partitionBy("half").option("compression", "zstd").parquet(self.path(table))
         return tuple(self.spark.read.schema(df.schema).parquet(self.path(self.half(table, x))) if self.tables(self.half(table, x)) else self.spark.createDataFrame([], df.schema) for x in (True, False))
 
     def write_bucketed(self, df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
