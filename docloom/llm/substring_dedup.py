@@ -17,6 +17,8 @@ from docloom.llm.workspace import Workspace
 
 #: Words of the runs whose least hash is a window's fingerprint.
 ANCHOR = 16
+#: Words whose bytes are gathered at a time.
+STEP_WORDS = 1 << 16
 RUN_SCHEMA = "shard bigint, keys binary, extra binary"
 RESULT_SCHEMA = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
 
@@ -53,6 +55,7 @@ class Words:
         rank = np.empty(len(pick), dtype=np.int64)
         rank[by_key] = np.arange(len(pick))
         pick = pick[by_key]
+        del texts, found
         return Segments(anchor[first][pick], ids[pick], n[pick], self.text_of(start[pick], n[pick] + self.width - 1), rank[entry], start, ids)
 
     def text_of(self, start: np.ndarray, n: np.ndarray) -> A.Texts:
@@ -61,8 +64,12 @@ class Words:
         word = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - n), n)
         sizes = self.ends[word] - self.starts[word] + 1
         stop = np.cumsum(sizes)
-        source = np.repeat(self.starts[word] - (stop - sizes), sizes) + np.arange(int(sizes.sum()))
-        data = self.buf[np.minimum(source, max(0, len(self.buf) - 1))] if len(source) else np.zeros(0, dtype=np.uint8)
+        data = np.empty(int(stop[-1]) if len(stop) else 0, dtype=np.uint8)
+        for a in range(0, len(word), STEP_WORDS):  # places of bytes take eight times their room
+            part = slice(a, a + STEP_WORDS)
+            low, high = stop[a] - sizes[a], stop[part][-1]
+            source = np.repeat(self.starts[word[part]] - (stop[part] - sizes[part] - low), sizes[part]) + np.arange(high - low)
+            data[low:high] = self.buf[np.minimum(source, len(self.buf) - 1)]
         data[stop - 1] = 0x20
         return A.Texts(data, np.r_[0, stop][np.r_[0, ends]].astype(np.int64))
 
