@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -66,13 +67,13 @@ class Round:
         return out
 
 
-def round_of(t: Tokens, n: int, order: int, bits: int) -> Round:
+def round_of(t: Tokens, n: int, order: int) -> Round:
     """Below the highest order, n-grams that end at the last START are contexts too."""
     ends = t.real.copy()
     if n < order:
         ends[:-1] |= t.real[1:]
     at = np.flatnonzero(ends)
-    keys, place = np.unique(A.grams(t.hashes, n, salt=n)[at - n + 1] >> A.U(64 - bits), return_inverse=True)
+    keys, place = np.unique(A.grams(t.hashes, n, salt=n)[at - n + 1], return_inverse=True)
     where = np.zeros(len(t.hashes), dtype=np.int64)
     where[at] = place
     real = np.flatnonzero(t.real)
@@ -82,30 +83,26 @@ def round_of(t: Tokens, n: int, order: int, bits: int) -> Round:
 def _serve(shard: int, blocks: list, keys: list, columns: list) -> tuple:
     """Merge the blocks' arrays into the shard's sorted arrays and answer each block.
 
-    A reply gives, in the order of the block's keys, the sums of all vectors and whether
-    this block is the first to have the key (its owner). The shard keeps its sorted keys
-    and their sums; stats: how many keys have the count 1, 2, 3, 4, how many have any, the
-    sum of counts, and the same two of the last column.
+    A reply gives, in the order of the block's keys, what all other blocks add to its own
+    vectors (mostly 0, as most n-grams stand in one block) and whether this block is the
+    first to have the key (its owner). The shard keeps its sorted keys and their sums;
+    stats: how many keys have the count 1, 2, 3, 4, how many have any, the sum of counts,
+    and the same two of the last column.
     """
     width = max(len(x) for x in columns)
     table, *sums = A.sum_by_key(np.concatenate(keys), *(np.concatenate([x[c] for x in columns]) for c in range(width)))
     taken = np.zeros(len(table), dtype=bool)
     replies = []
-    for own in keys:
+    for own, told in zip(keys, columns):
         at = np.searchsorted(table, own)
         first = ~taken[at]
         taken[at] = True
-        replies.append([*(c[at] for c in sums), first])
+        replies.append([*(c[at] - x for c, x in zip(sums, told)), first])
     counts, raw = sums[0], sums[-1]
     stats = [*(int((counts == c).sum()) for c in (1, 2, 3, 4)), int((counts > 0).sum()), int(counts.sum()), int((raw > 0).sum()), int(raw.sum())]
     return blocks, replies, (A.pack_sorted(table), A.pack_columns(sums), stats)
 
 
-def _counts(reply: list[np.ndarray]) -> list[np.ndarray]:
-    """One round's reply as columns over the block's distinct keys."""
-    return [c.astype(np.int64) for c in reply] if reply else [np.zeros(0, dtype=np.int64)] * (WIDTH + 1)
-
-
 @dataclass
 class Discounts:
     """Of one order: D1, D2, D3+."""
@@ -127,55 +124,69 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> Discounts:
 
 
 def _held(ids: np.ndarray, folds: int, fold: int) -> np.ndarray:
+    """Which ids are held out: all of them for no folds."""
+    if not folds:
+        return np.ones(len(ids), dtype=bool)
     return np.array([i != B.NO_ID and zlib.crc32(str(i).encode()) % folds == fold for i in ids.tolist()], dtype=bool)
 
 
-def _bits(n: int, bits: int) -> int:
-    """Words have whole hashes as keys: n_known and the vocabulary are counts of words, not estimates."""
-    return 64 if n == 1 else bits
-
+def _orders(block: B.Block, replies: list, order: int, folds: int, fold: int) -> Iterator[tuple[Tokens, Round, list[np.ndarray], list[np.ndarray]]]:
+    """From the highest order down, as far as there are replies and one further: tokens, n-grams, the block's own
+    vectors, and the sums over all blocks (empty without a reply).
 
-def _message(order: int, n: int, bits: int, folds: int, fold: int):
-    """What a block tells of its n-grams: raw counts for the highest order (and for n = 1 in one more
-    column), continuation counts below, and the followers that it owns for contexts of n words."""
-
-    def make(block: B.Block, replies: list):
-        t = tokens_of(block, order)
-        train = ~_held(block.ids, folds, fold)[t.doc[t.real]]
-        now = round_of(t, n, order, _bits(n, bits))
-        count_of = lambda places: np.bincount(places, minlength=len(now.keys))
-        if n == order:
-            columns = [count_of(now.gram[train])]
+    The vectors are raw counts for the highest order (and for n = 1 in one more column),
+    continuation counts below, and the followers that the block owns for contexts of n words.
+    """
+    t = tokens_of(block, order)
+    train = ~_held(block.ids, folds, fold)[t.doc[t.real]]
+    above: Round | None = None
+    counts = owned = np.zeros(0, dtype=np.int64)
+    for i, n in enumerate(range(order, 0, -1)):
+        now = round_of(t, n, order)
+        count_of = lambda places: np.bincount(places, minlength=len(now.keys))  # noqa: B023, E731
+        if above is None:
+            own = [count_of(now.gram[train])]
         else:
-            above = round_of(t, n + 1, order, bits)
-            got = _counts(replies[0])
-            own = got[-1].astype(bool) & (got[0] > 0)
             # each owned (n + 1)-gram continues its last n words and follows its first n
-            token, c = above.first_token()[own], got[0][own]
+            mine = owned.astype(bool) & (counts > 0)
+            token, c = above.first_token()[mine], counts[mine]
             before = now.context[token]
-            columns = [count_of(now.gram[token]), count_of(before[c == 1]), count_of(before[c == 2]), count_of(before[c >= 3])]
-            columns.append(np.rint(np.bincount(before, np.maximum(c - 3, 0), len(now.keys))).astype(np.int64))
+            own = [count_of(now.gram[token]), count_of(before[c == 1]), count_of(before[c == 2]), count_of(before[c >= 3])]
+            own.append(np.rint(np.bincount(before, np.maximum(c - 3, 0), len(now.keys))).astype(np.int64))
         if n == 1 and order > 1:
-            columns.append(count_of(now.gram[train]))
-        return now.keys, columns
+            own.append(count_of(now.gram[train]))
+        if i >= len(replies):
+            yield t, now, own, []
+            return
+        others = [c.astype(np.int64) for c in replies[i]] or [np.zeros(len(now.keys), dtype=np.int64)] * (len(own) + 1)
+        sums = [x + y for x, y in zip(own, others)]
+        above, counts, owned = now, sums[0], others[-1]
+        yield t, now, own, sums
+
+
+def _message(order: int, folds: int, fold: int):
+    def make(block: B.Block, replies: list):
+        *_, (_, now, own, _) = _orders(block, replies, order, folds, fold)
+        return now.keys, own
 
     return make
 
 
 def _score(known: dict, folds: int, fold: int):
-    order, bits = known["order"], known["bits"]
+    order = known["order"]
 
     def make(block: B.Block, replies: list) -> pa.RecordBatch:
-        t = tokens_of(block, order)
+        rounds = list(_orders(block, replies, order, folds, fold))
+        t = rounds[0][0]
         doc = t.doc[t.real]
         p = np.full(len(doc), 1.0 / (known["vocabulary"] + 1))
         raw = below = low = None
         for n in range(1, order + 1):
-            now, got = round_of(t, n, order, _bits(n, bits)), _counts(replies[order - n])
+            _, now, _, got = rounds[order - n]
             counts = got[0][now.gram]
             d = known["discounts"][n].values
             if n == 1:
-                raw = got[-2][now.gram]
+                raw = got[-1][now.gram]
                 total, n1, n2, n3 = known["unigrams"]
                 seen = np.full(len(doc), total > 0)
                 safe, spare = max(total, 1), (d[0] * n1 + d[1] * n2 + d[2] * n3) / max(total, 1)
@@ -219,9 +230,7 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     follows its first. Sums of counts of counts give each order's discounts. The shards'
     sorted arrays are the model: they are stored, one row a shard, and with model_path they
     stay there for score_texts(); the documents themselves are scored by the answers that
-    their blocks got while counting. Keys of words have 64 bits. Those of longer n-grams have 20 bits more than the
-    count of the corpus's bytes: the score, and nothing else, takes an unseen n-gram for
-    another with chance below 2**-20 at any size.
+    their blocks got while counting. Keys are whole 64-bit hashes.
 
     Null texts count as empty: the end is their only token. Texts of any length are read
     whole. Null ids are never held out; repeated rows count and are scored each; an empty
@@ -233,20 +242,19 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     models = Workspace(spark, "", model_path) if model_path else ws
     blocks = B.write_blocks(docs, ws, "blocks", id_col, text_col)
     size = B.size_of(blocks)
-    known: dict = {"order": order, "bits": B.key_bits(size.n_bytes, 20), "discounts": {}}
-    asked = everything = blocks
+    known: dict = {"order": order, "discounts": {}}
+    asked = blocks
     for n in range(order, 0, -1):
-        replies, model = B.exchange(asked, _message(order, n, known["bits"], folds, held_fold), _serve, bits=_bits(n, known["bits"]), size=size, ws=ws, name=f"order_{n}", keep=models)
+        replies, model = B.exchange(asked, _message(order, folds, held_fold), _serve, bits=64, size=size, ws=ws, name=f"order_{n}", keep=models)
         n1, n2, n3, n4, kinds, total, words, tokens = ((x or 0) for x in model.select(*(F.sum(F.col("stats")[i]).alias(f"n{i}") for i in range(8))).first())
         known["discounts"][n] = discounts(n1, n2, n3, n4)
         if n == 1:
             known |= {"unigrams": (total, n1, n2, max(0, kinds - n1 - n2)), "vocabulary": words, "tokens": tokens}
-        asked = B.with_replies(blocks, replies)  # a round asks for the one above it only
-        everything = B.with_replies(everything, replies)
+        asked = B.with_replies(asked, replies)
     if model_path:
         told = known | {"discounts": {n: d.values for n, d in known["discounts"].items()}}
         models.write(spark.createDataFrame([(json.dumps(told),)], "known string"), "known")
-    return B.each_block(everything, _score(known, folds, held_fold), RESULT_SCHEMA)
+    return B.each_block(asked, _score(known, folds, held_fold), RESULT_SCHEMA)
 
 
 def _lookup(shard: int, blocks: list, keys: list, columns: list) -> tuple:
@@ -276,12 +284,12 @@ def score_texts(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", tex
     ws, models = Workspace(spark, "kneser-ney-score"), Workspace(spark, "", model_path)
     known = json.loads(spark.read.parquet(models.path("known")).first().known)
     known["discounts"] = {int(n): Discounts(tuple(d)) for n, d in known["discounts"].items()}
-    order, bits = known["order"], known["bits"]
+    order = known["order"]
     blocks = B.write_blocks(docs, ws, "blocks", id_col, text_col)
     size, everything = B.size_of(blocks), blocks
     for n in range(order, 0, -1):
-        ask = lambda block, _, n=n: (round_of(tokens_of(block, order), n, order, _bits(n, bits)).keys, [])
-        stored = B.dealt(spark.read.parquet(models.path(models.half(f"order_{n}-served", False))), _bits(n, bits), size)
-        replies, _ = B.exchange(blocks, ask, _lookup, bits=_bits(n, bits), size=size, ws=ws, name=f"order_{n}", more=stored)
+        ask = lambda block, _, n=n: (round_of(tokens_of(block, order), n, order).keys, [])
+        stored = B.dealt(spark.read.parquet(models.path(models.half(f"order_{n}-served", False))), 64, size)
+        replies, _ = B.exchange(blocks, ask, _lookup, bits=64, size=size, ws=ws, name=f"order_{n}", more=stored)
         everything = B.with_replies(everything, replies)
-    return B.each_block(everything, _score(known, 1, 0), RESULT_SCHEMA)
+    return B.each_block(everything, _score(known, 0, 0), RESULT_SCHEMA)

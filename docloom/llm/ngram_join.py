@@ -290,7 +290,8 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     that links lead to. Words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased.
 
     1. Document frequencies of all shingles are summed in hash-range shards and sent back.
-       They set the order of the tokens, rarest first. A frequency of 1 rules a token out.
+       They set the order of the tokens, rarest first. A frequency of 1 rules a token out;
+       shingles that share a key only raise each other's frequency, which loses no pair.
     2. Rows of equal sets are one class (128 bits: digests of the sorted set under two
        independent hashes of words).
     3. Each class posts its prefix tokens. Within a token, classes are first compared with
