@@ -222,6 +222,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": _OP2_SQL,
+    "op6_kneser_ney": _kneser_ney_sql(),
     "op7_ngram_jaccard_join": _OP7_SQL,
     "op8_benchmark_decontamination": _OP8_SQL,
     "op10_url_lists": _OP10_SQL,
