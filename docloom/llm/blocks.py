@@ -86,7 +86,7 @@ def _pack_rows(batches: Iterator[pa.RecordBatch], limit: int, group: int) -> Ite
     ids, lengths, bodies, size = [], [], [], 0
 
     def flush() -> pa.RecordBatch:
-        body = zstandard.ZstdCompressor(level=3).compress(b"".join(bodies))
+        body = zstandard.ZstdCompressor(level=5).compress(b"".join(bodies))
         row = [[(group << 48) + (part << 24) + seq], pa.array([pa.concat_arrays(ids)], type=pa.list_(pa.int64())), [A.pack(np.concatenate(lengths))], [body], [size]]
         return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in row], ["block", "ids", "lengths", "body", "n_bytes"])
 

@@ -67,13 +67,22 @@ class Round:
         return out
 
 
-def round_of(t: Tokens, n: int, order: int) -> Round:
+#: Bits that keys of two words and more have beyond the count of the corpus's bytes.
+SPARE_BITS = 26
+
+
+def width_of(n: int, bits: int) -> int:
+    """Bits of a key: words have whole hashes, so that n_known and the vocabulary are counts of words."""
+    return 64 if n == 1 else bits
+
+
+def round_of(t: Tokens, n: int, order: int, bits: int) -> Round:
     """Below the highest order, n-grams that end at the last START are contexts too."""
     ends = t.real.copy()
     if n < order:
         ends[:-1] |= t.real[1:]
     at = np.flatnonzero(ends)
-    keys, place = np.unique(A.grams(t.hashes, n, salt=n)[at - n + 1], return_inverse=True)
+    keys, place = np.unique(A.grams(t.hashes, n, salt=n)[at - n + 1] >> A.U(64 - width_of(n, bits)), return_inverse=True)
     where = np.zeros(len(t.hashes), dtype=np.int64)
     where[at] = place
     real = np.flatnonzero(t.real)
@@ -130,7 +139,7 @@ def _held(ids: np.ndarray, folds: int, fold: int) -> np.ndarray:
     return np.array([i != B.NO_ID and zlib.crc32(str(i).encode()) % folds == fold for i in ids.tolist()], dtype=bool)
 
 
-def _orders(block: B.Block, replies: list, order: int, folds: int, fold: int) -> Iterator[tuple[Tokens, Round, list[np.ndarray], list[np.ndarray]]]:
+def _orders(block: B.Block, replies: list, order: int, bits: int, folds: int, fold: int) -> Iterator[tuple[Tokens, Round, list[np.ndarray], list[np.ndarray]]]:
     """From the highest order down, as far as there are replies and one further: tokens, n-grams, the block's own
     vectors, and the sums over all blocks (empty without a reply).
 
@@ -142,7 +151,7 @@ def _orders(block: B.Block, replies: list, order: int, folds: int, fold: int) ->
     above: Round | None = None
     counts = owned = np.zeros(0, dtype=np.int64)
     for i, n in enumerate(range(order, 0, -1)):
-        now = round_of(t, n, order)
+        now = round_of(t, n, order, bits)
         count_of = lambda places: np.bincount(places, minlength=len(now.keys))  # noqa: B023, E731
         if above is None:
             own = [count_of(now.gram[train])]
@@ -164,9 +173,9 @@ def _orders(block: B.Block, replies: list, order: int, folds: int, fold: int) ->
         yield t, now, own, sums
 
 
-def _message(order: int, folds: int, fold: int):
+def _message(order: int, bits: int, folds: int, fold: int):
     def make(block: B.Block, replies: list):
-        *_, (_, now, own, _) = _orders(block, replies, order, folds, fold)
+        *_, (_, now, own, _) = _orders(block, replies, order, bits, folds, fold)
         return now.keys, own
 
     return make
@@ -176,7 +185,7 @@ def _score(known: dict, folds: int, fold: int):
     order = known["order"]
 
     def make(block: B.Block, replies: list) -> pa.RecordBatch:
-        rounds = list(_orders(block, replies, order, folds, fold))
+        rounds = list(_orders(block, replies, order, known["bits"], folds, fold))
         t = rounds[0][0]
         doc = t.doc[t.real]
         p = np.full(len(doc), 1.0 / (known["vocabulary"] + 1))
@@ -230,7 +239,10 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     follows its first. Sums of counts of counts give each order's discounts. The shards'
     sorted arrays are the model: they are stored, one row a shard, and with model_path they
     stay there for score_texts(); the documents themselves are scored by the answers that
-    their blocks got while counting. Keys are whole 64-bit hashes.
+    their blocks got while counting. Keys of words are whole 64-bit hashes; those of longer
+    n-grams have SPARE_BITS more than the count of the corpus's bytes (56 for 1 GB, 64 from
+    some 250 GB on): the score, and nothing else, takes an unseen n-gram for another with
+    chance below 2**-26.
 
     Null texts count as empty: the end is their only token. Texts of any length are read
     whole. Null ids are never held out; repeated rows count and are scored each; an empty
@@ -242,10 +254,11 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     models = Workspace(spark, "", model_path) if model_path else ws
     blocks = B.write_blocks(docs, ws, "blocks", id_col, text_col)
     size = B.size_of(blocks)
-    known: dict = {"order": order, "discounts": {}}
+    bits = B.key_bits(size.n_bytes, SPARE_BITS)
+    known: dict = {"order": order, "bits": bits, "discounts": {}}
     asked = blocks
     for n in range(order, 0, -1):
-        replies, model = B.exchange(asked, _message(order, folds, held_fold), _serve, bits=64, size=size, ws=ws, name=f"order_{n}", keep=models)
+        replies, model = B.exchange(asked, _message(order, bits, folds, held_fold), _serve, bits=width_of(n, bits), size=size, ws=ws, name=f"order_{n}", keep=models)
         n1, n2, n3, n4, kinds, total, words, tokens = ((x or 0) for x in model.select(*(F.sum(F.col("stats")[i]).alias(f"n{i}") for i in range(8))).first())
         known["discounts"][n] = discounts(n1, n2, n3, n4)
         if n == 1:
@@ -284,12 +297,12 @@ def score_texts(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", tex
     ws, models = Workspace(spark, "kneser-ney-score"), Workspace(spark, "", model_path)
     known = json.loads(spark.read.parquet(models.path("known")).first().known)
     known["discounts"] = {int(n): Discounts(tuple(d)) for n, d in known["discounts"].items()}
-    order = known["order"]
+    order, bits = known["order"], known["bits"]
     blocks = B.write_blocks(docs, ws, "blocks", id_col, text_col)
     size, everything = B.size_of(blocks), blocks
     for n in range(order, 0, -1):
-        ask = lambda block, _, n=n: (round_of(tokens_of(block, order), n, order).keys, [])
-        stored = B.dealt(spark.read.parquet(models.path(models.half(f"order_{n}-served", False))), 64, size)
-        replies, _ = B.exchange(blocks, ask, _lookup, bits=64, size=size, ws=ws, name=f"order_{n}", more=stored)
+        ask = lambda block, _, n=n: (round_of(tokens_of(block, order), n, order, bits).keys, [])
+        stored = B.dealt(spark.read.parquet(models.path(models.half(f"order_{n}-served", False))), width_of(n, bits), size)
+        replies, _ = B.exchange(blocks, ask, _lookup, bits=width_of(n, bits), size=size, ws=ws, name=f"order_{n}", more=stored)
         everything = B.with_replies(everything, replies)
     return B.each_block(everything, _score(known, 0, 0), RESULT_SCHEMA)
