@@ -18,6 +18,7 @@ from docloom.llm.substring_dedup import remove_repeats
 from docloom.llm.token_counts import count_tokens
 from docloom.llm.toxicity import score_documents
 from docloom.llm.url_lists import filter_captures, host_of
+from docloom.llm.whitening import whiten_vectors
 from docloom.llm.workspace import Workspace
 
 
@@ -102,6 +103,10 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_captures(captures_of(pages), entries_of(pages))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 _OP10_SQL = """
 with seen as (
   select page_id, nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '[.]+$', ''), '') as host,
@@ -218,6 +223,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_fingerprints": op9_fingerprints,
     "op10_url_lists": op10_url_lists,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
