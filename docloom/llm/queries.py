@@ -15,6 +15,7 @@ from docloom.llm.fm_index import find_contamination
 from docloom.llm import kneser_ney
 from docloom.llm.ngram_join import jaccard_groups
 from docloom.llm.pii import replace_entities
+from docloom.llm.secret_scan import find_secrets
 from docloom.llm.substring_dedup import remove_repeats
 from docloom.llm.time_partitions import write_partitions
 from docloom.llm.token_counts import count_tokens
@@ -129,6 +130,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_table(spark, sf_dir, "documents"))
+
+
 _OP10_SQL = """
 with seen as (
   select page_id, nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '[.]+$', ''), '') as host,
@@ -247,6 +252,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_lists": op10_url_lists,
     "op11_time_partitions": op11_time_partitions,
     "op12_whitening": op12_whitening,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
