@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -257,10 +259,15 @@ def opened(file_name: str, pattern: str) -> ByteBpe:
 
 
 def ship_file(spark: SparkSession, path: str) -> str:
-    """Send a vocabulary file to all executors; its name there."""
-    name = path.rsplit("/", 1)[-1]
+    """Send a vocabulary file to all executors; its name there, which is of its contents: files of one name differ."""
+    with open(path, "rb") as f:
+        body = f.read()
+    name = f"vocabulary-{hashlib.sha256(body).hexdigest()}{os.path.splitext(path)[1]}"
     if not any(x.rsplit("/", 1)[-1] == name for x in spark.sparkContext.listFiles):
-        spark.sparkContext.addFile(path)
+        target = os.path.join(tempfile.mkdtemp(prefix="docloom-"), name)
+        with open(target, "wb") as f:
+            f.write(body)
+        spark.sparkContext.addFile(target)
     return name
 
 

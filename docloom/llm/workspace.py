@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -29,27 +31,45 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_LOCK = threading.Lock()
+#: Of each session, how many writes are under way and what the setting was before the first of them.
+_WRITES: dict[int, tuple[int, str | None]] = {}
+
+
 @contextmanager
 def shuffles_end_with_query(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    """The setting is the session's: of writes in several threads, the last to end puts it back."""
+    own = id(spark)
+    with _LOCK:
+        n, before = _WRITES.get(own, (0, None))
+        if not n:
+            before = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        _WRITES[own] = n + 1, before
     try:
         yield
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        with _LOCK:
+            n, before = _WRITES.pop(own)
+            if n > 1:
+                _WRITES[own] = n - 1, before
+            else:
+                spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
-_SCOPES: list[list[Workspace]] = []
+#: The innermost list that gathers workspaces; each thread has its own.
+_SCOPE: ContextVar[list[Workspace] | None] = ContextVar("docloom-scope", default=None)
 
 
 @contextmanager
 def gathered() -> Iterator[list[Workspace]]:
     """The workspaces that are opened within, but for those of an inner scratch()."""
-    _SCOPES.append([])
+    own: list[Workspace] = []
+    token = _SCOPE.set(own)
     try:
-        yield _SCOPES[-1]
+        yield own
     finally:
-        _SCOPES.pop()
+        _SCOPE.reset(token)
 
 
 @contextmanager
@@ -72,8 +92,8 @@ class Workspace:
         self.root = root or f"{shared_folder(spark)}/docloom-{name}-{uuid.uuid4().hex}"
         if root is None:
             atexit.register(self._remove)
-            if _SCOPES:
-                _SCOPES[-1].append(self)
+            if (scope := _SCOPE.get()) is not None:
+                scope.append(self)
 
     def tables(self, folder: str) -> list[str]:
         """Names in a folder of the workspace, sorted; none if there is no such folder."""
