@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.terms import present_terms
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -40,26 +42,29 @@ def label(code: Column, names: dict, default: str) -> Column:
     return F.coalesce(F.create_map(*(F.lit(x) for kv in names.items() for x in kv))[code], F.lit(default))
 
 
-def target_code(text: Column, families: Sequence[str], aliases: dict[str, str], proposed: Column) -> Column:
-    """The first code of a family pattern, else the first alias found, else what was proposed, upper-cased.
-
-    Family patterns should try longer codes first and end at a boundary.
-    """
-    up = F.upper(text)
-    found = [F.nullif(F.regexp_replace(F.regexp_extract(up, f, 0), r"\s", ""), F.lit("")) for f in families]
-    other = [F.when(F.contains(up, F.lit(a.upper())), F.lit(code)) for a, code in aliases.items()]
-    return F.coalesce(*found, *other, F.nullif(F.upper(F.trim(proposed)), F.lit("")))
+def _matched(has: Callable[[Sequence[str]], Column], terms: Sequence[str], required: Sequence[Sequence[str]]) -> Column:
+    """The terms present, or null unless one is and every required group has one. has: distinct ones of some words, sorted."""
+    matched = has(terms)
+    ok = F.size(matched) > 0
+    for group in required:
+        ok = ok & (F.size(has(group)) > 0)
+    return F.when(ok, matched)
 
 
 def keyword_candidates(text: Column, terms: Sequence[str], required: Sequence[Sequence[str]] = ()) -> Column:
     """Sorted distinct terms in the lower-cased text, or null unless one is and every required group has one."""
     low = F.lower(text)
-    has = lambda words: F.filter(F.array(*(F.lit(w.lower()) for w in words)), lambda w: F.contains(low, w))
-    matched = F.array_sort(F.array_distinct(has(terms)))
-    ok = F.size(matched) > 0
-    for group in required:
-        ok = ok & (F.size(has(group)) > 0)
-    return F.when(ok, matched)
+    has = lambda words: F.array_sort(F.array_distinct(F.filter(F.array(*(F.lit(w.lower()) for w in words)), lambda w: F.contains(low, w))))
+    return _matched(has, terms, required)
+
+
+def _candidate(definition: dict, terms: Column, top_section: Column, section: Column, block_type: Column) -> Column:
+    among = lambda c, key: c.isin(*definition[key]) if definition.get(key) else F.lit(True)
+    excluded = section.isin(*definition["excluded_sections"]) if definition.get("excluded_sections") else F.lit(False)
+    ok = among(top_section, "allowed_top_sections") & among(section, "allowed_sections") & among(block_type, "allowed_block_types") & ~F.coalesce(excluded, F.lit(False)) & terms.isNotNull()
+    preferred = section.isin(*definition["preferred_sections"]) if definition.get("preferred_sections") else F.lit(False)
+    reasons = F.when(F.coalesce(preferred, F.lit(False)), F.array(F.lit("keyword"), F.lit("preferred_section"))).otherwise(F.array(F.lit("keyword")))
+    return F.when(ok, F.struct(terms.alias("terms"), reasons.alias("reasons")))
 
 
 def definition_candidates(definition: dict, text: Column, top_section: Column, section: Column, block_type: Column) -> Column:
@@ -68,10 +73,29 @@ def definition_candidates(definition: dict, text: Column, top_section: Column, s
     Lists of sections and block types that are empty or missing allow all. text is
     expected in normal form.
     """
-    among = lambda c, key: c.isin(*definition[key]) if definition.get(key) else F.lit(True)
     terms = keyword_candidates(text, definition.get("candidate_terms", []), definition.get("candidate_required_term_groups", []))
-    excluded = section.isin(*definition["excluded_sections"]) if definition.get("excluded_sections") else F.lit(False)
-    ok = among(top_section, "allowed_top_sections") & among(section, "allowed_sections") & among(block_type, "allowed_block_types") & ~F.coalesce(excluded, F.lit(False)) & terms.isNotNull()
-    preferred = section.isin(*definition["preferred_sections"]) if definition.get("preferred_sections") else F.lit(False)
-    reasons = F.when(F.coalesce(preferred, F.lit(False)), F.array(F.lit("keyword"), F.lit("preferred_section"))).otherwise(F.array(F.lit("keyword")))
-    return F.when(ok, F.struct(terms.alias("terms"), reasons.alias("reasons")))
+    return _candidate(definition, terms, top_section, section, block_type)
+
+
+def candidates_of_all(blocks: DataFrame, definitions: Sequence[dict], text: Column, top_section: Column, section: Column, block_type: Column) -> DataFrame:
+    """definition_candidates() for many definitions: a row for each block and definition it is a candidate for.
+
+    blocks' columns, then note_type, terms and reasons. An automaton over the terms of all
+    definitions searches each text once, whatever their number.
+    """
+    groups = lambda d: [d.get("candidate_terms", []), *d.get("candidate_required_term_groups", [])]
+    words = sorted({w.lower() for d in definitions for g in groups(d) for w in g} - {""})
+    number = {w: i for i, w in enumerate(words)}
+    found, all_words = F.col("__present"), F.array(*(F.lit(w) for w in words)).cast("array<string>")
+
+    def has(some: Sequence[str]) -> Column:
+        own = F.array(*(F.lit(n) for n in sorted({number[w.lower()] for w in some if w}))).cast("array<int>")
+        present = F.transform(F.array_intersect(found, own), lambda i: F.get(all_words, i))
+        return F.array_sort(F.concat(present, F.array(F.lit("")))) if "" in some else F.array_sort(present)
+
+    told = []
+    for d in definitions:
+        one = _candidate(d, _matched(has, *(groups(d)[:1]), groups(d)[1:]), top_section, section, block_type)
+        told.append(F.when(one.isNotNull(), F.struct(F.lit(d["note_type"]).alias("note_type"), one["terms"].alias("terms"), one["reasons"].alias("reasons"))))
+    searched = blocks.withColumn("__present", present_terms(blocks.sparkSession, F.lower(text), words))
+    return searched.select(*(F.col(f"`{c}`") for c in blocks.columns), F.explode(F.array_compact(F.array(*told))).alias("__c")).select(*(F.col(f"`{c}`") for c in blocks.columns), "__c.*")

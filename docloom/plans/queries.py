@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docloom.functions import hashing, rules, text
+from docloom.functions import hashing, rules, targets, text
 from docloom.operators import filters, merging, ranking
 from docloom.plans import incremental, legacy_scores, publishing, serving, statements
 from docloom.plans.model_calls import from_other_model, wanted
@@ -93,7 +93,19 @@ def keyword_candidates(t):
 
 @query("select p_partkey, coalesce(nullif(regexp_extract(upper(p_brand), 'BRAND#[0-9]+', 0), ''), case when contains(upper(p_type), 'STEEL') then 'ST' end, nullif(upper(trim(p_name)), '')) as code from part")
 def target_code_map(t):
-    return t("part").select("p_partkey", rules.target_code(F.concat_ws(" ", "p_brand", "p_type"), ["BRAND#[0-9]+"], {"steel": "ST"}, F.col("p_name")).alias("code"))
+    table = targets.TargetTable([("BRAND#", " ".join(map(str, [*range(10, 100), *range(10)])))], {"STEEL": "ST"}, {})
+    return t("part").select("p_partkey", table.find_column(F.concat_ws(" ", "p_brand", "p_type"), F.upper(F.trim("p_name"))).alias("code"))
+
+
+@query(r"""select p_partkey, case p_size % 3 when 0 then 'ST' when 1 then 'Economy' else null end as code, coalesce(case p_size % 3 when 0 then contains(tight, 'steel') or contains(tight, 'tin') when 1 then contains(tight, 'economy') end, false) or coalesce(contains(tight, lower(regexp_replace(p_brand, '[\s_-]', '', 'g'))), false) as supported
+from (select *, lower(regexp_replace(p_name || ' ' || p_type || case when p_size > 25 then '_' || p_brand else '' end, '[\s_-]', '', 'g')) as tight from part)""")
+def target_supported(t):
+    """Whether a part's texts name its code in any spelling, or its brand."""
+    table = targets.TargetTable([], {}, {"ST": ("steel", "t-i n")})
+    code = F.when(F.col("p_size") % 3 == 0, "ST").when(F.col("p_size") % 3 == 1, "Economy")
+    evidence = F.concat(F.concat_ws(" ", "p_name", "p_type"), F.when(F.col("p_size") > 25, F.concat(F.lit("_"), F.col("p_brand"))).otherwise(""))
+    return t("part").select("p_partkey", code.alias("code"), table.supported_column(evidence, code, F.col("p_brand")).alias("supported"))
+
 
 
 @query("select sha256 as digest, kept, skipped from (select sha256(text) as sha256, first_value(doc_id) over w as kept, doc_id as skipped, row_number() over w as n from documents window w as (partition by sha256(text) order by doc_id)) where n > 1")
@@ -444,51 +456,84 @@ def invalid_notes(t):
     return serving.invalid_rows(_notes(t), ["AUTO_VALIDATED"])
 
 
-#: Statements that stand for those of documents: each document gets one, by its id.
-SAMPLES = [
-    "妊婦又は妊娠している可能性のある女性には投与しないこと。", "妊婦には禁忌である。", "妊婦には投与を避けることが望ましい。", "原則として使用しない。", "治療上の有益性が危険性を上回ると判断される場合にのみ投与すること。",
-    "妊婦に投与して差し支えない。", "本剤の投与は慎重に行う。", "ラットで胎児毒性が認められた。", "胎盤を通過することが報告されている。", "ヒトでの報告はない。", "特になし。",
-    "授乳婦には投与してはならない。", "授乳の継続又は中止を検討すること。", "授乳を中止させること。", "授乳婦には投与しないことが望ましい。", "授乳を避けることが望ましい。", "授乳中の女性には使用しないこと。", "授乳をさせないこと。",
-    "授乳を継続できる。", "乳汁中に移行する。", "乳児の状態を観察する。", "HMG-CoA還元酵素阻害剤は禁忌であり、本剤との併用投与は行わない。", "母乳栄養の有益性を考慮し、授乳の継続を考える。", "断乳する。", "投与せずに経過をみる。",
-]
+#: Rules for the languages of the documents, which have no package inserts: the classes are theirs, the words are not.
+DOCUMENT_RULES = statements.RuleSet(
+    {
+        "PREGNANCY": [
+            ("CONTRAINDICATED", "DRUG", "worthless|pathetic|nicht[^a-z]"),
+            ("PREFER_AVOID", "DRUG", "(?:from|von) (?:the|dem|den)|est pas"),
+            ("AVOID", "DRUG", "with (?:of|to|be)|(?:zu|mit) (?:der|die)"),
+            ("BENEFIT_RISK", "DRUG", "(?:this|que|und).*(?:tion|keit|mente).*(?:ing|ung|ment)"),
+            ("ACCEPTABLE", "DRUG", "licensed under|it was|los que"),
+        ],
+        "LACTATION": [
+            ("CONTRAINDICATED", "DRUG", "that.{0,30}(?:idiot|from|was)"),
+            ("CONSIDER_CONTINUE_OR_STOP", "BREASTFEEDING", "the.{0,30}(?:with|this).{0,30}(?:is|are).{0,20}(?:on|by)|(?:de|der).{0,50}la.{0,30}(?:un|los)"),
+            ("STOP_BREASTFEEDING", "BREASTFEEDING", "and.{0,20}(?:for|from)|nicht|stupid"),
+            ("PREFER_AVOID", "DRUG", "(?:as|is) (?:the|of|in).{0,30}(?:to|at)"),
+            ("BENEFIT_RISK", "DRUG", "(?:est|ist|es).*(?:pour|sich|para).*(?:les|das|las)"),
+            ("ACCEPTABLE", "BREASTFEEDING", "licensed|dans les"),
+        ],
+    },
+    cue="tion|keit|mente|for.{0,30}(?:and|the)",
+    expressions=[("MILK_TRANSFER", "than|dass"), ("INFANT_EFFECT", "er.{0,20}(?:th|ch)"), ("HUMAN_FINDING", "the|der|que|les")],
+    excluded="the.{0,100}of.{0,100}of the",
+    support={"CONTRAINDICATED": "not|nicht|pas", "AVOID": "with|mit|avec", "STOP_BREASTFEEDING": "from.{0,30}(?:the|of)", "PREFER_AVOID": "is|est", "BENEFIT_RISK": "tion|keit", "CONSIDER_CONTINUE_OR_STOP": "(?:and|und).{0,30}(?:the|die)", "ACCEPTABLE": "was|licensed"},
+)
 _POPULATION = "case when doc_id % 2 = 0 then 'PREGNANCY' else 'LACTATION' end"
-_STATEMENTS = f"select doc_id, source, {_POPULATION} as population_type, {SAMPLES!r}[doc_id % {len(SAMPLES)} + 1] as evidence_text from documents"
-
-
-def _statements_sql(field: str) -> str:
-    """The rule tables as SQL. The patterns' lookaheads name what an earlier rule of the same table has taken."""
-    plain = lambda p: "(?is)" + p.replace("(?!が望ましい)", "")
-    value = lambda kind, code=None, target=None, llm=False: {"expression_type": kind, "classification_code": code, "recommendation_target": target, "requires_llm": llm}[field]
-    lit = lambda x: "null" if x is None else f"'{x}'" if isinstance(x, str) else str(x).lower()
-
-    def case(table: list) -> str:
-        tests = [(statements.EXCLUDED, value("OTHER_INFORMATION")), *((p, value("RECOMMENDATION", c, g)) for c, g, p in table), (statements.CUE, value("RECOMMENDATION", "UNCLASSIFIABLE", None, True)), *((p, value(k)) for k, p in statements.EXPRESSIONS)]
-        return "case " + " ".join(f"when regexp_matches(evidence_text, '{plain(p)}') then {lit(v)}" for p, v in tests) + f" else {lit(value('OTHER_INFORMATION'))} end"
-
-    return f"case when population_type = 'PREGNANCY' then {case(statements.PREGNANCY)} else {case(statements.LACTATION)} end as {field}"
-
-
-_CLASSIFIED = f"select *, {', '.join(map(_statements_sql, ('expression_type', 'classification_code', 'recommendation_target', 'requires_llm')))} from ({_STATEMENTS})"
+_STATEMENTS = rf"""select doc_id, source, {_POPULATION} as population_type, doc_id || '-' || n as statement_id, s as evidence_text from (
+select doc_id, source, unnest(parts) as s, generate_subscripts(parts, 1) as n from (
+select doc_id, source, list_filter(list_transform(string_split(regexp_replace(text, '\.|\n+', '\0' || chr(1), 'g'), chr(1)), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'), ' ' || chr(10))), lambda x: x <> '') as parts from documents))"""
+_CODE_SQL = r"""case when regexp_matches(s, '(?is)the.{0,100}of.{0,100}of the') then 'OTHER_INFORMATION'
+when pregnant and regexp_matches(s, '(?is)worthless|pathetic|nicht[^a-z]') then 'CONTRAINDICATED/DRUG'
+when pregnant and regexp_matches(s, '(?is)(from|von) (the|dem|den)|est pas') then 'PREFER_AVOID/DRUG'
+when pregnant and regexp_matches(s, '(?is)with (of|to|be)|(zu|mit) (der|die)') then 'AVOID/DRUG'
+when pregnant and regexp_matches(s, '(?is)(this|que|und).*(tion|keit|mente).*(ing|ung|ment)') then 'BENEFIT_RISK/DRUG'
+when pregnant and regexp_matches(s, '(?is)licensed under|it was|los que') then 'ACCEPTABLE/DRUG'
+when not pregnant and regexp_matches(s, '(?is)that.{0,30}(idiot|from|was)') then 'CONTRAINDICATED/DRUG'
+when not pregnant and regexp_matches(s, '(?is)the.{0,30}(with|this).{0,30}(is|are).{0,20}(on|by)|(de|der).{0,50}la.{0,30}(un|los)') then 'CONSIDER_CONTINUE_OR_STOP/BREASTFEEDING'
+when not pregnant and regexp_matches(s, '(?is)and.{0,20}(for|from)|nicht|stupid') then 'STOP_BREASTFEEDING/BREASTFEEDING'
+when not pregnant and regexp_matches(s, '(?is)(as|is) (the|of|in).{0,30}(to|at)') then 'PREFER_AVOID/DRUG'
+when not pregnant and regexp_matches(s, '(?is)(est|ist|es).*(pour|sich|para).*(les|das|las)') then 'BENEFIT_RISK/DRUG'
+when not pregnant and regexp_matches(s, '(?is)licensed|dans les') then 'ACCEPTABLE/BREASTFEEDING'
+when regexp_matches(s, '(?is)tion|keit|mente|for.{0,30}(and|the)') then 'UNCLASSIFIABLE'
+when regexp_matches(s, '(?is)than|dass') then 'MILK_TRANSFER'
+when regexp_matches(s, '(?is)er.{0,20}(th|ch)') then 'INFANT_EFFECT'
+when regexp_matches(s, '(?is)the|der|que|les') then 'HUMAN_FINDING'
+else 'OTHER_INFORMATION' end"""
+_CLASSIFIED = f"""select * exclude (told), case when contains(told, '/') or told = 'UNCLASSIFIABLE' then 'RECOMMENDATION' else told end as expression_type,
+case when contains(told, '/') or told = 'UNCLASSIFIABLE' then split_part(told, '/', 1) end as classification_code, case when contains(told, '/') then split_part(told, '/', 2) end as recommendation_target, told = 'UNCLASSIFIABLE' as requires_llm
+from (select *, {_CODE_SQL} as told from (select *, evidence_text as s, population_type = 'PREGNANCY' as pregnant from ({_STATEMENTS})))"""
+
+
+def _blocks(t) -> DataFrame:
+    population = F.when(F.col("doc_id") % 2 == 0, "PREGNANCY").otherwise("LACTATION")
+    return t("documents").select(F.col("doc_id").alias("block_id"), F.col("source").alias("package_insert_no"), population.alias("population_type"), F.col("text").alias("block_text"))
 
 
 def _statements(t) -> DataFrame:
-    sample = F.get(F.array(*(F.lit(s) for s in SAMPLES)), F.col("doc_id") % len(SAMPLES))
-    rows = t("documents").select("doc_id", "source", F.when(F.col("doc_id") % 2 == 0, "PREGNANCY").otherwise("LACTATION").alias("population_type"), sample.alias("evidence_text"))
-    return rows.withColumn("c", statements.classified(F.col("population_type"), F.col("evidence_text"))).select(*rows.columns, "c.*")
+    """Every sentence of every document, with what the rules say."""
+    found = statements.candidates(_blocks(t), rules=DOCUMENT_RULES, marks=".")
+    return found.withColumn("statement_id", F.concat_ws("-", "block_id", "statement_order"))
 
 
-@query(f"select doc_id, population_type, expression_type, classification_code, recommendation_target, requires_llm from ({_CLASSIFIED})")
+@query(f"select statement_id, population_type, expression_type, classification_code, recommendation_target, requires_llm from ({_CLASSIFIED})")
 def statement_rules(t):
-    return _statements(t).drop("source", "evidence_text")
+    return _statements(t).select("statement_id", "population_type", "expression_type", F.col("rule_classification").alias("classification_code"), "recommendation_target", "requires_llm")
 
 
-_SUPPORTED = " or ".join(f"(code = '{c}' and regexp_matches(evidence_text, '(?is){p}'){' and population_type = ' + repr('LACTATION') if c in statements.LACTATION_ONLY else ''})" for c, p in statements.SUPPORT.items())
+@query(f"""select doc_id as block_id, row_number() over (partition by doc_id order by cast(split_part(statement_id, '-', 2) as bigint)) as statement_order, evidence_text, sha256('{{"evidence_text":' || to_json(evidence_text) || ',"occurrence":' || row_number() over (partition by doc_id, evidence_text order by cast(split_part(statement_id, '-', 2) as bigint)) || ',"population_type":"' || population_type || '"}}') as statement_hash from ({_STATEMENTS})""")
+def statement_candidates(t):
+    return _statements(t).select("block_id", F.col("statement_order").cast("bigint").alias("statement_order"), "evidence_text", "statement_hash")
 
 
-@query(f"select doc_id, code, code = 'UNCLASSIFIABLE' or {_SUPPORTED} as supported from ({_STATEMENTS}), (select unnest({list(statements.CLASSES)!r}) as code)")
+@query(f"""select statement_id, code, case code when 'UNCLASSIFIABLE' then true when 'CONTRAINDICATED' then regexp_matches(evidence_text, '(?i)not|nicht|pas') when 'AVOID' then regexp_matches(evidence_text, '(?i)with|mit|avec')
+when 'STOP_BREASTFEEDING' then population_type = 'LACTATION' and regexp_matches(evidence_text, '(?is)from.{{0,30}}(the|of)') when 'PREFER_AVOID' then regexp_matches(evidence_text, '(?i)is|est') when 'BENEFIT_RISK' then regexp_matches(evidence_text, '(?i)tion|keit')
+when 'CONSIDER_CONTINUE_OR_STOP' then population_type = 'LACTATION' and regexp_matches(evidence_text, '(?is)(and|und).{{0,30}}(the|die)') when 'ACCEPTABLE' then regexp_matches(evidence_text, '(?i)was|licensed') end as supported
+from ({_STATEMENTS}), (select unnest({list(statements.CLASSES)!r}) as code)""")
 def evidence_support(t):
     rows = _statements(t).withColumn("code", F.explode(F.array(*(F.lit(c) for c in statements.CLASSES))))
-    return rows.select("doc_id", "code", statements.is_supported(F.col("population_type"), F.col("code"), F.col("evidence_text")).alias("supported"))
+    return rows.select("statement_id", "code", statements.is_supported(F.col("population_type"), F.col("code"), F.col("evidence_text"), DOCUMENT_RULES).alias("supported"))
 
 
 #: Some statements have an answer of a model, some of two, and some of none.
@@ -496,12 +541,12 @@ _ANSWERS = "select evidence_text as statement_hash, population_type, model, 'AVO
 _LEVEL = "case {0} " + " ".join(f"when '{c}' then '{v[0]}'" for c, v in statements.CLASSES.items()) + " end"
 _TEXT = "case {0} " + " ".join(f"when '{c}' then '{v[1]}'" for c, v in statements.CLASSES.items()) + " end"
 _PUBLISHED = f"""with found as ({_CLASSIFIED}), answers as (select distinct on (statement_hash, population_type) * from ({_ANSWERS.format(_CLASSIFIED)}) order by statement_hash, population_type, model desc),
-pub as (select doc_id as statement_id, source as package_insert_no, f.population_type, f.evidence_text, case when requires_llm and a.model is not null then a.classification_code else f.classification_code end as classification_code,
+pub as (select statement_id, source as package_insert_no, f.population_type, f.evidence_text, case when requires_llm and a.model is not null then a.classification_code else f.classification_code end as classification_code,
  case when requires_llm and a.model is not null then a.recommendation_target else f.recommendation_target end as recommendation_target, requires_llm and a.model is not null as used, a.assessment_text as told from found f left join answers a on a.statement_hash = f.evidence_text and a.population_type = f.population_type)"""
 
 
 def _published(t) -> DataFrame:
-    found = _statements(t).select(F.col("doc_id").alias("statement_id"), F.col("source").alias("package_insert_no"), "population_type", "evidence_text", F.col("evidence_text").alias("statement_hash"), "expression_type", F.col("classification_code").alias("rule_classification"), "recommendation_target", "requires_llm")
+    found = _statements(t).select("statement_id", "package_insert_no", "population_type", "evidence_text", F.col("evidence_text").alias("statement_hash"), "expression_type", "rule_classification", "recommendation_target", "requires_llm")
     runs = found.select("statement_hash", "population_type").distinct().withColumn("model", F.explode(F.array(F.lit("a"), F.lit("b"))))
     runs = runs.withColumns({"status": F.when(F.length("statement_hash") % 3 > F.when(F.col("model") == "a", 0).otherwise(1), "success").otherwise("error"), "run_id": merging.run_key(F.col("statement_hash"), F.col("population_type"), F.col("model"))})
     facts = runs.select("run_id", F.lit("AVOID").alias("classification_code"), F.lit("DRUG").alias("recommendation_target"), F.concat("model", F.lit(" says so")).alias("assessment_text"))
@@ -545,9 +590,9 @@ def summary_counts(t):
     return serving.summary_counts(_summaries(t).withColumnRenamed("has_unclassified", "needs_review"))
 
 
-@query(f"{_SUMMARIES} select s.package_insert_no, s.population_type, reason_statement_id, evidence_text as reason_evidence_text from sums s left join pub on statement_id = reason_statement_id and statement_id % 7 <> 0")
+@query(f"{_SUMMARIES} select s.package_insert_no, s.population_type, reason_statement_id, evidence_text as reason_evidence_text from sums s left join pub on statement_id = reason_statement_id and length(evidence_text) % 7 <> 0")
 def summary_reasons(t):
-    current = _published(t).withColumn("is_current", F.col("statement_id") % 7 != 0)
+    current = _published(t).withColumn("is_current", F.length("evidence_text") % 7 != 0)
     return serving.summary_reasons(_summaries(t), current).select("package_insert_no", "population_type", "reason_statement_id", "reason_evidence_text")
 
 
@@ -611,23 +656,17 @@ def rebuilt_facts(t):
     return incremental.rebuilt_facts(blocks, runs, "struct<part:bigint>").drop("analysis_hash")
 
 
-_LEGACY_SQL = " ".join(f"when regexp_matches(line, '(?s){p.replace('(?!が望ましい)', '($|[^が]|が$|が[^望]|が望$|が望[^ま]|が望ま$|が望ま[^し]|が望まし$|が望まし[^い])')}') then {{n}}{i}{{n}}" for i, (_, p, _) in enumerate(legacy_scores.PREGNANCY_SCORES))
+#: Scores and flags of the older label set for the documents' languages.
+_SCORES = [(3, "(worthless|nicht|not(?!h))", "contraindicated"), (2, "((with|mit|avec).*(from|von|pour)|(the|der|la) tion)", "not_recommended"), (1, "((this|que|und).*(tion|keit|mente).*(ing|ung|ment)[aeou]|licensed)", "benefit_over_risk_or_caution")]
+_FLAGS = {"has_pair": "(the|der).*(of|von)", "has_line_end": "(ing|ung|tion)[.]$", "has_digits": "[0-9]{1,2}[.:/]"}
 
 
-def _legacy_case(values: list[str]) -> str:
-    out = _LEGACY_SQL
-    for i, v in enumerate(values):
-        out = out.replace(f"{{n}}{i}{{n}}", v)
-    return out
-
-
-_LINES = f"select doc_id, evidence_text, trim(replace(replace(regexp_replace(evidence_text, '\\s+', ' ', 'g'), '上まわる', '上回る'), '上廻る', '上回る')) as line from ({_STATEMENTS})"
-
-
-@query(f"select doc_id, case {_legacy_case([str(s) for s, _, _ in legacy_scores.PREGNANCY_SCORES])} else 0 end as score, case {_legacy_case([repr(t) for _, _, t in legacy_scores.PREGNANCY_SCORES])} else 'unclear' end as rule, case {_legacy_case([repr(legacy_scores.PREGNANCY_LABELS[s]) for s, _, _ in legacy_scores.PREGNANCY_SCORES])} else '不明' end as label, {', '.join(f"regexp_matches(evidence_text, '(?ms){p}') as {k}" for k, p in legacy_scores.PREGNANCY_FLAGS.items())} from ({_LINES})")
+@query(r"""select statement_id, case when regexp_matches(line, '(worthless|nicht|not($|[^h]))') then 3 when regexp_matches(line, '(?s)((with|mit|avec).*(from|von|pour)|(the|der|la) tion)') then 2 when regexp_matches(line, '(?s)((this|que|und).*(tion|keit|mente).*(ing|ung|ment)[aeou]|licensed)') then 1 else 0 end as score,
+case score when 3 then 'contraindicated' when 2 then 'not_recommended' when 1 then 'benefit_over_risk_or_caution' else 'unclear' end as rule, case score when 3 then 'D/X' when 2 then 'C' when 1 then 'B' else '不明' end as label,
+regexp_matches(s, '(?s)(the|der).*(of|von)') as has_pair, regexp_matches(s, '(?m)(ing|ung|tion)[.]$') as has_line_end, regexp_matches(s, '[0-9]{1,2}[.:/]') as has_digits from (select statement_id, evidence_text as s, trim(regexp_replace(evidence_text, '\s+', ' ', 'g')) as line from ("""+_STATEMENTS+"))")
 def legacy_score_rules(t):
-    rows = _statements(t).select("doc_id", "evidence_text").withColumns({"s": legacy_scores.scored(F.col("evidence_text"), legacy_scores.PREGNANCY_SCORES), "f": legacy_scores.evidence_flags(F.col("evidence_text"), legacy_scores.PREGNANCY_FLAGS)})
-    return rows.select("doc_id", "s.score", "s.rule", legacy_scores.score_label(F.col("s.score"), legacy_scores.PREGNANCY_LABELS).alias("label"), *(F.col("f")[k].alias(k) for k in legacy_scores.PREGNANCY_FLAGS))
+    rows = _statements(t).select("statement_id", "evidence_text").withColumns({"s": legacy_scores.scored(F.col("evidence_text"), _SCORES), "f": legacy_scores.evidence_flags(F.col("evidence_text"), _FLAGS)})
+    return rows.select("statement_id", "s.score", "s.rule", legacy_scores.score_label(F.col("s.score"), legacy_scores.PREGNANCY_LABELS).alias("label"), *(F.col("f")[k].alias(k) for k in _FLAGS))
 
 
 _DEFINITION = {"candidate_terms": ["the", "und", "les"], "candidate_required_term_groups": [["tion", "keit"]], "allowed_top_sections": ["en", "de", "fr"], "excluded_sections": ["src1"], "preferred_sections": ["src2", "src3"]}
@@ -638,3 +677,21 @@ def definition_candidates(t):
     found = rules.definition_candidates(_DEFINITION, F.col("text"), F.col("lang"), F.col("source"), F.lit("Detail"))
     rows = t("documents").withColumn("c", found).filter("c is not null")
     return rows.select("doc_id", F.array_join("c.terms", ",").alias("terms"), F.array_join("c.reasons", ",").alias("reasons"))
+
+
+_DEFINITIONS = [
+    _DEFINITION | {"note_type": "PLAIN"},
+    {"note_type": "ENDINGS", "candidate_terms": [f"{a}{b}tion" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"], "excluded_sections": ["src4"]},
+    {"note_type": "BOTH", "candidate_terms": ["ing", "Ung", "mente"], "candidate_required_term_groups": [["the", "der"], ["of", "von", "de"]]},
+]
+
+
+@query("""with d as (select doc_id, source, lang, lower(text) as low from documents), endings as (select list(chr(cast(97 + i as integer)) || chr(cast(97 + j as integer)) || 'tion') as all_terms from range(26) a(i), range(26) b(j)),
+found as (select doc_id, source, 'PLAIN' as note_type, list_filter(['the', 'und', 'les'], lambda w: contains(low, w)) as terms, case when source in ('src2', 'src3') then 'keyword,preferred_section' else 'keyword' end as reasons from d where lang in ('en', 'de', 'fr') and source <> 'src1' and (contains(low, 'tion') or contains(low, 'keit'))
+union all select doc_id, source, 'ENDINGS', list_filter(all_terms, lambda w: contains(low, w)), 'keyword' from d, endings where source <> 'src4'
+union all select doc_id, source, 'BOTH', list_filter(['ing', 'ung', 'mente'], lambda w: contains(low, w)), 'keyword' from d where (contains(low, 'the') or contains(low, 'der')) and (contains(low, 'of') or contains(low, 'von') or contains(low, 'de')))
+select doc_id, note_type, array_to_string(list_sort(terms), ',') as terms, reasons from found where len(terms) > 0""")
+def definitions_at_once(t):
+    """Candidates for three definitions with 689 terms, each text searched once."""
+    found = rules.candidates_of_all(t("documents").select("doc_id", "source", "lang", "text"), _DEFINITIONS, F.col("text"), F.col("lang"), F.col("source"), F.lit("Detail"))
+    return found.select("doc_id", "note_type", F.array_join("terms", ",").alias("terms"), F.array_join("reasons", ",").alias("reasons"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from docloom.functions.hashing import stable_hash
 from docloom.functions.rules import Rule, classify
@@ -63,6 +65,21 @@ LACTATION_ONLY = ("STOP_BREASTFEEDING", "CONSIDER_CONTINUE_OR_STOP")
 NOT_STATED = {"SECTION_ABSENT": ("GRAY", "関連記載なし"), "NO_EXPLICIT_RECOMMENDATION": ("GRAY", "明確な推奨記載なし")}
 # End of fixed values.
 
+@dataclass(frozen=True)
+class RuleSet:
+    """What tells a statement's code. ordered: (code, target, pattern) by population; others are patterns of Java without case."""
+
+    ordered: dict[str, Sequence[tuple[str, str, str]]]
+    cue: str
+    expressions: Sequence[tuple[str, str]]
+    excluded: str
+    support: dict[str, str]
+    lactation_only: tuple[str, ...] = LACTATION_ONLY
+
+
+#: The rules of the published tables; other collections bring their own.
+PUBLISHED_RULES = RuleSet({"PREGNANCY": PREGNANCY, "LACTATION": LACTATION}, CUE, EXPRESSIONS, EXCLUDED, SUPPORT)
+
 _FIELDS = {"expression_type": "OTHER_INFORMATION", "classification_code": None, "recommendation_target": None, "requires_llm": False}
 
 
@@ -70,28 +87,29 @@ def _any_case(pattern: str) -> str:
     return f"(?isu){pattern}"
 
 
-def _table(ordered: Sequence[tuple[str, str, str]]) -> list[Rule]:
-    told = [Rule(_any_case(p), {"expression_type": "RECOMMENDATION", "classification_code": code, "recommendation_target": target}) for code, target, p in ordered]
-    unclear = Rule(_any_case(CUE), {"expression_type": "RECOMMENDATION", "classification_code": "UNCLASSIFIABLE", "requires_llm": True})
-    return [*told, unclear, *(Rule(_any_case(p), {"expression_type": kind}) for kind, p in EXPRESSIONS)]
+def _table(rules: RuleSet, population: str) -> list[Rule]:
+    told = [Rule(_any_case(p), {"expression_type": "RECOMMENDATION", "classification_code": code, "recommendation_target": target}) for code, target, p in rules.ordered[population]]
+    unclear = Rule(_any_case(rules.cue), {"expression_type": "RECOMMENDATION", "classification_code": "UNCLASSIFIABLE", "requires_llm": True})
+    return [*told, unclear, *(Rule(_any_case(p), {"expression_type": kind}) for kind, p in rules.expressions)]
 
 
-def classified(population: Column, text: Column) -> Column:
+def classified(population: Column, text: Column, rules: RuleSet = PUBLISHED_RULES) -> Column:
     """A struct of expression_type, classification_code, recommendation_target and requires_llm of one statement.
 
     The first match decides: what is excluded, the population's rules, a cue without a rule
-    (for the model), kinds of findings. Texts are expected in normal form (NFKC).
+    (for the model), kinds of findings. Texts are expected in normal form (NFKC). Any
+    population but PREGNANCY has the rules of LACTATION.
     """
-    by = {name: classify(text, _table(rules), _FIELDS, exclude=_any_case(EXCLUDED)) for name, rules in (("PREGNANCY", PREGNANCY), ("LACTATION", LACTATION))}
+    by = {name: classify(text, _table(rules, name), _FIELDS, exclude=_any_case(rules.excluded)) for name in ("PREGNANCY", "LACTATION")}
     return F.when(population == "PREGNANCY", by["PREGNANCY"]).otherwise(by["LACTATION"])
 
 
-def is_supported(population: Column, code: Column, evidence: Column) -> Column:
+def is_supported(population: Column, code: Column, evidence: Column, rules: RuleSet = PUBLISHED_RULES) -> Column:
     """Whether the evidence has words for the code; two codes are for lactation only, and UNCLASSIFIABLE needs none."""
     out = code == "UNCLASSIFIABLE"
-    for name, pattern in SUPPORT.items():
+    for name, pattern in rules.support.items():
         own = (code == name) & evidence.rlike(_any_case(pattern))
-        out = out | (own & (population == "LACTATION") if name in LACTATION_ONLY else own)
+        out = out | (own & (population == "LACTATION") if name in rules.lactation_only else own)
     return F.coalesce(out, F.lit(False))
 
 
@@ -101,16 +119,16 @@ def class_field(code: Column, field: int) -> Column:
     return F.create_map(*(F.lit(x) for k, v in known.items() for x in (k, v[field])))[code]
 
 
-def candidates(blocks: DataFrame, version: str = "rules-2") -> DataFrame:
+def candidates(blocks: DataFrame, version: str = "rules-2", rules: RuleSet = PUBLISHED_RULES, marks: str = "。") -> DataFrame:
     """Statements of current blocks (block_id, package_insert_no, population_type, block_text) with what the rules say.
 
     statement_hash tells equal statements of a block apart by their occurrence, so that
-    the same statement elsewhere has the same hash and one model call serves all.
+    the same statement elsewhere has the same hash and one model call serves all. marks
+    end statements, as newlines do.
     """
-    pieces = blocks.withColumn("s", sentences(normalise_nfkc("block_text")))
-    rows = pieces.select("block_id", "package_insert_no", "population_type", F.col("s").alias("all"), F.posexplode("s").alias("i", "evidence_text"))
-    nth = F.size(F.filter(F.slice("all", F.lit(1), F.col("i") + 1), lambda x: x == F.col("evidence_text")))
-    rows = rows.withColumn("statement_hash", stable_hash(population_type=F.col("population_type"), evidence_text=F.col("evidence_text"), occurrence=nth)).withColumn("c", classified(F.col("population_type"), F.col("evidence_text")))
+    rows = blocks.select("block_id", "package_insert_no", "population_type", F.posexplode(sentences(normalise_nfkc("block_text"), marks)).alias("i", "evidence_text"))
+    nth = F.row_number().over(Window.partitionBy("block_id", "population_type", "evidence_text").orderBy("i"))
+    rows = rows.withColumn("statement_hash", stable_hash(population_type=F.col("population_type"), evidence_text=F.col("evidence_text"), occurrence=nth)).withColumn("c", classified(F.col("population_type"), F.col("evidence_text"), rules))
     told = ("expression_type", F.col("c.classification_code").alias("rule_classification"), "c.recommendation_target", "c.requires_llm")
     return rows.select("block_id", "package_insert_no", "population_type", (F.col("i") + 1).alias("statement_order"), "statement_hash", "evidence_text", "c.expression_type", *told[1:], F.lit(version).alias("definition_version"))
 

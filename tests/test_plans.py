@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import progress, text
 from docloom.operators import filters, merging
+from docloom.functions.targets import TARGETS
 from docloom.plans import incremental, model_calls, prompts, publishing, statements, validation
 from docloom.sources import files, sections, xml_tree
 from docloom.streaming.ingest import ingest
@@ -132,7 +133,7 @@ def test_note_validator():
     shared = [FACT | {"evidence_text": BLOCK, "note_text": f"{x} 50％"} for x in "ab"]
     facts, errors = validation.notes({"facts": shared}, DEFINITION | {"required_evidence_term_groups": []}, BLOCK)
     assert len(facts) == 2 and len(errors) == 1
-    assert validation.target_code("P糖蛋白", None) == "P-gp" and validation.target_in("Ｐ－糖蛋白の基質", "P-gp", "")
+    assert TARGETS.find("P糖蛋白") == "P-gp" and TARGETS.supported("Ｐ－糖蛋白の基質", "P-gp", "")
 
 
 def test_statement_validator():
