@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+import uuid
+import zipfile
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docloom._folders import new_folder
+from docloom._ship import ensure_importable
 from docloom.functions import hashing, rules, targets, text
 from docloom.operators import filters, merging, ranking
 from docloom.plans import incremental, legacy_scores, publishing, serving, statements
 from docloom.plans.model_calls import from_other_model, wanted
-from docloom.sources import files, xml_tree
+from docloom.sources import archives, files, one_pass, xml_tree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -695,3 +701,82 @@ def definitions_at_once(t):
     """Candidates for three definitions with 689 terms, each text searched once."""
     found = rules.candidates_of_all(t("documents").select("doc_id", "source", "lang", "text"), _DEFINITIONS, F.col("text"), F.col("lang"), F.col("source"), F.lit("Detail"))
     return found.select("doc_id", "note_type", F.array_join("terms", ",").alias("terms"), F.array_join("reasons", ",").alias("reasons"))
+
+
+# --- documents as archives of XML -------------------------------------------------------------------------------------
+
+
+def _as_xml(documents: DataFrame) -> DataFrame:
+    """(doc_id, xml): the documents' texts as package inserts, their lines as items and as a whole in a population's section."""
+    safe = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    text_, source = safe(F.coalesce("text", F.lit(""))), safe(F.coalesce("source", F.lit("")))
+    items = F.array_join(F.transform(F.split(text_, "\n+"), lambda line: F.concat(F.lit("<Item><Detail>"), line, F.lit("</Detail></Item>"))), "")
+    number = F.col("doc_id").cast("string")
+    tag = F.when(F.col("doc_id") % 2 == 0, "UseInPregnant").otherwise("UseInNursing")
+    parts = [
+        F.lit("<PackIns><PackageInsertNo>"), number, F.lit("</PackageInsertNo><ApprovalEtc><DetailBrandName><BrandCode><YJCode>"), source,
+        F.lit("</YJCode></BrandCode></DetailBrandName></ApprovalEtc><Warnings><SimpleList>"), items, F.lit("</SimpleList></Warnings><UseInSpecificPopulations><"), tag, F.lit("><Header>"), source, F.lit("</Header><Detail>"), text_,
+        F.lit("</Detail></"), tag, F.lit("></UseInSpecificPopulations></PackIns>"),
+    ]
+    return documents.select("doc_id", F.concat(*parts).alias("xml"))
+
+
+_KINDS = {"brands": one_pass.Brands, "populations": one_pass.Populations, "notes": lambda: one_pass.Notes(1 << 30, frozenset({"Warnings"}))}
+
+
+def _parsed(t) -> dict[str, DataFrame]:
+    documents = t("documents")
+    return one_pass.document_rows(_as_xml(documents), "doc_id", "xml", _KINDS, new_folder(documents.sparkSession, "parsed"))[0]
+
+
+_TIDY = r"trim(regexp_replace(regexp_replace(regexp_replace({0}, '[ \t]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10))"
+
+
+@query(f"select doc_id, case when doc_id % 2 = 0 then 'PREGNANCY' else 'LACTATION' end as population_type, case when doc_id % 2 = 0 then '9.5' else '9.6' end as section_code, source as heading_path, block_text from (select *, {_TIDY.format('source || text')} as block_text from documents) where block_text <> ''")
+def population_sections(t):
+    """Sections on populations of the documents wrapped as XML."""
+    return _parsed(t)["populations"].select("doc_id", "population_type", "section_code", "heading_path", "block_text")
+
+
+@query(f"select doc_id, row_number() over (partition by doc_id order by n) as block_order, 'Item' as block_type, 'Warnings' as heading_path, s as block_text from (select doc_id, n, {_TIDY.format('line')} as s from (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as n from (select doc_id, string_split_regex(text, '\\n+') as lines from documents))) where length(s) >= 4")
+def note_blocks(t):
+    """Semantic blocks of the documents wrapped as XML, an item a line."""
+    return _parsed(t)["notes"].select("doc_id", F.col("block_order").cast("bigint").alias("block_order"), "block_type", "heading_path", "block_text")
+
+
+#: Documents of one archive, some of them; a member's packed bytes are read by their place.
+_ARCHIVE_ROWS = 500
+
+
+def _zipped(folder: str):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), _ARCHIVE_ROWS):
+                part, body = frame[at : at + _ARCHIVE_ROWS], io.BytesIO()
+                with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as z:
+                    for i, xml in zip(part["doc_id"], part["xml"], strict=True):
+                        z.writestr(f"{i}-{uuid.uuid4().hex}.xml", xml)
+                files_, path = archives.opened(f"{folder}/{uuid.uuid4().hex}.zip")
+                with files_.open_output_stream(path) as f:
+                    f.write(body.getbuffer())
+                yield pd.DataFrame({"path": [path]})
+
+    return run
+
+
+@query()
+def archived_documents(t):
+    """Documents written as XML into ZIP archives, read by entry, decoded, copies left out, parsed once: brands with their note blocks.
+
+    The folders stay under spark.checkpoint.dir. An archive of a task that was run again is one more set of copies.
+    """
+    documents = t("documents")
+    spark = documents.sparkSession
+    ensure_importable(spark)
+    folder = new_folder(spark, "archives")
+    _as_xml(documents).mapInPandas(_zipped(folder), "path string").write.parquet(f"{folder}/listed")
+    found = files.decoded(archives.read_archives(spark, folder)).filter("error is null")
+    first, _ = files.split_duplicates(found)
+    rows, _ = one_pass.document_rows(first, "path", "text", _KINDS, f"{folder}/parsed")
+    notes = rows["notes"].groupBy("path").agg(F.count("*").alias("n_notes"), F.sum(F.length("block_text")).alias("chars"))
+    return rows["brands"].join(notes, "path", "left").select(F.col("package_insert_no").cast("bigint").alias("doc_id"), F.col("yj_code").alias("source"), F.coalesce("n_notes", F.lit(0)).alias("n_notes"), F.coalesce("chars", F.lit(0)).alias("chars"))

@@ -1,46 +1,19 @@
-"""Document files: plain or inside ZIP archives, deduplicated by content, decoded without loss."""
+"""Document files, deduplicated by content, decoded without loss; settings, definitions and CSV files."""
 
 from __future__ import annotations
 
-import io
 import json
-import zipfile
-from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom._ship import ensure_importable
-
 
 def read_files(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
     """(path, content) of all files below path."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "content")
 
 
-def _members(pattern: str):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for path, content in zip(frame["path"], frame["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for name in sorted(z.namelist()):
-                            if name.lower().endswith(pattern):
-                                yield pd.DataFrame({"path": [f"{path}!{name}"], "content": [z.read(name)], "error": [None]})
-                except (zipfile.BadZipFile, OSError, RuntimeError) as e:
-                    yield pd.DataFrame({"path": [path], "content": [None], "error": [str(e)]})
-
-    return run
-
-
-def read_archives(spark: SparkSession, path: str, suffix: str = ".xml") -> DataFrame:
-    """(path, content, error) of the members of all ZIP files below path; nothing is unpacked to disk."""
-    ensure_importable(spark)
-    return read_files(spark, path, "*.[zZ][iI][pP]").mapInPandas(_members(suffix), "path string, content binary, error string")
-
-
 def decoded(files: DataFrame) -> DataFrame:
     """text: UTF-8 content without a byte order mark, otherwise unchanged; null, and an error, where a byte isn't UTF-8."""
     raw = F.col("content").cast("string")

@@ -1,13 +1,9 @@
-"""Sections of package inserts as rows: chapters in chunks, population sections, note blocks, legacy section texts."""
+"""The format of package inserts: names of chapters and sections, and what rows are made of them (see one_pass.py)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from xml.etree import ElementTree
 
-from docloom.functions.text import chunks, loose_text
-from docloom.sources.xml_tree import LANG, heading, local, parse, subtree_text, units
-
 # Element names and chapter numbers of the document format.
 CHAPTERS = {
     "Warnings": "1", "ContraIndications": "2", "CompositionAndProperty": "3", "IndicationsOrEfficacy": "4", "EfficacyRelatedPrecautions": "5", "InfoDoseAdmin": "6",
@@ -40,79 +36,5 @@ NOTE_SCHEMA = "top_section_type string, section_type string, section_code string
 LEGACY_SCHEMA = "pregnancy_text string, pregnancy_id string, lactation_text string, lactation_id string"
 
 
-def _xml(node) -> str:
+def as_xml(node) -> str:
     return ElementTree.tostring(node, encoding="unicode")
-
-
-def chunk_rows(text: str, size: int = 4000, overlap: int = 200, chapter: str = "Pharmacokinetics") -> Iterator[dict]:
-    """Overlapping chunks of each section of a chapter. An unknown section gets the code 16.? and known = false; its XML goes with chunk 1."""
-    found = next((n for n in parse(text).iter() if local(n.tag) == chapter), None)
-    for order, section in enumerate(found if found is not None else (), 1):
-        name, body = local(section.tag), subtree_text(section)
-        for number, (start, end, piece) in enumerate(chunks(body, size, overlap), 1):
-            yield {
-                "section_code": CHAPTER_16.get(name, "16.?"), "section_type": name, "section_order": order, "chunk_no": number, "char_start": start, "char_end": end,
-                "block_text": piece, "section_text": body, "section_xml": _xml(section) if number == 1 else None, "known": name in CHAPTER_16,
-            }
-
-
-def population_rows(text: str) -> Iterator[dict]:
-    """Sections on each population wherever they stand, nested ones too; empty ones don't count in the order."""
-    nodes = list(parse(text).iter())
-    for population, (code, tags) in POPULATION_TAGS.items():
-        order = 0
-        for node in nodes:
-            if local(node.tag) in tags and (body := subtree_text(node)):
-                order += 1
-                yield {"population_type": population, "block_order": order, "section_type": local(node.tag), "section_code": code, "heading_path": heading(node, TITLES), "block_text": body, "block_xml": _xml(node)}
-
-
-def note_rows(text: str, size: int = 3000, chapters: frozenset[str] = NOTE_CHAPTERS) -> Iterator[dict]:
-    """Semantic blocks of the chapters asked for, in document order, with heading paths; long ones in parts.
-
-    The chapter on pharmacokinetics is taken by subsection (code 16 if unknown) and
-    without tables. Units of less than four characters go; the XML goes with part 1.
-    """
-    order = 0
-    for chapter in parse(text):
-        top = local(chapter.tag)
-        if top in NOT_CHAPTERS or top not in chapters:
-            continue
-        split = top == "Pharmacokinetics" and len(chapter) > 0
-        parts = [(s, local(s.tag), CHAPTER_16.get(local(s.tag), "16")) for s in chapter] if split else [(chapter, top, CHAPTERS.get(top))]
-        for section, name, code in parts:
-            for unit in units(section, LISTS, LEAVES):
-                hidden = TABLES if top == "Pharmacokinetics" else frozenset()
-                body = "" if local(unit.tag) in hidden else subtree_text(unit, hidden)
-                if len(body) < 4:
-                    continue
-                path = " > ".join(x for x in (top, name if name != top else None, heading(unit, CAPTIONS)) if x)
-                pieces = [body] if len(body) <= size else [p for _, _, p in chunks(body, size, 0, "。\n；; ")]
-                for number, piece in enumerate(pieces, 1):
-                    order += 1
-                    yield {
-                        "top_section_type": top, "section_type": name, "section_code": code, "heading_path": path + (f" > part {number}" if len(body) > size else ""),
-                        "block_type": local(unit.tag), "block_order": order, "block_text": piece, "block_xml": _xml(unit) if number == 1 else None,
-                    }
-
-
-def _legacy(root, tags: frozenset[str]) -> tuple[str | None, str | None]:
-    """All language texts under matching elements, Japanese first, each once in its group; else the whole text of the first; and that one's id."""
-    hits = [n for n in root.iter() if local(n.tag) in tags]
-    if not hits:
-        return None, None
-    groups: dict[bool, dict[str, None]] = {True: {}, False: {}}
-    for node in (n for hit in hits for n in hit.iter() if local(n.tag) == "Lang"):
-        if body := loose_text("".join(node.itertext())):
-            groups[(node.get(LANG) or node.get("lang") or "").lower().startswith("ja")][body] = None
-    return "\n\n".join([*groups[True], *groups[False]]) or loose_text("".join(hits[0].itertext())), hits[0].get("id")
-
-
-def legacy_rows(text: str) -> list[dict]:
-    """One row of both populations' texts and ids; nulls for what is absent and for XML that can't be read."""
-    try:
-        root = parse(text)
-    except ElementTree.ParseError:
-        return [dict.fromkeys(("pregnancy_text", "pregnancy_id", "lactation_text", "lactation_id"))]
-    (p, pid), (n, nid) = (_legacy(root, tags) for _, tags in POPULATION_TAGS.values())
-    return [{"pregnancy_text": p, "pregnancy_id": pid, "lactation_text": n, "lactation_id": nid}]

@@ -12,7 +12,7 @@ from docloom.functions import progress, text
 from docloom.operators import filters, merging
 from docloom.functions.targets import TARGETS
 from docloom.plans import incremental, model_calls, prompts, publishing, statements, validation
-from docloom.sources import files, sections, xml_tree
+from docloom.sources import archives, files, one_pass, sections, xml_tree
 from docloom.streaming.ingest import ingest
 
 XML = """<r xmlns="u"><PackageInsertNo>1</PackageInsertNo><Warnings><Header>警告</Header><OrderedList><Item><Detail>一つ目の警告。</Detail></Item><Item><Detail>二</Detail></Item></OrderedList></Warnings>
@@ -20,39 +20,43 @@ XML = """<r xmlns="u"><PackageInsertNo>1</PackageInsertNo><Warnings><Header>警
 <Pharmacokinetics><Metabolism><Detail>主にCYP3A4で代謝される。50%が尿中に排泄。</Detail><TblBlock>1 2 3 4</TblBlock></Metabolism><Unknown><Detail>未知の項目。</Detail></Unknown></Pharmacokinetics></r>"""
 
 
+def rows_of(xml, collector):
+    return one_pass.collected(xml, [collector])[0]
+
+
 def test_chapter_chunks():
-    rows = list(sections.chunk_rows(XML, 12, 2))
+    rows = rows_of(XML, one_pass.Chunks(12, 2))
     assert [(r["section_code"], r["known"], r["section_order"]) for r in rows if r["chunk_no"] == 1] == [("16.4", True, 1), ("16.?", False, 2)]
     assert all(r["section_xml"] is None or r["chunk_no"] == 1 for r in rows) and len(rows) > 2
-    assert list(sections.chunk_rows("<r/>")) == []
+    assert rows_of("<r/>", one_pass.Chunks()) == []
 
 
 def test_population_blocks():
-    rows = list(sections.population_rows(XML))
+    rows = rows_of(XML, one_pass.Populations())
     assert [(r["population_type"], r["section_code"], r["block_order"], r["heading_path"]) for r in rows] == [("PREGNANCY", "9.5", 1, "妊婦")]
     nested = "<r><Pregnant>a<Pregnant>b</Pregnant><PregnantWomen/></Pregnant></r>"
-    assert [r["block_text"] for r in sections.population_rows(nested)] == ["ab", "b"]
+    assert [r["block_text"] for r in rows_of(nested, one_pass.Populations())] == ["ab", "b"]
 
 
 def test_note_blocks():
-    rows = list(sections.note_rows(XML))
+    rows = rows_of(XML, one_pass.Notes())
     assert [(r["block_order"], r["section_code"], r["block_text"]) for r in rows] == [(1, "1", "一つ目の警告。"), (2, "9", "妊婦do not use投与しないこと。"), (3, "16.4", "主にCYP3A4で代謝される。50%が尿中に排泄。"), (4, "16", "未知の項目。")]
     assert rows[2]["heading_path"] == "Pharmacokinetics > Metabolism" and rows[0]["block_type"] == "Item"
-    parts = list(sections.note_rows(XML, size=10, chapters=frozenset({"Pharmacokinetics"})))
+    parts = rows_of(XML, one_pass.Notes(10, frozenset({"Pharmacokinetics"})))
     assert parts[0]["heading_path"].endswith("> part 1") and parts[1]["block_xml"] is None
 
 
 def test_legacy_texts():
-    row = sections.legacy_rows(XML)[0]
+    row = rows_of(XML, one_pass.Legacy())[0]
     assert row == {"pregnancy_text": "投与しないこと。\n\ndo not use", "pregnancy_id": "p1", "lactation_text": None, "lactation_id": None}
-    assert set(sections.legacy_rows("<bad")[0].values()) == {None}
+    assert set(rows_of("<r/>", one_pass.Legacy())[0].values()) == {None}
 
 
 def test_units_and_interactions():
     inner = xml_tree.parse("<s><a><OrderedList><Item>x</Item></OrderedList></a><b>y</b><c/><UnorderedList>z</UnorderedList></s>")
     assert [xml_tree.local(n.tag) for n in xml_tree.units(inner, sections.LISTS, sections.LEAVES)] == ["Item", "b", "UnorderedList"]
     drug = "<r><P><Drug><DrugName><Detail><Lang xml:lang='ja'>類</Lang></Detail><SimpleList><Item>甲</Item><Item>乙</Item><Item>甲</Item></SimpleList></DrugName></Drug><Drug><DrugName><Detail>乙類</Detail></DrugName></Drug><Drug/></P></r>"
-    assert [(r["partner_group"], r["partner_name"], r["category"]) for r in xml_tree.interaction_rows(drug, {"P": "precaution"})] == [("類", "甲", "precaution"), ("類", "乙", "precaution"), ("乙類", None, "precaution")]
+    assert [(r["partner_group"], r["partner_name"], r["category"]) for r in rows_of(drug, one_pass.Interactions({"P": "precaution"}))] == [("類", "甲", "precaution"), ("類", "乙", "precaution"), ("乙類", None, "precaution")]
     assert xml_tree.as_json(xml_tree.parse("<a k='1'> t <b/>tail</a>")) == {"tag": "a", "attr": {"k": "1"}, "text": "t", "children": [{"tag": "b", "attr": {}, "text": None, "children": []}, {"tag": "__tail__", "text": "tail"}]}
 
 
@@ -181,7 +185,8 @@ def test_from_xml_to_notes_and_again(spark, tmp_path):
     def ingest(docs: dict[str, str], state, history, ts):
         df = spark.createDataFrame(list(docs.items()), "doc string, xml string").withColumn("raw_hash", F.sha2("xml", 256))
         work, rest = incremental.to_parse(df, state, "doc", version)
-        good, bad = xml_tree.rows_from(work, "doc", "xml", sections.note_rows, sections.NOTE_SCHEMA)
+        kinds, bad = one_pass.document_rows(work, "doc", "xml", {"notes": one_pass.Notes}, f"{tmp_path}/{ts}-parsed")
+        good = kinds["notes"]
         good = good.withColumn("block_uid", F.sha2(F.concat_ws("|", "doc", "block_order", "block_text"), 256))
         ok = work.join(bad.select("doc"), "doc", "left_anti")
         found = incremental.manifests(ok, good, ["doc"])
@@ -248,7 +253,7 @@ def test_archives_and_bytes(spark, tmp_path):
         z.writestr("a.XML", b"<a>\xff</a>")
         z.writestr("note.txt", b"no")
     (tmp_path / "bad.zip").write_bytes(b"no archive")
-    rows = {r.path.rsplit("/", 1)[-1]: (r.text, r.error) for r in files.decoded(files.read_archives(spark, str(tmp_path))).collect()}
+    rows = {r.path.rsplit("/", 1)[-1]: (r.text, r.error) for r in files.decoded(archives.read_archives(spark, str(tmp_path))).collect()}
     assert rows["one.Zip!b.xml"] == ("<b/>", None) and rows["one.Zip!a.XML"] == (None, "not UTF-8")
     assert rows["bad.zip"][0] is None and rows["bad.zip"][1] and len(rows) == 3
 

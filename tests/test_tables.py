@@ -50,11 +50,3 @@ def test_validators():
     facts, errors = validation.notes({"facts": [fact, fact | {"note_text": "8% too"}]}, definition, "a 8%")
     assert len(facts) == 2 and len(errors) == 1
     assert validation.statement({"classification_code": "AVOID", "assessment_text": "x", "evidence_text": "Take it"}, "Take it.", {"AVOID": "avoid"})[0][0]["classification_code"] == "UNCLASSIFIABLE"
-
-
-def test_xml(spark):
-    assert [b["text"] for b in xml_tree.block_rows(XML)][-2:] == ["first item。", "second item。"]
-    df = spark.createDataFrame([(1, XML), (2, "<bad"), (3, "<r/>")], "id int, x string")
-    good, bad = xml_tree.rows_from(df, "id", "x", xml_tree.brand_rows, xml_tree.BRAND_SCHEMA)
-    assert sorted((r.id, r.code) for r in good.collect()) == [(1, "1"), (3, "")]
-    assert [r.id for r in bad.collect()] == [2]
