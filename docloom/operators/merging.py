@@ -31,15 +31,25 @@ def latest(new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     return best.select(*(F.col(c) if c in keys else F.col(f"__best.{c}") for c in new.columns))
 
 
+def unique(new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """new, or an error in place of the rows of a key that it has more than once."""
+    rest = [c for c in new.columns if c not in keys]
+    if not rest:
+        return new.distinct()
+    one = new.groupBy(*keys).agg(F.count("*").alias("__n"), F.any_value(F.struct(*rest)).alias("__row"))
+    checked = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit("a key of new rows is repeated: "), F.to_json(F.struct(*keys))))).otherwise(F.col("__row"))
+    return one.select(*keys, checked.alias("__row")).select(*(F.col(c) if c in keys else F.col(f"__row.{c}") for c in new.columns))
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], combine: dict[str, Callable[[Column, Column], Column]] | None = None, order: Sequence[str] | None = None) -> DataFrame:
     """Rows of both; a key on both sides takes the new values, or combine[column](old, new).
 
-    Keys must be unique in new, unless order is given: then the last row of each key by
-    these columns of new counts (see latest). order may name columns that old lacks.
+    Keys must be unique in new, a repeated one is an error when the rows are made; unless
+    order is given: then the last row of each key by these columns of new counts (see
+    latest). order may name columns that old lacks.
     """
     combine = combine or {}
-    if order:
-        new = latest(new, keys, order).select(*old.columns)
+    new = latest(new, keys, order).select(*old.columns) if order else unique(new, keys)
 
     def value(c: str) -> Column:
         both = combine[c](F.col(f"old.{c}"), F.col(f"new.{c}")) if c in combine else F.col(f"new.{c}")
