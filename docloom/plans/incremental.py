@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions import semi
 from docloom.functions.hashing import manifest
 from docloom.operators.merging import scd2_merge, upsert
 
@@ -72,9 +73,11 @@ def next_state(state: DataFrame, key: str, version: str, run_ts: Column, *, pars
 def rebuilt_facts(blocks: DataFrame, runs: DataFrame, schema: str, model: str | None = None) -> DataFrame:
     """Facts of stored answers for every block that shares their hash, without any call: one row a block and fact.
 
-    runs has analysis_hash, model, status and facts (a JSON array); only successes count.
+    runs has analysis_hash, model, status and facts (a JSON array, as VARIANT or as text);
+    only successes count, and facts that aren't an array are none.
     """
     good = runs.filter("status = 'success'")
     good = good if model is None else good.filter(F.col("model") == model)
-    facts = good.select("analysis_hash", "model", F.posexplode(F.from_json("facts", f"array<{schema}>")).alias("fact_no", "fact"))
+    items = good.select("analysis_hash", "model", F.posexplode(semi.entries(semi.as_variant(good, "facts"))).alias("fact_no", "__v"))
+    facts = items.select("analysis_hash", "model", "fact_no", semi.record(F.col("__v"), schema).alias("fact"))
     return blocks.join(facts, "analysis_hash").select(*blocks.columns, "model", "fact_no", "fact.*")

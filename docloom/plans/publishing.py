@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docloom._ship import ensure_importable
+from docloom.functions import semi
 from docloom.operators.ranking import chosen_then_join, preference_rank, quality_dedup
 
 
@@ -52,7 +53,7 @@ def review_cases(runs: DataFrame, models: Sequence[str], human: str = "human-rev
 
 def proposed_facts(cases: DataFrame, runs: DataFrame, schema: str) -> DataFrame:
     """The facts of the run shown for each review case, numbered, not included yet; one blank row for a case without any."""
-    facts = runs.select("analysis_hash", "model", F.from_json("facts", f"array<{schema}>").alias("__f"))
+    facts = runs.select("analysis_hash", "model", F.transform(semi.entries(semi.as_variant(runs, "facts")), lambda v: semi.record(v, schema)).alias("__f"))
     rows = cases.select("analysis_hash", "model").join(facts, ["analysis_hash", "model"], "left").select("analysis_hash", F.posexplode_outer("__f").alias("__i", "__fact"))
     return rows.select("analysis_hash", (F.coalesce("__i", F.lit(0)) + 1).alias("fact_no"), "__fact.*", F.lit("FALSE").alias("include"))
 
@@ -64,8 +65,9 @@ def review_import(decisions: DataFrame, facts: DataFrame, current: DataFrame, ru
     analysis_hash, include and fact (JSON). current: the case as it stands now:
     analysis_hash and context (JSON, what validate needs). runs: analysis_hash, run_id and
     model of stored runs. Undecided cases are left out. Runs are those of the model human,
-    with status success, the included and valid facts as JSON, reviewer, comment and
-    decision; they may be written only if there is no error at all.
+    with status success, 0 attempts (an upsert sets the stored count back to it), the
+    included and valid facts as JSON, reviewer, comment and decision; they may be written
+    only if there is no error at all.
     """
     ensure_importable(decisions.sparkSession)
     text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
@@ -94,10 +96,10 @@ def review_import(decisions: DataFrame, facts: DataFrame, current: DataFrame, ru
                         valid, errors = validate([json.loads(x) for x in row["chosen"]], json.loads(row["context"]))
                     except ValueError as e:
                         errors = [f"a fact isn't JSON: {e}"]
-                out.append((row["analysis_hash"], human, "success", json.dumps(valid, ensure_ascii=False), row["decision"], row["reviewer"], row["comment"], errors))
-            yield pd.DataFrame(out, columns=["analysis_hash", "model", "status", "facts", "decision", "reviewer", "comment", "errors"])
+                out.append((row["analysis_hash"], human, "success", 0, json.dumps(valid, ensure_ascii=False), row["decision"], row["reviewer"], row["comment"], errors))
+            yield pd.DataFrame(out, columns=["analysis_hash", "model", "status", "attempts", "facts", "decision", "reviewer", "comment", "errors"])
 
-    judged = cases.select("analysis_hash", "decision", "reviewer", "comment", "chosen", "context", "errors").mapInPandas(run, "analysis_hash string, model string, status string, facts string, decision string, reviewer string, comment string, errors array<string>")
+    judged = cases.select("analysis_hash", "decision", "reviewer", "comment", "chosen", "context", "errors").mapInPandas(run, "analysis_hash string, model string, status string, attempts int, facts string, decision string, reviewer string, comment string, errors array<string>")
     return judged.select("analysis_hash", F.explode("errors").alias("error")), judged.drop("errors")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from docloom._folders import new_folder
 from docloom._ship import ensure_importable
-from docloom.functions import hashing, rules, targets, text
+from docloom.functions import hashing, rules, semi, targets, text
 from docloom.operators import delta_table, filters, merging, ranking
 from docloom.plans import incremental, legacy_scores, model_calls, publishing, serving, statements
 from docloom.plans.model_calls import from_other_model, wanted
@@ -828,3 +828,17 @@ def delta_history(t):
         scope = some.select("doc").distinct()
         table.change(scope, lambda old, new=new, scope=scope, run=run: incremental.replace_blocks(old, new, scope, "doc", ["doc", "uid"], "value", F.lit(run)))
     return table.read()
+
+
+@query("""with c as (select click_id, case when click_id % 2 = 0 then props else to_json(props)::varchar end as raw from clicks where click_id is not null),
+p as (select click_id, case when json_valid(raw) and json_type(raw::json) = 'VARCHAR' then json_extract_string(raw::json, '$') else raw end as body from c),
+j as (select click_id, case when json_valid(body) and json_type(body::json) = 'OBJECT' then body::json end as v from p)
+select click_id, case when json_type(v, '$.k') in ('UBIGINT', 'BIGINT') then cast(json_extract(v, '$.k') as bigint) when json_type(v, '$.k') = 'VARCHAR' then try_cast(json_extract_string(v, '$.k') as bigint) end as k, json_extract_string(v, '$.device.os') as os,
+case when json_type(v, '$.tags') = 'ARRAY' then json_array_length(v, '$.tags') end as n_tags, case when json_type(v, '$.items') = 'ARRAY' then cast(json_extract(v, '$.items[0].sku') as bigint) end as first_sku from j""")
+def nested_json(t):
+    """Fields of clicks' JSON, half of which is a JSON string within JSON; broken texts give nulls."""
+    c = t("clicks").filter("click_id is not null")
+    raw = F.when(F.col("click_id") % 2 == 0, F.col("props")).otherwise(F.regexp_extract(F.to_json(F.struct("props")), '^[{]"props":(.*)[}]$', 1))
+    v = c.select("click_id", semi.nested(raw).alias("v")).withColumn("v", F.when(F.schema_of_variant("v").startswith("OBJECT"), F.col("v")))
+    items = semi.entries(semi.field(F.col("v"), "$.items", "variant"))
+    return v.select("click_id", semi.field(F.col("v"), "$.k", "bigint").alias("k"), semi.field(F.col("v"), "$.device.os", "string").alias("os"), F.size(semi.entries(semi.field(F.col("v"), "$.tags", "variant"))).cast("bigint").alias("n_tags"), semi.field(F.get(items, F.lit(0)), "$.sku", "bigint").alias("first_sku"))

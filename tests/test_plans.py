@@ -174,7 +174,7 @@ def test_review_import(spark):
     errors, out = publishing.review_import(decisions, facts, current, runs, judge)
     assert sorted(map(tuple, errors.collect())) == [("b", "EXCLUDE without a comment"), ("d", "APPROVE without a fact"), ("d", "no reviewer"), ("e", "the source run isn't stored")]
     good = [r for r in out.collect() if r.analysis_hash == "a"][0]
-    assert (good.model, good.status, len(json.loads(good.facts))) == ("human-review", "success", 1)
+    assert (good.model, good.status, good.attempts, len(json.loads(good.facts))) == ("human-review", "success", 0, 1)
 
 
 def test_from_xml_to_notes_and_again(spark, tmp_path):
