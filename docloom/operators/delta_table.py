@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructType
 
+from docloom.operators.merging import latest, upsert
+
 LEASE_SECONDS, MOST_DELTAS = 3600, 4
 _VERSION, _GONE, _BUCKET = "__version", "__gone", "__bucket"
 
@@ -49,7 +51,7 @@ class DeltaTable:
         bucket_by = list(bucket_by or keys)
         if not set(bucket_by) <= set(keys):
             raise ValueError("bucket_by must be columns of the key")
-        state = {"number": 1, "keys": list(keys), "bucket_by": bucket_by, "buckets": buckets, "schema": rows.schema.json(), "files": {}}
+        state = {"number": 1, "keys": list(keys), "bucket_by": bucket_by, "buckets": buckets, "schema": rows.schema.json(), "files": {}, "delta": None, "tags": {}}
         folder = table._write(rows.withColumn(_GONE, F.lit(False)), state)
         table._publish(state | {"files": {str(b): [folder] for b in table._written(folder)}})
         return table
@@ -142,15 +144,23 @@ class DeltaTable:
 
     # --- changes ------------------------------------------------------------------------------------------------------
 
-    def change(self, scope: DataFrame, f: Callable[[DataFrame], DataFrame]) -> int:
+    def tag(self, name: str) -> int | None:
+        """The number that the last commit tagged with a name had; none without one."""
+        return self._state()["tags"].get(name)
+
+    def change(self, scope: DataFrame, f: Callable[[DataFrame], DataFrame], tag: tuple[str, int] | None = None) -> int:
         """Replace the rows of a scope by f(those rows); the number of rows written, marks of removal included.
 
         scope has the columns of bucket_by. f gets every row whose values of these are in
         scope, and gives the rows that shall stand there; what it leaves as it was isn't
-        written. f may give rows of such scopes only.
+        written. f may give rows of such scopes only. tag: a name and a number that is
+        recorded with the commit; a change whose number isn't above the name's last is one
+        that was made before, and does nothing.
         """
         with self.lock():
             state = self._state()
+            if tag and state["tags"].get(tag[0], -1) >= tag[1]:
+                return 0
             keys, by = state["keys"], state["bucket_by"]
             scope = scope.select(*by).distinct()
             touched = [r[0] for r in scope.select(self._bucket(state)).distinct().collect()]
@@ -161,11 +171,13 @@ class DeltaTable:
             gone = F.col("n").isNull()
             differ = sides.filter(gone | ~F.col("o").eqNullSafe(F.col("n")))
             delta = differ.select(*(F.col(c) if c in keys else F.when(gone, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")).alias(c) for c in columns), gone.alias(_GONE))
-            after = state | {"number": state["number"] + 1}
+            after = state | {"number": state["number"] + 1, "tags": state["tags"] | (dict([tag]) if tag else {})}
             folder = self._write(delta, after)
             written = self._written(folder)
             if not written:
                 self._files.delete(self._at(folder), True)
+                if tag:
+                    self._publish(after | {"delta": None})
                 return 0
             if not set(written) <= set(touched):
                 self._files.delete(self._at(folder), True)
@@ -174,18 +186,23 @@ class DeltaTable:
             files = dict(state["files"])
             for b in written:
                 files[str(b)] = [*files.get(str(b), []), folder]
-            self._publish(after | {"files": files})
+            self._publish(after | {"files": files, "delta": folder})
             full = [int(b) for b, own in files.items() if len(own) > MOST_DELTAS + 1]
             if full:
                 self._compact(full)
             return n
 
-    def upsert(self, new: DataFrame, combine: dict | None = None, order: Sequence[str] | None = None) -> int:
-        from docloom.operators.merging import upsert
+    def upsert(self, new: DataFrame, combine: dict | None = None, order: Sequence[str] | None = None, tag: tuple[str, int] | None = None) -> int:
+        """merging.upsert() with the rows of new's keys."""
+        keys = self._state()["keys"]
+        touched = new.select(*keys).distinct()
+        return self.change(new, lambda old: self._beside(old, touched, keys, lambda own: upsert(own, new, keys, combine, order)), tag)
 
+    def upsert_last(self, new: DataFrame, order: Sequence[str], tag: tuple[str, int] | None = None) -> int:
+        """Of the old row and the new ones of a key, the last by order stays (see merging.latest()), in whatever order they come."""
         keys = self._state()["keys"]
         touched = new.select(*keys).distinct()
-        return self.change(new, lambda old: self._beside(old, touched, keys, lambda own: upsert(own, new, keys, combine, order)))
+        return self.change(new, lambda old: self._beside(old, touched, keys, lambda own: latest(own.unionByName(new.select(*own.columns)), keys, order)), tag)
 
     def delete(self, scope: DataFrame) -> int:
         """Remove the rows with these keys."""
@@ -198,6 +215,18 @@ class DeltaTable:
         changed = f(old.join(touched, list(keys), "left_semi"))
         return old.join(touched, list(keys), "left_anti").unionByName(changed.select(*old.columns))
 
+    def changes(self, since: int, until: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """(rows as they were, rows as they are) of the keys that commits after a version wrote, up to another.
+
+        Reads the deltas of these commits, and of the two versions the buckets they touched.
+        """
+        end = self._state(until)
+        start = self._state(since)
+        deltas = [(s["delta"], b) for v in range(since + 1, end["number"] + 1) if (s := self._state(v))["delta"] for b in self._written(s["delta"])]
+        keys = self._load(end, deltas).select(*end["keys"]).distinct()
+        touched = sorted({b for _, b in deltas})
+        return tuple(self._rows(s, touched).join(keys, end["keys"], "left_semi") for s in (start, end))
+
     # --- upkeep -------------------------------------------------------------------------------------------------------
 
     def _compact(self, buckets: Sequence[int]) -> None:
@@ -206,7 +235,7 @@ class DeltaTable:
         folder = self._write(self._rows(state, buckets).withColumn(_GONE, F.lit(False)), after)
         written = set(self._written(folder))
         files = {b: own for b, own in state["files"].items() if int(b) not in set(buckets)}
-        self._publish(after | {"files": files | {str(b): [folder] for b in written}})
+        self._publish(after | {"files": files | {str(b): [folder] for b in written}, "delta": None})
 
     def compact(self, most_deltas: int = 0) -> int:
         """Make one file set of each bucket with more deltas than most_deltas; the number of such buckets."""

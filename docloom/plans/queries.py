@@ -16,10 +16,11 @@ from pyspark.sql.window import Window
 from docloom._folders import new_folder
 from docloom._ship import ensure_importable
 from docloom.functions import hashing, rules, semi, targets, text
-from docloom.operators import delta_table, filters, merging, ranking
+from docloom.operators import delta_table, filters, kept_counts, merging, ranking
 from docloom.plans import incremental, legacy_scores, model_calls, publishing, serving, statements
 from docloom.plans.model_calls import from_other_model, wanted
 from docloom.sources import archives, files, one_pass, xml_tree
+from docloom.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -842,3 +843,32 @@ def nested_json(t):
     v = c.select("click_id", semi.nested(raw).alias("v")).withColumn("v", F.when(F.schema_of_variant("v").startswith("OBJECT"), F.col("v")))
     items = semi.entries(semi.field(F.col("v"), "$.items", "variant"))
     return v.select("click_id", semi.field(F.col("v"), "$.k", "bigint").alias("k"), semi.field(F.col("v"), "$.device.os", "string").alias("os"), F.size(semi.entries(semi.field(F.col("v"), "$.tags", "variant"))).cast("bigint").alias("n_tags"), semi.field(F.get(items, F.lit(0)), "$.sku", "bigint").alias("first_sku"))
+
+
+@query()
+def streamed_sales(t):
+    """The last row by arrival of each sale, upserted by micro-batches of a stream over the table's files.
+
+    The table and the stream's checkpoint stay under spark.checkpoint.dir.
+    """
+    sales = t("sales")
+    spark, folder = sales.sparkSession, new_folder(sales.sparkSession, "streamed")
+    table = delta_table.DeltaTable.create(sales.limit(0), f"{folder}/table", ["sale_id"], buckets=16)
+    for at, name in {f.rpartition("/")[::2] if not f.rsplit("/", 2)[-2].endswith(".parquet") else (f.rpartition("/")[0], "*.parquet") for f in sales.inputFiles()}:
+        rows = spark.readStream.schema(sales.schema).option("maxFilesPerTrigger", 4).option("pathGlobFilter", name).parquet(at).filter("sale_id is not null")
+        ingest.into_table(rows, table, f"{at}/{name}", f"{folder}/checkpoint", order=["arrived_at", "sold_at"]).awaitTermination()
+    return table.read()
+
+
+@query()
+def kept_client_counts(t):
+    """Rows and segments of clients by nation, kept up to date by commits of new balances and of a segment that leaves."""
+    clients = t("clients").filter("client_id is not null").groupBy("client_id").agg(F.max(F.struct("updated_at", "nation_id", "segment", "balance")).alias("c")).select("client_id", "c.nation_id", "c.segment", "c.balance")
+    folder = new_folder(clients.sparkSession, "counts")
+    table = delta_table.DeltaTable.create(clients, f"{folder}/table", ["client_id"], buckets=16)
+    counts = kept_counts.KeptCounts(table, f"{folder}/counts", ["nation_id"], ["segment"], "balance is null or balance >= 0")
+    table.upsert(clients.filter("client_id % 10 = 3").withColumn("balance", -F.col("balance")))
+    counts.refresh()
+    table.delete(clients.filter("client_id % 10 = 4").select("client_id"))
+    counts.refresh()
+    return counts.read()
