@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.patterns import linear
 from docloom.functions.terms import present_terms
 
 
@@ -20,21 +21,24 @@ class Rule:
 
 
 def classify(text: Column, rules: Sequence[Rule], default: dict[str, object], exclude: str | None = None) -> Column:
-    """A struct of the fields of the first rule that text matches. Excluded and blank texts get the default."""
+    """A struct of the fields of the first rule that text matches. Excluded and blank texts get the default.
+
+    Patterns with gaps are tried in one pass over the text (see patterns.linear()).
+    """
     out = None
     fields = list(default)
     as_struct = lambda v: F.struct(*(F.lit(v.get(f, default[f])).alias(f) for f in fields))
     if exclude:
-        out = F.when(text.rlike(exclude), as_struct(default))
+        out = F.when(text.rlike(linear(exclude)), as_struct(default))
     for rule in rules:
-        hit = text.rlike(rule.pattern)
+        hit = text.rlike(linear(rule.pattern))
         out = F.when(hit, as_struct(rule.values)) if out is None else out.when(hit, as_struct(rule.values))
     return as_struct(default) if out is None else out.otherwise(as_struct(default))
 
 
 def flags(text: Column, patterns: dict[str, str]) -> Column:
     """A map of which patterns match; empty for a blank text."""
-    known = F.create_map(*(x for name, p in patterns.items() for x in (F.lit(name), text.rlike(p))))
+    known = F.create_map(*(x for name, p in patterns.items() for x in (F.lit(name), text.rlike(linear(p)))))
     return F.when(F.coalesce(F.trim(text), F.lit("")) == "", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<boolean>"))).otherwise(known)
 
 
