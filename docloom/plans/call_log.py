@@ -18,6 +18,7 @@ from urllib.error import HTTPError
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+from docloom.functions.progress import eta
 from docloom.sources.archives import opened
 
 ANSWER_SCHEMA = "analysis_hash string, model string, prompt_sha256 string, response string, answered_at double"
@@ -70,6 +71,13 @@ class AnswerLog:
             return spark.createDataFrame([], ANSWER_SCHEMA)
         return spark.read.schema(ANSWER_SCHEMA).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(self.folder)
 
+    def progress(self, total: int, seconds: float) -> str:
+        """How many answers of about total there are after so many seconds, and what is left at that speed; for the driver's log while the job runs."""
+        files, root = opened(self.folder)
+        found = files.get_file_info(pafs.FileSelector(root, allow_not_found=True, recursive=True))
+        done = sum(x.base_name.endswith(".json") for x in found)
+        return f"{done} of {total}, {eta(done, total, seconds)} left"
+
     def client(self, client: Callable[[str], str], analysis_hash: str, model: str) -> Callable[[str], str]:
         """client for one case, behind the log."""
 

@@ -42,8 +42,8 @@ def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv_quoted(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    """One CSV file with all values quoted; refuses to replace one unless told to."""
-    df.coalesce(1).write.mode("overwrite" if overwrite else "errorifexists").csv(path, header=True, quoteAll=True, escape='"')
+    """CSV with all values quoted, a file a task, each with the header, which read_csv_strings() takes together; refuses to replace what is there unless told to."""
+    df.write.mode("overwrite" if overwrite else "errorifexists").csv(path, header=True, quoteAll=True, escape='"')
 
 
 def load_config(path: str, **overrides: Any) -> dict[str, Any]:

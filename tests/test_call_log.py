@@ -68,10 +68,11 @@ def test_errors_leave_no_answer(spark, tmp_path):
         raise OSError("down")
 
     log = call_log.AnswerLog(f"{tmp_path}/log")
-    assert log.answers(spark).count() == 0
+    assert log.answers(spark).count() == 0 and log.progress(4, 9) == "0 of 4, ? left"
     assert [r.status for r in model_calls.run_cases(cases(spark, 1), lambda: refuses, "m", accept, log=log).collect()] == ["error"]
     assert log.find("h0", "m", "case 0.") is None and log.answers(spark).count() == 0
     log.add("h0", "m", "p", "r\n語")
+    assert log.progress(4, 9) == "1 of 4, 27s left"
     assert log.find("h0", "m", "p") == "r\n語" and log.find("h0", "n", "p") is None and log.answers(spark).first().response == "r\n語"
 
 
