@@ -718,12 +718,20 @@ def _as_xml(documents: DataFrame) -> DataFrame:
     parts = [
         F.lit("<PackIns><PackageInsertNo>"), number, F.lit("</PackageInsertNo><ApprovalEtc><DetailBrandName><BrandCode><YJCode>"), source,
         F.lit("</YJCode></BrandCode></DetailBrandName></ApprovalEtc><Warnings><SimpleList>"), items, F.lit("</SimpleList></Warnings><UseInSpecificPopulations><"), tag, F.lit("><Header>"), source, F.lit("</Header><Detail>"), text_,
-        F.lit("</Detail></"), tag, F.lit("></UseInSpecificPopulations></PackIns>"),
+        F.lit("</Detail></"), tag, F.lit("></UseInSpecificPopulations><Interactions><PrecautionsForCombinations><Drug><DrugName><Detail>"), source, F.lit("</Detail><SimpleList>"), items,
+        F.lit("</SimpleList></DrugName></Drug></PrecautionsForCombinations></Interactions><Pharmacokinetics><BloodLevel><Detail>"), text_, F.lit("</Detail></BloodLevel><Odd>"), source, F.lit("</Odd></Pharmacokinetics></PackIns>"),
     ]
     return documents.select("doc_id", F.concat(*parts).alias("xml"))
 
 
-_KINDS = {"brands": one_pass.Brands, "populations": one_pass.Populations, "notes": lambda: one_pass.Notes(1 << 30, frozenset({"Warnings"}))}
+_KINDS = {
+    "brands": one_pass.Brands,
+    "populations": one_pass.Populations,
+    "notes": lambda: one_pass.Notes(1 << 30, frozenset({"Warnings"})),
+    "interactions": lambda: one_pass.Interactions({"ContraIndicatedCombinations": "never", "PrecautionsForCombinations": "with care"}),
+    "chunks": lambda: one_pass.Chunks(1200, 100),
+    "legacy": one_pass.Legacy,
+}
 
 
 def _parsed(t) -> dict[str, DataFrame]:
@@ -746,6 +754,38 @@ def note_blocks(t):
     return _parsed(t)["notes"].select("doc_id", F.col("block_order").cast("bigint").alias("block_order"), "block_type", "heading_path", "block_text")
 
 
+@query(r"""select doc_id, cast(doc_id as varchar) as package_insert_no, source as yj_code, '{"tag": "ApprovalEtc", "children": [{"tag": "DetailBrandName", "children": [{"tag": "BrandCode", "children": [{"tag": "YJCode", "text": "' || source || '"}]}]}]}' as approval_etc_json, cast(null as varchar) as generic_name_ja from documents""")
+def raw_rows(t):
+    """The raw row of each brand of the documents wrapped as XML."""
+    return _parsed(t)["brands"].select("doc_id", "package_insert_no", "yj_code", "approval_etc_json", "generic_name_ja")
+
+
+@query(rf"select doc_id, cast(row_number() over (partition by doc_id order by n) - 1 as integer) as position, 'with care' as category, source as partner_group, s as partner_name from (select doc_id, source, s, min(n) as n from (select doc_id, source, trim(line, ' ' || chr(10)) as s, n from (select doc_id, source, unnest(lines) as line, generate_subscripts(lines, 1) as n from (select doc_id, source, string_split_regex(text, '\n+') as lines from documents))) where s <> '' group by all)")
+def interaction_partners(t):
+    """Each document's lines as partners of its source, each once, in order."""
+    return _parsed(t)["interactions"].select("doc_id", "position", "category", "partner_group", "partner_name")
+
+
+@query(f"""with recursive chars as (select doc_id, string_split({_TIDY.format('text')}, '') as c from documents),
+places as (select doc_id, c, len(c) as n, list_filter(range(1, len(c) + 1), lambda i: c[i] in ('。', chr(10), '；', ';', ' ', '、')) as cuts, list_filter(range(len(c)), lambda i: c[i + 1] not in (' ', chr(10))) as ink from chars),
+walk(doc_id, step, a, b) as (
+  select doc_id, 0, 0, case when 1200 >= n then n else coalesce(list_max(list_filter(cuts, lambda x: x > 800 and x <= 1200)), 1200) end from places
+  union all
+  select doc_id, step + 1, s, case when s + 1200 >= n then n else coalesce(list_max(list_filter(cuts, lambda x: x > s + 800 and x <= s + 1200)), s + 1200) end
+  from (select w.doc_id, w.step, p.n, p.cuts, coalesce(list_min(list_filter(p.ink, lambda i: i >= greatest(w.a + 1, w.b - 100) and i < w.b)), w.b) as s from walk w join places p on p.doc_id = w.doc_id where w.b < p.n)),
+pieces as (select doc_id, '16.1' as section_code, true as known, step, a, b, trim(array_to_string(c[a + 1:b], ''), ' ' || chr(10)) as body from walk join places using (doc_id) union all select doc_id, '16.?', false, 0, 0, length(source), source from documents)
+select doc_id, section_code, known, cast(row_number() over (partition by doc_id, section_code order by step) as integer) as chunk_no, cast(a as integer) as char_start, cast(b as integer) as char_end, sha256(body) as digest from pieces where body <> ''""")
+def chapter_chunks(t):
+    """Overlapping chunks of a known and an unknown section of a chapter."""
+    return _parsed(t)["chunks"].select("doc_id", "section_code", "known", "chunk_no", "char_start", "char_end", F.sha2("block_text", 256).alias("digest"))
+
+
+@query(r"select doc_id, case when doc_id % 2 = 0 then body end as pregnancy_text, case when doc_id % 2 <> 0 then body end as lactation_text from (select doc_id, trim(regexp_replace(regexp_replace(source || text, '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) as body from documents)")
+def legacy_texts(t):
+    """The older texts of both populations."""
+    return _parsed(t)["legacy"].select("doc_id", "pregnancy_text", "lactation_text")
+
+
 #: Documents of one archive, some of them; a member's packed bytes are read by their place.
 _ARCHIVE_ROWS = 500
 
