@@ -15,8 +15,8 @@ TITLES = {
 }
 _TITLE = "|".join(sorted((t[0].upper() + t[1:] for t in TITLES), key=lambda t: (-len(t), t)))
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-#: Kinds of entities in the order in which they are tried. Every repetition is bounded: the matcher's stack grows
-#: with the repetitions of a group, and a domain name has at most 127 labels.
+#: Kinds of entities in the order in which they are tried. Repetitions of groups are bounded: the matcher's stack grows
+#: with them, and a domain name has at most 127 labels. A name is taken whole, however long.
 PATTERNS = {
     "email": r"[A-Za-z0-9_%+-](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,126}[A-Za-z]{2,24}",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
@@ -24,7 +24,7 @@ PATTERNS = {
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|(?=[0-9a-f]{0,31}[0-9])[0-9a-f]{32,64})(?![A-Za-z0-9])",
-    "person": rf"(?<![\p{{L}}])(?:{_TITLE})\.?[ ]\p{{Lu}}[\p{{L}}'’-]{{1,40}}(?:[ ]\p{{Lu}}[\p{{L}}'’-]{{1,40}}){{0,2}}",
+    "person": rf"(?<![\p{{L}}])(?:{_TITLE})\.?[ ]\p{{Lu}}[\p{{L}}'’-]++(?:[ ]\p{{Lu}}[\p{{L}}'’-]++){{0,2}}",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these has no entity; it isn't searched further. Every match of every pattern holds one of

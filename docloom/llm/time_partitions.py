@@ -34,7 +34,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +41,7 @@ from pyspark.sql import functions as F
 from docloom._ship import ensure_importable
 from docloom.llm.memory import trim
 from docloom.llm.workspace import Workspace
+from docloom.sources.archives import opened
 
 #: Most slices that one task merges; rows and bytes of a row group of a run, and of a file; input rows of a task that writes several files.
 FAN, GROUP_ROWS, GROUP_BYTES, FILE_GROUP_ROWS, FILE_GROUP_BYTES, TASK_ROWS = 64, 4096, 1 << 20, 1 << 16, 32 << 20, 200_000
@@ -171,10 +171,6 @@ def _in_leaves(moment: Column, leaves: list[Leaf]) -> Column:
 # --- runs -------------------------------------------------------------------------------------------------------------
 
 
-def _at(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
 def _keys(rows: pa.RecordBatch | pa.Table, order: Sequence[str]) -> np.ndarray:
     """Of each row, bytes that compare as moment, order columns and hash do; nulls first."""
     parts = []
@@ -192,7 +188,7 @@ class _Writer:
     """One Parquet file; a row group ends where its caller says, or at rows or bytes."""
 
     def __init__(self, uri: str, schema: pa.Schema, rows: int, size: int) -> None:
-        files, path = _at(uri)
+        files, path = opened(uri)
         self.writer = pq.ParquetWriter(path, schema, filesystem=files, compression="zstd")
         self.limits, self.schema = (rows, size), schema
         self.held: list[pa.Table] = []
@@ -351,7 +347,7 @@ def _opened(slices: list[dict], order: Sequence[str]) -> list[Slice]:
     files: dict[str, pq.ParquetFile] = {}
     for s in slices:
         if s["run"] not in files:
-            system, path = _at(s["run"])
+            system, path = opened(s["run"])
             files[s["run"]] = pq.ParquetFile(path, filesystem=system)
     return [Slice(files[s["run"]], s["first_group"], s["n_groups"], order) for s in slices]
 

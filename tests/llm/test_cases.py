@@ -356,3 +356,10 @@ def test_empty_tables(spark, tmp_path):
     assert token_counts.count_tokens(none, tokenizer_path=P.path("byte_bpe_50k.json"), cache_path=str(tmp_path / "c"), id_col="id").count() == 0
     assert pii.replace_entities(none, key="k", id_col="id").count() == 0
     assert fingerprints.fingerprint_documents(none, id_col="id").count() == 0
+
+
+def test_long_names_are_replaced_whole(spark):
+    long = "A" + "bcdefghij" * 12
+    rows = [(1, f"Mr {long} and Mrs Jane {long}'s dog"), (2, "Mr " + "Z" + "y" * 50_000 + ".")]
+    for r in pii.replace_entities(docs_of(spark, rows).select("id", "text"), key="k", id_col="id").collect():
+        assert "bcdefghij" not in r.text and "yyyy" not in r.text, r.text[:300]
