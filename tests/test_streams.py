@@ -53,7 +53,7 @@ def test_counts_follow_the_table(spark, tmp_path):
         assert sorted(map(tuple, counts.read().collect())) == sorted(map(tuple, want.collect()))
 
     check()
-    for run in range(4):
+    for run in range(2):
         table.upsert(spark.createDataFrame([row(k) for k in r.sample(range(90), 9)], schema))
         table.delete(spark.createDataFrame([(k,) for k in r.sample(range(90), 4)], "k int"))
         if run % 2:
