@@ -74,10 +74,12 @@ def rebuilt_facts(blocks: DataFrame, runs: DataFrame, schema: str, model: str |
     """Facts of stored answers for every block that shares their hash, without any call: one row a block and fact.
 
     runs has analysis_hash, model, status and facts (a JSON array, as VARIANT or as text);
-    only successes count, and facts that aren't an array are none.
+    only successes count, and facts that aren't an array are none. How many facts the
+    arrays hold isn't known to a plan, so that it would broadcast them at any size: the
+    join is asked to sort both sides.
     """
     good = runs.filter("status = 'success'")
     good = good if model is None else good.filter(F.col("model") == model)
     items = good.select("analysis_hash", "model", F.posexplode(semi.entries(semi.as_variant(good, "facts"))).alias("fact_no", "__v"))
     facts = items.select("analysis_hash", "model", "fact_no", semi.record(F.col("__v"), schema).alias("fact"))
-    return blocks.join(facts, "analysis_hash").select(*blocks.columns, "model", "fact_no", "fact.*")
+    return blocks.join(facts.hint("merge"), "analysis_hash").select(*blocks.columns, "model", "fact_no", "fact.*")

@@ -50,3 +50,12 @@ def test_chapter_facts():
     assert validation.chapter_facts({"facts": [other, "no"]}, BLOCK) == ([{"feature_type": "EXCRETION", "relation_type": "EXCRETED_IN", "strength": "UNKNOWN", "polarity": "UNCERTAIN", "evidence_level": "UNKNOWN", "assertion_type": "EXPLICIT", "target_name": "QT", "target_code": None, "evidence_text": "代謝される。", "qualifiers": {"raw_qualifiers": None}, "confidence": 0.0}], ["1: not an object"])
     assert validation.chapter_facts({"facts": {}}, BLOCK) == ([], ["facts must be a list"])
     assert text.tight_text(None) == "" and text.tight_text("a 　\tb \r\n\n c") == "a b\nc"
+
+
+def test_rebuilt_facts_are_never_broadcast(spark, tmp_path):
+    runs = spark.createDataFrame([("a", "m", "success", '[{"x": 1}, {"x": 2}]')], "analysis_hash string, model string, status string, facts string")
+    blocks = spark.createDataFrame([("b", "a")], "block string, analysis_hash string")
+    for name, rows in (("runs", runs), ("blocks", blocks)):
+        rows.write.parquet(f"{tmp_path}/{name}")
+    got = incremental.rebuilt_facts(spark.read.parquet(f"{tmp_path}/blocks"), spark.read.parquet(f"{tmp_path}/runs"), "x int")
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString() and sorted(r.x for r in got.collect()) == [1, 2]
