@@ -37,6 +37,12 @@ def quality_dedup(df: DataFrame, keys: Sequence[str], ranks: Sequence[str], tie:
     return distinct_on(df, keys, [*(F.col(r).desc_nulls_last() for r in ranks), *(F.col(t).asc_nulls_last() for t in tie)])
 
 
+def priority_rank(priorities: dict[str, int]) -> Column:
+    """A map of codes to ranks, the best the greatest; of equal priorities the smallest code is the best."""
+    rank = sorted(sorted(priorities, reverse=True), key=priorities.__getitem__)
+    return F.create_map(*(F.lit(x) for i, c in enumerate(rank) for x in (c, i)))
+
+
 def argmax_by_priority(groups: DataFrame, items: DataFrame, key: str, code: str, priorities: dict[str, int], absent: Column) -> DataFrame:
     """The code of highest priority for each row of groups; absent for groups without a known code. Equal priorities: the smallest code."""
     rank = {c: i for i, c in enumerate(sorted(sorted(priorities, reverse=True), key=priorities.__getitem__))}  # the best code has the greatest rank

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from docloom.functions.hashing import stable_hash
 from docloom.functions.rules import Rule, classify
 from docloom.functions.text import normalise_nfkc, sentences
-from docloom.operators.ranking import argmax_by_priority, distinct_on, preference_rank
+from docloom.operators.ranking import distinct_on, preference_rank, priority_rank
 
 # Codes, texts, priorities and patterns, which published tables depend on.
 CLASSES = {
@@ -154,8 +154,16 @@ def current_candidates(found: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def published(found: DataFrame, llm: DataFrame) -> DataFrame:
-    """Candidates with the code, target, display level and text to publish, how they came about, and whether to look at them."""
-    joined = found.join(llm, ["statement_hash", "population_type"], "left")
+    """Candidates with the code, target, display level and text to publish, how they came about, and whether to look at them.
+
+    Only candidates that need a model are joined with its facts. found is read for these
+    and for the others: give a stored table where its rules are costly.
+    """
+    asked = F.coalesce(F.col("requires_llm"), F.lit(False))
+    keys = ["statement_hash", "population_type"]
+    told = llm.schema
+    others = found.filter(~asked).select(*keys, *(c for c in found.columns if c not in keys), *(F.lit(None).cast(told[c].dataType).alias(c) for c in llm.columns if c not in keys))
+    joined = found.filter(asked).join(llm, keys, "left").unionByName(others)
     used = F.col("requires_llm") & F.col("llm_code").isNotNull()
     code = F.when(used, F.col("llm_code")).otherwise(F.col("rule_classification"))
     method = F.when(used, "LLM").when(code.isNull(), "SOURCE").when(code == "UNCLASSIFIABLE", "UNCLASSIFIED").otherwise("RULE")
@@ -177,16 +185,16 @@ def summaries(states: DataFrame, statements: DataFrame) -> DataFrame:
     """One row for each state (package_insert_no, population_type, has_section): its worst code and why.
 
     The code of highest priority wins; without one the section is absent or says nothing.
-    reason_statement_id is the smallest id of a statement with the winning code.
+    reason_statement_id is the smallest id of a statement with the winning code. The
+    statements are read once.
     """
     keys = ["package_insert_no", "population_type"]
-    key = F.to_json(F.struct(*keys))
-    priorities = {c: v[2] for c, v in CLASSES.items()}
+    rank = priority_rank({c: v[2] for c, v in CLASSES.items()})[F.col("classification_code")]
+    by_code = statements.groupBy(*keys, "classification_code").agg(F.count("*").alias("n"), F.min("statement_id").alias("reason_statement_id"))
+    best = F.max(F.when(rank.isNotNull(), F.struct(rank.alias("rank"), F.col("classification_code").alias("best_code"), "reason_statement_id")))
+    told = by_code.groupBy(*keys).agg(F.sum("n").alias("statement_count"), F.bool_or(F.col("classification_code").eqNullSafe("UNCLASSIFIABLE")).alias("has_unclassified"), best.alias("b"))
     absent = F.when(F.col("has_section"), "NO_EXPLICIT_RECOMMENDATION").otherwise("SECTION_ABSENT")
-    best = argmax_by_priority(states.withColumn("__key", key), statements.select(key.alias("__key"), "classification_code"), "__key", "classification_code", priorities, absent).drop("__key", "n_items")
-    counted = statements.groupBy(*keys).agg(F.count("*").alias("statement_count"), F.bool_or(F.col("classification_code").eqNullSafe("UNCLASSIFIABLE")).alias("has_unclassified"))
-    reasons = statements.groupBy(*keys, F.col("classification_code").alias("best_code")).agg(F.min("statement_id").alias("reason_statement_id"))
-    out = best.join(counted, keys, "left").join(reasons, [*keys, "best_code"], "left")
+    out = states.join(told, keys, "left").select(*(F.col(c) for c in states.columns), "statement_count", "has_unclassified", "b.reason_statement_id", F.coalesce("b.best_code", absent).alias("best_code"))
     return out.select(
         *(c for c in states.columns),
         F.col("best_code").alias("assessment_code"),

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from docloom.operators import merging, ranking
-from docloom.plans import model_calls, publishing, validation
+from docloom.plans import model_calls, publishing, statements, validation
 from docloom.sources import xml_tree
 
 XML = """<r xmlns="u"><ApprovalEtc><DetailBrandName><BrandCode><YJCode>1</YJCode></BrandCode></DetailBrandName></ApprovalEtc>
@@ -50,3 +50,15 @@ def test_validators():
     facts, errors = validation.notes({"facts": [fact, fact | {"note_text": "8% too"}]}, definition, "a 8%")
     assert len(facts) == 2 and len(errors) == 1
     assert validation.statement({"classification_code": "AVOID", "assessment_text": "x", "evidence_text": "Take it"}, "Take it.", {"AVOID": "avoid"})[0][0]["classification_code"] == "UNCLASSIFIABLE"
+
+
+def test_summaries_read_the_statements_once(spark, tmp_path):
+    rows = [("1", "PREGNANCY", "s2", "AVOID"), ("1", "PREGNANCY", "s1", "AVOID"), ("1", "PREGNANCY", "s0", "ACCEPTABLE"), ("1", "PREGNANCY", "s3", "UNCLASSIFIABLE"), ("1", "LACTATION", "s4", None), ("1", "LACTATION", "s5", "odd")]
+    spark.createDataFrame(rows, "package_insert_no string, population_type string, statement_id string, classification_code string").write.parquet(f"{tmp_path}/statements")
+    states = [("1", "PREGNANCY", True), ("1", "LACTATION", True), ("2", "LACTATION", False)]
+    spark.createDataFrame(states, "package_insert_no string, population_type string, has_section boolean").write.parquet(f"{tmp_path}/states")
+    got = statements.summaries(spark.read.parquet(f"{tmp_path}/states"), spark.read.parquet(f"{tmp_path}/statements"))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    assert sorted((r.package_insert_no, r.population_type, r.assessment_code, r.reason_statement_id, r.has_unclassified, r.statement_count) for r in got.collect()) == [
+        ("1", "LACTATION", "NO_EXPLICIT_RECOMMENDATION", None, False, 2), ("1", "PREGNANCY", "AVOID", "s1", True, 4), ("2", "LACTATION", "SECTION_ABSENT", None, False, 0)
+    ]
