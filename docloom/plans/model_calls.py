@@ -17,6 +17,8 @@ from docloom._ship import ensure_importable
 from docloom.plans.call_log import AnswerLog, Budget
 
 RUN_SCHEMA = "analysis_hash string, model string, status string, response string, facts string, errors array<string>, attempts int"
+#: Runs that a task hands on at once.
+RUN_ROWS = 200
 
 
 class Client(Protocol):
@@ -130,8 +132,8 @@ def from_other_model(cases: DataFrame, cache: DataFrame, source: str, target: st
     return cases.join(cache.filter((F.col("model") == source) & F.col("status").isin(*statuses)).select("analysis_hash").distinct(), "analysis_hash", "left_semi")
 
 
-def run_cases(cases: DataFrame, make_client: Callable[[], Client], model: str, validate: Callable[[dict, dict], tuple[list, list[str]]], retries: int = 2, wait: float = 0, partitions: int = 4, log: AnswerLog | None = None, budget: Budget | None = None) -> DataFrame:
-    """Runs of (analysis_hash, prompt, context) rows; partitions bounds the calls at a time.
+def run_cases(cases: DataFrame, make_client: Callable[[], Client], model: str, validate: Callable[[dict, dict], tuple[list, list[str]]], retries: int = 2, wait: float = 0, partitions: int | None = 4, log: AnswerLog | None = None, budget: Budget | None = None) -> DataFrame:
+    """Runs of (analysis_hash, prompt, context) rows; partitions bounds the calls at a time, None leaves the cases in the tasks that have them.
 
     With a log, answers outlive their task: what is run again after a lost executor asks
     only what has no answer yet. A budget bounds the calls of all tasks together.
@@ -142,11 +144,18 @@ def run_cases(cases: DataFrame, make_client: Callable[[], Client], model: str, v
         plain = make_client()
         client = budget.client(plain) if budget else plain
         for frame in frames:
+            out = []
             for h, p, c in zip(frame["analysis_hash"], frame["prompt"], frame["context"], strict=True):
                 own = log.client(client, h, model) if log else client
-                yield pd.DataFrame([_row(h, model, ask(own, p, lambda a, c=c: validate(a, json.loads(c)), retries, wait))], columns=_COLUMNS)
-
-    return cases.select("analysis_hash", "prompt", "context").repartition(partitions).mapInPandas(run, RUN_SCHEMA)
+                out.append(_row(h, model, ask(own, p, lambda a, c=c: validate(a, json.loads(c)), retries, wait)))
+                if len(out) >= RUN_ROWS:
+                    yield pd.DataFrame(out, columns=_COLUMNS)
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=_COLUMNS)
+
+    rows = cases.select("analysis_hash", "prompt", "context")
+    return (rows if partitions is None else rows.repartition(partitions)).mapInPandas(run, RUN_SCHEMA)
 
 
 _COLUMNS = [x.split()[0] for x in RUN_SCHEMA.split(", ")]

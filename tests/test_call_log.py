@@ -132,3 +132,10 @@ def test_repeated_keys_of_new_rows_are_an_error(spark):
         merging.upsert(old, new, ["k"]).collect()
     assert sorted(map(tuple, merging.upsert(old, new.limit(1), ["k"]).collect()))[0] == (1, "a")
     assert len(merging.upsert(old, new, ["k"], order=["v"]).collect()) == 2
+
+
+def test_cases_stay_in_their_tasks_and_runs_leave_in_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(model_calls, "RUN_ROWS", 3)
+    own = cases(spark, 10).repartition(6)
+    got = model_calls.run_cases(own, lambda: Recording(f"{tmp_path}"), "m", accept, partitions=None)
+    assert got.rdd.getNumPartitions() == 6 and sorted(r.analysis_hash for r in got.collect()) == sorted(r.analysis_hash for r in own.collect())
