@@ -43,10 +43,14 @@ LACTATION_LABELS = {3: "授乳中止", 2: "有益性考慮", 1: "情報提供",
 
 def scored(text: Column, table: list[tuple[int, str, str]]) -> Column:
     """A struct of score and rule: the first rule that the one-line text matches; 0 for none, and for a blank text."""
-    line = normalise_line(text, VARIANTS)
-    found = classify(line, [Rule(f"(?s){p}", {"score": s, "rule": tag}) for s, p, tag in table], {"score": 0, "rule": "unclear"})
+    rules = [Rule(f"(?s){p}", {"score": s, "rule": tag}) for s, p, tag in table]
     blank = F.struct(F.lit(0).alias("score"), F.lit("none").alias("rule"))
-    return F.when(F.coalesce(line, F.lit("")) == "", blank).otherwise(found)
+
+    def told(line: Column) -> Column:
+        return F.when(F.coalesce(line, F.lit("")) == "", blank).otherwise(classify(line, rules, {"score": 0, "rule": "unclear"}))
+
+    # The line is the argument of a lambda so that it is made once, not for each rule.
+    return F.get(F.transform(F.array(normalise_line(text, VARIANTS)), told), F.lit(0))
 
 
 def evidence_flags(text: Column, patterns: dict[str, str]) -> Column:

@@ -54,3 +54,8 @@ def test_first_rule_still_decides(spark):
     table = [rules.Rule("(?s)a.*b", {"v": 1}), rules.Rule("(?s)b.*a", {"v": 2})]
     df = spark.createDataFrame([("ab",), ("ba",), ("x",), ("bab",), (None,)], "t string")
     assert [r.v for r in df.select(rules.classify(F.col("t"), table, {"v": 0}).alias("c")).select("c.v").collect()] == [1, 2, 0, 1, 0]
+
+
+def test_the_scored_line_is_made_once(spark):
+    plan = spark.range(1).select(legacy_scores.scored(F.col("id").cast("string"), legacy_scores.PREGNANCY_SCORES).alias("s"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("上まわる") == 1
