@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +30,15 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def mapped(buf: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """table[buf] for bytes, by the translation of byte strings, which is faster."""
+    return np.frombuffer(buf.tobytes().translate(table.tobytes()), dtype=table.dtype)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (the public MurmurHash3 constants)."""
     x = x ^ (x >> U(33))
-    x = x * U(0xFF51AFD7ED558CCD)
+    x *= U(0xFF51AFD7ED558CCD)
     x ^= x >> U(33)
     x *= U(0xC4CEB9FE1A85EC53)
     x ^= x >> U(33)
@@ -49,7 +55,7 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray, separators: np.ndarray) ->
     if n == 0:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, np.zeros(len(offsets), dtype=np.int64)
-    word = ~separators[buf]
+    word = ~mapped(buf, separators)
     before = np.empty(n, dtype=bool)
     before[0] = False
     before[1:] = word[:-1]
@@ -178,37 +184,81 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(x[:n], x[w - size : w - size + n])
 
 
+_ZSTD = threading.local()
+
+
+def _compress(raw: bytes) -> bytes:
+    """By the thread's own compressor: making one costs more than compressing a short array."""
+    if not hasattr(_ZSTD, "compressor"):
+        _ZSTD.compressor = zstandard.ZstdCompressor(level=1)
+    return _ZSTD.compressor.compress(raw)
+
+
+def _decompress(b: memoryview, size: int) -> bytes:
+    if not hasattr(_ZSTD, "decompressor"):
+        _ZSTD.decompressor = zstandard.ZstdDecompressor()
+    return _ZSTD.decompressor.decompress(b, max_output_size=size)
+
+
+def _planes(a: np.ndarray) -> tuple[bytes, bytes]:
+    """Length, least entry and width of integers of at most 8 bytes, and the byte planes over the least."""
+    a = np.ascontiguousarray(a).astype(U, copy=False)
+    low, high = (int(a.min()), int(a.max())) if len(a) else (0, 0)
+    width = ((high - low).bit_length() + 7) // 8
+    if width > 1:
+        raw = np.ascontiguousarray((a - U(low)).view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    else:
+        raw = (a - U(low)).astype(np.uint8).tobytes() if width else b""
+    return len(a).to_bytes(8, "little") + low.to_bytes(8, "little") + bytes([width]), raw
+
+
+def _joined(n: int, low: int, width: int, raw: memoryview | bytes) -> np.ndarray:
+    if width == 0:
+        return np.full(n, low, dtype=U)
+    planes = np.frombuffer(raw, dtype=np.uint8)
+    if width == 1:
+        out = planes.astype(U)
+    else:
+        out = np.zeros((n, 8), dtype=np.uint8)
+        out[:, :width] = planes.reshape(width, n).T
+        out = out.reshape(-1).view(U)
+    if low:
+        out += U(low)
+    return out
+
+
+def _head(b: memoryview) -> tuple[int, int, int]:
+    return int.from_bytes(b[:8], "little"), int.from_bytes(b[8:16], "little"), b[16]
+
+
 def pack(a: np.ndarray) -> bytes:
     """Compress integers of at most 8 bytes by byte planes over the least; unpack() gives them back as uint64."""
-    a = np.ascontiguousarray(a).astype(U, copy=False)
-    low = a.min() if len(a) else U(0)
-    a = a - low
-    width = (int(a.max()).bit_length() + 7) // 8 if len(a) else 0
-    planes = np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :width].T)
-    return len(a).to_bytes(8, "little") + int(low).to_bytes(8, "little") + bytes([width]) + (zstandard.ZstdCompressor(level=1).compress(planes.tobytes()) if width else b"")
+    head, raw = _planes(a)
+    return head + _compress(raw) if raw else head
 
 
 def unpack(b: bytes) -> np.ndarray:
     b = memoryview(b)
-    n, low, width = int.from_bytes(b[:8], "little"), int.from_bytes(b[8:16], "little"), b[16]
-    out = np.zeros((n, 8), dtype=np.uint8)
-    if n and width:
-        raw = zstandard.ZstdDecompressor().decompress(b[17:], max_output_size=n * width)
-        out[:, :width] = np.frombuffer(raw, dtype=np.uint8).reshape(width, n).T
-    return out.reshape(-1).view(U) + U(low)
+    n, low, width = _head(b)
+    return _joined(n, low, width, _decompress(b[17:], n * width) if n * width else b"")
 
 
 def pack_columns(columns: list[np.ndarray]) -> bytes:
-    parts = [pack(c) for c in columns]
-    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+    """pack() for several arrays, compressed as one."""
+    parts = [_planes(c) for c in columns]
+    raw = b"".join(x for _, x in parts)
+    return len(parts).to_bytes(2, "little") + b"".join(h for h, _ in parts) + (_compress(raw) if raw else b"")
 
 
 def unpack_columns(b: bytes) -> list[np.ndarray]:
+    b = memoryview(b)
+    heads = [_head(b[2 + 17 * i : 19 + 17 * i]) for i in range(int.from_bytes(b[:2], "little"))]
+    sizes = [n * width for n, _, width in heads]
+    raw = memoryview(_decompress(b[2 + 17 * len(heads) :], sum(sizes))) if sum(sizes) else b""
     out, at = [], 0
-    while at < len(b):
-        n = int.from_bytes(b[at : at + 4], "little")
-        out.append(unpack(b[at + 4 : at + 4 + n]))
-        at += 4 + n
+    for head, size in zip(heads, sizes):
+        out.append(_joined(*head, raw[at : at + size]))
+        at += size
     return out
 
 
@@ -221,9 +271,42 @@ def unpack_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(unpack(b), dtype=U)
 
 
+def stable_order(keys: np.ndarray) -> np.ndarray:
+    """np.argsort(keys, kind="stable"), made for uint64.
+
+    A key's leading bits and its place are sorted as one number, which takes less than half the time of sorting places
+    by keys. The bits that find no room matter only between keys that agree in all others: where such a pair comes out
+    in the wrong order, places are sorted by the whole keys.
+    """
+    n = len(keys)
+    if n < 2 or keys.dtype != U:
+        return np.argsort(keys, kind="stable")
+    low, high = keys.min(), keys.max()
+    bits = (n - 1).bit_length()
+    drop = max(0, int(high - low).bit_length() + bits - 64)
+    order = np.sort(((keys - low) >> U(drop) << U(bits)) | np.arange(n, dtype=U))
+    order = (order & U((1 << bits) - 1)).view(np.int64)
+    if drop:
+        found = keys[order]
+        if (found[1:] < found[:-1]).any():
+            return np.argsort(keys, kind="stable")
+    return order
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, ascending; the first place of each; and which of them stands at each place."""
+    order = stable_order(keys)
+    found = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    number = np.empty(len(keys), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return found[new], order[new], number
+
+
 def sum_by_key(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys, ascending, and the sums of each column of values."""
-    order = np.argsort(keys, kind="stable")
+    order = stable_order(keys)
     keys = keys[order]
     cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
     return keys[cuts], *(np.add.reduceat(v[order], cuts) if len(cuts) else v[:0] for v in values)

@@ -61,7 +61,7 @@ class Block:
 
     def words(self, separators: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The buffer used, starts, ends and first word of each document."""
-        buf = A.LOWER[self.buf] if lower else self.buf
+        buf = A.mapped(self.buf, A.LOWER) if lower else self.buf
         return buf, *A.word_spans(buf, self.offsets, separators)
 
     def id_array(self) -> pa.Array:

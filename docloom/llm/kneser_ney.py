@@ -82,7 +82,7 @@ def round_of(t: Tokens, n: int, order: int, bits: int) -> Round:
     if n < order:
         ends[:-1] |= t.real[1:]
     at = np.flatnonzero(ends)
-    keys, place = np.unique(A.grams(t.hashes, n, salt=n)[at - n + 1] >> A.U(64 - width_of(n, bits)), return_inverse=True)
+    keys, _, place = A.distinct(A.grams(t.hashes, n, salt=n)[at - n + 1] >> A.U(64 - width_of(n, bits)))
     where = np.zeros(len(t.hashes), dtype=np.int64)
     where[at] = place
     real = np.flatnonzero(t.real)
@@ -99,14 +99,17 @@ def _serve(shard: int, blocks: list, keys: list, columns: list) -> tuple:
     and the same two of the last column.
     """
     width = max(len(x) for x in columns)
-    table, *sums = A.sum_by_key(np.concatenate(keys), *(np.concatenate([x[c] for x in columns]) for c in range(width)))
-    taken = np.zeros(len(table), dtype=bool)
-    replies = []
-    for own, told in zip(keys, columns):
-        at = np.searchsorted(table, own)
-        first = ~taken[at]
-        taken[at] = True
-        replies.append([*(c[at] - x for c, x in zip(sums, told)), first])
+    table, owner, place = A.distinct(np.concatenate(keys))
+    told = [np.concatenate([x[c] for x in columns]) for c in range(width)]
+    sums = [np.zeros(len(table), dtype=A.U) for _ in told]
+    for total, own in zip(sums, told):
+        at = np.flatnonzero(own)
+        np.add.at(total, place[at], own[at])
+    first = np.zeros(len(place), dtype=bool)
+    first[owner] = True
+    others = [total[place] - own for total, own in zip(sums, told)]
+    ends = np.cumsum([len(k) for k in keys]).tolist()
+    replies = [[*(x[a:b] for x in others), first[a:b]] for a, b in zip([0, *ends[:-1]], ends)]
     counts, raw = sums[0], sums[-1]
     stats = [*(int((counts == c).sum()) for c in (1, 2, 3, 4)), int((counts > 0).sum()), int(counts.sum()), int((raw > 0).sum()), int(raw.sum())]
     return blocks, replies, (A.pack_sorted(table), A.pack_columns(sums), stats)
