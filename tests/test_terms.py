@@ -2,7 +2,9 @@
 
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +39,20 @@ def test_column_of_terms(spark):
         terms.present_terms(spark, F.col("t"), ["a", "a"])
 
 
+def test_terms_of_a_batch_are_never_python_objects_all_at_once():
+    """10,000 texts of 4 KB with 50 terms each: strings and lists of numbers would take 40 MB and 8 MB."""
+    words = [f"w{i:03d}x" for i in range(600)]
+    rows = [" ".join(words[300 + (i * j) % 300] for j in range(50)) + "." * 3700 for i in range(1, 1001)]
+    automaton, texts = terms.Automaton(words), pa.array([None, "", *rows * 10])
+    tracemalloc.start()
+    found = terms.present_in(automaton, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20
+    assert found.slice(0, 302).to_pylist() == [every(words, t or "") for t in [None, "", *rows[:300]]]
+    assert found.type == pa.list_(pa.int32()) and len(found) == len(texts) and terms.present_in(automaton, texts.slice(0, 0)).to_pylist() == []
+
+
 def test_targets_by_rule(spark):
     r = random.Random(5)
     bits = [p + m for p, members in FAMILIES for m in members.split()] + list(SPELLINGS) + ["x", " ", "3A", "CYP", "1", "0", "ugt", "qt"]
