@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from docloom._ship import ensure_importable
 
 RANGE_BYTES, MOST_BYTES, DEPTH, ROWS = 8 << 20, 1 << 30, 3, 1000
+#: Directories that a task reads where there are many archives: the driver keeps figures of each task.
+TASK_ARCHIVES = 50
 MEMBER_SCHEMA = "archive string, name string, start bigint, packed bigint, size bigint, method int, crc bigint, encrypted boolean, error string"
 FILE_SCHEMA = "path string, content binary, error string"
 _LOCAL = struct.Struct("<4s5H3I2H")
@@ -201,7 +203,9 @@ def archive_members(spark: SparkSession, path: str, suffix: str = ".xml") -> Dat
     """A row for each member with that suffix and each inner archive of the ZIP files below path: where its bytes are."""
     ensure_importable(spark)
     found = _archives(spark, path).select("path")
-    return found.repartition(max(1, min(found.count(), 10_000)), "path").mapInArrow(_directory(suffix), MEMBER_SCHEMA)
+    n = found.count()
+    tasks = max(1, min(n, max(4 * spark.sparkContext.defaultParallelism, -(-n // TASK_ARCHIVES))))
+    return found.repartition(tasks, "path").mapInArrow(_directory(suffix), MEMBER_SCHEMA)
 
 
 def _archives(spark: SparkSession, path: str) -> DataFrame:

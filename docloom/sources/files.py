@@ -27,15 +27,16 @@ def split_duplicates(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Hashes and paths are grouped, not contents; a content with many copies is one row a
     task. Files without content all stay. The files are read twice: for the hashes, and
-    for those that stay.
+    for those that stay. Joined by sorting, never broadcast: there are as many hashes as
+    files, of which Spark may expect few where a list of archives is what it knows.
     """
     hashed = files.withColumn("sha256", F.sha2("content", 256))
     paths = hashed.select("sha256", "path")
     least = paths.groupBy("sha256", F.when(F.col("sha256").isNull(), F.col("path")).alias("__own")).agg(F.min("path").alias("kept"), F.count("*").alias("n"))
     kept = least.select("kept", F.col("sha256").alias("__sha"))
-    first = hashed.join(kept, F.col("path").eqNullSafe(F.col("kept")) & F.col("sha256").eqNullSafe(F.col("__sha")), "left_semi")
+    first = hashed.join(kept.hint("merge"), F.col("path").eqNullSafe(F.col("kept")) & F.col("sha256").eqNullSafe(F.col("__sha")), "left_semi")
     copies = least.filter("n > 1 and sha256 is not null").select("sha256", "kept")
-    return first, paths.join(copies, "sha256").filter("path <> kept").select("sha256", "kept", F.col("path").alias("skipped"))
+    return first, paths.join(copies.hint("merge"), "sha256").filter("path <> kept").select("sha256", "kept", F.col("path").alias("skipped"))
 
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:

@@ -115,3 +115,33 @@ def test_documents_through_archives(spark, tmp_path, monkeypatch):
     got = sorted((x.doc_id, x.source, x.n_notes, x.chars) for x in queries.QUERIES["archived_documents"](spark, str(tmp_path)).collect())
     items = lambda t: [s for s in (" ".join(line.split()) for line in (t or "").split("\n")) if len(s) >= 4]
     assert got == sorted((i, s, len(items(t)), sum(map(len, items(t)))) for i, t, s in rows)
+
+
+def test_files_of_archives_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Few archives hold many files: their list says nothing about the sizes of what is read from them."""
+    from docloom.plans import queries
+    from docloom.sources import files
+
+    plan = lambda df: df.collect() and df._jdf.queryExecution().executedPlan().toString()
+    make(tmp_path / "one.zip", 300, 7)
+    make(tmp_path / "two.zip", 300, 7)
+    first, other = files.split_duplicates(archives.read_archives(spark, str(tmp_path)))
+    assert "SortMergeJoin" in plan(first) and "Broadcast" not in plan(first) and "Broadcast" not in plan(other)
+    contents = list(plain(tmp_path).values())
+    assert first.count() == len(set(contents)) and other.count() == len(contents) - len(set(contents))
+    rows = [(i, "line one\nline two", "s") for i in range(50)] + [(None, "no id", "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "_ARCHIVE_ROWS", 7)
+    zipped = queries._zipped
+    monkeypatch.setattr(queries, "_zipped", lambda folder: lambda frames: zipped(folder)(f for frame in frames for f in (frame, frame)))  # as tasks that were run again
+    got = queries.QUERIES["archived_documents"](spark, str(tmp_path))
+    assert "SortMergeJoin" in plan(got) and "Broadcast" not in plan(got)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(i, "s", len(t.split("\n")), len(t.replace("\n", ""))) for i, t, _ in rows], key=str)
+
+
+def test_many_archives_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(120):
+        with zipfile.ZipFile(tmp_path / f"{i}.zip", "w") as z:
+            z.writestr("a.xml", str(i))
+    members = archives.archive_members(spark, str(tmp_path))
+    assert members.count() == 120 and members.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
